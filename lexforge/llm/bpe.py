@@ -81,21 +81,13 @@ class WordIds(dict):
     def pack(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts."""
         split = [self.splitter.words(t) for t in texts]
-        new = set().union(*(w for w in split if w)).difference(self)
-        if new:
+        out = [None if w is None else list(map(self.get, w)) for w in split]
+        short = [k for k, got in enumerate(out) if got is not None and None in got]
+        if new := {w for k in short for w, x in zip(split[k], out[k], strict=True) if x is None}:
             self.learn(new)
-        get = self.__getitem__
-        try:
-            return [self._encode(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
-        except KeyError:  # the table was emptied meanwhile
-            out = []
-            for t, w in zip(texts, split, strict=True):
-                if w and (new := set(w).difference(self)):
-                    self.learn(new)
-                    if missing := set(w).difference(self):
-                        self.learn(missing)
-                out.append(self._encode(t).tobytes() if w is None else b"".join(map(get, w)))
-            return out
+        for k in short:
+            out[k] = [x or self[w] for w, x in zip(split[k], out[k], strict=True)]
+        return [self._encode(t).tobytes() if got is None else b"".join(got) for t, got in zip(texts, out, strict=True)]
 
 
 @lru_cache(maxsize=4)

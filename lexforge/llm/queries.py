@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexforge.llm.bpe_codec import encode_decode
+from lexforge.llm.decontaminate import contamination
+from lexforge.llm.near_duplicates import near_duplicates
+from lexforge.llm.shards import shard_rows
+from lexforge.llm.staging import new_path
 from lexforge.llm.token_counts import count_tokens
+from lexforge.llm.token_files import read_digests, write_ids
 
 
 def vocabulary() -> str:
@@ -28,8 +33,30 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    write_ids(_table(spark, sf_dir, "documents"), path, vocabulary())
+    return read_digests(spark, path)
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(_table(spark, sf_dir, "documents"), shards=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_decontaminate": op5_decontaminate,
+    "op8_near_duplicates": op8_near_duplicates,
+    "op9_token_files": op9_token_files,
+    "op10_shards": op10_shards,
 }
 ORACLE_SQL: dict[str, str] = {}

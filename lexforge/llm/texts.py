@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 512
 
 
-def small_batches(df: DataFrame) -> None:
-    """Lowers the session's Arrow batch size to ``BATCH_ROWS`` where it is larger."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
+    """Sets the size of Arrow batches, which Spark takes from the session when the plan runs."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, id_col: str = "doc_id", text_col: str = "text", more: tuple = ()) -> DataFrame:
