@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexforge.llm.bpe_codec import encode_decode
 from lexforge.llm.decontaminate import contamination
+from lexforge.llm.embedding_dedup import near_vectors
+from lexforge.llm.language_id import fold, identify, train
 from lexforge.llm.near_duplicates import near_duplicates
+from lexforge.llm.secrets import scan_secrets
 from lexforge.llm.shards import shard_rows
 from lexforge.llm.staging import new_path
+from lexforge.llm.surrogates import replace_entities
 from lexforge.llm.token_counts import count_tokens
 from lexforge.llm.token_files import read_digests, write_ids
 
@@ -29,6 +34,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(_table(spark, sf_dir, "documents"), key=b"a key of the caller's own")
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
@@ -37,6 +50,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = identify(docs, train(docs))
+    return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "margin", "accepted")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -53,8 +76,12 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_surrogates": op3_surrogates,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_decontaminate": op5_decontaminate,
+    "op6_secrets": op6_secrets,
+    "op7_language_id": op7_language_id,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_files": op9_token_files,
     "op10_shards": op10_shards,
