@@ -6,7 +6,7 @@ of any size, and the share of equal bins of two sketches concentrates around the
 
 Bands of 4 bins lead sets into buckets.  Sets are first compared with the smallest document of each bucket; links join
 them into components.  Only in buckets that still hold several components are other pairs looked at, in blocks, by their
-sketches, and those that may be similar are verified.  Every link is confirmed on full shingle sets from whole texts.
+sketches, and those that may be similar are compared there; what a pair of blocks gives are links that connect, not pairs.  Every link is confirmed on full shingle sets from whole texts.
 A pair at the threshold misses all 32 bands with a probability of 5e-6, and the look at the sketches with 1e-7.
 """
 
@@ -28,7 +28,7 @@ SHINGLE, BINS, BAND = 5, 128, 4
 BANDS = BINS // BAND
 #: Sketches with fewer equal bins than this share are taken to be under the threshold: five deviations under 0.75.
 MAYBE = 0.55
-BLOCK, PER_PIVOT = 1024, 256
+BLOCK, PER_PIVOT = 512, 256
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,6 +82,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), lists], names=["doc_id", "n_shingles", "h1", "h2", "sketch"])
 
 
+def _similar(s: np.ndarray, h: np.ndarray, share: tuple[int, int]) -> bool:
+    """Whether two sorted sets meet in share[0]/share[1] of their union."""
+    small, large = (s, h) if s.size <= h.size else (h, s)
+    if not small.size or share[1] * small.size < share[0] * large.size:
+        return False
+    where = np.minimum(np.searchsorted(large, small), large.size - 1)
+    both = int((large[where] == small).sum())
+    return share[1] * both >= share[0] * (s.size + h.size - both)
+
+
 def _verify(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Rows (p, part, role, id, text) by p, part and role, the pivot's text first; gives pairs that are linked."""
     held: list[np.ndarray] = []
@@ -98,18 +108,23 @@ def _verify(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterat
                 if role == 0:
                     held.append(s.copy())
                     continue
-                for h in held:
-                    small, large = (s, h) if s.size <= h.size else (h, s)
-                    if not small.size or share[1] * small.size < share[0] * large.size:
-                        continue
-                    where = np.minimum(np.searchsorted(large, small), large.size - 1)
-                    both = int((large[where] == small).sum())
-                    if share[1] * both >= share[0] * (s.size + h.size - both):
-                        links.append((x, p))
-                        break
+                if any(_similar(s, h, share) for h in held):
+                    links.append((x, p))
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([p for _, p in links], pa.int64())], names=["a", "b"])
 
 
+def _with_texts(rows: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the texts of the documents in column ``name``.
+
+    A bit map of hashed ids, of at most 2^18 words, keeps most other texts out of the shuffle; the join decides.
+    """
+    at = lambda c: F.shiftrightunsigned(F.xxhash64(c), 40)
+    bits = rows.select(at(F.col(name)).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits"))
+    texts = docs.withColumn("at", at(F.col("doc_id"))).withColumn("word", F.shiftright("at", 6)).join(F.broadcast(bits), "word")
+    texts = texts.filter(F.expr("bits & shiftleft(1L, cast(at & 63 as int)) != 0")).select(F.col("doc_id").alias(name), "text")
+    return rows.hint("merge").join(texts, name)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Those of the distinct pairs (x, p) whose full sets are similar enough, staged.  A pivot's pairs are dealt out in parts."""
     spark = docs.sparkSession
@@ -118,7 +133,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> Dat
     dealt = pairs.join(counts, "p").withColumn("part", F.pmod(F.xxhash64("x"), F.ceil(F.col("n") / PER_PIVOT)).cast("int"))
     dealt = staged(dealt.select("p", "part", "x"), "pairs")
     wanted = dealt.select("p", "part", F.lit(1).alias("role"), F.col("x").alias("id")).unionByName(dealt.select("p", "part", F.lit(0).alias("role"), F.col("p").alias("id")).distinct())
-    rows = wanted.join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select("p", "part", "role", "id", "text")
+    rows = _with_texts(wanted, docs, "id").select("p", "part", "role", "id", "text")
     sorted_rows = rows.repartition(n, "p", "part").sortWithinPartitions("p", "part", "role", "id")
     small_batches(docs)
     out = staged(sorted_rows.mapInArrow(lambda it: _verify(it, share), "a bigint, b bigint"), "links")
@@ -126,35 +141,71 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> Dat
     return out
 
 
-def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, block, rep, comp, pivot, sketch) by key, i, j; gives pairs of other components that may be similar."""
-
-    def pairs(rows: list) -> tuple[list, list]:
-        block, rep, comp = (np.array([r[k] for r in rows]) for k in (3, 4, 5))
-        code = np.array([r[7] for r in rows], dtype=np.int64).view(np.uint16).reshape(len(rows), BINS)
-        i, j = rows[0][1], rows[0][2]
-        one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        xs, ps = [], []
-        for k in one.tolist():
-            other = two[(comp[two] != comp[k]) & ((rep[two] > rep[k]) | (i != j))]
-            if other.size:
-                near = other[(code[other] == code[k]).sum(axis=1) >= MAYBE * BINS]
-                xs += np.maximum(rep[near], rep[k]).tolist()
-                ps += np.minimum(rep[near], rep[k]).tolist()
-        return xs, ps
-
-    held: list = []
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one (key, i, j) at a time; they are the first three columns, and rows come sorted by them."""
+    held: list[pa.RecordBatch] = []
+    at: tuple | None = None
     for batch in batches:
-        xs, ps = [], []
-        for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if held and r[:3] != held[0][:3]:
-                x, p = pairs(held)
-                xs, ps, held = xs + x, ps + p, []
-            held.append(r)
-        yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ps, pa.int64())], names=["x", "p"])
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+        cuts = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+            if a < b:
+                if held and tuple(keys[a]) != at:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                    held = []
+                at = tuple(keys[a])
+                held.append(batch.slice(a, b - a))
     if held:
-        xs, ps = pairs(held)
-        yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ps, pa.int64())], names=["x", "p"])
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+class _Cell:
+    """Two blocks of one bucket: for a row of the first, rows of the second to compare it with.
+
+    Those are in another component, have enough equal bins, and share no earlier band, so that a pair is met once.
+    """
+
+    def __init__(self, t: pa.Table):
+        self.block, self.rep, self.comp = (t[c].to_numpy() for c in ("block", "rep", "comp"))
+        self.bands = np.array(t["sketch"].chunk(0).flatten()).reshape(-1, BANDS)
+        self.bins = self.bands.view(np.uint16).reshape(-1, BINS)
+        self.band, i, j = t["band"][0].as_py(), t["i"][0].as_py(), t["j"][0].as_py()
+        self.one, self.two, self.twice = np.flatnonzero(self.block == i), np.flatnonzero(self.block == j), i == j
+
+    def partners(self, k: int) -> np.ndarray:
+        other = self.two[(self.comp[self.two] != self.comp[k]) & ((self.rep[self.two] > self.rep[k]) | (not self.twice))]
+        other = other[(self.bins[other] == self.bins[k]).sum(axis=1) >= MAYBE * BINS]
+        return other[~(self.bands[other, : self.band] == self.bands[k, : self.band]).any(axis=1)]
+
+
+def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of cells that have anything to be compared with."""
+    for t in _by_cell(batches):
+        cell, wanted = _Cell(t), np.zeros(t.num_rows, dtype=bool)
+        for k in cell.one.tolist():
+            near = cell.partners(k)
+            wanted[near] = True
+            wanted[k] |= near.size > 0
+        if wanted.any():
+            yield from t.filter(pa.array(wanted)).combine_chunks().to_batches()
+
+
+def _settle(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Cells with texts: compares what is not connected yet, and gives links that connect it."""
+    for t in _by_cell(batches):
+        cell, sets = _Cell(t), []
+        for _, _, words in pieces(t["text"].chunk(0), SPACED):
+            _, g, first = shingle_sets(words)
+            sets += [g[first[d] : first[d + 1]].copy() for d in range(words.n_docs)]
+        a, b = [], []
+        for k in cell.one.tolist():
+            for m in cell.partners(k).tolist():
+                if cell.comp[k] != cell.comp[m] and _similar(sets[k], sets[m], share):
+                    a.append(int(cell.rep[k]))
+                    b.append(int(cell.rep[m]))
+                    lo, hi = sorted((cell.comp[k], cell.comp[m]))
+                    cell.comp = np.where(cell.comp == hi, lo, cell.comp)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -173,28 +224,28 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     full = sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = staged(full.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "reps")
 
-    bands = reps.select("rep", F.posexplode("sketch").alias("band", "bins")).select(F.xxhash64("band", "bins").alias("key"), "rep")
+    bands = reps.select("rep", F.posexplode("sketch").alias("band", "bins")).select(F.xxhash64("band", "bins").alias("key"), "band", "rep")
     pivots = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).filter("size > 1").repartition(n, "key", "pivot")
     met = staged(bands.join(pivots, "key"), "buckets")
     links = _confirmed(met.filter("rep != pivot").select(F.col("rep").alias("x"), F.col("pivot").alias("p")).distinct(), docs, share)
     comps = components(links)
 
-    apart = met.filter("size > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    apart = staged(apart.filter("rep != pivot").drop("size"), "apart")
-    mixed = apart.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).repartition(n, "key", "blocks")
+    apart = met.filter("size > 2 and rep != pivot").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
+    apart = staged(apart, "apart")
+    mixed = apart.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).repartition(n, "key", "blocks")
     rows = apart.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    rows = rows.join(reps.select("rep", "sketch"), "rep")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = rows.select("key", "rep", "component", "pivot", "block", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", F.col("component").alias("comp"), "pivot")
-    cells = cells.join(reps.select("rep", "sketch"), "rep").select("key", "i", "j", "block", "rep", "comp", "pivot", "sketch")
-    maybe = cells.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_look, "x bigint, p bigint")
-    more = staged(maybe.distinct(), "maybe")
-    if not more.isEmpty():
-        late = _confirmed(more, docs, share)
+    cells = rows.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "rep", "comp", "sketch")
+    columns = "key bigint, i int, j int, block int, band int, rep bigint, comp bigint, sketch array<bigint>"
+    in_order = lambda df: df.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+    open_cells = staged(in_order(cells).mapInArrow(_look, columns), "cells")
+    late = staged(in_order(_with_texts(open_cells, docs, "rep").select(*[c.split()[0] for c in columns.split(", ")], "text")).mapInArrow(lambda it: _settle(it, share), "a bigint, b bigint"), "links")
+    if not late.isEmpty():
         first = comps
         comps = components(late.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        unstage(late)
         unstage(first)
-    for t in (met, links, apart, more):
+    for t in (met, links, apart, open_cells, late):
         unstage(t)
 
     named = reps.drop("sketch").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
