@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexforge.llm import oracles
 from lexforge.llm.bpe_codec import encode_decode
 from lexforge.llm.decontaminate import contamination
 from lexforge.llm.embedding_dedup import near_vectors
@@ -86,4 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_shards": op10_shards,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_embedding_dedup": oracles.OP2,
+    "op5_decontaminate": oracles.OP5,
+    "op6_secrets": oracles.OP6,
+    "op8_near_duplicates": oracles.OP8,
+}
