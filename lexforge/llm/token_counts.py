@@ -43,7 +43,7 @@ class Resync:
         (li, lo), (ri, ro) = left, right
         ends = np.flatnonzero(self.closes[li])
         for i, close in zip(ends[:-1][::-1] + 1, ends[1:][::-1], strict=True):  # words i..close of the left chunk, the last first
-            if close + 1 >= li.size:
+            if close + 1 >= li.size or lo[i, 0] < lo[i - 1, 1]:  # at the chunk's end, or inside a character that became two
                 continue
             if lo[i, 0] < ro[0, 0]:
                 break

@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from lexforge.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order(spark, edges, tmp_path):
+    docs = edges.select("doc_id", "text", "lang", "source").withColumn("n_chars", __import__("pyspark").sql.functions.length("text").cast("long"))
+    more = [(100 + k, f"the house number {k} stood by the river and nobody had seen who lived there since the winter of the great flood {k}", "en", "s", 1) for k in range(40)]
+    more += [(200, "der Hund und die Katze liefen über die alte Brücke und niemand wusste warum sie es so eilig hatten an diesem Tag", "de", "s", 1), (201, "secret = 'abcdefgh12345' the house by the sea was empty and nobody had lived there for a very long time indeed", "en", "s", 1)]
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema)).filter("doc_id <> 8")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "der Hund und die Katze liefen über die alte Brücke und niemand wusste warum")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, columns, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), None, {}
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / f"out{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"out{k}"))
+        seen[name] = {r["doc_id"]: r for r in docs.collect()}
+        assert name == "bpe" or docs.columns == columns
+    assert list(seen) == ["language_id", "near_dedup", "decontamination", "secrets", "bpe"]
+    assert not {2, 3, 4, 9} & set(seen["language_id"]) and {100, 139, 200, 201} <= set(seen["language_id"])
+    assert 100 in seen["near_dedup"] and len(set(seen["near_dedup"]) & set(range(100, 140))) >= 1
+    assert 200 in seen["near_dedup"] and 200 not in seen["decontamination"] and 201 in seen["decontamination"]
+    assert "abcdefgh12345" not in seen["secrets"][201]["text"] and seen["secrets"][201]["n_chars"] == len(seen["secrets"][201]["text"])
+    assert set(seen["bpe"]) == set(seen["secrets"])
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_run_equals_the_operators_one_by_one(spark):
+    """The rows of run() against filters over brute-force results of each stage on its own input."""
+    import hashlib
+
+    from lexforge.llm.bpe import load
+    from test_dedup import brute
+    from test_filters import contaminated, spans
+
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = {r["doc_id"]: r["text"] for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    comps, _ = brute(list(first.items()))
+    second = {k: t for k, t in first.items() if comps[k] == k}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = {r[0] for r in contaminated(list(second.items()), items) if r[5]}
+    third = {k: t for k, t in second.items() if k not in bad}
+    assert set(got) == set(third)
+    library = load(queries.vocabulary())
+    for k, t in third.items():
+        if not spans(t):
+            ids = library.encode(t, add_special_tokens=False).ids
+            assert got[k]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
