@@ -20,7 +20,7 @@ def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
 def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, id_col: str = "doc_id", text_col: str = "text", more: tuple = ()) -> DataFrame:
     """``fn`` gets batches of (doc_id, text) and the columns ``more``; other columns are not read, so their names don't matter."""
     small_batches(df)
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
     return rows.mapInArrow(fn, schema)
 
 

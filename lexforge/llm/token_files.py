@@ -28,6 +28,7 @@ BLOCK_BYTES = 4 << 20
 #: The dictionary is trained on this many documents at most, and as many ids of each.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 1000, 2048, 64 << 10
 LEVEL = 3
+_NO_ID = -(1 << 63)
 BLOCKS = "part int, block int, first_doc bigint, last_doc bigint, n_docs bigint, n_tokens bigint, start_in_part bigint, dict_sha256 string, index binary, data binary"
 
 
@@ -74,7 +75,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "do
         held = 0
 
         def close() -> pa.RecordBatch:
-            index = np.array([-1 if i is None else i for i in ids], dtype="<i8").tobytes() + np.array(counts, dtype="<u4").tobytes() + np.cumsum([len(f) for f in frames]).astype("<u4").tobytes()
+            index = np.array([_NO_ID if i is None else i for i in ids], dtype="<i8").tobytes() + np.array(counts, dtype="<u4").tobytes() + np.cumsum([len(f) for f in frames]).astype("<u4").tobytes()
             known = [i for i in ids if i is not None]
             row = [part, block, min(known, default=None), max(known, default=None), len(ids), sum(counts), before, digest, index, b"".join(frames)]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
@@ -135,7 +136,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                     crcs.append(zlib.crc32(got))
                     at = end
                 starts = base[r["part"]] + r["start_in_part"] + np.concatenate([[0], np.cumsum(counts[:-1], dtype=np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array([None if i == -1 else i for i in ids.tolist()], pa.int64()), pa.array(starts, pa.int64()), pa.array(counts.astype(np.int64)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array([None if i == _NO_ID else i for i in ids.tolist()], pa.int64()), pa.array(starts, pa.int64()), pa.array(counts.astype(np.int64)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     small_batches(blocks, 4)
     return blocks.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
