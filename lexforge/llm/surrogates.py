@@ -35,15 +35,19 @@ CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "αειουωη", "β
 _CLASS = {c: k for k, cs in enumerate(CLASSES) for c in cs}
 _WHO = {n: (k, i) for k, ns in NAMES.items() for i, n in enumerate(ns)}
 KINDS = ("email", "phone", "card", "ip", "ssn", "name")
-#: Cheap signs without which a text holds no entity of the kind.
-_PATTERN = re.compile(
-    r"(?P<email>(?<![\w.+-])\w[\w.+-]*@\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_]{2,}(?!\w))"
-    r"|(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d))"
+_NUMBER = re.compile(
+    r"(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d))"
     r"|(?P<phone>(?<![\w.+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?![\w-])|(?<!\w)\(\d{3}\) ?\d{3}[-.]\d{4}(?!\w)|(?<![\w-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.-])[3-6](?:\d{12,18}|\d{3}(?:[ -]\d{4}){3})(?![\w-]))"
-    r"|(?P<name>(?<!\w)(?:" + "|".join(sorted(_WHO, key=len, reverse=True)) + r")(?: [^\W\d_a-zß-öø-ÿα-ώа-я][^\W\d_]+)?(?!\w))"
-)
+)
+# what every number above lies in, but for its first sign; begins with a set of characters, which the search jumps to
+_DIGITS = re.compile(r"[0-9][0-9 ().\-]{5,}[0-9]")
+_START = re.compile(r"[+(]|(?<![0-9])[0-9]")
+_LOCAL = re.compile(r"\w[\w.+-]*\Z")
+_DOMAIN = re.compile(r"\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_]{2,}(?!\w)")
+_CAPITAL = re.compile(r"[A-ZΆ-ΩА-Я][^\W\d_]+")
+_FAMILY = re.compile(r" [^\W\d_a-zß-öø-ÿα-ώа-я][^\W\d_]+")
 
 
 def _draw(value: int, size: int, key: bytes, tweak: bytes) -> int:
@@ -123,9 +127,44 @@ def _check_digit(text: str) -> int:
     return -sum(d if k % 2 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10
 
 
+def _numbers(text: str) -> Iterator[tuple[int, int, str]]:
+    upto = 0
+    for run in _DIGITS.finditer(text):
+        for p in _START.finditer(text, max(0, run.start() - 2), run.end()):
+            if p.start() >= upto and (m := _NUMBER.match(text, p.start())):
+                yield m.start(), m.end(), m.lastgroup
+                upto = m.end()
+
+
+def _mails(text: str) -> Iterator[tuple[int, int, str]]:
+    at = text.find("@")
+    while at >= 0:
+        a = at
+        while a and (text[a - 1].isalnum() or text[a - 1] in "_.+-"):
+            a -= 1
+        local, domain = _LOCAL.search(text, a, at), _DOMAIN.match(text, at + 1)
+        if local and domain:
+            yield local.start(), domain.end(), "email"
+        at = text.find("@", at + 1)
+
+
+def _names(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in _CAPITAL.finditer(text):
+        if m.group() in _WHO:
+            a, b = m.span()
+            after = text[b : b + 1]
+            if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")) and not (after.isalnum() or after == "_"):
+                family = _FAMILY.match(text, b)
+                yield a, family.end() if family else b, "name"
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of the entities of a text, from left to right without overlaps."""
-    return [(m.start(), m.end(), m.lastgroup) for m in _PATTERN.finditer(text)]
+    """Start, end and kind of the entities of a text, from left to right; of two that overlap, the one that begins first, then the longer."""
+    out: list[tuple[int, int, str]] = []
+    for a, b, kind in sorted([*_mails(text), *_numbers(text), *_names(text)], key=lambda x: (x[0], -x[1])):
+        if not out or a >= out[-1][1]:
+            out.append((a, b, kind))
+    return out
 
 
 @lru_cache(maxsize=1 << 16)
