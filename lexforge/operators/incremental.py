@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.names import pipeline_version, sidecar_name
+from lexforge.operators.numbering import dense_ids
 
 
 def plan_chunks(chunks: DataFrame, manifest: DataFrame, sidecars: DataFrame, versions: dict[str, str], force: bool = False) -> DataFrame:
@@ -23,10 +24,14 @@ def plan_chunks(chunks: DataFrame, manifest: DataFrame, sidecars: DataFrame, ver
 
 
 def within_budget(planned: DataFrame, order: list[Column], batch: int, batches: int | None) -> DataFrame:
-    """``status``: skipped where up to date; of the others the first ``batches`` batches are pending, the rest deferred."""
-    rank = F.row_number().over(Window.partitionBy("up_to_date").orderBy(*order))
-    late = F.lit(False) if batches is None else F.floor((rank - 1) / batch) >= batches
-    return planned.withColumn("status", F.when(F.col("up_to_date"), "skipped").when(late, "deferred").otherwise("pending"))
+    """``status``: skipped where up to date; of the others the first ``batches`` batches are pending, the rest deferred.
+
+    ``batch`` numbers the batches of what is not up to date, from 0.
+    """
+    todo = dense_ids(planned.filter("not up_to_date"), order, "batch", first=0).withColumn("batch", F.floor(F.col("batch") / batch).cast("long"))
+    late = F.lit(False) if batches is None else F.col("batch") >= batches
+    done = planned.filter("up_to_date").withColumn("batch", F.lit(None).cast("long")).withColumn("status", F.lit("skipped"))
+    return todo.withColumn("status", F.when(late, "deferred").otherwise("pending")).unionByName(done)
 
 
 def status_counts(rows: DataFrame, statuses: tuple[str, ...]) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.keys import with_keys
@@ -65,16 +65,11 @@ def accepted_chunks(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS)
 def number_chunks(accepted: DataFrame) -> DataFrame:
     """doc_id and chunk_id for accepted chunks: dense from 1, versions by root and path, chunks in citation order.
 
-    Versions without an accepted chunk take no id.  Chunks are counted within their version, and the counts of the
-    versions before, in ranges of the document order, are added.
+    Versions without an accepted chunk take no id.
     """
-    versions = accepted.groupBy("version", "root", "version_path").agg(F.count("*").alias("n"))
     key = [F.col("root"), path_key(F.col("version_path")), F.col("version")]
-    # ids of versions: one row for each, far fewer than chunks
-    order = Window.orderBy(*key)
-    versions = versions.withColumn("doc_id", F.row_number().over(order).cast("long")).withColumn("_before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
-    within = F.row_number().over(Window.partitionBy("version").orderBy("citation_key", "urn"))
-    return accepted.withColumn("_k", within).join(versions.select("version", "doc_id", "_before"), "version").withColumn("chunk_id", (F.col("_before") + F.col("_k")).cast("long")).drop("_k", "_before")
+    versions = dense_ids(accepted.select("version", "root", "version_path").distinct(), key, "doc_id").select("version", "doc_id")
+    return dense_ids(accepted.join(versions, "version"), [F.col("doc_id"), F.col("citation_key"), F.col("urn")], "chunk_id")
 
 
 def _dictionary(words: DataFrame, text: str, key: str, name: str, id_name: str) -> tuple[DataFrame, DataFrame]:
@@ -85,7 +80,7 @@ def _dictionary(words: DataFrame, text: str, key: str, name: str, id_name: str)
     met = words.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text"), F.col(key).alias("key_text"), "lang").agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "seq")).alias("first"))
     keyed = with_keys(met).persist(StorageLevel.MEMORY_AND_DISK)
     entries = keyed.groupBy("_text", "key", "loose", "lang").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    numbered = dense_ids(entries, [F.col("first"), F.col("key"), F.col("lang")], F.col("first.chunk_id"), id_name)
+    numbered = dense_ids(entries, [F.col("first"), F.col("key"), F.col("lang")], id_name)
     out = numbered.select(id_name, F.col("_text").alias(name), "key", "loose", "lang", "n")
     ids = keyed.join(numbered.select(id_name, "_text", "key", "loose", "lang"), ["_text", "key", "loose", "lang"]).select("_text", "key_text", "lang", id_name)
     return out, ids
@@ -107,7 +102,7 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
     forms, form_ids = _dictionary(words, "text", "key_text", "form", "form_id")
     lemmas, lemma_ids = _dictionary(words.drop("key_text").withColumn("key_text", F.col("lemma")), "lemma", "key_text", "lemma", "lemma_id")
     met = words.filter(F.col("feat").isNotNull()).groupBy(F.col("feat.upos").alias("upos"), F.col("feat.feats").alias("feats")).agg(F.min(F.struct("chunk_id", "seq")).alias("first"))
-    feats = dense_ids(met, [F.col("first"), F.col("upos"), F.col("feats")], F.col("first.chunk_id"), "feat_id").select("feat_id", "upos", "feats")
+    feats = dense_ids(met, [F.col("first"), F.col("upos"), F.col("feats")], "feat_id").select("feat_id", "upos", "feats")
 
     staging = words.join(form_ids.withColumnRenamed("_text", "text"), ["text", "key_text", "lang"])
     staging = staging.join(lemma_ids.select(F.col("_text").alias("lemma"), "lang", "lemma_id"), ["lemma", "lang"], "left")

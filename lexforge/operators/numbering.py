@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Ranges that rows are numbered in; their bounds and counts are all that reaches the driver.
+#: Rows are numbered in this many ranges of the order, whose bounds come from about 16 times as many keys.
 RANGES = 64
 
 
-def dense_ids(df: DataFrame, order: list[Column], at: Column, name: str, first: int = 1) -> DataFrame:
+def dense_ids(df: DataFrame, order: list[Column], name: str, first: int = 1) -> DataFrame:
     """``df`` with ids from ``first`` on, without gaps, in ``order``.
 
-    ``at`` is a number that never falls along the order: its quantiles cut the rows into ranges that are numbered on
-    their own.  The ids are a function of the rows, not of their partitions; rows that the order leaves equal get theirs
-    in any sequence.
+    Keys whose hashes fall into a share of all cut the order into ranges; each range is numbered on its own and begins
+    where the counts of those before it end.  Bounds and counts are all that reaches the driver.  The ids are a function
+    of the rows, not of their partitions; rows that the order leaves equal get theirs in any sequence.
     """
-    rows = df.withColumn("_at", at.cast("double"))
-    bounds = sorted(set(rows.approxQuantile("_at", [k / RANGES for k in range(1, RANGES)], 0.001)))
-    where = F.lit(0)
-    for b in bounds:
-        where = where + (F.col("_at") > b).cast("int")
-    rows = rows.withColumn("_range", where)
+    rows = df.withColumn("_key", F.struct(*[c.alias(f"k{k}") for k, c in enumerate(order)]))
+    step = max(1, rows.count() // (16 * RANGES))
+    some = rows.filter(F.pmod(F.xxhash64("_key"), F.lit(step)) == 0).select("_key").distinct().orderBy("_key")
+    keys = [r[0] for r in some.select(F.to_json("_key", {"ignoreNullFields": "false"})).collect()]
+    cuts = sorted({len(keys) * k // RANGES for k in range(1, RANGES)}) if keys else []
+    bounds = F.from_json(F.lit("[" + ",".join(keys[c] for c in cuts) + "]"), T.ArrayType(rows.schema["_key"].dataType))
+    rows = rows.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col("_key"))))
     counts = {r["_range"]: r["n"] for r in rows.groupBy("_range").agg(F.count("*").alias("n")).collect()}
-    before, base = first - 1, {}
+    before, base = first - 1, {0: first - 1}
     for k in sorted(counts):
         base[k], before = before, before + counts[k]
-    offsets = F.create_map(*[F.lit(x) for pair in base.items() for x in pair]) if base else F.create_map(F.lit(0), F.lit(0))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return rows.withColumn(name, (F.element_at(offsets, F.col("_range")) + place).cast("long")).drop("_at", "_range")
+    offsets = F.create_map(*[F.lit(x) for pair in base.items() for x in pair])
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    return rows.withColumn(name, (F.element_at(offsets, F.col("_range")) + place).cast("long")).drop("_key", "_range")

@@ -89,10 +89,7 @@ def tokenize(spark: SparkSession, store: Store, model: Callable[[], Analyzer], v
     counts = {"generated": 0, "skipped": total.get(True, 0), "failed": 0, "deferred": 0, "pruned": 0}
     left, k = total.get(False, 0), 0
     order = [F.col("version_path"), F.col("ord"), F.col("chunk_name")]
-    ranked = within_budget(planned, order, batch, None).filter("not up_to_date")
-    from pyspark.sql import Window
-
-    ranked = ranked.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / batch))
+    ranked = within_budget(planned, order, batch, None).filter("status = 'pending'").persist()
     while left > 0:
         if deadline is not None and time.monotonic() >= deadline:
             counts["deferred"] = left
@@ -110,6 +107,7 @@ def tokenize(spark: SparkSession, store: Store, model: Callable[[], Analyzer], v
         counts["generated"] += n["n"] - n["bad"]
         counts["failed"] += n["bad"]
         left, k = left - n["n"], k + 1
+    ranked.unpersist()
     planned.unpersist()
     if prune:
         counts["pruned"] = prune_stale(store)

@@ -17,11 +17,12 @@ from lexforge.functions.names import language_sample, natural_key, occurrence, p
 from lexforge.functions.segments import segments
 from lexforge.operators import incremental, search
 from lexforge.operators.index import Index, accepted_chunks, build_index, citation_order, number_chunks, read_tables, write_tables
+from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import explode_tokens, finalize, first_word, indexed_lemma, key_text, shift_segments, token_list, with_occurrence, with_urn, words_only
 from lexforge.plans.tokenize import tokenize_native
-from lexforge.sources.sidecars import chunk_listing, parse_metadata
+from lexforge.sources.sidecars import chunk_listing, export_tree, pack_sidecars, parse_metadata, read_sidecar_names, read_sidecars, read_versions, version_files
 from lexforge.sources.storage import shared_path
-from lexforge.sources.tei import has_element, read_chunk
+from lexforge.sources.tei import has_element, read_chunk, scan_sources
 
 LANGS = ("en", "fr", "de")
 VERSIONS = {"spacy": "3.8", "stanza": "1.9", "la_core_web_lg": "3.8", "grc_dep_web_lg": "3.8"}
@@ -295,14 +296,14 @@ _REFS = ("1.2", "1.10", "1.a", "pref.1", "10", "9", "2", "1", "1.2.3", "a", "1.2
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("."), "source", F.lit("."), (F.col("doc_id") % 97).cast("string")).alias("ref"))
     rows = spark.createDataFrame([(r,) for r in _REFS], "ref string").unionByName(docs)
-    return _longs(rows.select("ref", F.row_number().over(Window.orderBy(natural_key(F.col("ref")))).alias("place")))
+    return dense_ids(rows, [natural_key(F.col("ref"))], "place")
 
 
 @query("SELECT path, row_number() OVER (ORDER BY string_split(path, '/')) AS place FROM (SELECT DISTINCT lang || '/' || source || '/v' || (doc_id % 12) AS path FROM documents UNION SELECT * FROM (VALUES ('a/x'), ('a-b/x'), ('a/b/c'), ('a')) v(path))")
 def path_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.concat("lang", F.lit("/"), "source", F.lit("/v"), (F.col("doc_id") % 12).cast("string")).alias("path"))
     rows = docs.unionByName(spark.createDataFrame([("a/x",), ("a-b/x",), ("a/b/c",), ("a",)], "path string")).distinct()
-    return _longs(rows.select("path", F.row_number().over(Window.orderBy(path_key(F.col("path")))).alias("place")))
+    return dense_ids(rows, [path_key(F.col("path"))], "place")
 
 
 @query("SELECT doc_id, CASE WHEN length(text) <= 3000 THEN text ELSE substring(text, 1, 1000) || ' ' || substring(text, (length(text) - 1000) // 2 + 1, 1000) || ' ' || substring(text, length(text) - 999, 1000) END AS sample FROM documents")
@@ -364,6 +365,49 @@ def multi_root_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(table(spark, sf_dir, "benchmark").select(F.lit(1).alias("root"), F.col("item_id").alias("id"), "text"))
 
 
+_trees: dict[tuple[int, str], str] = {}
+
+
+def tree(spark: SparkSession, sf_dir: str) -> str:
+    """``conversations`` as a tree of files: sidecars with index and metadata, a deeper scheme, and sources; made once in a session."""
+    key = id(spark), sf_dir
+    if key not in _trees:
+        root = shared_path(spark, "tree")
+        rows = table(spark, sf_dir, "conversations")
+        version = F.concat(F.lit("testLit/c"), F.col("conv_id").cast("string"), F.lit("/w/v1"))
+        urn = F.concat(F.lit("urn:cts:testLit:c"), F.col("conv_id").cast("string"), F.lit(".w.v1"))
+        chunks = rows.select(version.alias("version_path"), F.col("turn").alias("ord"), F.concat(F.col("turn").cast("string"), F.lit(".xml")).alias("chunk_name"), F.concat(urn, F.lit(":"), F.col("turn").cast("string")).alias("urn"), F.col("role").alias("lang"), F.col("text").alias("primary_text"))
+        works = rows.select(version.alias("version_path"), urn.alias("base_urn"), F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("author"), F.lit("talk").alias("source_repo")).distinct()
+        packed = pack_sidecars(tokenize_native(chunks, ["version_path", "chunk_name", "lang"]), level=3)
+        deeper = packed.filter("sidecar = '0.tokens.json.zst'").withColumn("version_path", F.concat("version_path", F.lit("/line")))
+        export_tree(packed.unionByName(deeper).unionByName(version_files(works, chunks)), f"{root}/tokens")
+        xml = works.select(F.concat(F.lit("data/"), "version_path").alias("version_path"), F.explode(F.array(F.lit("text.xml"), F.lit("__cts__.xml"))).alias("sidecar"), F.lit("<TEI/>").cast("binary").alias("payload"))
+        export_tree(xml, f"{root}/sources")
+        _trees[key] = root
+    return _trees[key]
+
+
+@query("SELECT 'testLit/c' || conv_id || '/w/v1' AS version_path, turn || '.tokens.json.zst' AS chunk_name, 'urn:cts:testLit:c' || conv_id || '.w.v1:' || turn AS urn, role AS lang, turn AS ord, 'urn:cts:testLit:c' || conv_id || '.w.v1' AS meta_base_urn, len(regexp_extract_all(text, '" + _RX + "', 1)) AS n_tokens FROM conversations")
+def scan_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_sidecars(spark, [f"{tree(spark, sf_dir)}/tokens"])
+    return _longs(rows.select("version_path", "chunk_name", "urn", "lang", "ord", "meta_base_urn", F.size("tokens").alias("n_tokens")))
+
+
+@query("SELECT DISTINCT 0 AS root, 'testLit/c' || conv_id || '/w/v1' AS version_path FROM conversations")
+def version_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_versions(spark, [f"{tree(spark, sf_dir)}/tokens"])
+
+
+@query("SELECT 'testLit/c' || conv_id || '/w/v1' AS version_path, turn || '.tokens.json.zst' AS sidecar FROM conversations")
+def sidecar_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_sidecar_names(spark, [f"{tree(spark, sf_dir)}/tokens"]).select("version_path", "sidecar")
+
+
+@query("SELECT DISTINCT 'data/testLit/c' || conv_id || '/w/v1/text.xml' AS rel_path FROM conversations", name="scan_sources")
+def scanned_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_sources(spark, f"{tree(spark, sf_dir)}/sources").select("rel_path")
+
+
 # ---- chunks and documents
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -119,5 +118,10 @@ def read_corpora(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CORPUS).json(path, multiLine=True)
 
 
-def index_json(files: list[str]) -> str:
-    return json.dumps({"chunks": [{"file": f} for f in files]}, ensure_ascii=False)
+def version_files(works: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Rows (version_path, sidecar, payload): the index.json and metadata.json that go beside sidecars."""
+    files = F.transform(F.array_sort(F.collect_list(F.struct("ord", "chunk_name"))), lambda c: F.struct(c["chunk_name"].alias("file")))
+    index = chunks.groupBy("version_path").agg(files.alias("chunks")).select("version_path", F.lit("index.json").alias("sidecar"), F.to_json(F.struct("chunks")).alias("json"))
+    document = F.struct("base_urn", "title", "author", "source_repo")
+    meta = works.select("version_path", F.lit("metadata.json").alias("sidecar"), F.to_json(F.struct(document.alias("document"))).alias("json"))
+    return index.unionByName(meta).select("version_path", "sidecar", F.col("json").cast("binary").alias("payload"))
