@@ -232,10 +232,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     apart = met.filter("size > 2 and rep != pivot").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     apart = staged(apart, "apart")
-    mixed = apart.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")).repartition(n, "key", "blocks")
-    rows = apart.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    # the largest component of a bucket needs no look at itself: its rows meet those of the rest, and the rest meet all
+    by_comp = apart.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("comps"))
+    mixed = by_comp.filter("comps > 1").select("key", F.col("most.comp").alias("main"), F.ceil(F.col("most.n") / BLOCK).cast("int").alias("a"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("b")).repartition(n, "key", "main")
+    rows = apart.join(mixed, "key").withColumn("inner", F.col("comp") == F.col("main"))
+    rows = rows.withColumn("block", F.when(F.col("inner"), F.pmod(F.xxhash64("rep"), "a")).otherwise(F.col("a") + F.pmod(F.xxhash64("rep"), "b")).cast("int"))
     rows = rows.join(reps.select("rep", "sketch"), "rep")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    other = F.explode(F.sequence(F.when(F.col("inner"), F.col("a")).otherwise(0), F.col("a") + F.col("b") - 1)).alias("other")
     cells = rows.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "rep", "comp", "sketch")
     columns = "key bigint, i int, j int, block int, band int, rep bigint, comp bigint, sketch array<bigint>"
     in_order = lambda df: df.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
