@@ -17,7 +17,7 @@ from lexforge.llm.texts import map_texts, strings
 class Codec:
     """Encodes and decodes whole texts; words that were met are kept, ``limit`` at most."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 300_000):
         self.coder, self.splitter, self.limit = PrefixCoder(path), WordSplitter(path), limit
         if not self.splitter.known or self.splitter.spec.get("decoder") is not None:
             raise ValueError("this vocabulary needs another normaliser, pre-tokenizer or decoder")
