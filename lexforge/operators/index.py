@@ -57,7 +57,7 @@ def accepted_chunks(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS)
     """
     rows = sidecars.withColumn("lang", canonical_lang(F.col("lang"))).withColumn("chunk_base", urn_base(F.col("urn"))).withColumn("ref", urn_ref(F.col("urn")))
     wanted = F.col("lang").isin(*langs)
-    first = rows.filter(wanted).groupBy("version").agg(F.min_by("chunk_base", "citation_key").alias("first_base"))
+    first = rows.filter(wanted).groupBy("version").agg(F.min_by("chunk_base", "citation_key").alias("first_base")).repartition("version", "first_base")  # so that the join can split a large version
     rows = rows.join(first, "version", "left").withColumn("base_urn", F.coalesce(F.nullif("meta_base_urn", F.lit("")), "first_base")).drop("first_base")
     return rows.withColumn("accepted", wanted & F.coalesce(F.col("chunk_base") == F.col("base_urn"), F.lit(False)))
 
@@ -72,6 +72,18 @@ def number_chunks(accepted: DataFrame) -> DataFrame:
     return dense_ids(accepted.join(versions, "version"), [F.col("doc_id"), F.col("citation_key"), F.col("urn")], "chunk_id")
 
 
+def accept_and_number(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Accepted chunks with ids and tokens, the same without tokens, and all chunks with ``accepted``.
+
+    Chunks are judged and numbered without their tokens, which then join once.
+    """
+    rows = sidecars.withColumn("version", F.concat_ws("\x1f", F.col("root").cast("string"), "version_path"))
+    judged = accepted_chunks(rows.drop("tokens"), langs).persist(StorageLevel.MEMORY_AND_DISK)
+    numbered = number_chunks(judged.filter("accepted")).persist(StorageLevel.MEMORY_AND_DISK)
+    same = ["version", "citation_key", "urn"]
+    return numbered.join(rows.select(*same, "tokens"), same), numbered, judged
+
+
 def _dictionary(words: DataFrame, text: str, key: str, name: str, id_name: str) -> tuple[DataFrame, DataFrame]:
     """A dictionary (id, name, key, loose, lang, n) by first occurrence, and (text, key text, lang) -> id.
 
@@ -92,10 +104,8 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
     Rows: root, version_path, citation_key, urn, lang, tokens (with words, identifier, urn), meta_base_urn, title, author,
     source_repo.  ``version`` (root and path) is derived.  Ids depend on the rows' order alone.
     """
-    rows = sidecars.withColumn("version", F.concat_ws("\x1f", F.col("root").cast("string"), "version_path"))
-    judged = accepted_chunks(rows, langs)
-    numbered = number_chunks(judged.filter("accepted")).persist(StorageLevel.MEMORY_AND_DISK)
-    tokens = explode_tokens(numbered.select("doc_id", "chunk_id", "lang", "tokens"))
+    chunks, numbered, judged = accept_and_number(sidecars, langs)
+    tokens = explode_tokens(chunks.select("doc_id", "chunk_id", "lang", "tokens"))
     words = words_only(tokens)
     word = F.get("words", F.lit(0))
     words = words.select("doc_id", "chunk_id", "seq", "lang", "text", key_text().alias("key_text"), occurrence(F.col("identifier")).alias("occ"), indexed_lemma(word["lemma"]).alias("lemma"), F.when((F.coalesce(word["upos"], F.lit("")) != "") | (F.coalesce(word["feats"], F.lit("")) != ""), F.struct(word["upos"].alias("upos"), word["feats"].alias("feats"))).alias("feat")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,7 +115,9 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
     feats = dense_ids(met, [F.col("first"), F.col("upos"), F.col("feats")], "feat_id").select("feat_id", "upos", "feats")
 
     staging = words.join(form_ids.withColumnRenamed("_text", "text"), ["text", "key_text", "lang"])
-    staging = staging.join(lemma_ids.select(F.col("_text").alias("lemma"), "lang", "lemma_id"), ["lemma", "lang"], "left")
+    # words without a lemma must not meet in one task
+    staging = staging.withColumn("_lemma", F.coalesce("lemma", F.concat(F.lit("\0"), F.col("chunk_id").cast("string"))))
+    staging = staging.join(lemma_ids.select(F.col("_text").alias("_lemma"), "lang", "lemma_id"), ["_lemma", "lang"], "left")
     staging = staging.join(feats.withColumnsRenamed({"upos": "_upos", "feats": "_feats"}), F.col("feat").isNotNull() & F.col("feat.upos").eqNullSafe(F.col("_upos")) & F.col("feat.feats").eqNullSafe(F.col("_feats")), "left")
     staging = staging.select("doc_id", "chunk_id", "seq", "form_id", "occ", "lemma_id", "feat_id").persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -116,7 +128,7 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
     documents = per_doc.join(staging.groupBy("doc_id").agg(F.count("*").alias("n_words")), "doc_id", "left").fillna(0, ["n_words"])
     with_lemma = staging.filter(F.col("lemma_id").isNotNull())
     tables = {
-        "documents": documents, "chunks": numbered.select("chunk_id", "doc_id", "ref"), "chunk_context": context_windows(numbered, ["chunk_id"], width=context_part), "forms": forms, "lemmas": lemmas, "feats": feats,
+        "documents": documents, "chunks": numbered.select("chunk_id", "doc_id", "ref"), "chunk_context": context_windows(chunks, ["chunk_id"], width=context_part), "forms": forms, "lemmas": lemmas, "feats": feats,
         "form_postings": staging.select("form_id", "chunk_id", "seq", "occ", "lemma_id", "feat_id"), "lemma_postings": with_lemma.select("lemma_id", "chunk_id", "seq", "form_id", "occ", "feat_id"),
         "form_doc_counts": staging.groupBy("form_id", "doc_id").agg(F.count("*").alias("n")), "lemma_doc_counts": with_lemma.groupBy("lemma_id", "doc_id").agg(F.count("*").alias("n")),
     }

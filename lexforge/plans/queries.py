@@ -16,7 +16,7 @@ from lexforge.functions.keys import is_apostrophe, is_punctuation, with_keys
 from lexforge.functions.names import language_sample, natural_key, occurrence, path_key, pipeline_version, sidecar_name, urn_base, urn_is_valid, urn_ref, work_path
 from lexforge.functions.segments import segments
 from lexforge.operators import incremental, search
-from lexforge.operators.index import Index, accepted_chunks, build_index, citation_order, number_chunks, read_tables, write_tables
+from lexforge.operators.index import Index, accept_and_number, accepted_chunks, build_index, citation_order, read_tables, write_tables
 from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import explode_tokens, finalize, first_word, indexed_lemma, key_text, shift_segments, token_list, with_occurrence, with_urn, words_only
 from lexforge.plans.tokenize import tokenize_native
@@ -29,8 +29,9 @@ VERSIONS = {"spacy": "3.8", "stanza": "1.9", "la_core_web_lg": "3.8", "grc_dep_w
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
-_built: dict[tuple[int, str], Index] = {}
-_stored: dict[tuple[int, str], Index] = {}
+_corpora: dict[tuple[str, str], str] = {}
+_built: dict[tuple[str, str], Index] = {}
+_stored: dict[tuple[str, str], Index] = {}
 
 
 def query(sql: str | None, name: str | None = None) -> Callable[[Query], Query]:
@@ -50,7 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sidecar rows of ``documents``."""
+    """Sidecar rows of ``documents``, written once in a session as a run would."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _corpora:
+        _corpora[key] = shared_path(spark, "sidecars")
+        _tokenized(spark, sf_dir).write.parquet(_corpora[key])
+    return spark.read.parquet(_corpora[key])
+
+
+def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = F.concat(F.lit("testLit/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit("/v1"))
     urn = F.concat(F.lit("urn:cts:testLit:"), F.col("lang"), F.lit("."), F.col("source"), F.lit(".v1:"), F.col("doc_id").cast("string"))
@@ -64,7 +73,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def built(spark: SparkSession, sf_dir: str) -> Index:
     """The index of ``documents``, made once in a session."""
-    key = id(spark), sf_dir
+    key = spark.sparkContext.applicationId, sf_dir
     if key not in _built:
         _built[key] = build_index(corpus(spark, sf_dir), LANGS)
     return _built[key]
@@ -72,7 +81,7 @@ def built(spark: SparkSession, sf_dir: str) -> Index:
 
 def stored(spark: SparkSession, sf_dir: str) -> Index:
     """The same as written tables, clustered by what they are looked up by."""
-    key = id(spark), sf_dir
+    key = spark.sparkContext.applicationId, sf_dir
     if key not in _stored:
         path = shared_path(spark, "index")
         write_tables(built(spark, sf_dir), path)
@@ -171,13 +180,13 @@ def elision_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_sql("SELECT doc AS doc_id, chunk_id, seq, text FROM tok WHERE NOT punct"))
 def word_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = number_chunks(accepted_chunks(corpus(spark, sf_dir).withColumn("version", F.col("version_path")), LANGS).filter("accepted"))
+    rows, _, _ = accept_and_number(corpus(spark, sf_dir), LANGS)
     return _longs(words_only(explode_tokens(rows.select("doc_id", "chunk_id", "tokens"))).select("doc_id", "chunk_id", "seq", "text"))
 
 
 @query(_sql("SELECT chunk_id, seq, lemma, upos, feats FROM kt"), name="first_word")
 def first_word_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = number_chunks(accepted_chunks(corpus(spark, sf_dir).withColumn("version", F.col("version_path")), LANGS).filter("accepted"))
+    rows, _, _ = accept_and_number(corpus(spark, sf_dir), LANGS)
     return _longs(first_word(words_only(explode_tokens(rows.select("chunk_id", "tokens")))).select("chunk_id", "seq", "lemma", "upos", "feats"))
 
 
@@ -247,7 +256,7 @@ def segment_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- names, orders and samples
 
-_URNS = ("urn:cts:greekLit:tlg0012.tlg001.perseus-grc2:1.10", "urn:cts:latinLit:phi0959.phi002", "urn:cts:x:a.b.c.d:1", "phi0474.phi042", "", "urn:cts:latinLit:phi1", "urn:cts:greekLit", "a:b")
+_URNS = ("urn:cts:greekLit:tlg0012.tlg001.alpha-grc2:1.10", "urn:cts:latinLit:phi0959.phi002", "urn:cts:x:a.b.c.d:1", "phi0474.phi042", "", "urn:cts:latinLit:phi1", "urn:cts:greekLit", "a:b")
 _URN_ROWS = ", ".join(f"('{u}')" for u in _URNS)
 _DOC_URNS = "SELECT 'urn:cts:testLit:' || lang || '.' || source || '.v1:' || doc_id AS urn FROM documents"
 
@@ -365,12 +374,12 @@ def multi_root_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(table(spark, sf_dir, "benchmark").select(F.lit(1).alias("root"), F.col("item_id").alias("id"), "text"))
 
 
-_trees: dict[tuple[int, str], str] = {}
+_trees: dict[tuple[str, str], str] = {}
 
 
 def tree(spark: SparkSession, sf_dir: str) -> str:
     """``conversations`` as a tree of files: sidecars with index and metadata, a deeper scheme, and sources; made once in a session."""
-    key = id(spark), sf_dir
+    key = spark.sparkContext.applicationId, sf_dir
     if key not in _trees:
         root = shared_path(spark, "tree")
         rows = table(spark, sf_dir, "conversations")

@@ -18,7 +18,7 @@ def test_urns(spark):
 
 
 def test_work_paths_drop_what_is_missing(spark):
-    assert values(spark, work_path, ["urn:cts:latinLit:phi0959.phi002.perseus-lat2", "urn:cts:l:a.b", "urn:cts:l:a.b.c.d"]) == ["latinLit/phi0959/phi002/perseus-lat2", "l/a/b", "l/a/b/c"]
+    assert values(spark, work_path, ["urn:cts:latinLit:phi0959.phi002.alpha-lat2", "urn:cts:l:a.b", "urn:cts:l:a.b.c.d"]) == ["latinLit/phi0959/phi002/alpha-lat2", "l/a/b", "l/a/b/c"]
 
 
 def test_sidecar_names(spark):
