@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from lexforge.functions.names import natural_key, occurrence, path_key, urn_base
 from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import context_windows, explode_tokens, indexed_lemma, key_text, words_only
 from lexforge.schema import CONTEXT_PART, DEFAULT_LANGS
+from lexforge.sources.storage import kept
 
 #: Codes that stand for the same language.
 ALIASES = {"lat": "la"}
@@ -78,8 +78,8 @@ def accept_and_number(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANG
     Chunks are judged and numbered without their tokens, which then join once.
     """
     rows = sidecars.withColumn("version", F.concat_ws("\x1f", F.col("root").cast("string"), "version_path"))
-    judged = accepted_chunks(rows.drop("tokens"), langs).persist(StorageLevel.MEMORY_AND_DISK)
-    numbered = number_chunks(judged.filter("accepted")).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = kept(accepted_chunks(rows.drop("tokens"), langs), "chunks")
+    numbered = kept(number_chunks(judged.filter("accepted")), "numbered")
     same = ["version", "citation_key", "urn"]
     return numbered.join(rows.select(*same, "tokens"), same), numbered, judged
 
@@ -90,9 +90,9 @@ def _dictionary(words: DataFrame, text: str, key: str, name: str, id_name: str)
     Keys are made once for each distinct string, after the rows are counted.
     """
     met = words.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text"), F.col(key).alias("key_text"), "lang").agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "seq")).alias("first"))
-    keyed = with_keys(met).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = kept(with_keys(met), "keys")
     entries = keyed.groupBy("_text", "key", "loose", "lang").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    numbered = dense_ids(entries, [F.col("first"), F.col("key"), F.col("lang")], id_name)
+    numbered = kept(dense_ids(kept(entries, "entries"), [F.col("first"), F.col("key"), F.col("lang")], id_name), name)
     out = numbered.select(id_name, F.col("_text").alias(name), "key", "loose", "lang", "n")
     ids = keyed.join(numbered.select(id_name, "_text", "key", "loose", "lang"), ["_text", "key", "loose", "lang"]).select("_text", "key_text", "lang", id_name)
     return out, ids
@@ -108,18 +108,18 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
     tokens = explode_tokens(chunks.select("doc_id", "chunk_id", "lang", "tokens"))
     words = words_only(tokens)
     word = F.get("words", F.lit(0))
-    words = words.select("doc_id", "chunk_id", "seq", "lang", "text", key_text().alias("key_text"), occurrence(F.col("identifier")).alias("occ"), indexed_lemma(word["lemma"]).alias("lemma"), F.when((F.coalesce(word["upos"], F.lit("")) != "") | (F.coalesce(word["feats"], F.lit("")) != ""), F.struct(word["upos"].alias("upos"), word["feats"].alias("feats"))).alias("feat")).persist(StorageLevel.MEMORY_AND_DISK)
+    words = kept(words.select("doc_id", "chunk_id", "seq", "lang", "text", key_text().alias("key_text"), occurrence(F.col("identifier")).alias("occ"), indexed_lemma(word["lemma"]).alias("lemma"), F.when((F.coalesce(word["upos"], F.lit("")) != "") | (F.coalesce(word["feats"], F.lit("")) != ""), F.struct(word["upos"].alias("upos"), word["feats"].alias("feats"))).alias("feat")), "words")
     forms, form_ids = _dictionary(words, "text", "key_text", "form", "form_id")
     lemmas, lemma_ids = _dictionary(words.drop("key_text").withColumn("key_text", F.col("lemma")), "lemma", "key_text", "lemma", "lemma_id")
     met = words.filter(F.col("feat").isNotNull()).groupBy(F.col("feat.upos").alias("upos"), F.col("feat.feats").alias("feats")).agg(F.min(F.struct("chunk_id", "seq")).alias("first"))
-    feats = dense_ids(met, [F.col("first"), F.col("upos"), F.col("feats")], "feat_id").select("feat_id", "upos", "feats")
+    feats = kept(dense_ids(kept(met, "met"), [F.col("first"), F.col("upos"), F.col("feats")], "feat_id").select("feat_id", "upos", "feats"), "feats")
 
     staging = words.join(form_ids.withColumnRenamed("_text", "text"), ["text", "key_text", "lang"])
     # words without a lemma must not meet in one task
     staging = staging.withColumn("_lemma", F.coalesce("lemma", F.concat(F.lit("\0"), F.col("chunk_id").cast("string"))))
     staging = staging.join(lemma_ids.select(F.col("_text").alias("_lemma"), "lang", "lemma_id"), ["_lemma", "lang"], "left")
     staging = staging.join(feats.withColumnsRenamed({"upos": "_upos", "feats": "_feats"}), F.col("feat").isNotNull() & F.col("feat.upos").eqNullSafe(F.col("_upos")) & F.col("feat.feats").eqNullSafe(F.col("_feats")), "left")
-    staging = staging.select("doc_id", "chunk_id", "seq", "form_id", "occ", "lemma_id", "feat_id").persist(StorageLevel.MEMORY_AND_DISK)
+    staging = kept(staging.select("doc_id", "chunk_id", "seq", "form_id", "occ", "lemma_id", "feat_id"), "staging")
 
     per_doc = numbered.groupBy("doc_id").agg(
         F.first("base_urn").alias("base_urn"), F.min_by("lang", "chunk_id").alias("lang"), F.first("title").alias("title"), F.first("author").alias("author"),

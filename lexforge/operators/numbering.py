@@ -23,7 +23,10 @@ def dense_ids(df: DataFrame, order: list[Column], name: str, first: int = 1) ->
     keys = [r[0] for r in some.select(F.to_json("_key", {"ignoreNullFields": "false"})).collect()]
     cuts = sorted({len(keys) * k // RANGES for k in range(1, RANGES)}) if keys else []
     bounds = F.from_json(F.lit("[" + ",".join(keys[c] for c in cuts) + "]"), T.ArrayType(rows.schema["_key"].dataType))
-    rows = rows.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col("_key"))))
+    steps = [F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)] or [F.lit(1)]
+    # the number of bounds below a key, by halving
+    below = F.aggregate(F.array(*steps), F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < F.col("_key"), at + step).otherwise(at))
+    rows = rows.withColumn("_range", below)
     counts = {r["_range"]: r["n"] for r in rows.groupBy("_range").agg(F.count("*").alias("n")).collect()}
     before, base = first - 1, {0: first - 1}
     for k in sorted(counts):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -59,3 +59,10 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
     (a, fs), (b, _) = _fs(spark, old), _fs(spark, new)
     if not fs.rename(a, b):
         raise OSError(f"{new} could not be written")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a shared place and read back: made once, with a short plan, safe from lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
