@@ -4,6 +4,10 @@ Every character stays in its class (digit, vowel, consonant, case, script), and
 pattern picks the replacement: the same entity always gets the same surrogate, different ones get different ones.  Given
 names are permuted within the list of their script and gender.  Over the whole corpus, surrogates that coincide with an
 entity that really occurs, or with each other, are drawn again until all are distinct.
+
+Where few surrogates of a pattern are free, drawing again would not end.  Names and e-mails then get invented words that
+grow with every attempt, and IP addresses all their octets; numbers of one pattern that fill more than a quarter of it are
+permuted without fixed points instead, so that they stay distinct and none stays itself, but some may occur.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ NAMES = {
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "αειουωη", "βγδζθκλμνξπρστφχψ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ")
 _CLASS = {c: k for k, cs in enumerate(CLASSES) for c in cs}
 _WHO = {n: (k, i) for k, ns in NAMES.items() for i, n in enumerate(ns)}
+#: Attempts within the pattern of an entity, after which names, e-mails and IP addresses get a wider space.
+WIDE = 16
 KINDS = ("email", "phone", "card", "ip", "ssn", "name")
 _NUMBER = re.compile(
     r"(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d))"
@@ -50,8 +56,8 @@ _CAPITAL = re.compile(r"[A-ZΆ-ΩА-Я][^\W\d_]+")
 _FAMILY = re.compile(r" [^\W\d_a-zß-öø-ÿα-ώа-я][^\W\d_]+")
 
 
-def _draw(value: int, size: int, key: bytes, tweak: bytes) -> int:
-    """A keyed permutation of 0..size-1 (Feistel network on two mixed-radix halves, walked along its cycle)."""
+def _draw(value: int, size: int, key: bytes, tweak: bytes, back: bool = False) -> int:
+    """A keyed permutation of 0..size-1 (Feistel network on two mixed-radix halves, walked along its cycle), or its inverse."""
     if size < 2:
         return value
     a = math.isqrt(size - 1) + 1
@@ -59,14 +65,28 @@ def _draw(value: int, size: int, key: bytes, tweak: bytes) -> int:
     f = lambda k, x: int.from_bytes(hashlib.blake2b(x.to_bytes(64, "little"), key=key, person=bytes([k]), salt=tweak[:16]).digest()[:32], "little")
     while True:
         left, right = divmod(value, b)
-        for k in range(4):
-            left = (left + f(2 * k, right)) % a
-            right = (right + f(2 * k + 1, left)) % b
+        for k in reversed(range(4)) if back else range(4):
+            if back:
+                right = (right - f(2 * k + 1, left)) % b
+                left = (left - f(2 * k, right)) % a
+            else:
+                left = (left + f(2 * k, right)) % a
+                right = (right + f(2 * k + 1, left)) % b
         value = left * b + right
         if value < size:
             return value
 
 
+def _moved(value: int, size: int, key: bytes, tweak: bytes) -> int:
+    """A keyed permutation of 0..size-1 without fixed points: one cycle through all values."""
+    return _draw((_draw(value, size, key, tweak) + 1) % size, size, key, tweak, back=True)
+
+
+def _foreign(text: str) -> bool:
+    """Whether most letters and digits have no class, so that drawing within classes would leave them as they are."""
+    return 2 * sum(c in _CLASS for c in text.lower()) < sum(c.isalnum() for c in text)
+
+
 class Surrogates:
     """Replacements under one secret key."""
 
@@ -84,22 +104,36 @@ class Surrogates:
             for i, k in part:
                 value = value * len(CLASSES[k]) + CLASSES[k].index(low[i])
                 size *= len(CLASSES[k])
-            value = _draw(value, size, self.key, tweak)
+            value = (_moved if attempt < 0 else _draw)(value, size, self.key, tweak)
             for i, k in reversed(part):
                 value, digit = divmod(value, len(CLASSES[k]))
                 c = CLASSES[k][digit]
                 out[i] = c.upper() if text[i] != low[i] else c
         return "".join(out)
 
+    def _word(self, text: str, attempt: int, vowels: str = CLASSES[1], consonants: str = CLASSES[2]) -> str:
+        """An invented word, longer with every attempt after WIDE."""
+        value, out = int.from_bytes(hashlib.blake2b(f"word|{attempt}|{text}".encode("utf-8", "surrogatepass"), key=self.key).digest(), "little"), ""
+        for _ in range(4 + max(0, attempt - WIDE)):
+            value, c = divmod(value, len(consonants))
+            value, v = divmod(value, len(vowels))
+            out += consonants[c] + vowels[v]
+        return out
+
     def of(self, kind: str, text: str, attempt: int = 0) -> str:
-        """The surrogate of an entity; further attempts give others."""
+        """The surrogate of an entity; further attempts give others.  Attempt -1, of numbers only: never itself, and distinct for all of one ``pattern``."""
         if kind == "email":
             head, _, top = text.rpartition(".")
+            if attempt >= WIDE or _foreign(head):
+                return f"{self._word(text, attempt)}@{self._word('@' + text, attempt)}.{top}"
             return f"{self._pattern(head, kind, attempt)}.{top}"
         if kind == "ip":
             octets = [int(x) for x in text.split(".")]
             free = [k for k, x in enumerate(octets) if 0 < x < 255]
             value = 0
+            if attempt < 0 or attempt >= WIDE or not free:
+                value = int.from_bytes(bytes(octets))
+                return ".".join(map(str, (_moved if attempt < 0 else _draw)(value, 1 << 32, self.key, hashlib.blake2b(f"ip|{attempt}".encode()).digest()).to_bytes(4)))
             for k in free:
                 value = value * 254 + octets[k] - 1
             value = _draw(value, 254 ** len(free), self.key, hashlib.blake2b(f"ip|{attempt}|{free}".encode()).digest())
@@ -118,10 +152,29 @@ class Surrogates:
             who, place = _WHO[given]
             # given names are few: the place moves within its list, and never stays
             turn = 1 + int.from_bytes(hashlib.blake2b(f"{who}|{attempt}".encode(), key=self.key).digest()[:8], "little") % (len(NAMES[who]) - 1)
-            return NAMES[who][(place + turn) % len(NAMES[who])] + space + self._pattern(family, kind, attempt)
+            new = NAMES[who][(place + turn) % len(NAMES[who])]
+            if attempt >= WIDE or _foreign(family):
+                at = {"latin": 1, "greek": 3, "cyrillic": 5}[who[0]]
+                return f"{new} {self._word(text, attempt, CLASSES[at], CLASSES[at + 1]).capitalize()}"
+            return new + space + self._pattern(family, kind, attempt)
         return self._pattern(text, kind, attempt)
 
 
+def pattern(kind: str, text: str) -> tuple[str | None, int]:
+    """The pattern that the surrogates of a number keep, and a quarter of the count of its numbers; (None, 0) for kinds whose space can grow."""
+    if kind == "ip":
+        return ("ip", 1 << 30) if text == ".".join(str(int(x)) for x in text.split(".")) else (None, 0)
+    if kind not in ("phone", "card", "ssn"):
+        return None, 0
+    fixed, end, mark = 0, len(text), ""
+    if kind == "phone" and (code := re.match(r"\+\d{1,3}(?=[ .(-])", text)):
+        fixed = code.end()
+    if kind == "card":
+        fixed, end, mark = 1, len(text) - 1, f"|{(int(text[-1]) - _check_digit(text[:-1])) % 10}"
+    body = text[fixed:end]
+    return text[:fixed] + re.sub("[0-9]", "0", body) + mark, min(1 << 62, 10 ** len(re.findall("[0-9]", body)) // 4)
+
+
 def _check_digit(text: str) -> int:
     digits = [int(c) for c in text if c.isdigit()][::-1]
     return -sum(d if k % 2 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10
@@ -191,7 +244,7 @@ def _clashes(drawn: DataFrame, known: DataFrame) -> DataFrame:
     first = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
     real = known.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real")).repartition(n, "kind", "surrogate")
     both = drawn.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
-    return both.filter(F.col("real") | (F.col("first.value") != F.col("value"))).select("kind", "value", "attempt")
+    return both.filter((F.col("real") & (F.col("attempt") >= 0)) | (F.col("first.value") != F.col("value"))).select("kind", "value", "attempt")
 
 
 def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,7 +259,8 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
         for batch in batches:
             found = {(k, t[a:b]) for t in strings(batch.column(1)) for a, b, k in entities(t)}
             rows = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.string()), pa.array([_first(key, k, v) for k, v in rows], pa.string())], names=["kind", "value", "surrogate"])
+            shapes = [pattern(k, v) for k, v in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.string()), pa.array([_first(key, k, v) for k, v in rows], pa.string()), pa.array([x[0] for x in shapes], pa.string()), pa.array([x[1] for x in shapes], pa.int64())], names=["kind", "value", "surrogate", "pattern", "most"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Surrogates(key)
@@ -214,7 +268,19 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
             rows = batch.to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.of(r["kind"], r["value"], r["attempt"] + 1) for r in rows], pa.string()), pa.array([r["attempt"] + 1 for r in rows], pa.int32())], names=["kind", "value", "surrogate", "attempt"])
 
-    drawn = staged(map_texts(df, scan, "kind string, value string, surrogate string", id_col, text_col).distinct().withColumn("attempt", F.lit(0)), "entities")
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Surrogates(key)
+        for batch in batches:
+            rows = batch.to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.of(r["kind"], r["value"], -1) for r in rows], pa.string()), pa.array([-1] * len(rows), pa.int32())], names=["kind", "value", "surrogate", "attempt"])
+
+    shaped = staged(map_texts(df, scan, "kind string, value string, surrogate string, pattern string, most bigint", id_col, text_col).distinct(), "entities")
+    drawn = shaped.select("kind", "value", "surrogate", F.lit(0).alias("attempt"))
+    full = staged(shaped.filter("pattern is not null").groupBy("kind", "pattern").agg(F.count("*").alias("n"), F.max("most").alias("most")).filter("n > most").select("kind", "pattern"), "full")
+    if not full.isEmpty():
+        no = shaped.join(full, ["kind", "pattern"], "left_anti").select("kind", "value", "surrogate", F.lit(0).alias("attempt"))
+        new = shaped.join(full, ["kind", "pattern"], "left_semi").select("kind", "value").mapInArrow(moved, "kind string, value string, surrogate string, attempt int")
+        drawn = staged(no.unionByName(new), "entities")
     known = drawn.select("kind", "value")
     while True:
         clash = staged(_clashes(drawn, known), "clashes")
@@ -223,7 +289,7 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
         new = clash.mapInArrow(again, "kind string, value string, surrogate string, attempt int")
         drawn = staged(drawn.join(clash.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(new), "entities")
         unstage(clash)
-    redrawn = drawn.filter("attempt > 0")
+    redrawn = drawn.filter("attempt <> 0")
     columns = "doc_id bigint, n_entities bigint, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", text string"
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # entities drawn again are few, but without a bound: they travel with the documents that hold them

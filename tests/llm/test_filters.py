@@ -13,7 +13,7 @@ from lexforge.llm.decontaminate import contamination
 from lexforge.llm.language_id import fold, identify, train
 from lexforge.llm.secrets import redact_secrets, scan_secrets
 from lexforge.llm.shards import permuted, shard_rows
-from lexforge.llm.surrogates import Surrogates, entities, replace_entities
+from lexforge.llm.surrogates import NAMES, Surrogates, entities, replace_entities
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -182,3 +182,34 @@ def test_surrogates_that_really_occur_are_drawn_again(spark):
     df = spark.createDataFrame([(k, f"here is {n} now") for k, n in enumerate(names)], "doc_id bigint, text string")
     got = [r["text"].split()[2] for r in replace_entities(df, b"k").collect()]
     assert len(set(got)) == len(names) and not set(got) & set(names)
+
+
+def test_redrawing_ends_where_no_surrogate_is_free(spark):
+    names = NAMES["latin", "f"] + NAMES["greek", "f"]
+    fixed = ["0.0.0.0", "255.255.255.0", "0.255.0.255", "漢字@例え.jp", "字漢@例え.jp", "Maria 漢字"]
+    phones = [f"+1 {k // 1000:02d} {k // 10 % 100:02d} {k % 10}7" for k in range(300)]
+    values = names + fixed + phones
+    df = spark.createDataFrame([(k, f"here is {v}; now") for k, v in enumerate(values)], "doc_id bigint, text string")
+    out = {r["doc_id"]: r for r in replace_entities(df, b"k").collect()}
+    got = [out[k]["text"].removeprefix("here is ").removesuffix("; now") for k in range(len(values))]
+    assert all(r["n_entities"] == 1 for r in out.values())
+    assert len(set(got)) == len(values) and not set(got) & set(values)
+    assert not any(c in "".join(got) for c in "漢字例え")
+
+
+def test_a_full_pattern_is_permuted_without_fixed_points(spark, monkeypatch):
+    from lexforge.llm import surrogates
+
+    for n in (2, 3, 10, 97):
+        got = [surrogates._moved(x, n, b"k", b"t" * 16) for x in range(n)]
+        assert sorted(got) == list(range(n)) and all(x != y for x, y in enumerate(got))
+    s = Surrogates(b"key")
+    phones = [f"+1 {k // 10000:02d} {k // 100 % 100:02d} {k % 100:02d}" for k in range(0, 1000000, 97)]
+    made = [s.of("phone", p, -1) for p in phones]
+    assert len(set(made)) == len(phones) and all(p != m and re.fullmatch(r"\+1 \d\d \d\d \d\d", m) for p, m in zip(phones, made, strict=True))
+    # with a pattern said to be full, numbers are moved in one step, and stay distinct
+    whole = surrogates.pattern
+    monkeypatch.setattr(surrogates, "pattern", lambda kind, text: (whole(kind, text)[0], 3))
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(phones[:50])], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in replace_entities(df, b"key").collect()}
+    assert [got[k] for k in range(50)] == made[:50]
