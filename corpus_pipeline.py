@@ -40,8 +40,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked unless they are widely copied examples."""
-    return redact_secrets(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, with secrets masked unless they are widely copied examples, and mixed strings where only one owner holds them."""
+    return redact_secrets(docs, owned=True).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

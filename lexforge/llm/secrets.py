@@ -119,16 +119,21 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", _named(F.concat("base", "owned"), NAMES).alias("spans"), "n_live", "n_copied")
 
 
-def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mask: str = "[secret]") -> DataFrame:
+def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mask: str = "[secret]", owned: bool = False) -> DataFrame:
     """``df`` with ``mask`` in place of base spans, other than those whose value is a widely copied example.
 
-    All rows and columns stay; spans that overlap become one mask; null and empty texts stay as they are.
+    Owners are counted over all rows and both kinds of spans, as in ``scan_secrets``.  With ``owned``, mixed strings that
+    a single owner holds are masked too.  All rows and columns stay; spans that overlap become one mask; null and empty texts stay as they are.
     """
     own = len(KINDS)
-    # only texts with a pattern travel to the join
-    any_of = F.coalesce(F.col(text_col).cast("string").rlike("|".join(f"(?:{_LONG_HEX if name == 'hex' else rx})" for name, rx, _, _ in KINDS)), F.lit(False))
-    found = staged(candidates(df.filter(any_of), id_col, text_col, owner_col), "candidates")
-    spans = classified(found).filter((F.col("kind") < own) & (F.col("verdict") != "copied")).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    # only texts with a pattern that may be masked travel to the join
+    patterns = [_LONG_HEX if name == "hex" else rx for name, rx, _, _ in KINDS] + [_MIXED] * owned
+    any_of = F.coalesce(F.col(text_col).cast("string").rlike("|".join(f"(?:{rx})" for rx in patterns)), F.lit(False))
+    found = staged(candidates(df, id_col, text_col, owner_col), "candidates")
+    gone = (F.col("kind") < own) & (F.col("verdict") != "copied")
+    if owned:
+        gone |= F.col("verdict") == "live"
+    spans = classified(found).filter(gone).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
     some = df.filter(any_of).join(spans, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_key")), "left")
     text = F.col(text_col)
 

@@ -213,3 +213,15 @@ def test_a_full_pattern_is_permuted_without_fixed_points(spark, monkeypatch):
     df = spark.createDataFrame([(k, p) for k, p in enumerate(phones[:50])], "doc_id bigint, text string")
     got = {r["doc_id"]: r["text"] for r in replace_entities(df, b"key").collect()}
     assert [got[k] for k in range(50)] == made[:50]
+
+
+def test_redaction_counts_owners_over_all_documents(spark):
+    import corpus_pipeline
+
+    example, own = "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8", "Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2"
+    rows = [(0, f"token={example} here", "s0")] + [(k, f"bare {example} here", f"s{k}") for k in range(1, 6)] + [(9, f"vendor {own} key", "s1")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = {r[0]: r[1] for r in rows}
+    assert {r["doc_id"]: r["text"] for r in redact_secrets(df).collect()} == want
+    got = corpus_pipeline.secret_scan(spark, df.withColumn("n_chars", F.lit(0).cast("long")), "").collect()
+    assert {r["doc_id"]: r["text"] for r in got} == want | {9: "vendor [secret] key"} and all(r["n_chars"] == len(r["text"]) for r in got)
