@@ -45,16 +45,17 @@ def fold(id_col: Column) -> Column:
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language, from openings of at most SAMPLE_DOCS different labelled texts outside fold 0.
 
-    The sample is those openings whose hashes come first; all rows are counted and considered alike.
+    The sample is those openings whose hashes come first among all different ones, however often each is repeated.
     """
     rows = df.filter((fold(F.col(id_col)) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = df.filter(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
     some = rows.select(F.col(lang_col).alias("lang"), F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("opening")).withColumn("at", F.xxhash64("opening"))
-    n = {r["lang"]: r["n"] for r in counts.collect()}  # one row for each language
-    if not n:
+    # hashes first, without copies: the openings themselves travel only up to the last hash that is needed
+    first = some.select("lang", "at").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("k") <= SAMPLE_DOCS)
+    upto = {r["lang"]: r["at"] for r in first.groupBy("lang").agg(F.max("at").alias("at")).collect()}  # one row for each language
+    if not upto:
         return {}
-    step = F.create_map(*[x for lang, c in n.items() for x in (F.lit(lang), F.lit(max(1, c // (16 * SAMPLE_DOCS))))])
-    some = some.filter(F.pmod("at", F.element_at(step, F.col("lang"))) == 0).dropDuplicates(["lang", "opening"])
+    last = F.create_map(*[x for lang, at in upto.items() for x in (F.lit(lang), F.lit(at))])
+    some = some.filter(F.col("at") <= F.element_at(last, F.col("lang"))).dropDuplicates(["lang", "opening"])
     order = Window.partitionBy("lang").orderBy("at", "opening")
     picked = some.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_DOCS).orderBy("lang", "k").collect()
     out: dict[str, bytes] = {}

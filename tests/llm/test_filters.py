@@ -225,3 +225,11 @@ def test_redaction_counts_owners_over_all_documents(spark):
     assert {r["doc_id"]: r["text"] for r in redact_secrets(df).collect()} == want
     got = corpus_pipeline.secret_scan(spark, df.withColumn("n_chars", F.lit(0).cast("long")), "").collect()
     assert {r["doc_id"]: r["text"] for r in got} == want | {9: "vendor [secret] key"} and all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+def test_training_keeps_openings_that_many_rows_share(spark):
+    opening = F.concat(F.lit("opening with letters "), F.translate((F.col("id") % 20).cast("string"), "0123456789", "abcdefghij"), F.lit(" end"))
+    df = spark.range(100_000).select(F.col("id").alias("doc_id"), opening.alias("text"), F.lit("en").alias("lang"))
+    df = df.unionByName(spark.createDataFrame([(k, f"kurzer Text {chr(97 + k)} hier", "de") for k in range(20)], df.schema))
+    got = train(df)
+    assert len(set(got["en"].split(b"\n")) - {b""}) == 20 and got["de"]
