@@ -24,6 +24,9 @@ from lexforge.llm.texts import map_texts, strings
 #: The bound of the training sample: documents for each language, and characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 400, 64 << 10
 SHORT_BYTES = 1024
+#: A margin is narrow under so many bytes and so large a share of the size under the next language, of which at most
+#: MARGIN_CAP bytes count: a dictionary saves no more on longer texts.  Calibrated on folds 3 and 4 of sf0.1 (see README).
+MARGIN_BYTES, MARGIN_SHARE, MARGIN_CAP = 2, 0.03, 4096
 _PAD = bytes(96)
 _BARE = {"write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
 _FAST = {"window_log": 18, "chain_log": 16, "hash_log": 17, "search_log": 4, "min_match": 4, "target_length": 16, "strategy": zstandard.STRATEGY_LAZY2, **_BARE}
@@ -82,8 +85,12 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float, int]:
         """Language, score, and how many bytes the next language needs more; ``und`` without letters or languages."""
+        return self.judged(text)[:3]
+
+    def judged(self, text: str | None) -> tuple[str, float, int, bool]:
+        """What ``predict`` gives, and whether the margin is wide enough; with a single language there is none to compare with, and it is."""
         if not text or not self.langs or not _LETTER.search(text):
-            return "und", 0.0, 0
+            return "und", 0.0, 0, False
         raw = plain(text)
         if len(raw) < SHORT_BYTES:
             sizes = np.array([max(1, len(c.compress(_PAD + raw)) - b) for c, b in zip(self.coders[1], self.base, strict=True)])
@@ -91,16 +98,17 @@ class Classifier:
             sizes = np.array([len(c.compress(raw)) for c in self.coders[0]])
         best = int(sizes.argmin())
         if len(sizes) == 1:
-            return self.langs[0], 1.0, int(sizes[0])
+            return self.langs[0], 1.0, int(sizes[0]), True
         second = int(np.partition(sizes, 1)[1])
-        return self.langs[best], min(1.0, 4.0 * (second - int(sizes[best])) / second), second - int(sizes[best])
+        margin = second - int(sizes[best])
+        return self.langs[best], min(1.0, 4.0 * margin / second), margin, margin >= MARGIN_BYTES + MARGIN_SHARE * min(second, MARGIN_CAP)
 
 
 def identify(df: DataFrame, dictionaries: dict[str, bytes], min_margin: int = 1, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
     """One row (doc_id, lang_pred, score, margin, accepted) for each row of ``df``, with the columns ``keep`` carried along.
 
     A text without letters, a null or an empty one is ``und``.  A prediction is rejected (``accepted`` false) where it is
-    ``und`` or the next language needs fewer than ``min_margin`` bytes more.  Ties go to the language that sorts first and
+    ``und`` or its margin narrow for the size of the text, or the next language needs fewer than ``min_margin`` bytes more.  Ties go to the language that sorts first and
     are rejected.  Only id, text and ``keep`` are read; an empty table gives an empty one.
     """
     kept = df.select(F.col(id_col).alias("doc_id"), *keep).schema.fields[1:]
@@ -113,8 +121,8 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], min_margin: int = 1,
         for batch in batches:
             if "c" not in state:
                 state["c"] = Classifier(shared.value)
-            got = [state["c"].predict(t) for t in strings(batch.column(1))]
-            more = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int64()), pa.array([g[0] != "und" and g[2] >= min_margin for g in got], pa.bool_())]
+            got = [state["c"].judged(t) for t in strings(batch.column(1))]
+            more = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int64()), pa.array([g[3] and g[2] >= min_margin for g in got], pa.bool_())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *batch.columns[2:], *more], names=["doc_id", *[f.name for f in kept], "lang_pred", "score", "margin", "accepted"])
 
     return map_texts(df, run, schema, id_col, text_col, keep)

@@ -233,3 +233,17 @@ def test_training_keeps_openings_that_many_rows_share(spark):
     df = df.unionByName(spark.createDataFrame([(k, f"kurzer Text {chr(97 + k)} hier", "de") for k in range(20)], df.schema))
     got = train(df)
     assert len(set(got["en"].split(b"\n")) - {b""}) == 20 and got["de"]
+
+
+def test_languages_that_were_not_learned_are_rejected(spark):
+    rng = random.Random(5)
+    vocabulary = {"en": "the and with have this from they which would there people".split(), "de": "der die und nicht eine sich auch werden haben über können".split(), "fr": "les des est une pour dans qui sur pas avec être même".split()}
+    spanish = "los muy como pero años hacia donde porque también siempre todavía ciudad mujer trabajo".split()
+    noise = lambda a, n: " ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(n))
+    rows = [(k, " ".join(rng.choices(vocabulary[lang], k=rng.choice([6, 30, 400]))), lang) for k in range(300) for lang in [rng.choice(list(vocabulary))]]
+    other = [(1000 + k, " ".join(rng.choices(spanish, k=n)), "es") for k, n in enumerate([60, 400, 4000] * 10)]
+    other += [(2000 + k, noise(a, n), "") for k, (a, n) in enumerate([("abcdefghijklmnopqrstuvwxyz", n) for n in (40, 400, 8000)] * 10 + [("абвгдежзиклмнопрст", n) for n in (5, 40, 400)] * 10)]
+    schema = "doc_id bigint, text string, lang string"
+    got = {r["doc_id"]: r["accepted"] for r in identify(spark.createDataFrame(rows + other, schema), train(spark.createDataFrame(rows, schema))).collect()}
+    assert sum(got[r[0]] for r in rows) >= 0.99 * len(rows)
+    assert sum(got[r[0]] for r in other) <= 0.05 * len(other)
