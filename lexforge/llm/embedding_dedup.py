@@ -1,6 +1,7 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells, one kept in each component.
 
-Centres are fitted on a bounded sample; every vector goes to its nearest centre (its home) and visits the next nearest.
+Centres are fitted on a bounded sample; every vector goes to its nearest centre (its home) and visits the next nearest, or
+in exact mode all cells that may hold a partner.
 Vectors of a cell are compared with all that live in it or visit it, in blocks, so that a cell of any size is shared out
 over many tasks.  A block pair gives the number of links of each vector and a spanning forest of its links, never pairs.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lexforge.llm.components import components
 from lexforge.llm.staging import staged, unstage
-from lexforge.llm.texts import small_batches
+from lexforge.llm.texts import bounded
 
 #: Bound of the sample that fits the centres, in vectors and in MB; vectors aimed at in a cell; most centres; cells visited.
 SAMPLE_VECTORS, SAMPLE_MB, CELL, MAX_CELLS, PROBES = 16_384, 64, 256, 4096, 6
@@ -43,29 +44,57 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) ->
 
 
 def _unit(column: pa.Array) -> np.ndarray:
-    """Rows of a list column as unit vectors in double precision."""
+    """Rows of a list column as unit vectors in double precision; powers of two keep very large and small ones in range."""
     n = len(column)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    flat = np.ldexp(flat, -np.frexp(np.abs(flat).max(axis=1, initial=0.0))[1][:, None])
     return flat / np.linalg.norm(flat, axis=1)[:, None]
 
 
-def _cells(batches: Iterator[pa.RecordBatch], centres: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(node, weight, vector) to one row for each cell: (cell, home, earlier, node, weight, vector); earlier: probes as a list."""
+def _visits(x: np.ndarray, c: np.ndarray, least: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Home of each vector, and rows and cells of all visits, by row.
+
+    The PROBES nearest cells; with ``least``, all cells whose border with the vector's own is within half the distance of
+    two vectors of that cosine: of two such vectors in different cells, one at least is that near to their common border.
+    """
+    near = x @ c.T
+    home = near.argmax(axis=1)
+    if least is None:
+        m = min(PROBES, len(c))
+        cells = np.argpartition(-near, m - 1, axis=1)[:, :m] if m < len(c) else np.tile(np.arange(m), (len(x), 1))
+        return home, np.repeat(np.arange(len(x)), m), cells.reshape(-1)
+    apart = np.sqrt(np.maximum(2 - 2 * (c[home] @ c.T), 0))
+    border = near[np.arange(len(x)), home][:, None] - near
+    rows, cells = np.nonzero(border <= (math.sqrt(max(0.0, 2 - 2 * least)) / 2 + 1e-6) * apart + 1e-9)
+    return home, rows, cells
+
+
+def _cells(batches: Iterator[pa.RecordBatch], centres: dict[int, np.ndarray], least: float | None = None) -> Iterator[pa.RecordBatch]:
+    """(node, weight, vector) to one row for each cell: (dim, cell, home, probes, node, weight, vector); probes: all cells of the vector."""
     for batch in batches:
         sizes = np.array([len(v) for v in batch.column(2)], dtype=np.int64) if batch.num_rows else np.empty(0, dtype=np.int64)
         for d in np.unique(sizes):
             at = np.flatnonzero(sizes == d)
             part = batch.take(pa.array(at))
-            c = centres[int(d)]
             x = _unit(part.column(2))
-            m = min(PROBES, len(c))
-            near = x @ c.T
-            probes = np.argpartition(-near, m - 1, axis=1)[:, :m] if m < len(c) else np.tile(np.arange(m), (len(x), 1))
-            home = near.argmax(axis=1)
-            rows = np.repeat(np.arange(len(x)), m)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * m, pa.int32()), pa.array(np.repeat(probes, m, axis=0).reshape(-1).astype(np.int32)))
+            home, rows, cells = _visits(x, centres[int(d)], least)
+            counts = np.bincount(rows, minlength=len(x))
+            first = np.cumsum(counts) - counts
+            # the list of its row's cells beside every visit
+            ends = np.concatenate([[0], np.cumsum(counts[rows])])
+            places = np.arange(ends[-1]) - np.repeat(ends[:-1] - first[rows], counts[rows])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells[places].astype(np.int32)))
             take = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), d), pa.int32()), pa.array(probes.reshape(-1).astype(np.int32)), pa.array(home[rows].astype(np.int32)), lists, part.column(0).take(take), part.column(1).take(take), part.column(2).take(take)], names=["dim", "cell", "home", "probes", "node", "weight", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), d), pa.int32()), pa.array(cells.astype(np.int32)), pa.array(home[rows].astype(np.int32)), lists, part.column(0).take(take), part.column(1).take(take), part.column(2).take(take)], names=["dim", "cell", "home", "probes", "node", "weight", "vector"])
+
+
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """A list column as a matrix, with -1 after the end of a list."""
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.full((len(sizes), int(sizes.max(initial=1))), -1, dtype=np.int64)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    out[rows, np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out
 
 
 def _hang(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -88,7 +117,7 @@ def _products(rows: pa.Table, i: int, j: int, cell: int, least: float) -> tuple[
     rows = rows.take(pa.array(order)).combine_chunks()
     node, weight, home, block = (rows[c].to_numpy() for c in ("node", "weight", "home", "block"))
     x = _unit(rows["vector"].chunk(0))
-    probes = np.array(rows["probes"].chunk(0).flatten()).reshape(len(node), -1)
+    probes = _padded(rows["probes"].chunk(0))
     one = np.flatnonzero(block == i)
     two = np.flatnonzero(block == j)
     links, label = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
@@ -138,11 +167,12 @@ def _compare(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
         yield close()
 
 
-def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95, cells: int | None = None) -> DataFrame:
+def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95, cells: int | None = None, exact: bool = False) -> DataFrame:
     """One row (vec_id, n_links, component_id, kept) for each row of ``df``.
 
     Vectors of equal length whose cosine, in double precision, is at least ``least`` and that meet in a cell are linked;
-    equal vectors are one node and linked with each other.  A null or zero vector, or one with null or non-finite
+    equal vectors are one node and linked with each other.  With ``exact``, all such vectors meet; otherwise each visits
+    PROBES cells, which misses links between cells that are no near neighbours.  Ties between cells go to the first.  A null or zero vector, or one with null or non-finite
     components, links with nothing.  Rows that repeat an id count as vectors of their own and are one node.  An empty
     table gives an empty one; other columns are not read.
     """
@@ -163,13 +193,12 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         x = _unit(sample.chunk(0) if isinstance(sample, pa.ChunkedArray) else sample)
         centres[d] = spherical_kmeans(x, min(k, len(x)))
     shared = spark.sparkContext.broadcast(centres)  # MAX_CELLS centres for each length at most
-    small_batches(df, 1024)
-    in_cells = staged(nodes.select("node", "weight", "vector").mapInArrow(lambda it: _cells(it, shared.value), "dim int, cell int, home int, probes array<int>, node bigint, weight bigint, vector array<double>"), "cells")
+    in_cells = staged(nodes.select("node", "weight", "vector").mapInArrow(bounded(lambda it: _cells(it, shared.value, least if exact else None), 1024), "dim int, cell int, home int, probes array<int>, node bigint, weight bigint, vector array<double>"), "cells")
     blocks = F.broadcast(in_cells.groupBy("dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))  # a row for each cell
     dealt = in_cells.join(blocks, ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("*", other).select("dim", "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "home", "probes", "node", "weight", "vector")
-    found = dealt.repartition(n, "dim", "cell", "i", "j").sortWithinPartitions("dim", "cell", "i", "j").mapInArrow(lambda it: _compare(it, least), "node bigint, links bigint, root bigint")
+    found = dealt.repartition(n, "dim", "cell", "i", "j").sortWithinPartitions("dim", "cell", "i", "j").mapInArrow(bounded(lambda it: _compare(it, least), 1024), "node bigint, links bigint, root bigint")
     found = staged(found, "found")
     unstage(in_cells)
     comps = components(found.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.llm.staging import staged, unstage
-from lexforge.llm.texts import map_texts, small_batches, strings
+from lexforge.llm.texts import bounded, map_texts, strings
 
 #: Given names by script and gender, for detection and replacement.
 NAMES = {
@@ -303,7 +303,7 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
                 rows = [(r, k, v) for r, t in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True) for k, v in {(k, t[a:b]) for a, b, k in entities(t)}]
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.string()), pa.array([x[2] for x in rows], pa.string())], names=["row", "kind", "value"])
 
-        holds = docs.select("row", "text").mapInArrow(held, "row bigint, kind string, value string").join(redrawn, ["kind", "value"])
+        holds = docs.select("row", "text").mapInArrow(bounded(held), "row bigint, kind string, value string").join(redrawn, ["kind", "value"])
         docs = docs.join(holds.groupBy("row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("other")), "row", "left").drop("row")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,5 +312,4 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
             texts = pa.array([None if t is None else g[0] for t, g in zip(batch.column(1).to_pylist(), got, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(g[1]) for g in got], pa.int64()), *[pa.array([g[1].count(k) for g in got], pa.int64()) for k in KINDS], texts], names=[c.split()[0] for c in columns.split(", ")])
 
-    small_batches(df)
-    return docs.select("doc_id", "text", "other").mapInArrow(rewrite, columns)
+    return docs.select("doc_id", "text", "other").mapInArrow(bounded(rewrite), columns)

@@ -8,20 +8,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch: some MB of usual texts, and bounded memory where each text is very long.
+#: Rows that a function gets at once.  Spark bounds the batches they are cut from in bytes (64 MB by default).
 BATCH_ROWS = 512
 
 
-def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
-    """Sets the size of Arrow batches, which Spark takes from the session when the plan runs."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = BATCH_ROWS) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn`` over slices of at most ``rows`` rows, whatever the session's batch size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(b.slice(a, rows) for b in batches for a in range(0, b.num_rows, rows))
+
+    return run
 
 
 def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, id_col: str = "doc_id", text_col: str = "text", more: tuple = ()) -> DataFrame:
     """``fn`` gets batches of (doc_id, text) and the columns ``more``; other columns are not read, so their names don't matter."""
-    small_batches(df)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
-    return rows.mapInArrow(fn, schema)
+    return rows.mapInArrow(bounded(fn), schema)
 
 
 def strings(column: pa.Array) -> list[str]:
