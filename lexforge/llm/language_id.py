@@ -2,8 +2,10 @@
 under whose dictionary it becomes smallest.
 
 Texts and dictionaries are lower-cased, with one space for each run of anything but letters, so that case and noise
-between words don't break matches.  Long texts use a faster match finder than short ones.  Short texts follow a run of zero bytes, so that the compressor
-does not give up on them as incompressible and single matches show in their size.
+between words don't break matches.  A text is compressed in blocks of BLOCK bytes, each under the dictionary alone, and
+the sizes are summed: every part of a text of any length is judged by the dictionary and bears on the result alike.
+Every block follows a run of zero bytes, whose own size is taken off, so that the compressor does not give up on a short
+block as incompressible.
 """
 
 from __future__ import annotations
@@ -21,16 +23,14 @@ from pyspark.sql import types as T
 
 from lexforge.llm.texts import map_texts, strings
 
-#: The bound of the training sample: documents for each language, and characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 400, 64 << 10
-SHORT_BYTES = 1024
-#: A margin is narrow under so many bytes and so large a share of the size under the next language, of which at most
-#: MARGIN_CAP bytes count: a dictionary saves no more on longer texts.  Calibrated on folds 3 and 4 of sf0.1 (see README).
-MARGIN_BYTES, MARGIN_SHARE, MARGIN_CAP = 2, 0.03, 4096
+#: The bound of the training sample: different texts of each language, and characters from one place of each.
+SAMPLE_DOCS, SAMPLE_CHARS = 256, 256
+BLOCK = 512
+#: A margin is narrow under so many bytes and so large a share of the size under the next language.  Calibrated on
+#: folds 3 and 4 of sf0.1, with dictionaries of folds 1 and 2 (see README).
+MARGIN_BYTES, MARGIN_SHARE = 2, 0.04
 _PAD = bytes(96)
-_BARE = {"write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
-_FAST = {"window_log": 18, "chain_log": 16, "hash_log": 17, "search_log": 4, "min_match": 4, "target_length": 16, "strategy": zstandard.STRATEGY_LAZY2, **_BARE}
-_FINE = {"window_log": 18, "chain_log": 17, "hash_log": 17, "search_log": 4, "min_match": 4, "target_length": 16, "strategy": zstandard.STRATEGY_BTLAZY2, **_BARE}
+_PARAMS = {"window_log": 18, "chain_log": 17, "hash_log": 17, "search_log": 4, "min_match": 4, "target_length": 16, "strategy": zstandard.STRATEGY_LAZY2, "write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
 _LETTER = regex.compile(r"\p{L}")
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -45,71 +45,72 @@ def fold(id_col: Column) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(5))
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """A dictionary for each language, from openings of at most SAMPLE_DOCS different labelled texts outside fold 0.
+def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
+    """A dictionary for each language that has a labelled text with a letter outside fold 0.
 
-    The sample is those openings whose hashes come first among all different ones, however often each is repeated.
+    It is made of ``chars`` characters from each of the ``docs`` different whole texts whose hashes come first, however
+    often each is repeated, at a place that the hash draws from the whole text (all of a shorter one).  Nothing else
+    bounds it, so a language with fewer different texts has all of them in the sample.
     """
     rows = df.filter((fold(F.col(id_col)) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    some = rows.select(F.col(lang_col).alias("lang"), F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("opening")).withColumn("at", F.xxhash64("opening"))
-    # hashes first, without copies: the openings themselves travel only up to the last hash that is needed
-    first = some.select("lang", "at").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("k") <= SAMPLE_DOCS)
+    some = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(text_col).cast("string")).alias("at"), F.col(text_col).cast("string").alias("text"))
+    # hashes first, without copies: of the texts, only those up to the last hash that is needed are looked at again
+    first = some.select("lang", "at").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).filter(F.col("k") <= docs)
     upto = {r["lang"]: r["at"] for r in first.groupBy("lang").agg(F.max("at").alias("at")).collect()}  # one row for each language
     if not upto:
         return {}
     last = F.create_map(*[x for lang, at in upto.items() for x in (F.lit(lang), F.lit(at))])
-    some = some.filter(F.col("at") <= F.element_at(last, F.col("lang"))).dropDuplicates(["lang", "opening"])
-    order = Window.partitionBy("lang").orderBy("at", "opening")
-    picked = some.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_DOCS).orderBy("lang", "k").collect()
+    place = F.pmod("at", F.greatest(F.length("text") - chars + 1, F.lit(1))).cast("int")
+    piece = F.substring(F.col("text"), place + 1, F.lit(chars))
+    picked = some.filter(F.col("at") <= F.element_at(last, F.col("lang"))).groupBy("lang", "at").agg(F.min(piece).alias("piece")).orderBy("lang", "at").collect()
     out: dict[str, bytes] = {}
-    for r in picked:
-        out[r["lang"]] = out.get(r["lang"], b"") + plain(r["opening"]) + b"\n"
-    return {lang: raw[-DICTIONARY_BYTES:] for lang, raw in sorted(out.items())}
+    for r in picked:  # ``docs`` rows for each language
+        out[r["lang"]] = out.get(r["lang"], b"") + plain(r["piece"]) + b"\n"
+    return out
 
 
 class Classifier:
     """Sizes of a text under every language's dictionary."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.langs = list(dictionaries)
+        self.langs = sorted(dictionaries)
         self.coders = []
-        for params in (_FAST, _FINE):
-            p = zstandard.ZstdCompressionParameters(**params)
-            row = []
-            for raw in dictionaries.values():
-                d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(compression_params=p)
-                row.append(zstandard.ZstdCompressor(compression_params=p, dict_data=d))
-            self.coders.append(row)
-        self.base = [len(c.compress(_PAD)) for c in self.coders[1]]
-
-    def predict(self, text: str | None) -> tuple[str, float, int]:
-        """Language, score, and how many bytes the next language needs more; ``und`` without letters or languages."""
-        return self.judged(text)[:3]
+        for lang in self.langs:
+            p = zstandard.ZstdCompressionParameters(**_PARAMS)
+            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(compression_params=p)
+            self.coders.append(zstandard.ZstdCompressor(compression_params=p, dict_data=d))
+        self.base = [len(c.compress(_PAD)) for c in self.coders]
+
+    def sizes(self, text: str) -> list[int]:
+        """Compressed bytes under each dictionary, one at least."""
+        raw = plain(text)
+        blocks = [_PAD + raw[a : a + BLOCK] for a in range(0, len(raw), BLOCK)]
+        return [max(1, sum([len(c.compress(b)) for b in blocks]) - base * len(blocks)) for c, base in zip(self.coders, self.base, strict=True)]
 
     def judged(self, text: str | None) -> tuple[str, float, int, bool]:
-        """What ``predict`` gives, and whether the margin is wide enough; with a single language there is none to compare with, and it is."""
+        """Language, score, how many bytes the next language needs more, and whether that margin is wide enough.
+
+        ``und`` without letters or languages; a single language has no margin to be compared with, and it is wide.
+        """
         if not text or not self.langs or not _LETTER.search(text):
             return "und", 0.0, 0, False
-        raw = plain(text)
-        if len(raw) < SHORT_BYTES:
-            sizes = np.array([max(1, len(c.compress(_PAD + raw)) - b) for c, b in zip(self.coders[1], self.base, strict=True)])
-        else:
-            sizes = np.array([len(c.compress(raw)) for c in self.coders[0]])
+        sizes = np.array(self.sizes(text))
         best = int(sizes.argmin())
         if len(sizes) == 1:
             return self.langs[0], 1.0, int(sizes[0]), True
         second = int(np.partition(sizes, 1)[1])
         margin = second - int(sizes[best])
-        return self.langs[best], min(1.0, 4.0 * margin / second), margin, margin >= MARGIN_BYTES + MARGIN_SHARE * min(second, MARGIN_CAP)
+        return self.langs[best], min(1.0, 4.0 * margin / second), margin, margin >= MARGIN_BYTES + MARGIN_SHARE * second
 
 
 def identify(df: DataFrame, dictionaries: dict[str, bytes], min_margin: int = 1, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
     """One row (doc_id, lang_pred, score, margin, accepted) for each row of ``df``, with the columns ``keep`` carried along.
 
     A text without letters, a null or an empty one is ``und``.  A prediction is rejected (``accepted`` false) where it is
-    ``und`` or its margin narrow for the size of the text, or the next language needs fewer than ``min_margin`` bytes more.  Ties go to the language that sorts first and
-    are rejected.  Only id, text and ``keep`` are read; an empty table gives an empty one.
+    ``und``, or its margin is narrow for the size of the text or under ``min_margin`` bytes.  Ties go to the language that
+    sorts first and are rejected.  Repeated rows give repeated results, an empty table an empty one; only id, text and
+    ``keep`` are read.
     """
     kept = df.select(F.col(id_col).alias("doc_id"), *keep).schema.fields[1:]
     own = T.StructType().add("lang_pred", "string").add("score", "double").add("margin", "long").add("accepted", "boolean").fields
