@@ -7,6 +7,8 @@ owner holds looks live.  Spans are positions in code points, end exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,28 +26,40 @@ _MIXED = r"[A-Za-z0-9+/_=-]{20,}+"
 #: Owners from which on a value counts as widely copied.
 COPIED_OWNERS = 3
 
+#: Characters of a block that a masked text is cut from.
+_BLOCK = 1024
+_FAR = (1 << 31) - 1
 _SPAN = "struct<start:int,kind:int,end:int,hash:string>"
 
 
-def _found(text: Column, pattern: str, group: int, least: int, kind: int) -> tuple[Column, Column, Column]:
-    """Whole matches, their values, and the pieces of text around them."""
-    rx = F.lit(pattern)
-    return F.regexp_extract_all(text, rx, F.lit(0)), F.regexp_extract_all(text, rx, F.lit(group)), F.split(text, pattern, -1)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is made once, which an expression inside of a lambda would not be."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """All prefixes of an array of whole numbers joined by an associative ``join``, in as many steps as the length has bits."""
+    steps = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(values)))), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.aggregate(steps, values, lambda acc, step: F.transform(acc, lambda v, i: F.when(i < step, v).otherwise(join(v, F.get(acc, i - step)))))
 
 
 def _spans(whole: str, value: str, pieces: str, least: int, kind: int) -> Column:
     """Positions of matches: every match follows the pieces and matches before it; values that are too short are dropped."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
+    rows = F.arrays_zip(F.col(whole).alias("w"), F.col(value).alias("v"), F.slice(pieces, 1, F.greatest(F.size(whole), F.lit(0))).alias("p"))
+    ends = _running(F.transform(rows, lambda z: F.length(z["p"]) + F.length(z["w"])), lambda x, y: x + y)
+    placed = F.filter(F.arrays_zip(rows.alias("z"), ends.alias("end")), lambda m: F.length(m["z"]["v"]) >= least)
+    found = F.transform(placed, lambda m: F.struct((m["end"] - F.length(m["z"]["w"])).alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"), F.sha2(m["z"]["v"], 256).alias("hash")))
+    return F.when(F.size(whole) == 0, F.array().cast(f"array<{_SPAN}>")).otherwise(found)
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(pieces, i))
-        end = start + F.length(F.get(whole, i))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.sha2(F.get(value, i), 256).alias("hash"))
-        return F.struct(end.alias("at"), F.when(F.length(F.get(value, i)) >= least, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    found = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1), zero, step, lambda acc: acc["spans"])
-    return F.when(F.size(whole) == 0, none).otherwise(found)
+def _outside(base: str, spans: Column) -> Column:
+    """Of ``spans`` (kind len(KINDS)) those that meet no base span: none that begins before ends inside, and none begins inside."""
+    both = F.array_sort(F.concat(F.col(base), spans))
+    own = len(KINDS)
+    before = _running(F.transform(both, lambda s: F.when(s["kind"] < own, s["end"]).otherwise(-1)), lambda x, y: F.greatest(x, y))
+    after = F.reverse(_running(F.reverse(F.transform(both, lambda s: F.when(s["kind"] < own, s["start"]).otherwise(_FAR))), lambda x, y: F.least(x, y)))
+    free = F.filter(F.arrays_zip(both.alias("s"), before.alias("before"), after.alias("after")), lambda z: (z["s"]["kind"] == own) & (z["before"] <= z["s"]["start"]) & (z["after"] >= z["s"]["end"]))
+    return F.when((F.size(base) == 0) | (F.size(spans) == 0), spans).otherwise(F.transform(free, lambda z: z["s"]))
 
 
 def _named(spans: Column, names: tuple[str, ...]) -> Column:
@@ -72,10 +86,9 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ow
         out = out.withColumn(f"p{k}", F.when(F.size(f"w{k}") > 0, F.split("text", rx, -1)))
     out = out.drop("text")
     out = out.select("doc_id", "key", "owner", *[_spans(f"w{k}", f"v{k}", f"p{k}", least, k).alias(f"s{k}") for rx, group, least, k in patterns], F.col(f"w{len(KINDS)}").alias("strings"))
-    base = F.concat(*[F.col(f"s{k}") for k in range(len(KINDS))])
-    out = out.select("doc_id", "key", "owner", base.alias("base"), F.col(f"s{len(KINDS)}").alias("long"), "strings")
-    both = F.filter(F.arrays_zip("long", "strings"), lambda z: z["strings"].rlike("[0-9]") & z["strings"].rlike("[A-Za-z]") & ~F.exists("base", lambda b: (b["start"] < z["long"]["end"]) & (z["long"]["start"] < b["end"])))
-    return out.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "owner", "base", F.transform(both, lambda z: z["long"]).alias("mixed"))
+    mixed = F.filter(F.arrays_zip(F.col(f"s{len(KINDS)}").alias("s"), F.col("strings").alias("v")), lambda z: z["v"].rlike("[0-9]") & z["v"].rlike("[A-Za-z]"))
+    out = out.select("doc_id", "key", "owner", F.concat(*[F.col(f"s{k}") for k in range(len(KINDS))]).alias("base"), F.transform(mixed, lambda z: z["s"]).alias("mixed"))
+    return out.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "owner", "base", _outside("base", F.col("mixed")).alias("mixed"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -133,14 +146,28 @@ def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = (F.col("kind") < own) & (F.col("verdict") != "copied")
     if owned:
         gone |= F.col("verdict") == "live"
-    spans = classified(found).filter(gone).groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    some = df.filter(any_of).join(spans, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_key")), "left")
-    text = F.col(text_col)
+    spans = classified(found).filter(gone).groupBy(F.col("doc_id").alias("id"), F.col("key").alias("hash")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    # the caller's columns travel in one, so that none can clash with those of the join
+    rows = df.filter(any_of).select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    some = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left")
+    masked = F.when(F.col("spans").isNull(), F.col("text")).otherwise(_masked(F.col("text"), F.col("spans"), mask))
+    names = [f.name for f in df.schema.fields]
+    some = some.select(masked.alias("masked"), "row").select(*[(F.col("masked") if c == text_col else F.col("row").getField(c)).alias(c) for c in names])
+    return some.unionByName(df.filter(~any_of).withColumn(text_col, F.col(text_col).cast("string")))
+
+
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with ``mask`` in place of sorted spans, of which those that overlap are one.
+
+    What stands between them is cut from the few blocks of the text that hold it, not from its beginning each time.
+    """
 
-    def step(acc: Column, s: Column) -> Column:
-        more = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"])
-        return F.struct(more.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / _BLOCK).cast("int")
+        some = F.array_join(F.slice(blocks, first + 1, F.floor((b - 1) / _BLOCK).cast("int") - first + 1), "")
+        return F.when(a < b, F.substring(some, F.pmod(a, F.lit(_BLOCK)) + 1, b - a)).otherwise("")
 
-    masked = F.aggregate("_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    some = some.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(masked)).select(*df.columns)
-    return some.unionByName(df.filter(~any_of))
+    ends = _running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+    gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), ends).alias("a"), F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text))).alias("b"))
+    out = _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)), lambda blocks: F.array_join(F.transform(F.filter(gaps, lambda g: g["a"] <= g["b"]), lambda g: piece(blocks, g["a"], g["b"])), mask))
+    return out
