@@ -71,7 +71,7 @@ _HIT_SQL = "struct<kind:int,fp:bigint,at:bigint,off:int,near:array<bigint>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch], lengths: list[int], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """(id, key, n_words, found) of each row; ``bits``: keep fingerprints of this map only; None: all, and short items whole."""
+    """(id, key, row, n_words, found) of each row; ``bits``: keep fingerprints of this map only; None: all, and short items whole."""
     for batch in batches:
         for a, b, words in pieces(batch.column(1), ALNUM):
             n = np.diff(words.first)
@@ -97,7 +97,7 @@ def _scan(batches: Iterator[pa.RecordBatch], lengths: list[int], bits: np.ndarra
             else:
                 hits, counts = pa.array([], _HIT), np.zeros(b - a, dtype=np.int64)
             found = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), hits)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n, pa.int64()), found], names=["doc_id", "key", "n_words", "found"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in (0, 2, 3)], pa.array(n, pa.int64()), found], names=["doc_id", "key", "row", "n_words", "found"])
 
 
 def _bit_map(fps: DataFrame) -> np.ndarray:
@@ -119,17 +119,19 @@ def _equal_run(sign: int, start: int, room: Column) -> Column:
 
 
 def contamination_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Rows (doc_id, key, n_words, item_id, start, end): document words start..end (exclusive) stand in an item; both and the item null in one row of a document without any, or more of these beside its hits.
+    """Rows (doc_id, key, row, n_words, item_id, start, end): document words start..end (exclusive) stand in an item; both and the item null in one row of a document without any, or more of these beside its hits.
 
-    ``key`` is a hash of the text, for documents that share an id.
+    ``key`` is a hash of the text, for documents that share an id, and ``row`` a number of the document's row within this
+    result.  An item with a null id has hits with a null ``item_id``.
     """
     own = F.xxhash64(F.col(text_col).cast("string")).alias("key")
-    item = F.lit(0).cast("long").alias("key")
+    row, none = F.monotonically_increasing_id().alias("row"), F.lit(0).cast("long")
+    columns = f"doc_id bigint, key bigint, row bigint, n_words bigint, found array<{_HIT_SQL}>"
     lengths = list(range(1, WINDOW))
     scan = lambda lens, bits: lambda batches: _scan(batches, lens, bits)
-    items = map_texts(benchmark, scan(lengths, None), f"doc_id bigint, key bigint, n_words bigint, found array<{_HIT_SQL}>", item_col, item_text, (item,))
+    items = map_texts(benchmark, scan(lengths, None), columns, item_col, item_text, (none.alias("key"), none.alias("row")))
     fps = items.select(F.col("doc_id").alias("item_id"), F.explode("found").alias("f")).select("item_id", "f.*")
-    fps = fps.withColumnsRenamed({"off": "item_off", "near": "item_near"}).drop("at").distinct()
+    fps = fps.withColumnsRenamed({"off": "item_off", "near": "item_near"}).drop("at").distinct().withColumn("met", F.lit(True))
     kinds = {r["kind"]: r["n"] for r in fps.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     bits = docs.sparkSession.sparkContext.broadcast(np.packbits(_bit_map(fps)))
     short = sorted(set(kinds) - {0})
@@ -137,8 +139,8 @@ def contamination_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _scan(batches, short, np.unpackbits(bits.value).astype(bool))
 
-    found = map_texts(docs, run, f"doc_id bigint, key bigint, n_words bigint, found array<{_HIT_SQL}>", id_col, text_col, (own,))
-    rows = found.select("doc_id", "key", "n_words", F.explode_outer("found").alias("f")).select("doc_id", "key", "n_words", "f.kind", "f.fp", "f.at", "f.off", "f.near")
+    found = map_texts(docs, run, columns, id_col, text_col, (own, row))
+    rows = found.select("doc_id", "key", "row", "n_words", F.explode_outer("found").alias("f")).select("doc_id", "key", "row", "n_words", "f.kind", "f.fp", "f.at", "f.off", "f.near")
     if sum(kinds.values()) <= BROADCAST_ROWS:
         fps = F.broadcast(fps)
     else:  # documents without a fingerprint must not meet in one task
@@ -148,9 +150,9 @@ def contamination_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     joined = joined.withColumn("left", _equal_run(-1, 0, F.least("off", "item_off"))).withColumn("right", _equal_run(1, GRAM - 1, F.least(F.size("near") - F.col("off"), F.size("item_near") - F.col("item_off")) - GRAM))
     plain = F.col("kind") > 0
     same = F.slice("near", F.col("off") + 1, wide.cast("int")) == F.slice("item_near", F.col("item_off") + 1, wide.cast("int"))
-    hit = F.col("item_id").isNotNull() & same & (plain | (F.col("left") + F.col("right") + wide >= WINDOW))
+    hit = F.col("met").isNotNull() & same & (plain | (F.col("left") + F.col("right") + wide >= WINDOW))
     return joined.select(
-        "doc_id", "key", "n_words",
+        "doc_id", "key", "row", "n_words",
         F.when(hit, F.col("item_id")).alias("item_id"),
         F.when(hit, F.when(plain, F.col("at")).otherwise(F.col("at") - F.col("left"))).alias("start"),
         F.when(hit, F.when(plain, F.col("at") + wide).otherwise(F.col("at") + wide + F.col("right"))).alias("end"),
@@ -158,15 +160,16 @@ def contamination_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, key) for each different (id, text) of ``docs``.
+    """One row (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, key) for each row of ``docs``; ``key`` is a hash of the text.
 
-    Words: `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.  Repeated rows count once.  Null and empty texts
-    have no words and are clean; an empty benchmark leaves all clean; an empty table gives an empty one.  Other columns
-    are not read.  Hits compare 64-bit hashes of words.
+    Words: `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.  Repeated rows give repeated results.  Null and
+    empty texts have no words and are clean; an empty benchmark leaves all clean; an empty table gives an empty one.
+    Items that repeat an id are one item; hits of an item with a null id count in ``n_hit`` and not in ``n_items``.  Other
+    columns are not read.  Hits compare 64-bit hashes of words.
     """
     hits = contamination_hits(docs, benchmark, id_col, text_col, item_col, item_text)
-    span = F.when(F.col("item_id").isNotNull() | F.col("start").isNotNull(), F.struct("start", "end"))
-    by_doc = hits.groupBy("doc_id", "key", "n_words").agg(F.collect_set(span).alias("spans"), F.collect_set("item_id").alias("items"))
+    span = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
+    by_doc = hits.groupBy("row", "doc_id", "key", "n_words").agg(F.collect_set(span).alias("spans"), F.collect_set("item_id").alias("items"))
     covered = F.aggregate(
         F.array_sort("spans"),
         F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n")),
