@@ -12,8 +12,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows are numbered within this many buckets of a hash; their counts are all that meets in one place.
-BUCKETS = 4096
+#: Rows are numbered within buckets of a hash, of about this many rows; a count for each bucket is all that meets in one
+#: place (10^11 rows have 400,000).
+BUCKET_ROWS = 1 << 18
+#: Copies of one row that are numbered in one task.
+RUN = 1 << 16
 ROUNDS, MAX_WALK = 6, 200
 
 
@@ -36,8 +39,10 @@ def permuted(x: Column, n: int, seed: int) -> Column:
     a * b exceeds n by less than the root of n, so that walks are short; one of more than MAX_WALK steps, which no
     permutation of this kind is expected to have in practice, raises an error rather than give a wrong place.
     """
-    y = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_WALK)), feistel(x, n, seed), lambda y, _: F.when(y < n, y).otherwise(feistel(y, n, seed)))
-    return F.when(y < n, y).otherwise(F.raise_error(F.lit("cycle walking did not end")).cast("long"))
+    walked = lambda y: F.aggregate(F.sequence(F.lit(1), F.lit(MAX_WALK)), y, lambda z, _: F.when(z < n, z).otherwise(feistel(z, n, seed)))
+    ended = lambda y: F.when(y < n, y).otherwise(F.raise_error(F.lit("cycle walking did not end")).cast("long"))
+    bound = lambda value, body: F.get(F.transform(F.array(value), body), 0)  # noqa: E731  (the value is made once)
+    return bound(feistel(x, n, seed), lambda y: F.when(y < n, y).otherwise(bound(walked(y), ended)))
 
 
 def shard_rows(df: DataFrame, shards: int, seed: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -47,20 +52,25 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 20, id_col: str = "doc_id
     Equal rows are interchangeable, and each gets a place of its own; null ids are ids as others; an empty table gives an
     empty one.  Other columns are not read.  The numbering depends on the rows alone, not on their partitions.
     """
+    spark = df.sparkSession
+    tasks, n = int(spark.conf.get("spark.sql.shuffle.partitions")), df.count()
+    buckets = max(1, 16 * tasks if n < 16 * tasks * BUCKET_ROWS else math.ceil(n / BUCKET_ROWS))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     same = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
-    same = same.withColumn("at", F.xxhash64("doc_id", "size", "text_crc32")).withColumn("bucket", F.pmod("at", F.lit(BUCKETS)).cast("int"))
-    counts = sorted(same.groupBy("bucket").agg(F.sum("copies")).collect())  # BUCKETS rows at most
-    n = sum(c for _, c in counts)
-    first, before = [0] * BUCKETS, 0
+    same = same.withColumn("at", F.xxhash64("doc_id", "size", "text_crc32")).withColumn("bucket", F.pmod("at", F.lit(buckets)).cast("int"))
+    counts = sorted(same.groupBy("bucket").agg(F.sum("copies")).collect())  # one row for each bucket
+    first, before = [0] * buckets, 0
     for bucket, count in counts:
         first[bucket], before = before, before + count
-    spark = df.sparkSession
-    bases = F.broadcast(spark.createDataFrame(list(enumerate(first)), "bucket int, base long"))  # BUCKETS rows
+    bases = F.broadcast(spark.createDataFrame(list(enumerate(first)), "bucket int, base long"))  # one row for each bucket
     order = Window.partitionBy("bucket").orderBy("at", "doc_id", "size", "text_crc32")
     numbered = same.join(bases, "bucket").withColumn("upto", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    own = ["doc_id", "size", "text_crc32"]
     start = F.col("base") + F.col("upto") - F.col("copies")
-    each = numbered.select("doc_id", "size", "text_crc32", F.explode(F.sequence(start, start + F.col("copies") - 1)).alias("row_number"))
+    # a row that is repeated very often is cut into runs, which spread over the tasks
+    runs = numbered.select(*own, (F.col("base") + F.col("upto")).alias("end"), F.explode(F.sequence(start, F.col("base") + F.col("upto") - 1, F.lit(RUN).cast("long"))).alias("run"))
+    runs = runs.select(*own, "run", F.least(F.col("run") + RUN, F.col("end")).alias("end")).repartition(tasks, "run")
+    each = runs.select(*own, F.explode(F.sequence("run", F.col("end") - 1)).alias("row_number"))
     place = each.withColumn("place", permuted(F.col("row_number"), n, seed))
     return place.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.pmod("place", F.lit(shards)).cast("int").alias("shard"), F.floor(F.col("place") / F.lit(shards)).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "row_number")
