@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexforge.llm import near_duplicates as nd
 from lexforge.llm.components import components
@@ -142,6 +143,34 @@ def test_vectors_equal_brute_force(spark, monkeypatch, block, cells):
     assert len(got) == len(rows)
 
 
+def close_pairs(seed, n, d):
+    """Vectors and partners at cosines about 0.95, and the exact links."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=(n, d))
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cos = rng.uniform(0.93, 0.99, n)[:, None]
+    x = np.concatenate([x, cos * x + np.sqrt(1 - cos**2) * side])
+    return x, int((np.triu(x @ x.T >= 0.95, 1)).sum())
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_links_across_many_cells(spark, exact):
+    x, links = close_pairs(4, 1500, 32)
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = near_vectors(df, cells=200, exact=exact).agg(F.sum("n_links")).head()[0]
+    assert links > 500 and (got == 2 * links if exact else 0.9 * 2 * links <= got <= 2 * links)
+
+
+def test_vectors_of_extreme_size(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [(k, [c * scale for c in v]) for k, scale in enumerate([1.0, 1e200, 1e300, 1e-200, -1.0])]
+    got = {r["vec_id"]: tuple(r) for r in near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert got == {k: (k, 3, 0, k == 0) for k in range(4)} | {4: (4, 0, 4, True)}
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).collect() == []
     assert [tuple(r) for r in near_vectors(spark.createDataFrame([(3, None)], "vec_id bigint, embedding array<float>")).collect()] == [(3, 0, 3, True)]
