@@ -37,7 +37,9 @@ def _folded(text: Column, lang: Column, loose: bool) -> Column:
     bare = F.regexp_replace(plain, r"\p{M}", "")
     marked = bare if loose else F.when(latin, bare).otherwise(F.translate(plain, GRAVE + TILDE, ACUTE + PERISPOMENI))
     low = F.translate(F.lower(marked), "ς", "σ")
-    return _normal(F.when(latin, F.translate(low, "jv", "iu")).otherwise(low), "compose")
+    full = _normal(F.when(latin, F.translate(low, "jv", "iu")).otherwise(low), "compose")
+    # plain letters need no normaliser, which is called by reflection
+    return F.when(text.rlike(r"^[\x00-\x7F]*$"), F.when(latin, F.translate(F.lower(text), "jv", "iu")).otherwise(F.lower(text))).otherwise(full)
 
 
 def match_key(text: Column, lang: Column) -> Column:

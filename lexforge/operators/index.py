@@ -13,7 +13,7 @@ from lexforge.functions.names import natural_key, occurrence, path_key, urn_base
 from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import context_windows, explode_tokens, indexed_lemma, key_text, words_only
 from lexforge.schema import CONTEXT_PART, DEFAULT_LANGS
-from lexforge.sources.storage import kept
+from lexforge.sources.storage import forget, kept
 
 #: Codes that stand for the same language.
 ALIASES = {"lat": "la"}
@@ -75,44 +75,65 @@ def number_chunks(accepted: DataFrame) -> DataFrame:
 def accept_and_number(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Accepted chunks with ids and tokens, the same without tokens, and all chunks with ``accepted``.
 
-    Chunks are judged and numbered without their tokens, which then join once.
+    Chunks are judged and numbered without their tokens, which then join once.  Rows that repeat version, citation key and
+    URN are one chunk.
     """
+    same = ["version", "citation_key", "urn"]
     rows = sidecars.withColumn("version", F.concat_ws("\x1f", F.col("root").cast("string"), "version_path"))
-    judged = kept(accepted_chunks(rows.drop("tokens"), langs), "chunks")
+    every = rows.drop("tokens")
+    judged = kept(accepted_chunks(every.dropDuplicates(same), langs), "chunks")
     numbered = kept(number_chunks(judged.filter("accepted")), "numbered")
-    same = ["version", "citation_key", "urn"]
-    return numbered.join(rows.select(*same, "tokens"), same), numbered, judged
+    tokens = rows.select(*same, "tokens")
+    if every.count() > judged.count():  # of chunks that are there more than once, one counts
+        tokens = tokens.groupBy(*same).agg(F.min_by("tokens", F.xxhash64("tokens")).alias("tokens"))
+    return numbered.join(tokens, same), numbered, judged
 
 
-def _dictionary(words: DataFrame, text: str, key: str, name: str, id_name: str) -> tuple[DataFrame, DataFrame]:
-    """A dictionary (id, name, key, loose, lang, n) by first occurrence, and (text, key text, lang) -> id.
+def _dictionary(words: DataFrame, text: str, key: str, name: str, id_name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A dictionary (id, name, key, loose, lang, n) by first occurrence, (text, key text, lang) -> id, and the table of keys that this reads.
 
     Keys are made once for each distinct string, after the rows are counted.
     """
     met = words.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text"), F.col(key).alias("key_text"), "lang").agg(F.count("*").alias("n"), F.min(F.struct("chunk_id", "seq")).alias("first"))
     keyed = kept(with_keys(met), "keys")
     entries = keyed.groupBy("_text", "key", "loose", "lang").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    numbered = kept(dense_ids(kept(entries, "entries"), [F.col("first"), F.col("key"), F.col("lang")], id_name), name)
+    entries = kept(entries, "entries")
+    numbered = kept(dense_ids(entries, [F.col("first"), F.col("key"), F.col("lang")], id_name), name)
+    forget(entries)
     out = numbered.select(id_name, F.col("_text").alias(name), "key", "loose", "lang", "n")
     ids = keyed.join(numbered.select(id_name, "_text", "key", "loose", "lang"), ["_text", "key", "loose", "lang"]).select("_text", "key_text", "lang", id_name)
-    return out, ids
+    return out, ids, keyed
+
+
+def with_lemma_map(words: DataFrame, lemma_map: DataFrame) -> DataFrame:
+    """``words`` with lemma and features from a dictionary (text, lang, lemma, upos, feats) where they have none of their own.
+
+    The dictionary has one row for a text and language, or the first of several counts.
+    """
+    first = lemma_map.groupBy("text", "lang").agg(F.min(F.struct("lemma", "upos", "feats")).alias("_map"))
+    joined = words.join(first.repartition("text", "lang"), ["text", "lang"], "left")
+    found = F.struct(F.col("_map.upos").alias("upos"), F.col("_map.feats").alias("feats"))
+    return joined.withColumn("lemma", F.coalesce("lemma", indexed_lemma(F.col("_map.lemma")))).withColumn("feat", F.coalesce("feat", F.when(F.coalesce("_map.upos", "_map.feats").isNotNull(), found))).drop("_map")
 
 
-def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, context_part: int = CONTEXT_PART) -> Index:
+def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, context_part: int = CONTEXT_PART, lemma_map: DataFrame | None = None) -> Index:
     """All tables from sidecar rows.
 
     Rows: root, version_path, citation_key, urn, lang, tokens (with words, identifier, urn), meta_base_urn, title, author,
-    source_repo.  ``version`` (root and path) is derived.  Ids depend on the rows' order alone.
+    source_repo.  ``version`` (root and path) is derived.  Ids depend on the rows' order alone.  ``lemma_map`` gives words
+    without a lemma one, see ``with_lemma_map``.
     """
     chunks, numbered, judged = accept_and_number(sidecars, langs)
     tokens = explode_tokens(chunks.select("doc_id", "chunk_id", "lang", "tokens"))
     words = words_only(tokens)
     word = F.get("words", F.lit(0))
-    words = kept(words.select("doc_id", "chunk_id", "seq", "lang", "text", key_text().alias("key_text"), occurrence(F.col("identifier")).alias("occ"), indexed_lemma(word["lemma"]).alias("lemma"), F.when((F.coalesce(word["upos"], F.lit("")) != "") | (F.coalesce(word["feats"], F.lit("")) != ""), F.struct(word["upos"].alias("upos"), word["feats"].alias("feats"))).alias("feat")), "words")
-    forms, form_ids = _dictionary(words, "text", "key_text", "form", "form_id")
-    lemmas, lemma_ids = _dictionary(words.drop("key_text").withColumn("key_text", F.col("lemma")), "lemma", "key_text", "lemma", "lemma_id")
+    words = words.select("doc_id", "chunk_id", "seq", "lang", "text", key_text().alias("key_text"), occurrence(F.col("identifier")).alias("occ"), indexed_lemma(word["lemma"]).alias("lemma"), F.when((F.coalesce(word["upos"], F.lit("")) != "") | (F.coalesce(word["feats"], F.lit("")) != ""), F.struct(word["upos"].alias("upos"), word["feats"].alias("feats"))).alias("feat"))
+    words = kept(words if lemma_map is None else with_lemma_map(words, lemma_map), "words")
+    forms, form_ids, form_keys = _dictionary(words, "text", "key_text", "form", "form_id")
+    lemmas, lemma_ids, lemma_keys = _dictionary(words.drop("key_text").withColumn("key_text", F.col("lemma")), "lemma", "key_text", "lemma", "lemma_id")
     met = words.filter(F.col("feat").isNotNull()).groupBy(F.col("feat.upos").alias("upos"), F.col("feat.feats").alias("feats")).agg(F.min(F.struct("chunk_id", "seq")).alias("first"))
-    feats = kept(dense_ids(kept(met, "met"), [F.col("first"), F.col("upos"), F.col("feats")], "feat_id").select("feat_id", "upos", "feats"), "feats")
+    met = kept(met, "met")
+    feats = kept(dense_ids(met, [F.col("first"), F.col("upos"), F.col("feats")], "feat_id").select("feat_id", "upos", "feats"), "feats")
 
     staging = words.join(form_ids.withColumnRenamed("_text", "text"), ["text", "key_text", "lang"])
     # words without a lemma must not meet in one task
@@ -120,6 +141,7 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
     staging = staging.join(lemma_ids.select(F.col("_text").alias("_lemma"), "lang", "lemma_id"), ["_lemma", "lang"], "left")
     staging = staging.join(feats.withColumnsRenamed({"upos": "_upos", "feats": "_feats"}), F.col("feat").isNotNull() & F.col("feat.upos").eqNullSafe(F.col("_upos")) & F.col("feat.feats").eqNullSafe(F.col("_feats")), "left")
     staging = kept(staging.select("doc_id", "chunk_id", "seq", "form_id", "occ", "lemma_id", "feat_id"), "staging")
+    forget(words, form_keys, lemma_keys, met)
 
     per_doc = numbered.groupBy("doc_id").agg(
         F.first("base_urn").alias("base_urn"), F.min_by("lang", "chunk_id").alias("lang"), F.first("title").alias("title"), F.first("author").alias("author"),

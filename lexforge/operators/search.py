@@ -24,6 +24,14 @@ def postings(index: Index, kind: str, ids: DataFrame) -> DataFrame:
     return index[f"{kind}_postings"].join(ids.select(name).distinct(), name, "left_semi")
 
 
+def postings_page(index: Index, kind: str, ids: DataFrame, after: tuple[int, int] | None = None, limit: int = 100) -> DataFrame:
+    """The next ``limit`` postings in reading order after (chunk_id, seq); the last row's pair is where the next page begins."""
+    found = postings(index, kind, ids)
+    if after is not None:
+        found = found.filter((F.col("chunk_id") > after[0]) | ((F.col("chunk_id") == after[0]) & (F.col("seq") > after[1])))
+    return found.orderBy("chunk_id", "seq").limit(limit)
+
+
 def hits(index: Index, found: DataFrame) -> DataFrame:
     """Postings with doc_id, form and the citable URN; sort by chunk_id and seq for reading order."""
     rows = found.join(index["chunks"], "chunk_id").join(index["documents"].select("doc_id", "base_urn"), "doc_id").join(index["forms"].select("form_id", "form"), "form_id")
@@ -66,11 +74,12 @@ def lemma_coverage(index: Index) -> DataFrame:
     return words.crossJoin(lemmas).withColumn("covered", F.col("with_lemma") > 0.5 * F.col("words"))  # single rows
 
 
-def check(index: Index, key: str, lang: str) -> dict[str, bool]:
-    """Integrity of a built index: ranges tile the chunks, counts agree, lemmas cover enough words, a key is found."""
+def check(index: Index, key: str, lang: str, manifest: dict | None = None) -> dict[str, bool]:
+    """Integrity of a built index: ranges tile the chunks, counts agree (with the manifest too), lemmas cover enough words, a key is found."""
     docs = index["documents"].agg(F.sum(F.col("last_chunk") - F.col("first_chunk") + 1).alias("chunks"), F.sum("n_words").alias("words")).head()
     forms = index["forms"].agg(F.sum("n").alias("n")).head()["n"]
-    return {
+    told = {} if manifest is None else {"manifest": all(index[t].count() == n for t, n in manifest["tables"].items()) and manifest["words"] == docs["words"]}
+    return told | {
         "documents": (docs["words"] or 0) > 0,
         "chunk_ranges": docs["chunks"] == index["chunks"].count(),
         "form_counts": forms == docs["words"] == index["form_doc_counts"].agg(F.sum("n").alias("n")).head()["n"],

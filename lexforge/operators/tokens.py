@@ -5,19 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.functions.arrays import let, running
 from lexforge.functions.keys import is_apostrophe, is_punctuation
 from lexforge.schema import CONTEXT_PART, TOKEN_SEP
 
-#: The offline tokenizer's tokens: runs of letters, marks and digits, or one other sign; a second group tells of a following space.
-TOKEN = r"([\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}])(\s?)"
+#: The offline tokenizer's tokens: runs of letters, marks and digits, or one other sign; with the space after them, if any.
+TOKEN = r"(?:[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}])\s?"
+_SPACES = " \t\n\x0b\f\r"
 _BLANK = r"^(?U:\s)+|(?U:\s)+$"
 
 
 def token_list(text: Column) -> Column:
     """array<struct<text, whitespace>> of the offline tokenizer; empty for a null or blank text."""
-    rx = F.lit(TOKEN)
-    whole = F.coalesce(text, F.lit(""))
-    return F.transform(F.arrays_zip(F.regexp_extract_all(whole, rx, F.lit(1)).alias("t"), F.regexp_extract_all(whole, rx, F.lit(2)).alias("w")), lambda z: F.struct(z["t"].alias("text"), (z["w"] != "").alias("whitespace")))
+    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+    return F.transform(pieces, lambda p: F.struct(F.rtrim(p, F.lit(_SPACES)).alias("text"), (F.length(F.rtrim(p, F.lit(_SPACES))) < F.length(p)).alias("whitespace")))
+
+
+def occurrences(tokens: Column) -> Column:
+    """array<int>: the how-manieth of its exact text each token of an array is, from 1.
+
+    Equal texts stand together in sorted order; a place less the place where its run begins is the count.
+    """
+    in_order = F.array_sort(F.transform(tokens, lambda t, i: F.struct(t["text"].alias("text"), i.alias("seq"))))
+
+    def counted(rows: Column) -> Column:
+        pairs = F.slice(F.arrays_zip(rows.alias("s"), F.concat(F.slice(rows, 1, F.least(F.size(rows), F.lit(1))), rows).alias("before")), 1, F.size(rows))
+        starts = running(F.transform(pairs, lambda p, i: F.when(p["s"]["text"] == p["before"]["text"], 0).otherwise(i)), lambda x, y: F.greatest(x, y))
+        return F.transform(F.arrays_zip(rows.alias("s"), starts.alias("start")), lambda z, i: F.struct(z["s"]["seq"].alias("seq"), (i - z["start"] + 1).alias("occ")))
+
+    return F.transform(F.array_sort(let(in_order, counted)), lambda z: z["occ"])
+
+
+def named_tokens(tokens: Column, chunk_urn: Column) -> Column:
+    """``tokens`` (text, whitespace) of one chunk with occ, identifier and urn, in place: no row leaves its task.
+
+    Words get a URN of chunk and identifier, punctuation and tokens of a chunk without a URN none.
+    """
+
+    def named(z: Column) -> Column:
+        identifier = F.concat(z["t"]["text"], F.lit("["), z["occ"].cast("string"), F.lit("]"))
+        return F.struct(z["t"]["text"].alias("text"), z["t"]["whitespace"].alias("whitespace"), z["occ"].alias("occ"), identifier.alias("identifier"), F.when(~is_punctuation(z["t"]["text"]), F.concat(z["urn"], F.lit("@"), identifier)).alias("urn"))
+
+    # the chunk's URN stands beside every token, so that the lambda refers to nothing outside
+    return let(tokens, lambda ts: F.transform(F.arrays_zip(ts.alias("t"), occurrences(ts).alias("occ"), F.array_repeat(chunk_urn, F.size(ts)).alias("urn")), named))
 
 
 def explode_tokens(df: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -1,12 +1,18 @@
-"""Analyzers: the offline one, and an optional one over spaCy and stanza where they and their models are installed."""
+"""Analyzers: the offline one, and those that a caller names.
+
+Models are not part of this package.  One plugs in as a class with ``language`` and ``tokens`` (see ``tokenize.Analyzer``)
+that makes token dicts with the fields of ``schema.TOKEN``.
+"""
 
 from __future__ import annotations
 
-import regex
+import importlib
+from collections.abc import Callable
 
-from lexforge.functions.names import SPACY_MODELS, STANZA_LANGS
+import regex
 
 _TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]")
+_WORD = dict.fromkeys(("id", "deprel", "deps", "feats", "head", "lemma", "misc", "text", "upos", "xpos"))
 
 
 class PlainAnalyzer:
@@ -21,58 +27,22 @@ class PlainAnalyzer:
         return [self.lang] * len(texts)
 
     def tokens(self, lang: str, segments: list[str]) -> list[list[dict]]:
-        out = []
-        for s in segments:
-            row = []
-            for k, m in enumerate(_TOKEN.finditer(s)):
-                word = {"id": k, "deprel": None, "deps": None, "feats": None, "head": None, "lemma": None, "misc": None, "text": m.group(), "upos": None, "xpos": None}
-                row.append({"start_char": m.start(), "end_char": m.end(), "id": [k], "misc": None, "ner": None, "text": m.group(), "whitespace": s[m.end() : m.end() + 1].isspace(), "words": [word], "identifier": None, "urn": None})
-            out.append(row)
-        return out
-
-
-class ModelAnalyzer:
-    """spaCy for Latin and Ancient Greek, stanza for other languages; ``full`` adds parser and entities."""
-
-    ids_count_along = True
-
-    def __init__(self, model_dir: str = "./stanza_models", full: bool = False):
-        self.model_dir, self.full = model_dir, full
-        self._loaded: dict = {}
+        return [[self._token(k, m) for k, m in enumerate(_TOKEN.finditer(s))] for s in segments]
 
-    def _stanza(self, lang: str, processors: str, **more):
-        import stanza
-
-        if (lang, processors) not in self._loaded:
-            self._loaded[lang, processors] = stanza.Pipeline(dir=self.model_dir, lang=lang, processors=processors, download_method=stanza.DownloadMethod.REUSE_RESOURCES, **more)
-        return self._loaded[lang, processors]
-
-    def language(self, texts: list[str]) -> list[str]:
-        from stanza.models.common.doc import Document
-
-        docs = [Document([], text=t) for t in texts]
-        self._stanza("multilingual", "langid", langid_lang_subset=[*STANZA_LANGS, *SPACY_MODELS])(docs)
-        return [d.lang for d in docs]
+    @staticmethod
+    def _token(k: int, m) -> dict:
+        own = {"start_char": m.start(), "end_char": m.end(), "id": [k], "text": m.group(), "whitespace": m.string[m.end() : m.end() + 1].isspace()}
+        return own | {"words": [_WORD | {"id": k, "text": m.group()}], "misc": None, "ner": None, "identifier": None, "urn": None}
 
-    def tokens(self, lang: str, segments: list[str]) -> list[list[dict]]:
-        if lang in SPACY_MODELS:
-            import spacy
 
-            if lang not in self._loaded:
-                self._loaded[lang] = spacy.load(SPACY_MODELS[lang], exclude=[] if self.full else ["parser", "ner"])
-            self.ids_count_along = True
-            return [[self._spacy(t) for t in doc] for doc in self._loaded[lang].pipe(segments, batch_size=8)]
-        self.ids_count_along = False
-        pipeline = self._stanza(lang, "tokenize,mwt,pos,lemma,depparse" if self.full else "tokenize")
-        return [[self._of_stanza(t) for sentence in pipeline(s).sentences for t in sentence.tokens] for s in segments]
+def named_analyzer(name: str, full: bool = False) -> Callable[[], object]:
+    """A maker of the analyzer ``module:Class``, which is imported in every worker; ``full`` is passed on if it is true."""
+    module, colon, attribute = name.partition(":")
+    if not colon:
+        raise ValueError(f"{name!r} is not module:Class")
 
-    @staticmethod
-    def _spacy(t) -> dict:
-        headed = bool(t.dep_) and t.dep_ != "ROOT"
-        word = {"id": t.i, "deprel": t.dep_ or None, "deps": None, "feats": str(t.morph) or None, "head": t.head.i if headed else None, "lemma": t.lemma_ or None, "misc": None, "text": t.text, "upos": t.pos_ or None, "xpos": t.tag_ or None}
-        return {"start_char": t.idx, "end_char": t.idx + len(t.text), "id": [t.i], "misc": None, "ner": t.ent_type_ or None, "text": t.text, "whitespace": bool(t.whitespace_), "words": [word], "identifier": None, "urn": None}
+    def make():
+        kind = getattr(importlib.import_module(module), attribute)
+        return kind(full=True) if full else kind()
 
-    @staticmethod
-    def _of_stanza(t) -> dict:
-        words = [{"id": w.id, "deprel": w.deprel, "deps": w.deps, "feats": w.feats, "head": w.head, "lemma": w.lemma, "misc": None, "text": w.text, "upos": w.upos, "xpos": w.xpos} for w in t.words]
-        return {"start_char": t.start_char, "end_char": t.end_char, "id": list(t.id), "misc": None, "ner": None, "text": t.text, "whitespace": bool(t.spaces_after), "words": words, "identifier": None, "urn": None}
+    return make

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from lexforge.operators import search
 from lexforge.plans import pipeline
-from lexforge.plans.analyzers import ModelAnalyzer, PlainAnalyzer
+from lexforge.plans.analyzers import PlainAnalyzer, named_analyzer
 from lexforge.plans.publish import open_published, parse_sources
 
 
@@ -36,14 +36,18 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--corpus-root", required=True)
             c.add_argument("--manifest")
         c.add_argument("--base", default="tokenized-pages", help="folder of chunks, manifest and sidecars")
-        c.add_argument("--model-dir", default="./stanza_models")
-        c.add_argument("--plain-lang", help="use the offline tokenizer, for texts in this language")
+        how = c.add_mutually_exclusive_group(required=True)
+        how.add_argument("--analyzer", metavar="MODULE:CLASS", help="the model to use")
+        how.add_argument("--plain-lang", help="use the offline tokenizer, for texts in this language")
+        c.add_argument("--tokens-dir", help="write the sidecars as a tree of files too")
         c.add_argument("--force", action="store_true")
         if name != "analyze":
             c.add_argument("--prune", action="store_true")
             c.add_argument("--time-budget-minutes", type=float)
     c = commands.add_parser("index")
-    c.add_argument("--base", action="append", required=True)
+    c.add_argument("--base", action="append", default=[])
+    c.add_argument("--tokens-dir", action="append", default=[], help="a tree of sidecar files")
+    c.add_argument("--lemma-map", help="a Parquet table (text, lang, lemma, upos, feats)")
     c.add_argument("--out", required=True)
     c.add_argument("--langs", default="grc,la")
     c.add_argument("--source", action="append", default=[], metavar="NAME=VALUE")
@@ -55,21 +59,25 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    a = _parser().parse_args(args)
+    parser = _parser()
+    a = parser.parse_args(args)
     spark = spark or SparkSession.builder.appName("lexforge").getOrCreate()
     if a.command == "index":
         stores = [pipeline.Store(spark, b) for b in a.base]
-        _, manifest = pipeline.index(spark, stores, a.out, tuple(x.strip() for x in a.langs.split(",") if x.strip()), parse_sources(a.source))
+        if not stores and not a.tokens_dir:
+            parser.error("--base or --tokens-dir is needed")
+        lemmas = spark.read.parquet(a.lemma_map) if a.lemma_map else None
+        _, manifest = pipeline.index(spark, stores, a.out, tuple(x.strip() for x in a.langs.split(",") if x.strip()), parse_sources(a.source), a.tokens_dir, lemmas)
         print(json.dumps(manifest, ensure_ascii=False))
         return 0
     if a.command == "check":
-        index, _ = open_published(spark, a.out)
-        found = search.check(index, a.key, a.lang)
+        index, manifest = open_published(spark, a.out)
+        found = search.check(index, a.key, a.lang, manifest)
         print(json.dumps(found))
         return int(not all(found.values()))
     store = pipeline.Store(spark, a.base)
-    full, lang, models = a.command == "analyze", a.plain_lang, a.model_dir
-    model = (lambda: PlainAnalyzer(lang)) if lang else (lambda: ModelAnalyzer(models, full))
+    lang = a.plain_lang
+    model = (lambda: PlainAnalyzer(lang)) if lang else named_analyzer(a.analyzer, a.command == "analyze")
     if a.command == "analyze":
         counts = pipeline.analyze(spark, store, model, a.force)
     elif a.command == "tokenize":
@@ -77,10 +85,11 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         counts = pipeline.tokenize(spark, store, model, _versions(), a.force, a.prune, deadline)
     else:
         record = pipeline.run(spark, a.corpus_root, store, model, _versions(), a.force, a.prune, a.time_budget_minutes, a.manifest)
-        print(json.dumps(record["tokenize"]))
-        return record["exit_status"]
+        counts, status = record["tokenize"], record["exit_status"]
+    if a.tokens_dir:
+        pipeline.export(store, a.tokens_dir)
     print(json.dumps(counts))
-    return int(counts["failed"] > 0)
+    return status if a.command == "pipeline" else int(counts["failed"] > 0)
 
 
 if __name__ == "__main__":

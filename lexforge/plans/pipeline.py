@@ -1,7 +1,8 @@
 """The four runs: compile sources, tokenize chunks, analyze chunks, index sidecars; and the pipeline of the first two.
 
-State lives under a base folder as Parquet snapshots: ``chunks``, ``works``, ``manifest`` and ``sidecars``.  A run writes
-the next snapshot in full and then swaps the pointer, so that readers never see half of one.
+State lives under a base folder as Parquet tables: ``chunks``, ``works``, ``manifest`` and ``sidecars``.  A run appends
+parts, whose rows replace older ones of the same key, and publishes each by a new pointer, so that readers see a table
+before or after a step, and a run that ends early loses only what it had not published.
 """
 
 from __future__ import annotations
@@ -10,47 +11,87 @@ import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.functions.names import pipeline_version, sidecar_name, urn_is_valid, work_path
-from lexforge.operators.incremental import compile_status, live_manifest, missing_works, next_manifest, plan_chunks, stale_sidecars, within_budget
+from lexforge.operators.incremental import compile_status, live_manifest, missing_works, plan_chunks, stale_sidecars, within_budget
 from lexforge.operators.index import Index, build_index, citation_order
 from lexforge.plans.publish import publish
 from lexforge.plans.tokenize import Analyzer, analyze_chunks, finish
 from lexforge.schema import DEFAULT_LANGS, MANIFEST, SEGMENT_CHARS, TOKEN
-from lexforge.sources.storage import get_text, put_text, remove
+from lexforge.sources.sidecars import export_tree, pack_sidecars, read_sidecars, version_files
+from lexforge.sources.storage import forget, get_text, kept, names_in, put_new_text, put_text, remove
 from lexforge.sources.tei import has_element, scan_sources, split_tei
 
 CHUNKS = "version_path string, ord int, chunk_name string, urn string, primary_text string, sha string"
 WORKS = "version_path string, base_urn string, title string, author string, source_repo string, compiled_at timestamp"
 SIDECARS = f"version_path string, chunk_name string, sha string, urn string, lang string, tokens array<{TOKEN}>"
-#: Chunks of a model call.
-BATCH = 256
+#: What a row of a later part replaces.
+KEYS = {"chunks": ["version_path"], "works": ["version_path"], "manifest": ["version_path", "chunk_name"], "sidecars": ["version_path", "chunk_name"]}
+#: Parts from which on a table is written anew as one.
+MOST_PARTS = 16
 
 
 @dataclass
 class Store:
-    """Snapshots under a base folder; a small file names the current one of each table."""
+    """Tables under a base folder.  The pointer with the highest number names a table's parts; there is one writer."""
 
     spark: SparkSession
     base: str
 
+    def _pointers(self, name: str) -> list[str]:
+        found = names_in(self.spark, f"{self.base}/{name}.current")
+        numbers = sorted(x for x in found or () if x.isdigit())
+        if found is not None and not numbers and names_in(self.spark, f"{self.base}/{name}"):
+            raise FileNotFoundError(f"{self.base}/{name}.current has lost its pointers")
+        return numbers
+
+    def parts(self, name: str) -> list[str]:
+        """Folders of the table's parts, from old to new."""
+        numbers = self._pointers(name)
+        return get_text(self.spark, f"{self.base}/{name}.current/{numbers[-1]}").split() if numbers else []
+
     def read(self, name: str, schema: str) -> DataFrame:
-        current = get_text(self.spark, f"{self.base}/{name}.current")
-        if current is None:
+        parts = self.parts(name)
+        each = [self.spark.read.schema(schema).parquet(f"{self.base}/{name}/{p}") for p in parts]
+        if not each:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}/{current}")
-
-    def write(self, name: str, df: DataFrame) -> None:
-        """Writes a new snapshot, swaps the pointer, and removes the snapshot before."""
-        before = get_text(self.spark, f"{self.base}/{name}.current")
+        if len(each) == 1:
+            return each[0]
+        columns, key = each[0].columns, KEYS[name]
+        later = reduce(DataFrame.unionByName, [df.select(*key, F.lit(k).alias("_by")) for k, df in enumerate(each) if k]).distinct()
+        rows = reduce(DataFrame.unionByName, [df.withColumn("_part", F.lit(k)) for k, df in enumerate(each)])
+        later = later.withColumnsRenamed({c: f"_{c}" for c in key})
+        return rows.join(later, [F.col(c) == F.col(f"_{c}") for c in key] + [F.col("_by") > F.col("_part")], "left_anti").select(*columns)
+
+    def _publish(self, name: str, df: DataFrame, parts: list[str]) -> None:
+        """Writes a part, then a pointer to ``parts`` and it, and removes what only pointers before the last one name."""
+        numbers = self._pointers(name)
         new = f"v{time.time_ns()}"
         df.write.option("compression", "zstd").parquet(f"{self.base}/{name}/{new}")
-        put_text(self.spark, f"{self.base}/{name}.current", new)
-        if before:
-            remove(self.spark, f"{self.base}/{name}/{before}")
+        put_new_text(self.spark, f"{self.base}/{name}.current/{int(numbers[-1]) + 1 if numbers else 0:012d}", "\n".join([*parts, new]))
+        wanted = {*parts, new, *(get_text(self.spark, f"{self.base}/{name}.current/{numbers[-1]}").split() if numbers else ())}
+        for old in numbers[:-1]:
+            remove(self.spark, f"{self.base}/{name}.current/{old}")
+        for folder in names_in(self.spark, f"{self.base}/{name}") or ():
+            if folder not in wanted:
+                remove(self.spark, f"{self.base}/{name}/{folder}")
+
+    def write(self, name: str, df: DataFrame) -> None:
+        """The whole table anew; readers of the state before may go on until the next write."""
+        self._publish(name, df, [])
+
+    def append(self, name: str, df: DataFrame) -> None:
+        """More rows, which replace those of the same key."""
+        self._publish(name, df, self.parts(name))
+
+    def compact(self, name: str, schema: str) -> None:
+        """One part in place of very many."""
+        if len(self.parts(name)) > MOST_PARTS:
+            self.write(name, self.read(name, schema))
 
 
 def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: str = "div", force: bool = False, source_repo: str | None = None) -> DataFrame:
@@ -64,14 +105,17 @@ def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: st
     rows = parsed.select("rel_path", "modified", "has_structure", F.coalesce("s.base_urn", F.lit("")).alias("base_urn"), "s.title", "s.author", "s.chunks", "s.error").withColumn("urn_ok", urn_is_valid(F.col("base_urn")))
     works = store.read("works", WORKS)
     known = works.groupBy("base_urn").agg(F.max("compiled_at").alias("compiled_at"))
-    status = compile_status(rows, known, force).withColumn("version_path", work_path(F.col("base_urn"))).persist()
+    status = compile_status(rows, known, force).withColumn("version_path", work_path(F.col("base_urn")))
+    status = kept(status, "compiled")
     fresh = status.filter("status = 'pending'")
     made = fresh.select("version_path", "base_urn", F.posexplode("chunks").alias("ord", "c")).select("version_path", "ord", F.concat("c.ref", F.lit(".xml")).alias("chunk_name"), F.concat("base_urn", F.lit(":"), "c.ref").alias("urn"), F.col("c.text").alias("primary_text"))
     made = made.withColumn("sha", F.sha2("primary_text", 256))
-    new_works = fresh.select("version_path", "base_urn", "title", "author", F.lit(source_repo).alias("source_repo"), F.current_timestamp().alias("compiled_at"))
-    done = fresh.select("version_path").distinct()
-    store.write("chunks", store.read("chunks", CHUNKS).join(done, "version_path", "left_anti").unionByName(made))
-    store.write("works", works.join(done, "version_path", "left_anti").unionByName(new_works))
+    new_works = fresh.select("version_path", "base_urn", "title", "author", F.lit(source_repo).cast("string").alias("source_repo"), F.current_timestamp().alias("compiled_at"))
+    if not fresh.isEmpty():
+        store.append("chunks", made)
+        store.append("works", new_works)
+        store.compact("chunks", CHUNKS)
+        store.compact("works", WORKS)
     reason = F.when(F.col("status") != "failed", None).otherwise(F.coalesce("error", F.concat(F.lit("no CTS URN: "), "base_urn")))
     return status.select(F.col("rel_path").alias("path"), F.when(F.col("status") == "pending", "compiled").otherwise(F.col("status")).alias("status"), reason.alias("reason"), F.when(F.col("status").isin("pending", "skipped"), F.col("base_urn")).alias("urn_base"), F.when(F.col("status") == "pending", F.size("chunks")).alias("chunk_count"))
 
@@ -79,36 +123,35 @@ def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: st
 def tokenize(spark: SparkSession, store: Store, model: Callable[[], Analyzer], versions: dict[str, str], force: bool = False, prune: bool = False, deadline: float | None = None, batch: int = 1 << 16) -> dict[str, int]:
     """Makes the sidecars that are out of date; returns counts of generated, skipped, failed, deferred and pruned.
 
-    Work goes in batches of ``batch`` chunks, each written before the next begins; past ``deadline`` (time.monotonic) the
+    Work goes in batches of ``batch`` chunks, each appended before the next begins; past ``deadline`` (time.monotonic) the
     rest is deferred.  Failed and deferred chunks keep their old entry and sidecar and are tried again.
     """
     chunks, manifest, sidecars = store.read("chunks", CHUNKS), store.read("manifest", MANIFEST), store.read("sidecars", SIDECARS)
     have = sidecars.select("version_path", sidecar_name(F.col("chunk_name")).alias("sidecar"))
-    planned = plan_chunks(chunks, manifest, have, versions, force).persist()
+    planned = kept(plan_chunks(chunks, manifest, have, versions, force), "planned")
     total = {r["up_to_date"]: r["n"] for r in planned.groupBy("up_to_date").agg(F.count("*").alias("n")).collect()}
     counts = {"generated": 0, "skipped": total.get(True, 0), "failed": 0, "deferred": 0, "pruned": 0}
     left, k = total.get(False, 0), 0
     order = [F.col("version_path"), F.col("ord"), F.col("chunk_name")]
-    ranked = within_budget(planned, order, batch, None).filter("status = 'pending'").persist()
+    ranked = kept(within_budget(planned, order, batch, None).filter("status = 'pending'"), "ranked")
     while left > 0:
         if deadline is not None and time.monotonic() >= deadline:
             counts["deferred"] = left
             break
-        part = ranked.filter(F.col("batch") == k)
-        analyzed = analyze_chunks(part, model, segment_chars=SEGMENT_CHARS).persist()
-        done = finish(analyzed)
-        entries = done.select("version_path", "chunk_name", "sha", "lang").withColumn("pipeline", pipeline_version(F.col("lang"), versions))
-        key = ["version_path", "chunk_name"]
-        old_sidecars, old_manifest = store.read("sidecars", SIDECARS), store.read("manifest", MANIFEST)
-        store.write("sidecars", old_sidecars.join(done.select(*key), key, "left_anti").unionByName(done))
-        store.write("manifest", next_manifest(old_manifest, entries, chunks))
+        analyzed = kept(analyze_chunks(ranked.filter(F.col("batch") == k), model, segment_chars=SEGMENT_CHARS), "analyzed")
         n = analyzed.agg(F.count("*").alias("n"), F.count("error").alias("bad")).head()
-        analyzed.unpersist()
+        done = kept(finish(analyzed), "finished")
+        # sidecars first: a chunk without an entry is made again, an entry without its sidecar would not be
+        store.append("sidecars", done)
+        store.append("manifest", done.select("version_path", "chunk_name", "sha", "lang").withColumn("pipeline", pipeline_version(F.col("lang"), versions)))
+        forget(analyzed, done)
         counts["generated"] += n["n"] - n["bad"]
         counts["failed"] += n["bad"]
         left, k = left - n["n"], k + 1
-    ranked.unpersist()
-    planned.unpersist()
+    forget(ranked, planned)
+    store.compact("sidecars", SIDECARS)
+    if k:
+        store.write("manifest", live_manifest(store.read("manifest", MANIFEST), chunks))
     if prune:
         counts["pruned"] = prune_stale(store)
     return counts
@@ -120,11 +163,13 @@ def prune_stale(store: Store) -> int:
     names = sidecars.withColumn("sidecar", sidecar_name(F.col("chunk_name")))
     gone_works = missing_works(store.read("manifest", MANIFEST), works)
     gone = stale_sidecars(names, chunks).select("version_path", "chunk_name").unionByName(names.join(gone_works, "version_path", "left_semi").select("version_path", "chunk_name")).distinct()
+    gone = kept(gone, "gone")
     n = gone.count()
     if n:
         store.write("sidecars", sidecars.join(gone, ["version_path", "chunk_name"], "left_anti"))
         live = live_manifest(store.read("manifest", MANIFEST), chunks).join(gone_works, "version_path", "left_anti")
         store.write("manifest", live)
+    forget(gone)
     return n
 
 
@@ -133,12 +178,12 @@ def analyze(spark: SparkSession, store: Store, model: Callable[[], Analyzer], fo
     key = ["version_path", "chunk_name"]
     chunks, sidecars = store.read("chunks", CHUNKS), store.read("sidecars", SIDECARS)
     todo = chunks if force else chunks.join(sidecars.select(*key), key, "left_anti")
-    analyzed = analyze_chunks(todo, model, sample=False, segment_chars=None).persist()
-    done = finish(analyzed)
+    analyzed = kept(analyze_chunks(todo, model, sample=False, segment_chars=None), "analyzed")
     n = analyzed.agg(F.count("*").alias("n"), F.count("error").alias("bad")).head()
     total = chunks.count()
-    store.write("sidecars", sidecars.join(done.select(*key), key, "left_anti").unionByName(done))
-    analyzed.unpersist()
+    store.append("sidecars", finish(analyzed))
+    store.compact("sidecars", SIDECARS)
+    forget(analyzed)
     return {"generated": n["n"] - n["bad"], "failed": n["bad"], "skipped": total - n["n"]}
 
 
@@ -153,20 +198,47 @@ def sidecar_rows(stores: list[Store]) -> DataFrame:
     return out
 
 
-def index(spark: SparkSession, stores: list[Store], out: str, langs: tuple[str, ...] = DEFAULT_LANGS, sources: dict[str, str] | None = None) -> tuple[Index, dict]:
-    """Builds and publishes the index of the stores' sidecars."""
-    built = build_index(sidecar_rows(stores), langs)
-    return built, publish(spark, built, out, langs, sources)
+def tree_rows(spark: SparkSession, roots: list[str]) -> tuple[DataFrame, int]:
+    """Rows for ``build_index`` of sidecar trees, and the number of sidecars that can't be read; those are left out."""
+    found = kept(read_sidecars(spark, roots), "sidecars")
+    version = ["root", "version_path"]
+    listed = found.filter("ord is not null").select(*version, "chunk_name", "ord")
+    good = found.filter("error is null").drop("ord", "error")
+    return citation_order(good, listed, version), found.filter("error is not null").count()
+
+
+def index(spark: SparkSession, stores: list[Store], out: str, langs: tuple[str, ...] = DEFAULT_LANGS, sources: dict[str, str] | None = None, trees: list[str] | None = None, lemma_map: DataFrame | None = None) -> tuple[Index, dict]:
+    """Builds and publishes the index of the stores' sidecars, and of sidecar trees, which come after the stores."""
+    rows, broken = (sidecar_rows(stores), 0) if stores else (None, 0)
+    if trees:
+        more, broken = tree_rows(spark, trees)
+        more = more.withColumn("root", F.col("root") + len(stores))
+        columns = ["root", "version_path", "citation_key", "urn", "lang", "tokens", "meta_base_urn", "title", "author", "source_repo"]
+        key = lambda df: df.withColumn("citation_key", F.col("citation_key").cast(more.schema["citation_key"].dataType))
+        rows = more.select(*columns) if rows is None else key(rows).select(*columns).unionByName(more.select(*columns))
+    built = build_index(rows, langs, lemma_map=lemma_map)
+    return built, publish(spark, built, out, langs, sources, {"broken_sidecars": broken} if trees else None)
+
+
+def export(store: Store, root: str) -> int:
+    """The store's sidecars, indexes and metadata as a tree of files, written by the tasks; returns their number."""
+    sidecars, chunks = store.read("sidecars", SIDECARS), store.read("chunks", CHUNKS)
+    return export_tree(pack_sidecars(sidecars).unionByName(version_files(store.read("works", WORKS), chunks)), root)
 
 
 def run(spark: SparkSession, corpus_root: str, store: Store, model: Callable[[], Analyzer], versions: dict[str, str], force: bool = False, prune: bool = False, time_budget_minutes: float | None = None, manifest: str | None = None) -> dict:
-    """Compile and tokenize under one time budget; writes a record of the run, and returns it with an exit status."""
+    """Compile and tokenize under one time budget; writes a record of the run, and returns it with an exit status.
+
+    What became of every source file stands in a JSON table beside the record, which names it.
+    """
     started = time.time()
     deadline = None if time_budget_minutes is None else time.monotonic() + 60 * time_budget_minutes
     works = compile_corpus(spark, corpus_root, store, force=force)
-    rows = [r.asDict() for r in works.orderBy("path").collect()]  # one row for each source file
+    place = f"{store.base}/_works/{time.time_ns()}"
+    works.write.json(place)
+    statuses = {r["status"]: r["n"] for r in works.groupBy("status").agg(F.count("*").alias("n")).collect()}
     counts = tokenize(spark, store, model, versions, force=force, prune=prune, deadline=deadline)
-    record = {"corpus_root": corpus_root, "base": store.base, "started": started, "finished": time.time(), "works": rows, "tokenize": counts}
+    record = {"corpus_root": corpus_root, "base": store.base, "started": started, "finished": time.time(), "works": place, "statuses": statuses, "tokenize": counts}
     put_text(spark, manifest or f"{store.base}/_run-manifest.json", json.dumps(record, ensure_ascii=False, indent=1, default=str))
-    failed = counts["failed"] + sum(r["status"] == "failed" for r in rows)
+    failed = counts["failed"] + statuses.get("failed", 0)
     return record | {"exit_status": int(failed > 0)}

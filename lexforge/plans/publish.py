@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexforge.operators.index import CLUSTERING, Index, read_tables, write_tables
 from lexforge.schema import DEFAULT_LANGS, SCHEMA_VERSION
-from lexforge.sources.storage import get_text, put_text, remove, rename, shared_path
+from lexforge.sources.storage import get_text, names_in, put_text, remove, rename, shared_path, size_of
 
 
 def content_digest(index: Index) -> str:
@@ -36,7 +36,7 @@ def parse_sources(pairs: list[str]) -> dict[str, str]:
     return out
 
 
-def publish(spark: SparkSession, index: Index, out: str, langs: tuple[str, ...] = DEFAULT_LANGS, sources: dict[str, str] | None = None) -> dict:
+def publish(spark: SparkSession, index: Index, out: str, langs: tuple[str, ...] = DEFAULT_LANGS, sources: dict[str, str] | None = None, more: dict | None = None) -> dict:
     """Writes ``out``/search-<12 hex digits>/ and then ``out``/manifest.json; returns the manifest."""
     started = datetime.datetime.now(datetime.UTC)
     draft = f"{out.rstrip('/')}/.draft-{shared_path(spark, 'x').rsplit('-', 1)[1]}"
@@ -44,10 +44,14 @@ def publish(spark: SparkSession, index: Index, out: str, langs: tuple[str, ...]
     stored = read_tables(spark, draft)
     digest = content_digest(stored)
     name = f"search-{digest[:12]}"
-    remove(spark, f"{out.rstrip('/')}/{name}")
-    rename(spark, draft, f"{out.rstrip('/')}/{name}")
+    place = f"{out.rstrip('/')}/{name}"
+    if names_in(spark, place) is None:
+        rename(spark, draft, place)
+    else:  # equal content is published under this name, and may be in use
+        remove(spark, draft)
     stats = index.stats.head().asDict()
-    manifest = {"schema_version": SCHEMA_VERSION, "index": name, "sha256": digest, "langs": list(langs), "sources": sources or {}, **stats, "built_at": started.isoformat(timespec="seconds"), "seconds": round((datetime.datetime.now(datetime.UTC) - started).total_seconds())}
+    counts = {t: read_tables(spark, place)[t].count() for t in CLUSTERING}
+    manifest = {"schema_version": SCHEMA_VERSION, "index": name, "sha256": digest, "langs": list(langs), "sources": sources or {}, **stats, **(more or {}), "tables": counts, "size": size_of(spark, place), "built_at": started.isoformat(timespec="seconds"), "seconds": round((datetime.datetime.now(datetime.UTC) - started).total_seconds())}
     put_text(spark, f"{out.rstrip('/')}/manifest.json", json.dumps(manifest, ensure_ascii=False, indent=1))
     return manifest
 

@@ -18,10 +18,10 @@ from lexforge.functions.segments import segments
 from lexforge.operators import incremental, search
 from lexforge.operators.index import Index, accept_and_number, accepted_chunks, build_index, citation_order, read_tables, write_tables
 from lexforge.operators.numbering import dense_ids
-from lexforge.operators.tokens import explode_tokens, finalize, first_word, indexed_lemma, key_text, shift_segments, token_list, with_occurrence, with_urn, words_only
+from lexforge.operators.tokens import explode_tokens, finalize, first_word, indexed_lemma, key_text, named_tokens, shift_segments, token_list, words_only
 from lexforge.plans.tokenize import tokenize_native
 from lexforge.sources.sidecars import chunk_listing, export_tree, pack_sidecars, parse_metadata, read_sidecar_names, read_sidecars, read_versions, version_files
-from lexforge.sources.storage import shared_path
+from lexforge.sources.storage import kept, shared_path, spread
 from lexforge.sources.tei import has_element, read_chunk, scan_sources
 
 LANGS = ("en", "fr", "de")
@@ -47,7 +47,7 @@ def query(sql: str | None, name: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,10 +64,9 @@ def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.lit("testLit/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit("/v1"))
     urn = F.concat(F.lit("urn:cts:testLit:"), F.col("lang"), F.lit("."), F.col("source"), F.lit(".v1:"), F.col("doc_id").cast("string"))
     chunks = docs.select(F.lit(0).alias("root"), path.alias("version_path"), natural_key(F.col("doc_id").cast("string")).alias("citation_key"), "lang", urn.alias("urn"), F.lit(None).cast("string").alias("meta_base_urn"), F.concat("lang", F.lit(" "), "source").alias("title"), F.lit(None).cast("string").alias("author"), F.lit(None).cast("string").alias("source_repo"), F.col("text").alias("primary_text"))
-    word = F.col("text")
-    lemma = F.when(F.length(word) >= 3, F.lower(word))
-    upos = F.when(word.rlike("^[0-9]+$"), "NUM").when(F.length(word) >= 2, "X")
-    feats = F.when(F.length(word) >= 10, "Len=Long")
+    lemma = lambda word: F.when(F.length(word) >= 3, F.lower(word))
+    upos = lambda word: F.when(word.rlike("^[0-9]+$"), "NUM").when(F.length(word) >= 2, "X")
+    feats = lambda word: F.when(F.length(word) >= 10, "Len=Long")
     return tokenize_native(chunks, ["root", "version_path", "citation_key", "lang", "meta_base_urn", "title", "author", "source_repo"], lemma, upos, feats)
 
 
@@ -164,8 +163,8 @@ def is_apostrophe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_occ(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     urn = F.concat(F.lit("urn:cts:testLit:"), "lang", F.lit("."), "source", F.lit(".v1:"), F.col("doc_id").cast("string"))
-    rows = explode_tokens(docs.select(F.col("doc_id").alias("cid"), urn.alias("chunk_urn"), token_list(F.col("text")).alias("tokens")))
-    return _longs(with_urn(with_occurrence(rows, ["cid"])).select("cid", "seq", "text", "whitespace", "occ", "identifier", "urn"))
+    rows = docs.select(F.col("doc_id").alias("cid"), F.posexplode(named_tokens(token_list(F.col("text")), urn)).alias("seq", "t"))
+    return _longs(rows.select("cid", "seq", "t.text", "t.whitespace", "t.occ", "t.identifier", "t.urn"))
 
 
 _ELISION = [(1, "δ", False, "’"), (2, "μυρί", False, "᾽"), (3, "δ", True, "’"), (4, "ἄειδε", False, ","), (5, "ʼ", False, "ʼ"), (6, "qu", False, None), (7, "δ", None, "'")]
@@ -434,7 +433,9 @@ _CITATION = "SELECT lang || '/' || source AS version, doc_id, row_number() OVER
 def cited_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, listed = _sidecar_names(spark, sf_dir)
     rows = citation_order(docs, listed, ["version"])
-    return _longs(rows.select("version", "doc_id", F.row_number().over(Window.partitionBy("version").orderBy("citation_key")).alias("place")))
+    numbered = kept(dense_ids(kept(rows.select("version", "doc_id", "citation_key"), "cited"), [F.col("version"), F.col("citation_key")], "number"), "numbered")
+    first = F.broadcast(numbered.groupBy("version").agg(F.min("number").alias("first")))  # a row for each of some 80 versions
+    return _longs(numbered.join(first, "version").select("version", "doc_id", (F.col("number") - F.col("first") + 1).alias("place")))
 
 
 @query("SELECT lang || '/' || source AS version, doc_id, 1 AS times, -doc_id AS ord FROM documents WHERE doc_id % 4 <> 0")
@@ -534,7 +535,13 @@ def lemma_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.lemma_coverage(stored(spark, sf_dir))
 
 
-@query(None, name="build_index")
+_TABLE_ROWS = {
+    "documents": "documents_t", "chunks": "numbered", "chunk_context": "(SELECT DISTINCT chunk_id, seq // 32 FROM tok)", "forms": "forms", "forms_by_loose": "forms", "lemmas": "lemmas", "lemmas_by_loose": "lemmas", "feats": "feats_t",
+    "form_postings": "staging", "lemma_postings": "(SELECT 1 FROM staging WHERE lemma_id IS NOT NULL)", "form_doc_counts": "(SELECT DISTINCT form_id, doc_id FROM staging)", "lemma_doc_counts": "(SELECT DISTINCT lemma_id, doc_id FROM staging WHERE lemma_id IS NOT NULL)",
+}
+
+
+@query(_sql(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {rows}" for name, rows in _TABLE_ROWS.items())), name="build_index")
 def build_index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every written table."""
     index = stored(spark, sf_dir)
@@ -571,7 +578,7 @@ def lookup_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strict.unionByName(_ids(index, "lemmas", "étion", "fr", loose=True).select("lemma_id", "lemma", "n", F.lit("loose").alias("by")))
 
 
-@query(_sql("SELECT s.form_id, s.chunk_id, s.seq, s.occ FROM staging s JOIN forms f USING (form_id) WHERE f.key = 'with' AND f.lang = 'en'"))
+@query(_sql("SELECT f.form_id, w.chunk_id, w.seq, w.occ FROM word w JOIN (SELECT text, lang, key, row_number() OVER (ORDER BY at) AS form_id FROM (SELECT text, key, loose, lang, min(pos) AS at FROM word GROUP BY ALL)) f USING (text, lang, key) WHERE w.key = 'with' AND w.lang = 'en'"))
 def lookup_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = stored(spark, sf_dir)
     return _longs(search.postings(index, "form", _ids(index, "forms", "with", "en")).select("form_id", "chunk_id", "seq", "occ"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.names import language_sample
 from lexforge.functions.segments import cuts
-from lexforge.operators.tokens import explode_tokens, finalize, token_list, with_occurrence, with_urn
+from lexforge.operators.tokens import finalize, named_tokens, token_list
 from lexforge.schema import LANGID_SAMPLE_CHARS, SEGMENT_CHARS, TOKEN
 
 
@@ -104,17 +104,17 @@ def finish(analyzed: DataFrame) -> DataFrame:
     return good.select(*key, "sha", "urn", "lang").join(lists, key, "left").withColumn("tokens", F.coalesce("tokens", F.array().cast(f"array<{TOKEN}>")))
 
 
-def tokenize_native(chunks: DataFrame, keep: list[str], lemma: Column | None = None, upos: Column | None = None, feats: Column | None = None, text: str = "primary_text") -> DataFrame:
-    """Sidecar rows of the offline tokenizer, without Python: ``keep``, urn and tokens (text, whitespace, identifier, urn, words).
+def tokenize_native(chunks: DataFrame, keep: list[str], lemma: Callable[[Column], Column] | None = None, upos: Callable[[Column], Column] | None = None, feats: Callable[[Column], Column] | None = None, text: str = "primary_text") -> DataFrame:
+    """Sidecar rows of the offline tokenizer, one for each row of ``chunks``, without Python or a shuffle: ``keep``, urn and tokens (text, whitespace, identifier, urn, words).
 
-    It knows no morphology; ``lemma``, ``upos`` and ``feats`` are columns over ``text`` that a caller may give, such as a
-    dictionary look-up.
+    It knows no morphology; ``lemma``, ``upos`` and ``feats`` are expressions over a word's text that a caller may give
+    (a dictionary is joined later, in ``build_index``).  A null or blank text has no tokens; tokens of a chunk without a
+    URN have identifiers only; repeated rows are chunks of their own.
     """
     none = F.lit(None).cast("string")
-    rows = explode_tokens(chunks.select(*keep, F.col("urn").alias("chunk_urn"), token_list(F.col(text)).alias("tokens")))
-    done = with_urn(with_occurrence(rows, ["chunk_urn"]))
-    is_word = F.col("urn").isNotNull()
-    word = F.struct(F.when(is_word, none if lemma is None else lemma).alias("lemma"), F.when(is_word, none if upos is None else upos).alias("upos"), F.when(is_word, none if feats is None else feats).alias("feats"))
-    lists = done.groupBy("chunk_urn").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.struct("text", "whitespace", "identifier", "urn", F.array(word).alias("words")).alias("token")))), lambda x: x["token"]).alias("tokens"))
-    empty = F.array().cast(lists.schema["tokens"].dataType)
-    return chunks.select(*keep, "urn").join(lists, F.col("urn") == F.col("chunk_urn"), "left").drop("chunk_urn").withColumn("tokens", F.coalesce("tokens", empty))
+
+    def token(t: Column) -> Column:
+        given = [F.when(t["urn"].isNotNull(), none if f is None else f(t["text"])).alias(name) for name, f in (("lemma", lemma), ("upos", upos), ("feats", feats))]
+        return F.struct(t["text"].alias("text"), t["whitespace"].alias("whitespace"), t["identifier"].alias("identifier"), t["urn"].alias("urn"), F.array(F.struct(*given)).alias("words"))
+
+    return chunks.select(*keep, "urn", F.transform(named_tokens(token_list(F.col(text)), F.col("urn")), token).alias("tokens"))

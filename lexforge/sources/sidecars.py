@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,17 +59,17 @@ def read_sidecar_names(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 
 def read_sidecars(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """Rows for ``build_index``: root, version_path, chunk_name, urn, lang, tokens, meta_base_urn, title, author, source_repo, ord.
+    """Rows for ``build_index``: root, version_path, chunk_name, urn, lang, tokens, error, meta_base_urn, title, author, source_repo, ord.
 
-    ``ord`` is the place in the version's index.json, null if that does not list the chunk.
+    A sidecar that can't be unpacked or is no JSON object has an ``error`` and no tokens.  ``ord`` is the place in the version's index.json, null if that does not list the chunk.
     """
     out = None
     for k, root in enumerate(roots):
         top = root.rstrip("/")
         found = _files(spark, f"{top}/*/*/*/*/*{SIDECAR_SUFFIX}", SIDECAR_SUFFIX)
         schema = f"struct<{SIDECAR.replace('urn string, lang string, tokens ', 'urn:string,lang:string,tokens:')}>"
-        opened = found.withColumn("name", F.substring_index("path", "/", -1)).filter(~F.startswith("name", F.lit("."))).mapInArrow(_unpack, "path string, version_path string, name string, json string")
-        rows = opened.withColumn("s", F.from_json("json", schema)).select(F.lit(k).alias("root"), "version_path", "name", "s.urn", "s.lang", F.coalesce("s.tokens", F.array()).alias("tokens"))
+        opened = found.withColumn("name", F.substring_index("path", "/", -1)).filter(~F.startswith("name", F.lit("."))).mapInArrow(_unpack, "path string, version_path string, name string, json string, error string")
+        rows = opened.withColumn("s", F.from_json("json", schema)).select(F.lit(k).alias("root"), "version_path", "name", "s.urn", "s.lang", F.coalesce("s.tokens", F.array()).alias("tokens"), "error")
         listed = _files(spark, f"{top}/*/*/*/*/index.json", "index.json").select("version_path", F.posexplode(parse_index()).alias("ord", "c")).select("version_path", "ord", sidecar_name(F.col("c.file")).alias("name"))
         listed = listed.groupBy("version_path", "name").agg(F.min("ord").alias("ord"))
         meta = _files(spark, f"{top}/*/*/*/*/metadata.json", "metadata.json").select("version_path", parse_metadata().alias("m"))
@@ -78,9 +81,19 @@ def read_sidecars(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = zstandard.ZstdDecompressor()
+
+    def opened(data: bytes) -> tuple[str | None, str | None]:
+        try:
+            text = d.decompressobj().decompress(data).decode()
+            if not isinstance(json.loads(text), dict):
+                raise ValueError("no object")
+        except (zstandard.ZstdError, ValueError) as e:
+            return None, f"{type(e).__name__}: {e}"
+        return text, None
+
     for b in batches:
-        texts = [d.decompressobj().decompress(x).decode() for x in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(texts, pa.string())], names=["path", "version_path", "name", "json"])
+        got = [opened(x) for x in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *(pa.array([g[k] for g in got], pa.string()) for k in (0, 1))], names=["path", "version_path", "name", "json", "error"])
 
 
 def pack_sidecars(rows: DataFrame, level: int = 19) -> DataFrame:
@@ -96,19 +109,24 @@ def pack_sidecars(rows: DataFrame, level: int = 19) -> DataFrame:
 
 
 def export_tree(rows: DataFrame, root: str) -> int:
-    """Writes (version_path, sidecar, payload) as files for other tools, one row at a time through the driver's file system.
+    """Writes (version_path, sidecar, payload) as files under a folder that all executors share; returns their number.
 
-    This is for trees of small size; the engine's own form of sidecars is Parquet.
+    Tasks write, each file beside its place and then renamed, so that a task that runs again replaces what it left.
     """
-    spark, n = rows.sparkSession, 0
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for r in rows.toLocalIterator():
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{r['version_path']}/{r['sidecar']}"), True)
-        out.write(bytearray(r["payload"]))
-        out.close()
-        n += 1
-    return n
+    top = root.rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pa_fs.FileSystem.from_uri(top) if "://" in top or top.startswith("file:") else (pa_fs.LocalFileSystem(), top)
+        for b in batches:
+            for version, name, payload in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                fs.create_dir(f"{base}/{version}", recursive=True)
+                beside = f"{base}/{version}/.{name}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(beside) as out:
+                    out.write(payload)
+                fs.move(beside, f"{base}/{version}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    return rows.select("version_path", "sidecar", "payload").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
 
 
 def read_corpora(spark: SparkSession, path: str) -> DataFrame:

@@ -25,16 +25,43 @@ def _fs(spark: SparkSession, path: str):
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a small file beside its place and then renames it, so that readers see the old or the new one."""
+    """Writes a small file beside its place and then renames it over the old one, in one step where the store can."""
     place, fs = _fs(spark, path)
-    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    fs_classes = spark.sparkContext._jvm.org.apache.hadoop.fs
+    beside = fs_classes.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
+    rename_kind = getattr(fs_classes, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename_kind, 1)
+    how[0] = rename_kind.OVERWRITE
+    context = fs_classes.FileContext.getFileContext(fs.makeQualified(place).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(beside), fs.makeQualified(place), how)
+
+
+def put_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that must not exist yet, in one step."""
+    place, fs = _fs(spark, path)
     if fs.exists(place):
-        fs.delete(place, False)
+        raise FileExistsError(path)
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
     if not fs.rename(beside, place):
-        raise OSError(f"{path} could not be written")
+        raise FileExistsError(path)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder; None if it does not exist."""
+    place, fs = _fs(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(place)] if fs.exists(place) else None
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder."""
+    place, fs = _fs(spark, path)
+    return int(fs.getContentSummary(place).getLength())
 
 
 def get_text(spark: SparkSession, path: str) -> str | None:
@@ -61,8 +88,25 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{new} could not be written")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than the cluster has cores, dealt out over these; any larger one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a shared place and read back: made once, with a short plan, safe from lost executors."""
+    """``df`` written as Parquet to a shared place and read back: made once, with a short plan, safe from lost executors.
+
+    ``forget`` deletes it; what is not forgotten stays until that place is cleared.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes what ``kept`` wrote; nothing may read these tables any more."""
+    for df in tables:
+        remove(df.sparkSession, df._kept_at)

@@ -10,6 +10,7 @@ from lexforge.operators.numbering import dense_ids
 
 def test_ids_are_dense_and_in_order(spark, monkeypatch):
     monkeypatch.setattr(numbering, "RANGES", 8)
+    monkeypatch.setattr(numbering, "SMALL_ROWS", 20)
     rng = random.Random(1)
     rows = [(rng.choice(["a", 'b"', "ü\\", None, "x/y", "'"]), rng.randint(0, 50), float(rng.randint(0, 9))) for _ in range(700)]
     df = spark.createDataFrame(rows, "s string, n int, d double")
@@ -32,3 +33,10 @@ def test_one_key_holds_most_rows(spark):
     df = spark.range(5000).select(F.when(F.col("id") < 4500, F.lit(7)).otherwise(F.col("id")).alias("n"))
     got = sorted(r["id"] for r in dense_ids(df, [F.col("n")], "id").collect())
     assert got == list(range(1, 5001))
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "RANGE_ROWS", 50)
+    df = spark.range(20_000).select(F.xxhash64("id").alias("n"))
+    got = {r["n"]: r["id"] for r in dense_ids(df, [F.col("n")], "id").collect()}
+    assert got == {n: k for k, n in enumerate(sorted(got), 1)}

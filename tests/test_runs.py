@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import sys
 import time
 from functools import partial
@@ -41,11 +42,12 @@ def corpus(tmp_path):
 def test_whole_run_and_index(spark, corpus, tmp_path):
     store = pipeline.Store(spark, str(tmp_path / "store"))
     record = pipeline.run(spark, str(corpus), store, greek, VERSIONS)
-    status = {w["path"]: w["status"] for w in record["works"]}
+    status = {w["path"]: w["status"] for w in spark.read.json(record["works"]).collect()}
+    assert record["statuses"] == {"compiled": 1, "failed": 2, "no-citestructure": 1}
     assert status == {"data/a/good.xml": "compiled", "data/a/badbase.xml": "failed", "data/a/plain.xml": "no-citestructure", "data/a/broken.xml": "failed"}
     assert record["tokenize"] == {"generated": 2, "skipped": 0, "failed": 0, "deferred": 0, "pruned": 0} and record["exit_status"] == 1
     again = pipeline.run(spark, str(corpus), store, greek, VERSIONS)
-    assert {w["status"] for w in again["works"]} == {"skipped", "failed", "no-citestructure"} and again["tokenize"]["skipped"] == 2
+    assert set(again["statuses"]) == {"skipped", "failed", "no-citestructure"} and again["tokenize"]["skipped"] == 2
     built, manifest = pipeline.index(spark, [store], str(tmp_path / "out"))
     assert (manifest["documents"], manifest["chunks"], manifest["words"]) == (1, 2, 6)
     assert built["documents"].head()["base_urn"] == "urn:cts:greekLit:tlg1.tlg2.grc1"
@@ -63,13 +65,65 @@ def test_incremental(spark, corpus, tmp_path):
     counts = pipeline.tokenize(spark, store, greek, VERSIONS, batch=1)
     assert (counts["generated"], counts["skipped"]) == (1, 1)
     assert pipeline.tokenize(spark, store, greek, VERSIONS | {"spacy": "2"})["generated"] == 2
-    chunks = store.read("chunks", pipeline.CHUNKS).filter("chunk_name = '1.xml'").persist()
-    chunks.count()
-    store.write("chunks", chunks)
+    store.write("chunks", store.read("chunks", pipeline.CHUNKS).filter("chunk_name = '1.xml'"))
     assert pipeline.prune_stale(store) == 1 and pipeline.prune_stale(store) == 0
     assert store.read("sidecars", pipeline.SIDECARS).count() == 1
 
 
+def test_a_crash_between_two_steps_loses_nothing(spark, tmp_path, monkeypatch):
+    store = pipeline.Store(spark, str(tmp_path / "store"))
+    row = lambda v, n: spark.createDataFrame([(v, n, "s", "grc", "p")], pipeline.MANIFEST)
+    store.write("manifest", row("a", "1"))
+    store.append("manifest", row("b", "2"))
+
+    def crash(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "put_new_text", crash)
+        for step in (store.write, store.append):
+            with pytest.raises(OSError):
+                step("manifest", row("c", "3"))
+    left = lambda: sorted(r["version_path"] for r in store.read("manifest", pipeline.MANIFEST).collect())
+    assert left() == ["a", "b"]
+    with monkeypatch.context() as m:  # after the pointer, before old parts are removed
+        m.setattr(pipeline, "remove", crash)
+        with pytest.raises(OSError):
+            store.append("manifest", row("c", "3"))
+    assert left() == ["a", "b", "c"]
+    store.append("manifest", row("b", "2").withColumn("sha", F.lit("new")))
+    assert left() == ["a", "b", "c"] and store.read("manifest", pipeline.MANIFEST).filter("sha = 'new'").count() == 1
+    before = store.read("manifest", pipeline.MANIFEST)
+    store.write("manifest", row("d", "4"))
+    assert before.count() == 3 and left() == ["d"]
+    for pointer in (tmp_path / "store/manifest.current").glob("*"):
+        pointer.unlink()
+    with pytest.raises(FileNotFoundError):
+        left()
+
+
+def test_many_parts_become_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline, "MOST_PARTS", 2)
+    store = pipeline.Store(spark, str(tmp_path / "store"))
+    for k in range(4):
+        store.append("works", spark.createDataFrame([(f"v{k % 3}", str(k))], "version_path string, base_urn string").selectExpr("*", "cast(null as string) title", "cast(null as string) author", "cast(null as string) source_repo", "current_timestamp() compiled_at"))
+    assert len(store.parts("works")) == 4
+    store.compact("works", pipeline.WORKS)
+    assert len(store.parts("works")) == 1 and {r["base_urn"] for r in store.read("works", pipeline.WORKS).collect()} == {"1", "2", "3"}
+
+
+def test_small_files_are_replaced(spark, tmp_path):
+    from lexforge.sources.storage import get_text, put_new_text, put_text
+
+    path = str(tmp_path / "x/manifest.json")
+    for text in ("one", "zwei é"):
+        put_text(spark, path, text)
+        assert get_text(spark, path) == text
+    with pytest.raises(FileExistsError):
+        put_new_text(spark, path, "three")
+    assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith(".")] == ["manifest.json"]
+
+
 def test_analysis_skips_what_is_there(spark, corpus, tmp_path):
     store = pipeline.Store(spark, str(tmp_path / "store"))
     pipeline.compile_corpus(spark, str(corpus), store)
@@ -161,3 +215,11 @@ def test_command_line(spark, corpus, tmp_path, capsys):
     assert main(["index", "--base", base, "--out", out, "--source", "a=b"], spark) == 0
     assert '"skipped": 2' in capsys.readouterr().out
     assert main(["check", out], spark) == 1  # the offline tokenizer has no lemmas
+    # the sidecars as a tree of files, and an index of such a tree
+    files = str(tmp_path / "files")
+    assert main(["tokenize", "--base", base, "--plain-lang", "grc", "--tokens-dir", files], spark) == 0
+    spark.createDataFrame([("ἄειδε", "grc", "ἀείδω", None, None)], "text string, lang string, lemma string, upos string, feats string").write.parquet(str(tmp_path / "lemmas"))
+    assert main(["index", "--tokens-dir", files, "--out", str(tmp_path / "out2"), "--lemma-map", str(tmp_path / "lemmas")], spark) == 0
+    made = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (made["documents"], made["chunks"], made["words"], made["lemmas"], made["broken_sidecars"]) == (1, 2, 6, 1, 0)
+    assert main(["tokenize", "--base", base, "--analyzer", "lexforge.plans.analyzers:PlainAnalyzer", "--force"], spark) == 0
