@@ -19,6 +19,7 @@ from lexforge.llm.staging import new_path
 from lexforge.llm.surrogates import replace_entities
 from lexforge.llm.token_counts import count_tokens
 from lexforge.llm.token_files import read_digests, write_ids
+from lexforge.sources.storage import spread
 
 
 def vocabulary() -> str:
@@ -31,24 +32,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table for work in Python, which a small table in one split would do on one core."""
+    return spread(_table(spark, sf_dir, name))
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(_table(spark, sf_dir, "documents"), vocabulary())
+    return count_tokens(_spread(spark, sf_dir, "documents"), vocabulary())
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(_table(spark, sf_dir, "embeddings"))
+    return near_vectors(_spread(spark, sf_dir, "embeddings"))
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_entities(_table(spark, sf_dir, "documents"), key=b"a key of the caller's own")
+    return replace_entities(_spread(spark, sf_dir, "documents"), key=b"a key of the caller's own")
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_decode(_table(spark, sf_dir, "documents"), vocabulary(), ids=False)
+    return encode_decode(_spread(spark, sf_dir, "documents"), vocabulary(), ids=False)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
+    return contamination(_spread(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,18 +62,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = _spread(spark, sf_dir, "documents")
     out = identify(docs, train(docs))
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_spread(spark, sf_dir, "documents"))
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
-    write_ids(_table(spark, sf_dir, "documents"), path, vocabulary())
+    write_ids(_spread(spark, sf_dir, "documents"), path, vocabulary())
     return read_digests(spark, path)
 
 

@@ -7,11 +7,10 @@ owner holds looks live.  Spans are positions in code points, end exclusive.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexforge.functions.arrays import let, running
 from lexforge.llm.staging import staged
 
 #: The kinds, their patterns, the group that holds the value, and its least length.
@@ -32,21 +31,10 @@ _FAR = (1 << 31) - 1
 _SPAN = "struct<start:int,kind:int,end:int,hash:string>"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value that is made once, which an expression inside of a lambda would not be."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
-    """All prefixes of an array of whole numbers joined by an associative ``join``, in as many steps as the length has bits."""
-    steps = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(values)))), lambda k: F.pow(F.lit(2), k).cast("int"))
-    return F.aggregate(steps, values, lambda acc, step: F.transform(acc, lambda v, i: F.when(i < step, v).otherwise(join(v, F.get(acc, i - step)))))
-
-
 def _spans(whole: str, value: str, pieces: str, least: int, kind: int) -> Column:
     """Positions of matches: every match follows the pieces and matches before it; values that are too short are dropped."""
     rows = F.arrays_zip(F.col(whole).alias("w"), F.col(value).alias("v"), F.slice(pieces, 1, F.greatest(F.size(whole), F.lit(0))).alias("p"))
-    ends = _running(F.transform(rows, lambda z: F.length(z["p"]) + F.length(z["w"])), lambda x, y: x + y)
+    ends = running(F.transform(rows, lambda z: F.length(z["p"]) + F.length(z["w"])), lambda x, y: x + y)
     placed = F.filter(F.arrays_zip(rows.alias("z"), ends.alias("end")), lambda m: F.length(m["z"]["v"]) >= least)
     found = F.transform(placed, lambda m: F.struct((m["end"] - F.length(m["z"]["w"])).alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"), F.sha2(m["z"]["v"], 256).alias("hash")))
     return F.when(F.size(whole) == 0, F.array().cast(f"array<{_SPAN}>")).otherwise(found)
@@ -56,8 +44,8 @@ def _outside(base: str, spans: Column) -> Column:
     """Of ``spans`` (kind len(KINDS)) those that meet no base span: none that begins before ends inside, and none begins inside."""
     both = F.array_sort(F.concat(F.col(base), spans))
     own = len(KINDS)
-    before = _running(F.transform(both, lambda s: F.when(s["kind"] < own, s["end"]).otherwise(-1)), lambda x, y: F.greatest(x, y))
-    after = F.reverse(_running(F.reverse(F.transform(both, lambda s: F.when(s["kind"] < own, s["start"]).otherwise(_FAR))), lambda x, y: F.least(x, y)))
+    before = running(F.transform(both, lambda s: F.when(s["kind"] < own, s["end"]).otherwise(-1)), lambda x, y: F.greatest(x, y))
+    after = F.reverse(running(F.reverse(F.transform(both, lambda s: F.when(s["kind"] < own, s["start"]).otherwise(_FAR))), lambda x, y: F.least(x, y)))
     free = F.filter(F.arrays_zip(both.alias("s"), before.alias("before"), after.alias("after")), lambda z: (z["s"]["kind"] == own) & (z["before"] <= z["s"]["start"]) & (z["after"] >= z["s"]["end"]))
     return F.when((F.size(base) == 0) | (F.size(spans) == 0), spans).otherwise(F.transform(free, lambda z: z["s"]))
 
@@ -167,7 +155,7 @@ def _masked(text: Column, spans: Column, mask: str) -> Column:
         some = F.array_join(F.slice(blocks, first + 1, F.floor((b - 1) / _BLOCK).cast("int") - first + 1), "")
         return F.when(a < b, F.substring(some, F.pmod(a, F.lit(_BLOCK)) + 1, b - a)).otherwise("")
 
-    ends = _running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
     gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), ends).alias("a"), F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text))).alias("b"))
-    out = _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)), lambda blocks: F.array_join(F.transform(F.filter(gaps, lambda g: g["a"] <= g["b"]), lambda g: piece(blocks, g["a"], g["b"])), mask))
+    out = let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)), lambda blocks: F.array_join(F.transform(F.filter(gaps, lambda g: g["a"] <= g["b"]), lambda g: piece(blocks, g["a"], g["b"])), mask))
     return out

@@ -1,13 +1,16 @@
 """Surrogates for personal data: keyed, type-consistent replacements that keep gender, script and format.
 
-Every character stays in its class (digit, vowel, consonant, case, script), and a keyed permutation of all strings of one
-pattern picks the replacement: the same entity always gets the same surrogate, different ones get different ones.  Given
-names are permuted within the list of their script and gender.  Over the whole corpus, surrogates that coincide with an
-entity that really occurs, or with each other, are drawn again until all are distinct.
-
-Where few surrogates of a pattern are free, drawing again would not end.  Names and e-mails then get invented words that
-grow with every attempt, and IP addresses all their octets; numbers of one pattern that fill more than a quarter of it are
-permuted without fixed points instead, so that they stay distinct and none stays itself, but some may occur.
+Every character stays in its class (digit, vowel, consonant, accented or not, case, script), and a keyed permutation of
+all strings of one pattern picks the replacement: the same entity always gets the same surrogate, different ones get
+different ones.  A person's given and family names are entities of their own, so that `Maria Weber`, `Weber` and `MARIA`
+stay one person.  Given names of the gazetteer are permuted without fixed points within the list of their script and
+gender; lists are short, so these surrogates may be names that occur.  Over the whole corpus, all other surrogates that
+coincide with an entity that really occurs, or with each other, are drawn again until all are distinct.
+
+Where few surrogates of a pattern are free, drawing again would not end.  Family names and e-mails then get invented words
+that grow with every attempt, and IP addresses all their octets; numbers of one pattern that fill more than a quarter of it
+are permuted without fixed points instead, so that they stay distinct and none stays itself, but some may occur.  After
+MAX_ROUNDS rounds, which no corpus is expected to need, an error is raised.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -25,21 +28,24 @@ from pyspark.sql import functions as F
 from lexforge.llm.staging import staged, unstage
 from lexforge.llm.texts import bounded, map_texts, strings
 
-#: Given names by script and gender, for detection and replacement.
+#: Given names by script and gender, for detection and replacement, where a caller has no larger lists.
 NAMES = {
-    ("latin", "f"): "Alice Anna Barbara Charlotte Claire Elena Emma Eva Hannah Ingrid Isabel Julia Laura Lucia Maria Martha Nora Olivia Sarah Sophie".split(),
-    ("latin", "m"): "Albert Antonio Carlos Charles Daniel David Felix George Hans Henry Jacques James John Louis Martin Michael Paul Peter Robert Thomas".split(),
-    ("greek", "f"): "Άννα Ελένη Ειρήνη Κατερίνα Μαρία Σοφία".split(),
-    ("greek", "m"): "Αλέξανδρος Γιώργος Δημήτρης Κώστας Νίκος Πέτρος".split(),
-    ("cyrillic", "f"): "Анна Елена Ирина Мария Наталья Ольга".split(),
-    ("cyrillic", "m"): "Алексей Борис Дмитрий Иван Николай Сергей".split(),
+    ("latin", "f"): "Alice Anna Barbara Camille Carla Carmen Charlotte Claire Claudia Elena Elisabeth Emily Emma Eva Françoise Grace Hannah Heike Helen Ingrid Isabel Jane Julia Karin Laura Lucia Margaret Maria Marie Martha Mary Monika Nora Olivia Petra Rosa Sabine Sarah Sophie Susan".split(),
+    ("latin", "m"): "Albert Andreas Antonio Carlos Charles Daniel David Felix Fernando François Frank George Günter Hans Henry Jacques James Jean John José Jürgen Klaus Louis Luis Martin Michael Miguel Otto Paul Pedro Peter Pierre Richard Robert Stefan Thomas Walter Wilhelm William Wolfgang".split(),
+    ("greek", "f"): "Άννα Βασιλική Ελένη Ειρήνη Κατερίνα Μαρία Σοφία Χριστίνα".split(),
+    ("greek", "m"): "Αλέξανδρος Γιώργος Δημήτρης Ιωάννης Κώστας Νίκος Πέτρος Σπύρος".split(),
+    ("cyrillic", "f"): "Анна Екатерина Елена Ирина Мария Наталья Ольга Татьяна".split(),
+    ("cyrillic", "m"): "Алексей Андрей Борис Владимир Дмитрий Иван Николай Сергей".split(),
 }
+#: Forms of address, after which a name stands.
+TITLES = frozenset("mr mrs ms miss mister dr prof professor herr frau monsieur madame mademoiselle mme mlle señor señora señorita sr sra don doña κύριος κυρία κύριε господин госпожа".split())
+#: Small words inside of family names.
+PARTICLES = ("von", "van", "der", "den", "de", "del", "della", "di", "du", "la", "le", "dos", "da")
 #: Letters that replace each other.
-CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "αειουωη", "βγδζθκλμνξπρστφχψ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ")
+CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "αειουωη", "βγδζθκλμνξπρστφχψ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "áàâäãåéèêëíìîïóòôöõúùûü", "çñčćłńśšźžż", "άέήίόύώ")
 _CLASS = {c: k for k, cs in enumerate(CLASSES) for c in cs}
-_WHO = {n: (k, i) for k, ns in NAMES.items() for i, n in enumerate(ns)}
 #: Attempts within the pattern of an entity, after which names, e-mails and IP addresses get a wider space.
-WIDE = 16
+WIDE, MAX_ROUNDS = 16, 256
 KINDS = ("email", "phone", "card", "ip", "ssn", "name")
 _NUMBER = re.compile(
     r"(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d))"
@@ -52,8 +58,28 @@ _DIGITS = re.compile(r"[0-9][0-9 ().\-]{5,}[0-9]")
 _START = re.compile(r"[+(]|(?<![0-9])[0-9]")
 _LOCAL = re.compile(r"\w[\w.+-]*\Z")
 _DOMAIN = re.compile(r"\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_]{2,}(?!\w)")
-_CAPITAL = re.compile(r"[A-ZΆ-ΩА-Я][^\W\d_]+")
-_FAMILY = re.compile(r" [^\W\d_a-zß-öø-ÿα-ώа-я][^\W\d_]+")
+_WORD = r"[^\W\d_a-zß-öø-ÿά-ώа-я](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=[^\W\d_]))+"
+# begins with a set of characters, which the search jumps to; other capitals don't begin names that are looked for
+_CAPITAL = re.compile("[A-ZÀ-ÖØ-ÞΆ-ΫА-Я][^\\W\\d_]+")
+_FAMILY = re.compile(rf" (?:(?:{'|'.join(PARTICLES)}) ){{0,2}}({_WORD})")
+_TITLED = re.compile(rf"\.? ({_WORD})")
+
+
+class Gazetteer:
+    """Given names by their small letters: list, and place in it.  A name counts in its first list; lists of one name are left out."""
+
+    def __init__(self, names: dict[tuple[str, str], list[str]]):
+        seen: set[str] = set()
+        self.names: dict[tuple[str, str], list[str]] = {}
+        for k, ns in names.items():
+            own = [n for n in dict.fromkeys(x.lower() for x in ns) if n not in seen]
+            if len(own) > 1:
+                self.names[k] = own
+                seen.update(own)
+        self.who = {n: (k, i) for k, ns in self.names.items() for i, n in enumerate(ns)}
+
+
+DEFAULT = Gazetteer(NAMES)
 
 
 def _draw(value: int, size: int, key: bytes, tweak: bytes, back: bool = False) -> int:
@@ -90,8 +116,8 @@ def _foreign(text: str) -> bool:
 class Surrogates:
     """Replacements under one secret key."""
 
-    def __init__(self, key: bytes):
-        self.key = hashlib.blake2b(key).digest()
+    def __init__(self, key: bytes, names: Gazetteer = DEFAULT):
+        self.key, self.names = hashlib.blake2b(key).digest(), names
 
     def _pattern(self, text: str, kind: str, attempt: int, fixed: int = 0) -> str:
         """Characters after the first ``fixed`` ones, each drawn within its class."""
@@ -108,7 +134,7 @@ class Surrogates:
             for i, k in reversed(part):
                 value, digit = divmod(value, len(CLASSES[k]))
                 c = CLASSES[k][digit]
-                out[i] = c.upper() if text[i] != low[i] else c
+                out[i] = c.upper() if text[i] != low[i] and len(c.upper()) == 1 else c
         return "".join(out)
 
     def _word(self, text: str, attempt: int, vowels: str = CLASSES[1], consonants: str = CLASSES[2]) -> str:
@@ -147,16 +173,12 @@ class Surrogates:
             new = self._pattern(text[:-1], kind, attempt, 1)
             shift = (int(text[-1]) - _check_digit(text[:-1])) % 10
             return new + str((_check_digit(new) + shift) % 10)
-        if kind == "name":
-            given, space, family = text.partition(" ")
-            who, place = _WHO[given]
-            # given names are few: the place moves within its list, and never stays
-            turn = 1 + int.from_bytes(hashlib.blake2b(f"{who}|{attempt}".encode(), key=self.key).digest()[:8], "little") % (len(NAMES[who]) - 1)
-            new = NAMES[who][(place + turn) % len(NAMES[who])]
-            if attempt >= WIDE or _foreign(family):
-                at = {"latin": 1, "greek": 3, "cyrillic": 5}[who[0]]
-                return f"{new} {self._word(text, attempt, CLASSES[at], CLASSES[at + 1]).capitalize()}"
-            return new + space + self._pattern(family, kind, attempt)
+        if kind == "given" and (at := self.names.who.get(text)):
+            who, place = at
+            return self.names.names[who][_moved(place, len(self.names.names[who]), self.key, repr(who).encode().ljust(16))]
+        if kind in ("given", "family") and (attempt >= WIDE or _foreign(text)):
+            script = next((k for k, cs in ((3, "αβγδεζηθικλμνξοπρστυφχψω"), (5, "абвгдежзиклмнопрстуфхцчшщ")) if any(c in cs for c in text)), 1)
+            return self._word(text, attempt, CLASSES[script], CLASSES[script + 1])
         return self._pattern(text, kind, attempt)
 
 
@@ -201,36 +223,85 @@ def _mails(text: str) -> Iterator[tuple[int, int, str]]:
         at = text.find("@", at + 1)
 
 
-def _names(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in _CAPITAL.finditer(text):
-        if m.group() in _WHO:
-            a, b = m.span()
-            after = text[b : b + 1]
-            if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")) and not (after.isalnum() or after == "_"):
-                family = _FAMILY.match(text, b)
-                yield a, family.end() if family else b, "name"
+def _bounded(text: str, a: int, b: int) -> bool:
+    """Whether text[a:b] is not part of a longer word."""
+    return not (a and (text[a - 1].isalnum() or text[a - 1] == "_")) and not (text[b : b + 1].isalnum() or text[b : b + 1] == "_")
+
 
+Part = tuple[int, int, str, str]
 
-def entities(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of the entities of a text, from left to right; of two that overlap, the one that begins first, then the longer."""
-    out: list[tuple[int, int, str]] = []
-    for a, b, kind in sorted([*_mails(text), *_numbers(text), *_names(text)], key=lambda x: (x[0], -x[1])):
-        if not out or a >= out[-1][1]:
-            out.append((a, b, kind))
+
+def _people(text: str, names: Gazetteer) -> Iterator[tuple[int, int, list[Part]]]:
+    """Mentions of people, as (start, end, kind, value) of the parts to be replaced; values have small letters.
+
+    A given name of the gazetteer with a family name if one follows; one or two words after a form of address; and, where
+    these give a family name, its other mentions in the text.
+    """
+    part = lambda kind, a, b: (a, b, kind, text[a:b].lower())
+    found: list[list[Part]] = []
+    upto = 0
+    capitals = [m.span() for m in _CAPITAL.finditer(text) if _bounded(text, *m.span())]
+    for a, b in capitals:
+        if a < upto:
+            continue
+        word = text[a:b].lower()
+        if word in names.who:
+            parts = [part("given", a, b)]
+            if family := _FAMILY.match(text, b):
+                parts.append(part("family", *family.span(1)))
+        elif word in TITLES and (first := _TITLED.match(text, b)) and first.group(1).lower() not in TITLES:
+            second = _FAMILY.match(text, first.end())
+            one = first.span(1)
+            parts = [part("given", *one), part("family", *second.span(1))] if second else [part("given" if text[slice(*one)].lower() in names.who else "family", *one)]
+        else:
+            continue
+        found.append(parts)
+        upto = parts[-1][1]
+    known = {p[3] for parts in found for p in parts if p[2] == "family"} - names.who.keys()
+    taken = {p[0] for parts in found for p in parts}
+    if known:
+        found += [[part("family", a, b)] for m in re.finditer(_WORD, text) for a, b in [m.span()] if a not in taken and text[a:b].lower() in known and _bounded(text, a, b)]
+    for parts in found:
+        yield parts[0][0], parts[-1][1], parts
+
+
+def _mentions(text: str, names: Gazetteer = DEFAULT) -> list[tuple[int, int, str, list[Part]]]:
+    """Start, end, kind and parts of the entities of a text, from left to right; of two that overlap, the one that begins first, then the longer."""
+    plain = [(a, b, kind, [(a, b, kind, text[a:b])]) for a, b, kind in (*_mails(text), *_numbers(text))]
+    out: list[tuple[int, int, str, list[Part]]] = []
+    for m in sorted([*plain, *((a, b, "name", parts) for a, b, parts in _people(text, names))], key=lambda x: (x[0], -x[1])):
+        if not out or m[0] >= out[-1][1]:
+            out.append(m)
     return out
 
 
-@lru_cache(maxsize=1 << 16)
-def _first(key: bytes, kind: str, value: str) -> str:
-    return Surrogates(key).of(kind, value)
+def entities(text: str, names: Gazetteer = DEFAULT) -> list[tuple[int, int, str]]:
+    """Start, end and kind of the entities of a text."""
+    return [m[:3] for m in _mentions(text, names)]
+
 
+def parts_of(text: str, names: Gazetteer = DEFAULT) -> set[tuple[str, str]]:
+    """Kind and value of all that is replaced in a text."""
+    return {p[2:] for m in _mentions(text, names) for p in m[3]}
 
-def _rewritten(text: str, key: bytes, other: dict[tuple[str, str], str]) -> tuple[str, list[str]]:
+
+def _cased(new: str, old: str) -> str:
+    """A name in small letters in the case of the one that it replaces."""
+    if old.isupper() and len(old) > 1:
+        return new.upper()
+    if len(new) == len(old):
+        return "".join(c.upper() if o.isupper() else c for c, o in zip(new, old, strict=True))
+    return new.capitalize()
+
+
+def rewritten(text: str, names: Gazetteer, drawn: Callable[[str, str], str]) -> tuple[str, list[str]]:
+    """A text with ``drawn(kind, value)`` in place of every entity, and the kinds of its entities."""
     out, at, kinds = [], 0, []
-    for a, b, kind in entities(text):
-        value = text[a:b]
-        out += [text[at:a], other.get((kind, value)) or _first(key, kind, value)]
-        at = b
+    for _, _, kind, parts in _mentions(text, names):
+        for a, b, what, value in parts:
+            new = drawn(what, value)
+            out += [text[at:a], _cased(new, text[a:b]) if kind == "name" else new]
+            at = b
         kinds.append(kind)
     return "".join([*out, text[at:]]), kinds
 
@@ -238,78 +309,99 @@ def _rewritten(text: str, key: bytes, other: dict[tuple[str, str], str]) -> tupl
 def _clashes(drawn: DataFrame, known: DataFrame) -> DataFrame:
     """Of (kind, value, surrogate, attempt) those to draw again: the surrogate really occurs, or another entity has it.
 
-    Of several entities with one surrogate, the one of the fewest attempts, then the smallest, keeps it.
+    Given and family names count as one kind here.  Of several entities with one surrogate, the one of the fewest
+    attempts, then the first by value and kind, keeps it.  Attempt -1 is of permutations that may give what occurs.
     """
+    space = F.when(F.col("kind").isin("given", "family"), "name").otherwise(F.col("kind")).alias("space")
+    drawn, known = drawn.select("*", space), known.select(space, "value").distinct()
     n = int(drawn.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"))
-    real = known.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real")).repartition(n, "kind", "surrogate")
-    both = drawn.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
-    return both.filter((F.col("real") & (F.col("attempt") >= 0)) | (F.col("first.value") != F.col("value"))).select("kind", "value", "attempt")
+    first = drawn.groupBy("space", "surrogate").agg(F.min(F.struct("attempt", "value", "kind")).alias("first"))
+    real = known.select("space", F.col("value").alias("surrogate"), F.lit(True).alias("real")).repartition(n, "space", "surrogate")
+    both = drawn.join(first, ["space", "surrogate"]).join(real, ["space", "surrogate"], "left")
+    return both.filter((F.col("real") & (F.col("attempt") >= 0)) | (F.col("first.value") != F.col("value")) | (F.col("first.kind") != F.col("kind"))).select("kind", "value", "attempt")
 
 
-def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+_DRAWN = "kind string, value string, surrogate string, attempt int"
+
+
+def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", names: dict[tuple[str, str], list[str]] | None = None) -> DataFrame:
     """One row (doc_id, n_entities, n_email, n_phone, n_card, n_ip, n_ssn, n_name, text) for each row of ``df``.
 
-    ``text`` has a surrogate in place of every entity.  A null text stays null, an empty one empty, with no entities;
-    repeated rows give repeated results, an empty table an empty one; other columns are not read.
+    ``text`` has a surrogate in place of every entity.  ``names``: given names by (script, gender), in lists of two at
+    least; they travel with the code of the tasks, so they should stay under some 100,000.  A name in two lists belongs to
+    the first.  A null text stays null, an empty one empty, with no entities; repeated rows give repeated results, an
+    empty table an empty one; other columns are not read.
     """
-    spark = df.sparkSession
+    book = Gazetteer(names) if names else DEFAULT
+
+    def first_draw(kind: str, value: str) -> int:
+        return -1 if kind == "given" and value in book.who else 0
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Surrogates(key, book)
         for batch in batches:
-            found = {(k, t[a:b]) for t in strings(batch.column(1)) for a, b, k in entities(t)}
-            rows = sorted(found)
+            rows = sorted(set().union(*(parts_of(t, book) for t in strings(batch.column(1)))))
             shapes = [pattern(k, v) for k, v in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.string()), pa.array([_first(key, k, v) for k, v in rows], pa.string()), pa.array([x[0] for x in shapes], pa.string()), pa.array([x[1] for x in shapes], pa.int64())], names=["kind", "value", "surrogate", "pattern", "most"])
+            columns = [[k for k, _ in rows], [v for _, v in rows], [s.of(k, v) for k, v in rows], [first_draw(k, v) for k, v in rows], [x[0] for x in shapes], [x[1] for x in shapes]]
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["kind", "value", "surrogate", "attempt", "pattern", "most"])
 
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Surrogates(key)
-        for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.of(r["kind"], r["value"], r["attempt"] + 1) for r in rows], pa.string()), pa.array([r["attempt"] + 1 for r in rows], pa.int32())], names=["kind", "value", "surrogate", "attempt"])
+    def drawing(attempt: Callable[[int], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            s = Surrogates(key, book)
+            for batch in batches:
+                rows = batch.to_pylist()
+                tries = [attempt(r["attempt"]) for r in rows]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.of(r["kind"], r["value"], n) for r, n in zip(rows, tries, strict=True)], pa.string()), pa.array(tries, pa.int32())], names=["kind", "value", "surrogate", "attempt"])
 
-    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Surrogates(key)
-        for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([s.of(r["kind"], r["value"], -1) for r in rows], pa.string()), pa.array([-1] * len(rows), pa.int32())], names=["kind", "value", "surrogate", "attempt"])
+        return run
 
-    shaped = staged(map_texts(df, scan, "kind string, value string, surrogate string, pattern string, most bigint", id_col, text_col).distinct(), "entities")
-    drawn = shaped.select("kind", "value", "surrogate", F.lit(0).alias("attempt"))
+    shaped = staged(map_texts(df, scan, f"{_DRAWN}, pattern string, most bigint", id_col, text_col).distinct(), "entities")
+    drawn = shaped.select("kind", "value", "surrogate", "attempt")
     full = staged(shaped.filter("pattern is not null").groupBy("kind", "pattern").agg(F.count("*").alias("n"), F.max("most").alias("most")).filter("n > most").select("kind", "pattern"), "full")
     if not full.isEmpty():
-        no = shaped.join(full, ["kind", "pattern"], "left_anti").select("kind", "value", "surrogate", F.lit(0).alias("attempt"))
-        new = shaped.join(full, ["kind", "pattern"], "left_semi").select("kind", "value").mapInArrow(moved, "kind string, value string, surrogate string, attempt int")
+        no = shaped.join(full, ["kind", "pattern"], "left_anti").select("kind", "value", "surrogate", "attempt")
+        new = shaped.join(full, ["kind", "pattern"], "left_semi").select("kind", "value", "attempt").mapInArrow(drawing(lambda _: -1), _DRAWN)
         drawn = staged(no.unionByName(new), "entities")
-    known = drawn.select("kind", "value")
-    while True:
+    known = shaped.select("kind", "value")
+    for _ in range(MAX_ROUNDS):
         clash = staged(_clashes(drawn, known), "clashes")
         if clash.isEmpty():
             break
-        new = clash.mapInArrow(again, "kind string, value string, surrogate string, attempt int")
+        new = clash.mapInArrow(drawing(lambda n: n + 1), _DRAWN)
+        before = drawn
         drawn = staged(drawn.join(clash.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(new), "entities")
         unstage(clash)
-    redrawn = drawn.filter("attempt <> 0")
+        if hasattr(before, "_staged_at"):
+            unstage(before)
+    else:
+        raise RuntimeError("no free surrogates were found")
+    redrawn = drawn.join(shaped.select("kind", "value", F.col("attempt").alias("first")), ["kind", "value"]).filter("attempt != first").select("kind", "value", "surrogate")
     columns = "doc_id bigint, n_entities bigint, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", text string"
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # entities drawn again are few, but without a bound: they travel with the documents that hold them
     if redrawn.isEmpty():
         docs = docs.withColumn("other", F.lit(None).cast("array<struct<kind:string,value:string,surrogate:string>>"))
     else:
-        docs = docs.withColumn("row", F.monotonically_increasing_id())
+        docs = docs.withColumn("hash", F.xxhash64("text"))
 
         def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(r, k, v) for r, t in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True) for k, v in {(k, t[a:b]) for a, b, k in entities(t)}]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.string()), pa.array([x[2] for x in rows], pa.string())], names=["row", "kind", "value"])
+                rows = [(i, h, k, v) for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True) for k, v in parts_of(t, book)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["id", "same", "kind", "value"])
 
-        holds = docs.select("row", "text").mapInArrow(bounded(held), "row bigint, kind string, value string").join(redrawn, ["kind", "value"])
-        docs = docs.join(holds.groupBy("row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("other")), "row", "left").drop("row")
+        holds = docs.select("doc_id", "hash", "text").mapInArrow(bounded(held), "id bigint, same bigint, kind string, value string").distinct().join(redrawn, ["kind", "value"])
+        others = holds.groupBy("id", "same").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("other"))
+        docs = docs.join(others, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("same")), "left")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Surrogates(key, book)
+        usual = lru_cache(maxsize=1 << 16)(s.of)
         for batch in batches:
-            got = [("", []) if t is None else _rewritten(t, key, {(o["kind"], o["value"]): o["surrogate"] for o in others or ()}) for t, others in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            texts = pa.array([None if t is None else g[0] for t, g in zip(batch.column(1).to_pylist(), got, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(g[1]) for g in got], pa.int64()), *[pa.array([g[1].count(k) for g in got], pa.int64()) for k in KINDS], texts], names=[c.split()[0] for c in columns.split(", ")])
+            got = []
+            for t, others in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                other = {(o["kind"], o["value"]): o["surrogate"] for o in others or ()}
+                got.append((None, []) if t is None else rewritten(t, book, lambda k, v, other=other: other.get((k, v)) or usual(k, v)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(g[1]) for g in got], pa.int64()), *[pa.array([g[1].count(k) for g in got], pa.int64()) for k in KINDS], pa.array([g[0] for g in got], pa.string())], names=[c.split()[0] for c in columns.split(", ")])
 
     return docs.select("doc_id", "text", "other").mapInArrow(bounded(rewrite), columns)

@@ -19,7 +19,7 @@ from lexforge.llm.decontaminate import contamination
 from lexforge.llm.language_id import fold, identify, train
 from lexforge.llm.secrets import redact_secrets, scan_secrets
 from lexforge.llm.shards import permuted, shard_rows
-from lexforge.llm.surrogates import NAMES, Surrogates, entities, replace_entities
+from lexforge.llm.surrogates import DEFAULT, MAX_ROUNDS, NAMES, Surrogates, entities, parts_of, pattern, replace_entities, rewritten
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -283,7 +283,11 @@ def test_surrogates_are_distinct_typed_and_stable():
     digits = [int(c) for c in card][::-1]
     assert sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10 == 0 and card != "4111111111111111" and card[0] == "4"
     assert all(0 <= int(x) < 256 for x in s.of("ip", "10.0.255.7").split("."))
-    assert s.of("name", "Maria") != "Maria" and s.of("name", "Мария Иванова").split()[0] in "Анна Елена Ирина Наталья Ольга".split()
+    for names in NAMES.values():
+        low = [n.lower() for n in names]
+        made = [s.of("given", n) for n in low]
+        assert sorted(made) == sorted(low) and all(a != b for a, b in zip(low, made, strict=True))
+    assert len({s.of("family", f"müll{a}r{b}") for a in "aeiou" for b in "bcdfg"}) == 25 and re.fullmatch("[^ü]?[b-z][áàâäãåéèêëíìîïóòôöõúùûü][b-z]{2}[aeiou][a-z]", s.of("family", "müller"))
     assert Surrogates(b"key").of("ssn", "078-05-1120") == s.of("ssn", "078-05-1120") != Surrogates(b"other").of("ssn", "078-05-1120")
 
 
@@ -299,23 +303,63 @@ def test_replacement(spark, edges, nothing):
     assert replace_entities(nothing, b"k").collect() == []
 
 
-def test_surrogates_that_really_occur_are_drawn_again(spark):
-    names = "Peter Robert Thomas Martin Louis John James Hans".split()
-    df = spark.createDataFrame([(k, f"here is {n} now") for k, n in enumerate(names)], "doc_id bigint, text string")
-    got = [r["text"].split()[2] for r in replace_entities(df, b"k").collect()]
-    assert len(set(got)) == len(names) and not set(got) & set(names)
+def test_a_person_stays_one_person(spark):
+    texts = ["Maria Weber came. Weber said so, MARIA WEBER wrote.", "Frau Weber and Frau Dr. Petra Müller, née Weber; Müller's house", "Herr Jean de la Fontaine met Mr. Smith. FONTAINE left; Smithson stayed", "Günter Groß-Weiß, then Groß-Weiß", "Мария Иванова, Иванова", "webern and the weaver Weber of nobody"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in replace_entities(df, b"k").collect()}
+    words = [re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", got[k]["text"]) for k in range(len(texts))]
+    maria, weber = words[0][:2]
+    assert (words[0][3], words[0][6:8]) == (weber, [maria.upper(), weber.upper()]) and {maria, weber}.isdisjoint({"Maria", "Weber"})
+    assert (words[1][1], words[1][8]) == (weber, weber) and words[1][6] == words[1][9] != "Müller" and words[1][3:5] == ["Frau", "Dr"]
+    assert words[2][2:4] == ["de", "la"] and words[2][8] == words[2][4].upper() != "FONTAINE" and "Smith" not in words[2] and "Smithson" in words[2]
+    assert words[3][1] == words[3][3] != "Groß-Weiß" and words[3][1].count("-") == 1 and words[4][1] == words[4][2] != "Иванова"
+    assert words[4][0].lower() in [n.lower() for n in NAMES["cyrillic", "f"]] and got[5]["text"] == texts[5]
+    assert [got[k]["n_name"] for k in range(6)] == [3, 4, 3, 2, 2, 0]
+
+
+def replaced_by_hand(rows, key):
+    """All documents at once: one dictionary of entities, drawn again until no surrogate is real or another's."""
+    s, attempts = Surrogates(key), {}
+    for _, t in rows:
+        attempts.update({u: -1 if u[0] == "given" and u[1] in DEFAULT.who else 0 for u in parts_of(t or "")})
+    space = lambda k: "name" if k in ("given", "family") else k
+    counts = Counter((k, pattern(k, v)) for k, v in attempts if pattern(k, v)[0])
+    for (kind, value) in attempts:
+        if (p := pattern(kind, value))[0] and counts[kind, p] > p[1]:
+            attempts[kind, value] = -1
+    real = {(space(k), v) for k, v in attempts}
+    for _ in range(MAX_ROUNDS):
+        by_surrogate = {}
+        for (k, v), n in attempts.items():
+            by_surrogate.setdefault((space(k), s.of(k, v, n)), []).append((n, v, k))
+        again = [(k, v) for x, us in by_surrogate.items() for n, v, k in us if (n, v, k) != min(us) or (x in real and n >= 0)]
+        if not again:
+            break
+        for u in again:
+            attempts[u] += 1
+    return [(k, None if t is None else rewritten(t, DEFAULT, lambda kind, v: s.of(kind, v, attempts[kind, v]))[0]) for k, t in rows]
+
+
+def test_replacement_equals_a_version_without_spark(spark):
+    rng = random.Random(12)
+    bits = ["Maria Weber", "Weber", "Herr Klein", "Peter Klein", "Emma Bo", "Bo", "Mr. Ba", "Ba", "Do", "Frau Do", "Otto Ma", "+1 12 34 56", "ann@b.example.com", "bob@c.example.com", "10.0.0.1", "10.0.0.2", "078-05-1120", "4111111111111111", "Luisa", "Jane"]
+    rows = [(k, "; ".join(rng.choices(bits, k=rng.randint(0, 9)))) for k in range(150)] + [(7, None), (7, ""), (None, "Frau Do"), (None, "Frau Do")]
+    rows += [(1000 + k, f"Frau {a}{b} here") for k, (a, b) in enumerate((a, b) for a in "BCDFGHKLMN" for b in "aeio")]  # most surrogates of two letters really occur
+    got = replace_entities(spark.createDataFrame(rows, "doc_id bigint, text string"), b"k").select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(replaced_by_hand(rows, b"k"))
 
 
 def test_redrawing_ends_where_no_surrogate_is_free(spark):
     names = NAMES["latin", "f"] + NAMES["greek", "f"]
-    fixed = ["0.0.0.0", "255.255.255.0", "0.255.0.255", "漢字@例え.jp", "字漢@例え.jp", "Maria 漢字"]
+    fixed = ["0.0.0.0", "255.255.255.0", "0.255.0.255", "漢字@例え.jp", "字漢@例え.jp", "Frau Ba", "Frau Be", "Frau Bi", "Frau Bo", "Frau Bu"]
     phones = [f"+1 {k // 1000:02d} {k // 10 % 100:02d} {k % 10}7" for k in range(300)]
     values = names + fixed + phones
     df = spark.createDataFrame([(k, f"here is {v}; now") for k, v in enumerate(values)], "doc_id bigint, text string")
     out = {r["doc_id"]: r for r in replace_entities(df, b"k").collect()}
     got = [out[k]["text"].removeprefix("here is ").removesuffix("; now") for k in range(len(values))]
     assert all(r["n_entities"] == 1 for r in out.values())
-    assert len(set(got)) == len(values) and not set(got) & set(values)
+    assert len(set(got)) == len(values) and all(a != b for a, b in zip(got, values, strict=True))
+    assert not set(got[len(names) :]) & set(values) and set(got[: len(names)]) == set(names)
     assert not any(c in "".join(got) for c in "漢字例え")
 
 
@@ -330,7 +374,7 @@ def test_a_full_pattern_is_permuted_without_fixed_points(spark, monkeypatch):
     made = [s.of("phone", p, -1) for p in phones]
     assert len(set(made)) == len(phones) and all(p != m and re.fullmatch(r"\+1 \d\d \d\d \d\d", m) for p, m in zip(phones, made, strict=True))
     # with a pattern said to be full, numbers are moved in one step, and stay distinct
-    whole = surrogates.pattern
+    whole = pattern
     monkeypatch.setattr(surrogates, "pattern", lambda kind, text: (whole(kind, text)[0], 3))
     df = spark.createDataFrame([(k, p) for k, p in enumerate(phones[:50])], "doc_id bigint, text string")
     got = {r["doc_id"]: r["text"] for r in replace_entities(df, b"key").collect()}
