@@ -28,7 +28,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 256, 256
 BLOCK = 512
 #: A margin is narrow under so many bytes and so large a share of the size under the next language.  Calibrated on
 #: folds 3 and 4 of sf0.1, with dictionaries of folds 1 and 2 (see README).
-MARGIN_BYTES, MARGIN_SHARE = 2, 0.04
+MARGIN_BYTES, MARGIN_SHARE = 1, 0.025
 _PAD = bytes(96)
 _PARAMS = {"window_log": 18, "chain_log": 17, "hash_log": 17, "search_log": 4, "min_match": 4, "target_length": 16, "strategy": zstandard.STRATEGY_LAZY2, "write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
 _LETTER = regex.compile(r"\p{L}")

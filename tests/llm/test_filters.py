@@ -240,7 +240,7 @@ def judged_by_hand(text, dictionaries):
             n += len(c.compress(bytes(96) + raw[a : a + language_id.BLOCK])) - len(c.compress(bytes(96)))
         sizes.append((max(1, n), lang))
     (best, lang), (second, _) = sorted(sizes)[:2]
-    return lang, min(1.0, 4 * (second - best) / second), second - best >= 2 + 0.04 * second
+    return lang, min(1.0, 4 * (second - best) / second), second - best >= 1 + 0.025 * second
 
 
 def test_languages_equal_brute_force(spark, edges):
