@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lexforge.llm.components import components
 from lexforge.llm.staging import staged, unstage
-from lexforge.llm.texts import bounded
+from lexforge.llm.texts import map_batches
 
 #: Bound of the sample that fits the centres, in vectors and in MB; vectors aimed at in a cell; most centres; cells visited.
 SAMPLE_VECTORS, SAMPLE_MB, CELL, MAX_CELLS, PROBES = 16_384, 64, 256, 4096, 6
@@ -193,12 +193,12 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         x = _unit(sample.chunk(0) if isinstance(sample, pa.ChunkedArray) else sample)
         centres[d] = spherical_kmeans(x, min(k, len(x)))
     shared = spark.sparkContext.broadcast(centres)  # MAX_CELLS centres for each length at most
-    in_cells = staged(nodes.select("node", "weight", "vector").mapInArrow(bounded(lambda it: _cells(it, shared.value, least if exact else None), 1024), "dim int, cell int, home int, probes array<int>, node bigint, weight bigint, vector array<double>"), "cells")
+    in_cells = staged(map_batches(nodes.select("node", "weight", "vector"), lambda it: _cells(it, shared.value, least if exact else None), "dim int, cell int, home int, probes array<int>, node bigint, weight bigint, vector array<double>", 1024), "cells")
     blocks = F.broadcast(in_cells.groupBy("dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))  # a row for each cell
     dealt = in_cells.join(blocks, ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("*", other).select("dim", "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "home", "probes", "node", "weight", "vector")
-    found = dealt.repartition(n, "dim", "cell", "i", "j").sortWithinPartitions("dim", "cell", "i", "j").mapInArrow(bounded(lambda it: _compare(it, least), 1024), "node bigint, links bigint, root bigint")
+    found = map_batches(dealt.repartition(n, "dim", "cell", "i", "j").sortWithinPartitions("dim", "cell", "i", "j"), lambda it: _compare(it, least), "node bigint, links bigint, root bigint", 1024)
     found = staged(found, "found")
     unstage(in_cells)
     comps = components(found.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))

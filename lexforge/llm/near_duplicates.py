@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lexforge.llm.components import components
 from lexforge.llm.staging import staged, unstage
-from lexforge.llm.texts import bounded, map_texts
+from lexforge.llm.texts import map_batches, map_texts
 from lexforge.llm.wordhash import SPACED, U, Words, pieces, splitmix
 
 SHINGLE, BINS, BAND = 5, 128, 4
@@ -135,7 +135,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, share: tuple[int, int]) -> Dat
     wanted = dealt.select("p", "part", F.lit(1).alias("role"), F.col("x").alias("id")).unionByName(dealt.select("p", "part", F.lit(0).alias("role"), F.col("p").alias("id")).distinct())
     rows = _with_texts(wanted, docs, "id").select("p", "part", "role", "id", "text")
     sorted_rows = rows.repartition(n, "p", "part").sortWithinPartitions("p", "part", "role", "id")
-    out = staged(sorted_rows.mapInArrow(bounded(lambda it: _verify(it, share)), "a bigint, b bigint"), "links")
+    out = staged(map_batches(sorted_rows, lambda it: _verify(it, share), "a bigint, b bigint"), "links")
     unstage(dealt)
     return out
 
@@ -241,8 +241,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cells = rows.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "rep", "comp", "sketch")
     columns = "key bigint, i int, j int, block int, band int, rep bigint, comp bigint, sketch array<bigint>"
     in_order = lambda df: df.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
-    open_cells = staged(in_order(cells).mapInArrow(bounded(_look), columns), "cells")
-    late = staged(in_order(_with_texts(open_cells, docs, "rep").select(*[c.split()[0] for c in columns.split(", ")], "text")).mapInArrow(bounded(lambda it: _settle(it, share)), "a bigint, b bigint"), "links")
+    open_cells = staged(map_batches(in_order(cells), _look, columns), "cells")
+    late = staged(map_batches(in_order(_with_texts(open_cells, docs, "rep").select(*[c.split()[0] for c in columns.split(", ")], "text")), lambda it: _settle(it, share), "a bigint, b bigint"), "links")
     if not late.isEmpty():
         first = comps
         comps = components(late.unionByName(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.llm.staging import staged, unstage
-from lexforge.llm.texts import bounded, map_texts, strings
+from lexforge.llm.texts import map_batches, map_texts, strings
 
 #: Given names by script and gender, for detection and replacement, where a caller has no larger lists.
 NAMES = {
@@ -361,14 +361,14 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
     full = staged(shaped.filter("pattern is not null").groupBy("kind", "pattern").agg(F.count("*").alias("n"), F.max("most").alias("most")).filter("n > most").select("kind", "pattern"), "full")
     if not full.isEmpty():
         no = shaped.join(full, ["kind", "pattern"], "left_anti").select("kind", "value", "surrogate", "attempt")
-        new = shaped.join(full, ["kind", "pattern"], "left_semi").select("kind", "value", "attempt").mapInArrow(drawing(lambda _: -1), _DRAWN)
+        new = map_batches(shaped.join(full, ["kind", "pattern"], "left_semi").select("kind", "value", "attempt"), drawing(lambda _: -1), _DRAWN)
         drawn = staged(no.unionByName(new), "entities")
     known = shaped.select("kind", "value")
     for _ in range(MAX_ROUNDS):
         clash = staged(_clashes(drawn, known), "clashes")
         if clash.isEmpty():
             break
-        new = clash.mapInArrow(drawing(lambda n: n + 1), _DRAWN)
+        new = map_batches(clash, drawing(lambda n: n + 1), _DRAWN)
         before = drawn
         drawn = staged(drawn.join(clash.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(new), "entities")
         unstage(clash)
@@ -390,7 +390,7 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
                 rows = [(i, h, k, v) for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True) for k, v in parts_of(t, book)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["id", "same", "kind", "value"])
 
-        holds = docs.select("doc_id", "hash", "text").mapInArrow(bounded(held), "id bigint, same bigint, kind string, value string").distinct().join(redrawn, ["kind", "value"])
+        holds = map_batches(docs.select("doc_id", "hash", "text"), held, "id bigint, same bigint, kind string, value string").distinct().join(redrawn, ["kind", "value"])
         others = holds.groupBy("id", "same").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("other"))
         docs = docs.join(others, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("same")), "left")
 
@@ -404,4 +404,4 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
                 got.append((None, []) if t is None else rewritten(t, book, lambda k, v, other=other: other.get((k, v)) or usual(k, v)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(g[1]) for g in got], pa.int64()), *[pa.array([g[1].count(k) for g in got], pa.int64()) for k in KINDS], pa.array([g[0] for g in got], pa.string())], names=[c.split()[0] for c in columns.split(", ")])
 
-    return docs.select("doc_id", "text", "other").mapInArrow(bounded(rewrite), columns)
+    return map_batches(docs.select("doc_id", "text", "other"), rewrite, columns)

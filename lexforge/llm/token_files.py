@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.llm.bpe import WordIds
-from lexforge.llm.texts import bounded, strings
+from lexforge.llm.texts import map_batches, strings
 
 BLOCK_BYTES = 4 << 20
 #: The dictionary is trained on this many documents at most, and as many ids of each.
@@ -97,7 +97,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "do
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(bounded(run), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    map_batches(dealt, run, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
 def _load_dictionary(spark: SparkSession, path: str) -> tuple[str, bytes]:
@@ -137,7 +137,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                 starts = base[r["part"]] + r["start_in_part"] + np.concatenate([[0], np.cumsum(counts[:-1], dtype=np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array([None if i == _NO_ID else i for i in ids.tolist()], pa.int64()), pa.array(starts, pa.int64()), pa.array(counts.astype(np.int64)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return blocks.mapInArrow(bounded(run, 4), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return map_batches(blocks, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint", 4)
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int] | None:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _MULT = U(0x9E3779B97F4A7C15)
 
 
