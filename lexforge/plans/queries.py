@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexforge.functions.keys import is_apostrophe, is_punctuation, with_keys
@@ -363,8 +363,15 @@ def tolerant_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every version lists all its chunks; of each fifth the file is missing."""
     docs = table(spark, sf_dir, "documents").select(F.concat("lang", F.lit("/"), "source").alias("version_path"), F.concat(F.col("doc_id").cast("string"), F.lit(".xml")).alias("chunk_name"), "doc_id")
-    index = docs.groupBy("version_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "chunk_name"))), lambda x: F.struct(x["chunk_name"].alias("file"))).alias("chunks"))
-    return _longs(chunk_listing(index, docs.filter("doc_id % 5 <> 0")))
+    listed = _placed(docs, "version_path", [F.col("doc_id")], "ord")
+    return _longs(chunk_listing(listed, docs.filter("doc_id % 5 <> 0")))
+
+
+def _placed(df: DataFrame, group: str, order: list[Column], name: str, first: int = 0) -> DataFrame:
+    """``df`` with places within groups of any size, from ``first`` on: the dense id less the group's first one."""
+    numbered = kept(dense_ids(kept(df, "rows"), [F.col(group), *order], "_number"), "numbered")
+    starts = numbered.groupBy(group).agg(F.min("_number").alias("_start")).repartition(group, "_start")  # so that the join can split a large group
+    return numbered.join(starts, group).withColumn(name, F.col("_number") - F.col("_start") + first).drop("_number", "_start")
 
 
 @query("SELECT 0 AS root, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark")
@@ -433,9 +440,7 @@ _CITATION = "SELECT lang || '/' || source AS version, doc_id, row_number() OVER
 def cited_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, listed = _sidecar_names(spark, sf_dir)
     rows = citation_order(docs, listed, ["version"])
-    numbered = kept(dense_ids(kept(rows.select("version", "doc_id", "citation_key"), "cited"), [F.col("version"), F.col("citation_key")], "number"), "numbered")
-    first = F.broadcast(numbered.groupBy("version").agg(F.min("number").alias("first")))  # a row for each of some 80 versions
-    return _longs(numbered.join(first, "version").select("version", "doc_id", (F.col("number") - F.col("first") + 1).alias("place")))
+    return _longs(_placed(rows.select("version", "doc_id", "citation_key"), "version", [F.col("citation_key")], "place", 1).drop("citation_key"))
 
 
 @query("SELECT lang || '/' || source AS version, doc_id, 1 AS times, -doc_id AS ord FROM documents WHERE doc_id % 4 <> 0")
@@ -578,7 +583,7 @@ def lookup_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strict.unionByName(_ids(index, "lemmas", "étion", "fr", loose=True).select("lemma_id", "lemma", "n", F.lit("loose").alias("by")))
 
 
-@query(_sql("SELECT f.form_id, w.chunk_id, w.seq, w.occ FROM word w JOIN (SELECT text, lang, key, row_number() OVER (ORDER BY at) AS form_id FROM (SELECT text, key, loose, lang, min(pos) AS at FROM word GROUP BY ALL)) f USING (text, lang, key) WHERE w.key = 'with' AND w.lang = 'en'"))
+@query(_sql("SELECT f.form_id, w.chunk_id, w.seq, w.occ FROM word w JOIN (SELECT text, lang, key, row_number() OVER (ORDER BY met) AS form_id FROM (SELECT text, key, loose, lang, min(pos) AS met FROM word GROUP BY ALL)) f USING (text, lang, key) WHERE w.key = 'with' AND w.lang = 'en'"))
 def lookup_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = stored(spark, sf_dir)
     return _longs(search.postings(index, "form", _ids(index, "forms", "with", "en")).select("form_id", "chunk_id", "seq", "occ"))

@@ -37,10 +37,14 @@ def parse_metadata(content: str = "content"):
     return F.from_json(F.col(content).cast("string"), METADATA, {"mode": "PERMISSIVE"})["document"]
 
 
-def chunk_listing(index: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows (version_path, ord, chunk_name) of the chunks that an index lists and that exist."""
-    listed = index.select("version_path", F.posexplode("chunks").alias("ord", "c")).select("version_path", "ord", F.col("c.file").alias("chunk_name"))
-    return listed.join(files.select("version_path", "chunk_name").distinct(), ["version_path", "chunk_name"], "left_semi")
+def listed_names(index: DataFrame) -> DataFrame:
+    """Rows (version_path, ord, chunk_name) of the chunks that index files list."""
+    return index.select("version_path", F.posexplode("chunks").alias("ord", "c")).select("version_path", "ord", F.col("c.file").alias("chunk_name"))
+
+
+def chunk_listing(listed: DataFrame, files: DataFrame) -> DataFrame:
+    """Of the listed chunks (version_path, ord, chunk_name) those that exist."""
+    return listed.join(files.select("version_path", "chunk_name").distinct(), ["version_path", "chunk_name"], "left_semi").select("version_path", "ord", "chunk_name")
 
 
 def read_versions(spark: SparkSession, roots: list[str]) -> DataFrame:
@@ -70,8 +74,8 @@ def read_sidecars(spark: SparkSession, roots: list[str]) -> DataFrame:
         schema = f"struct<{SIDECAR.replace('urn string, lang string, tokens ', 'urn:string,lang:string,tokens:')}>"
         opened = found.withColumn("name", F.substring_index("path", "/", -1)).filter(~F.startswith("name", F.lit("."))).mapInArrow(_unpack, "path string, version_path string, name string, json string, error string")
         rows = opened.withColumn("s", F.from_json("json", schema)).select(F.lit(k).alias("root"), "version_path", "name", "s.urn", "s.lang", F.coalesce("s.tokens", F.array()).alias("tokens"), "error")
-        listed = _files(spark, f"{top}/*/*/*/*/index.json", "index.json").select("version_path", F.posexplode(parse_index()).alias("ord", "c")).select("version_path", "ord", sidecar_name(F.col("c.file")).alias("name"))
-        listed = listed.groupBy("version_path", "name").agg(F.min("ord").alias("ord"))
+        listed = _files(spark, f"{top}/*/*/*/*/index.json", "index.json").select("version_path", parse_index().alias("chunks"))
+        listed = listed_names(listed).select("version_path", "ord", sidecar_name(F.col("chunk_name")).alias("name")).groupBy("version_path", "name").agg(F.min("ord").alias("ord"))
         meta = _files(spark, f"{top}/*/*/*/*/metadata.json", "metadata.json").select("version_path", parse_metadata().alias("m"))
         meta = meta.select("version_path", F.col("m.base_urn").alias("meta_base_urn"), "m.title", "m.author", "m.source_repo")
         rows = rows.join(listed, ["version_path", "name"], "left").join(meta, "version_path", "left").withColumnRenamed("name", "chunk_name")

@@ -41,6 +41,8 @@ def corpus(tmp_path):
 
 def test_whole_run_and_index(spark, corpus, tmp_path):
     store = pipeline.Store(spark, str(tmp_path / "store"))
+    late = pipeline.run(spark, str(corpus), pipeline.Store(spark, str(tmp_path / "late")), greek, VERSIONS, time_budget_minutes=0)
+    assert late["statuses"]["compiled"] == 1 and late["tokenize"] == {"generated": 0, "skipped": 0, "failed": 0, "deferred": 2, "pruned": 0}
     record = pipeline.run(spark, str(corpus), store, greek, VERSIONS)
     status = {w["path"]: w["status"] for w in spark.read.json(record["works"]).collect()}
     assert record["statuses"] == {"compiled": 1, "failed": 2, "no-citestructure": 1}
