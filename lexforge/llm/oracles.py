@@ -70,3 +70,41 @@ WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x20\\x09
     edges AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
     nodes AS (SELECT doc_id AS node FROM documents),{_REACH}
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d JOIN comps ON node = d.doc_id LEFT JOIN sizes USING (doc_id)"""
+
+#: Shares by whole-number division of wide integers; every pair of sources over every kept term.
+OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    said AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+    kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n_lang_term FROM said GROUP BY ALL HAVING count(DISTINCT k) >= 10),
+    langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n_lang_term) AS HUGEINT) AS n_lang FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(any_value(n_lang), 0) AS n_lang, coalesce(any_value(g.n), 0) AS n_group
+      FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN langs USING (lang) LEFT JOIN (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS n FROM counts GROUP BY ALL) g USING (lang, source) GROUP BY ALL),
+    shares AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 2) // (n_group + 2 * v) AS p, 1 + 1000000000 * (n_lang_term + 2) // (n_lang + 2 * v) AS q
+      FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    found AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+#: The lowest bits of the CRC-32 of a decimal id, bit by bit: a byte comes in, and eight shifts (-1) follow.
+_CRC = """xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+
+#: Every prefix as a list of turns; subtrees by comparing lists.
+OP11 = f"""
+WITH said AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+    convs AS (SELECT conv_id, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM said)),
+    built AS (
+      SELECT c.conv_id, 0 AS half, s.pos, role, text FROM convs c JOIN said s ON s.conv_id = c.conv_id - c.conv_id % 20 AND s.pos <= h
+      UNION ALL SELECT conv_id, 1, pos, role, text FROM said JOIN convs USING (conv_id) WHERE pos > h),
+    whole AS (SELECT conv_id, coalesce(list(struct_pack(r := role, t := text) ORDER BY half, pos) FILTER (role IS NOT NULL), []) AS w FROM convs LEFT JOIN built USING (conv_id) GROUP BY conv_id),
+    members AS (SELECT conv_id, w, d, w[1 : d] AS p FROM whole, (SELECT unnest(range((SELECT max(len(w)) + 1 FROM whole))) AS d) WHERE d <= len(w)),
+    nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(w) = d), '') AS ends FROM members GROUP BY p, d),
+    tree AS (SELECT n.*, (SELECT count(*) FROM nodes x WHERE x.d = n.d + 1 AND x.p[1 : n.d] = n.p) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(p[d].t, '[^\\x20\\x09-\\x0D]+')) END AS saved FROM nodes n),
+    subtrees AS (SELECT a.p, a.d, count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens FROM tree a JOIN tree b ON b.d >= a.d AND b.p[1 : a.d] = a.p GROUP BY ALL)
+SELECT t.conv_id, CAST(t.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens, sha256(t.ends) AS ends_sha256
+FROM tree t JOIN subtrees s ON s.p = t.p LEFT JOIN nodes u ON t.d > 0 AND u.d = t.d - 1 AND u.p = t.p[1 : t.d - 1]"""

@@ -11,10 +11,13 @@ from lexforge.llm import oracles
 from lexforge.llm.bpe_codec import encode_decode
 from lexforge.llm.decontaminate import contamination
 from lexforge.llm.embedding_dedup import near_vectors
+from lexforge.llm.html_text import main_text
 from lexforge.llm.language_id import fold, identify, train
 from lexforge.llm.near_duplicates import near_duplicates
+from lexforge.llm.prefix_trie import borrowed_openings, prefix_trie, turns_of
 from lexforge.llm.secrets import scan_secrets
 from lexforge.llm.shards import shard_rows
+from lexforge.llm.source_audit import divergences
 from lexforge.llm.staging import new_path
 from lexforge.llm.surrogates import replace_entities
 from lexforge.llm.token_counts import count_tokens
@@ -81,6 +84,18 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(borrowed_openings(turns_of(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(_spread(spark, sf_dir, "documents"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_spread(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -92,10 +107,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_files": op9_token_files,
     "op10_shards": op10_shards,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_source_audit": op12_source_audit,
+    "op13_html_text": op13_html_text,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_embedding_dedup": oracles.OP2,
     "op5_decontaminate": oracles.OP5,
     "op6_secrets": oracles.OP6,
     "op8_near_duplicates": oracles.OP8,
+    "op11_prefix_trie": oracles.OP11,
+    "op12_source_audit": oracles.OP12,
 }
