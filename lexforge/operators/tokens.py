@@ -57,28 +57,22 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(*keep, F.posexplode(pairs).alias("seq", "pair")).select(*keep, "seq", F.col("pair.t").alias("token"), F.col("pair.n").alias("next_text")).select(*keep, "seq", "token.*", "next_text")
 
 
-def with_occurrence(tokens: DataFrame, chunk: list[str]) -> DataFrame:
-    """Counts each exact text within its chunk, from 1, and names the token by text and count."""
-    nth = F.row_number().over(Window.partitionBy(*chunk, "text").orderBy("seq"))
-    return tokens.withColumn("occ", nth).withColumn("identifier", F.concat("text", F.lit("["), nth.cast("string"), F.lit("]")))
+def own_texts(text: Column, tokens: Column) -> Column:
+    """Model ``tokens`` (start_char, end_char, text, ...) of one text, with the text's own words in place of the model's.
 
+    The slice of the text without outer blanks counts; where it is empty, the model's own text; tokens without either go,
+    and the rest keep their order.  The text is split into its characters once, so the cost is that of the slices.
+    """
+    strip = lambda c: F.regexp_replace(c, _BLANK, "")
 
-def with_urn(tokens: DataFrame, chunk_urn: str = "chunk_urn") -> DataFrame:
-    """Words get a URN of chunk and identifier; punctuation has none."""
-    return tokens.withColumn("urn", F.when(~is_punctuation(F.col("text")), F.concat(F.col(chunk_urn), F.lit("@"), "identifier")))
-
+    def named(chars: Column) -> Column:
+        def own(t: Column) -> Column:
+            cut = F.array_join(F.slice(chars, F.greatest(t["start_char"], F.lit(0)) + 1, F.greatest(t["end_char"] - t["start_char"], F.lit(0))), "")
+            return t.withField("text", F.coalesce(F.nullif(strip(cut), F.lit("")), F.nullif(strip(t["text"]), F.lit(""))))
 
-def finalize(raw: DataFrame, chunk: list[str], primary: str = "primary_text", chunk_urn: str = "chunk_urn") -> DataFrame:
-    """Model tokens (seq, start_char, end_char, text) with text from the source, identifier and URN.
+        return F.filter(F.transform(tokens, own), lambda t: t["text"].isNotNull())
 
-    The source slice without outer blanks counts; where it is empty, the model's own text; tokens without either go, and
-    the rest keep their order.
-    """
-    strip = lambda c: F.regexp_replace(c, _BLANK, "")
-    source = strip(F.substring(F.col(primary), F.col("start_char") + 1, F.col("end_char") - F.col("start_char")))
-    text = F.coalesce(F.nullif(source, F.lit("")), F.nullif(strip(F.col("text")), F.lit("")))
-    kept = raw.withColumn("text", text).filter(F.col("text").isNotNull())
-    return with_urn(with_occurrence(kept, chunk), chunk_urn)
+    return let(F.split(F.coalesce(text, F.lit("")), ""), named)
 
 
 def key_text(text: str = "text", whitespace: str = "whitespace", next_text: str = "next_text") -> Column:
@@ -111,13 +105,25 @@ def context_windows(chunks: DataFrame, keep: list[str], tokens: str = "tokens",
     return rows.select(*keep, F.posexplode(parts).alias("part", "tokens"))
 
 
-def shift_segments(pieces: DataFrame, chunk: list[str]) -> DataFrame:
-    """Tokens of segments in the coordinates of the whole text.
+def shift_segments(pieces: DataFrame, chunk: list[str], counted: bool = True) -> DataFrame:
+    """``pieces`` (chunk columns, piece, char_offset, tokens) with their tokens in the coordinates of the whole text.
 
-    ``pieces``: chunk columns, piece, char_offset, tokens array<struct<start_char, end_char, id, ...>>; ids of one number
-    count along the chunk and move on by the tokens before, others are left alone.
+    Characters move on by the piece's offset; ids, which are ``counted`` along the chunk, and the words' ids and heads by
+    the tokens of the pieces before.  Pieces stay rows, so that those of one text may be made by many tasks.
     """
-    order = Window.partitionBy(*chunk).orderBy("piece")
-    before = F.coalesce(F.sum(F.size("tokens")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = pieces.withColumn("_before", before.cast("int")).select(*chunk, "piece", "char_offset", "_before", F.posexplode("tokens").alias("k", "t"))
-    return rows.select(*chunk, (F.col("_before") + F.col("k")).alias("seq"), (F.col("t.start_char") + F.col("char_offset")).alias("start_char"), (F.col("t.end_char") + F.col("char_offset")).alias("end_char"), (F.col("t.id") + F.col("_before")).alias("id"), F.col("t.text").alias("text"))
+    before = F.coalesce(F.sum(F.size("tokens")).over(Window.partitionBy(*chunk).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    has_words = "words" in pieces.schema["tokens"].dataType.elementType.names
+
+    def moved(t: Column) -> Column:
+        out = t.withField("start_char", t["start_char"] + F.col("char_offset")).withField("end_char", t["end_char"] + F.col("char_offset"))
+        if not counted:
+            return out
+        out = out.withField("id", F.transform(t["id"], lambda i: i + F.col("_before")))
+        return out.withField("words", F.transform(t["words"], lambda w: w.withField("id", w["id"] + F.col("_before")).withField("head", w["head"] + F.col("_before")))) if has_words else out
+
+    return pieces.withColumn("_before", before).withColumn("tokens", F.transform("tokens", moved)).drop("_before")
+
+
+def joined_segments(pieces: str = "piece", tokens: str = "tokens") -> Column:
+    """The tokens of a chunk's pieces as one array, in order: an aggregate."""
+    return F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(pieces, tokens))), lambda x: x[tokens]))

@@ -12,13 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexforge.functions.arrays import let, running
 from lexforge.functions.keys import is_apostrophe, is_punctuation, with_keys
 from lexforge.functions.names import language_sample, natural_key, occurrence, path_key, pipeline_version, sidecar_name, urn_base, urn_is_valid, urn_ref, work_path
 from lexforge.functions.segments import segments
 from lexforge.operators import incremental, search
 from lexforge.operators.index import Index, accept_and_number, accepted_chunks, build_index, citation_order, read_tables, write_tables
 from lexforge.operators.numbering import dense_ids
-from lexforge.operators.tokens import explode_tokens, finalize, first_word, indexed_lemma, key_text, named_tokens, shift_segments, token_list, words_only
+from lexforge.operators.tokens import explode_tokens, first_word, indexed_lemma, key_text, named_tokens, own_texts, shift_segments, token_list, words_only
 from lexforge.plans.tokenize import tokenize_native
 from lexforge.sources.sidecars import chunk_listing, export_tree, pack_sidecars, parse_metadata, read_sidecar_names, read_sidecars, read_versions, version_files
 from lexforge.sources.storage import kept, shared_path, spread
@@ -203,14 +204,14 @@ kept AS (SELECT * FROM cut WHERE text <> '')
 SELECT cid, seq, text, text || '[' || row_number() OVER (PARTITION BY cid, text ORDER BY seq) || ']' AS identifier FROM kept"""
 )
 def token_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces between spaces stand for model tokens, in capitals to show that the source's text counts."""
+    """Pieces between spaces stand for model tokens, without a text of their own, so that the source's text counts."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("cid"), F.col("text").alias("primary_text"))
-    parts = F.split("primary_text", " ", -1)
-    rows = docs.select("cid", "primary_text", F.posexplode(parts).alias("seq", "t"))
-    before = Window.partitionBy("cid").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("start_char", F.coalesce(F.sum(F.length("t") + 1).over(before), F.lit(0)).cast("int")).withColumn("end_char", F.col("start_char") + F.length("t"))
-    raw = rows.select("cid", "primary_text", F.lit("u").alias("chunk_urn"), "seq", "start_char", "end_char", F.lit("").alias("text"))
-    return _longs(finalize(raw, ["cid"]).select("cid", "seq", "text", "identifier"))
+    sizes = F.transform(F.split("primary_text", " ", -1), lambda t: F.length(t) + 1)
+    spans = let(sizes, lambda n: F.transform(F.arrays_zip(n.alias("n"), running(n, lambda x, y: x + y).alias("end")), lambda z, i: F.struct(i.alias("seq"), (z["end"] - z["n"]).alias("start_char"), (z["end"] - 1).alias("end_char"), F.lit("").alias("text"), F.lit(False).alias("whitespace"))))
+    tokens = docs.select("cid", own_texts(F.col("primary_text"), spans).alias("tokens"))
+    named = let(F.col("tokens"), lambda ts: F.arrays_zip(ts.alias("t"), named_tokens(ts, F.lit("u")).alias("n")))
+    rows = tokens.select("cid", F.explode(named).alias("z"))
+    return _longs(rows.select("cid", "z.t.seq", "z.t.text", "z.n.identifier"))
 
 
 @query("SELECT conv_id, turn, CASE WHEN trim(text) = '' THEN 0 ELSE len(regexp_extract_all(text, '" + _RX + "', 1)) END AS n_tokens, trim(text) = '' AS blank FROM conversations")
@@ -248,9 +249,10 @@ def segment_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns stand for segments; a token's place in its turn stands for its offset there."""
     rows = table(spark, sf_dir, "conversations")
     before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    tokens = F.transform(token_list(F.col("text")), lambda t, k: F.struct(k.alias("start_char"), k.alias("end_char"), k.alias("id"), t["text"].alias("text")))
+    tokens = F.transform(token_list(F.col("text")), lambda t, k: F.struct(k.alias("start_char"), k.alias("end_char"), F.array(k).alias("id"), t["text"].alias("text")))
     pieces = rows.select("conv_id", F.col("turn").alias("piece"), F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)).cast("int").alias("char_offset"), tokens.alias("tokens"))
-    return _longs(shift_segments(pieces, ["conv_id"]).select("conv_id", "seq", "start_char", "id", "text"))
+    rows = shift_segments(pieces, ["conv_id"]).select("conv_id", F.explode("tokens").alias("t"))
+    return _longs(rows.select("conv_id", F.get("t.id", F.lit(0)).alias("seq"), "t.start_char", F.get("t.id", F.lit(0)).alias("id"), "t.text"))
 
 
 # ---- names, orders and samples

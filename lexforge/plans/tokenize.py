@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexforge.functions.arrays import let
 from lexforge.functions.names import language_sample
-from lexforge.functions.segments import cuts
-from lexforge.operators.tokens import finalize, named_tokens, token_list
+from lexforge.functions.segments import segments
+from lexforge.operators.tokens import joined_segments, named_tokens, own_texts, shift_segments, token_list
 from lexforge.schema import LANGID_SAMPLE_CHARS, SEGMENT_CHARS, TOKEN
 
 
@@ -25,83 +28,123 @@ class Analyzer(Protocol):
         """Token dicts (start_char, end_char, id, text, whitespace, words, ner) of each segment, in its own coordinates."""
 
 
-def _moved(tokens: list[dict], chars: int, count: int, relative: bool) -> list[dict]:
-    """A segment's tokens in the coordinates of its text; ids that count along the text move on by ``count``."""
-    for t in tokens:
-        t["start_char"] += chars
-        t["end_char"] += chars
-        if relative:
-            t["id"] = [i + count for i in t["id"]]
-            for w in t.get("words") or ():
-                w["id"] += count
-                if w.get("head") is not None:
-                    w["head"] += count
-    return tokens
-
-
-def _run(texts: list[str], langs: list[str], model: Analyzer, limit: int | None) -> list[list[dict]]:
-    """Tokens of texts in one language, cut into segments and put together again."""
-    relative = getattr(model, "ids_count_along", True)
-    bounds = [cuts(t, limit) if limit else [0] for t in texts]
-    parts = [(k, a, t[a:b]) for k, (t, c) in enumerate(zip(texts, bounds, strict=True)) for a, b in zip(c, [*c[1:], len(t)], strict=True)]
-    out: list[list[dict]] = [[] for _ in texts]
-    for (k, a, _), tokens in zip(parts, model.tokens(langs[0], [p for _, _, p in parts]), strict=True):
-        out[k] += _moved(tokens, a, len(out[k]), relative)
-    return out
-
-
-def analyze_chunks(chunks: DataFrame, model: Callable[[], Analyzer], sample: bool = True, segment_chars: int | None = SEGMENT_CHARS, parts: int | None = None) -> DataFrame:
-    """Rows (version_path, chunk_name, sha, urn, lang, raw, error) from (version_path, chunk_name, sha, urn, primary_text).
-
-    The language comes from a bounded sample (or the whole text), texts of a language go to the model together, and where
-    that fails one by one, so that a failure stays with its chunk, in ``error``.  Blank texts have no language and tokens.
-    """
-    schema = f"version_path string, chunk_name string, sha string, urn string, primary_text string, lang string, raw array<{TOKEN}>, error string"
-    seen = language_sample(F.col("primary_text"), LANGID_SAMPLE_CHARS) if sample else F.col("primary_text")
-    rows = chunks.select("version_path", "chunk_name", "sha", "urn", "primary_text", seen.alias("seen"))
-    rows = rows.repartition(parts) if parts else rows
+#: What a model gets at once: so many pieces at most, of so many characters together (one piece may have more).
+BATCH_PIECES, BATCH_CHARS = 256, 1 << 18
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = model()
-        for df in batches:
-            df = df.assign(primary_text=df["primary_text"].fillna(""), seen=df["seen"].fillna(""))
-            langs, raw, errors = [""] * len(df), [[] for _ in range(len(df))], [None] * len(df)
-            texts, samples = df["primary_text"].tolist(), df["seen"].tolist()
-            full = [k for k, t in enumerate(texts) if t.strip()]
+
+def batches(sizes: list[int], most: int = BATCH_PIECES, chars: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of at most ``most`` texts and ``chars`` characters, but of one text at least."""
+    start = held = 0
+    for k, n in enumerate(sizes):
+        if k > start and (k - start >= most or held + n > chars):
+            yield start, k
+            start, held = k, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _each(run: Callable[[list], list], items: list) -> tuple[list, list[str | None]]:
+    """``run`` over all items at once, or where that fails one by one: results (None for a failure), and errors."""
+    try:
+        return list(run(items)), [None] * len(items)
+    except Exception:
+        out, errors = [], []
+        for x in items:
             try:
-                for k, lang in zip(full, own.language([samples[k] for k in full]), strict=True):
-                    langs[k] = lang
-            except Exception:
-                for k in full:
-                    try:
-                        langs[k] = own.language([samples[k]])[0]
-                    except Exception as e:
-                        errors[k] = f"language: {e}"
-            for lang in sorted({langs[k] for k in full if errors[k] is None}):
-                members = [k for k in full if errors[k] is None and langs[k] == lang]
-                try:
-                    for k, tokens in zip(members, _run([texts[k] for k in members], [lang], own, segment_chars), strict=True):
-                        raw[k] = tokens
-                except Exception:
-                    for k in members:
-                        try:
-                            raw[k] = _run([texts[k]], [lang], own, segment_chars)[0]
-                        except Exception as e:
-                            errors[k] = str(e)
-            yield df.drop(columns=["seen"]).assign(lang=langs, raw=raw, error=errors)
-
-    return rows.mapInPandas(run, schema)
+                out += run([x])
+                errors.append(None)
+            except Exception as e:
+                out.append(None)
+                errors.append(str(e))
+        return out, errors
+
+
+def _languages(model: Callable[[], Analyzer], deadline: float | None) -> Callable[[Column], Column]:
+    """struct<lang, error, late> of texts; blank ones have no language."""
+
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = model()
+        for seen in series:
+            texts = seen.fillna("").tolist()
+            langs, errors, late = [""] * len(texts), [None] * len(texts), [False] * len(texts)
+            for a, b in batches([len(t) for t in texts]):
+                if deadline is not None and time.time() >= deadline:
+                    late[a:b] = [True] * (b - a)
+                    continue
+                full = [k for k in range(a, b) if texts[k].strip()]
+                for k, lang, error in zip(full, *_each(own.language, [texts[k] for k in full]), strict=True):
+                    langs[k], errors[k] = lang or "", None if error is None else f"language: {error}"
+            yield pd.DataFrame({"lang": langs, "error": errors, "late": late})
+
+    # a plain annotation in text form would not be understood by pandas_udf
+    run.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, "lang string, error string, late boolean").asNondeterministic()
+
+
+def _pieces_analyzed(pieces: DataFrame, model: Callable[[], Analyzer], deadline: float | None) -> DataFrame:
+    """``pieces`` with tokens, in the coordinates of the piece; a failure stays with its piece, what comes past the deadline is late."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + f", tokens array<{TOKEN}>"
+
+    def analyzed(df: pd.DataFrame, own: Analyzer) -> pd.DataFrame:
+        tokens, errors = [[] for _ in range(len(df))], df["error"].tolist()
+        if deadline is not None and time.time() >= deadline:
+            return df.assign(late=True, tokens=tokens)
+        todo: dict[str, list[int]] = {}
+        for k, (text, lang, error, late) in enumerate(zip(df["segment"], df["lang"], errors, df["late"], strict=True)):
+            if error is None and not late and text.strip():
+                todo.setdefault(lang, []).append(k)
+        texts = df["segment"].tolist()
+        for lang, members in sorted(todo.items()):
+            found, failed = _each(partial(own.tokens, lang), [texts[k] for k in members])
+            for k, t, e in zip(members, found, failed, strict=True):
+                tokens[k], errors[k] = t or [], e
+        return df.assign(error=errors, tokens=tokens)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = model()
+        for df in frames:
+            df = df.astype({"error": object}).where(df.notna(), None)
+            for a, b in batches(df["segment"].str.len().tolist()):
+                yield analyzed(df.iloc[a:b], own)
+
+    return pieces.mapInPandas(run, schema)
+
+
+def analyze_chunks(chunks: DataFrame, model: Callable[[], Analyzer], sample: bool = True, segment_chars: int | None = SEGMENT_CHARS, parts: int | None = None, deadline: float | None = None) -> DataFrame:
+    """Rows (version_path, chunk_name, sha, urn, lang, raw, error, deferred) from (version_path, chunk_name, sha, urn, primary_text).
+
+    The language comes from a bounded sample (or the whole text).  Texts are cut into segments, which are rows of their
+    own and dealt out, so that one long text keeps many tasks busy; a model gets bounded batches of segments of one
+    language.  A chunk with a failed segment has its error, and one that isn't ready at ``deadline`` (time.time) is
+    deferred; tasks work in the order of the chunks, so that most are either ready or not begun.  Blank texts have no
+    language and no tokens; repeated rows are chunks of their own.
+    """
+    spark = chunks.sparkSession
+    seen = language_sample(F.col("primary_text"), LANGID_SAMPLE_CHARS) if sample else F.col("primary_text")
+    text = F.coalesce("primary_text", F.lit(""))
+    cut = segments(text, segment_chars) if segment_chars else F.array(F.struct(F.lit(0).alias("char_offset"), text.alias("segment")))
+    rows = chunks.select(F.monotonically_increasing_id().alias("row"), "version_path", "chunk_name", "sha", "urn", "primary_text").withColumn("_l", _languages(model, deadline)(seen))
+    rows = rows.select("row", "version_path", "chunk_name", "sha", "urn", "_l.lang", "_l.error", "_l.late", F.posexplode(cut).alias("piece", "_s")).select("*", "_s.char_offset", "_s.segment").drop("_s")
+    dealt = rows.repartition(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), "row", "piece").sortWithinPartitions("row", "piece")
+    done = _pieces_analyzed(dealt, model, deadline)
+    done = done.withColumn("tokens", own_texts(F.col("segment"), F.col("tokens"))).drop("segment")
+    whole = shift_segments(done, ["row"], getattr(model(), "ids_count_along", True)).groupBy("row")
+    same = [F.first(c).alias(c) for c in ("version_path", "chunk_name", "sha", "urn", "lang")]
+    out = whole.agg(*same, joined_segments().alias("raw"), F.min_by("error", F.when(F.col("error").isNotNull(), F.col("piece"))).alias("error"), F.max("late").alias("deferred"))
+    return out.drop("row")
 
 
 def finish(analyzed: DataFrame) -> DataFrame:
-    """Sidecar rows (version_path, chunk_name, sha, urn, lang, tokens) of analyzed chunks without an error."""
-    good = analyzed.filter(F.col("error").isNull())
-    key = ["version_path", "chunk_name"]
-    raw = good.select(*key, F.col("urn").alias("chunk_urn"), "primary_text", F.posexplode("raw").alias("seq", "t")).select(*key, "chunk_urn", "primary_text", "seq", "t.start_char", "t.end_char", "t.text", F.col("t").alias("t"))
-    done = finalize(raw, key)
-    token = F.struct("t.start_char", "t.end_char", "t.id", F.lit(None).cast("string").alias("misc"), "t.ner", "text", "t.whitespace", "t.words", "identifier", "urn")
-    lists = done.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", token.alias("token")))), lambda x: x["token"]).alias("tokens"))
-    return good.select(*key, "sha", "urn", "lang").join(lists, key, "left").withColumn("tokens", F.coalesce("tokens", F.array().cast(f"array<{TOKEN}>")))
+    """Sidecar rows (version_path, chunk_name, sha, urn, lang, tokens) of analyzed chunks that are ready, named in their arrays."""
+    good = analyzed.filter(F.col("error").isNull() & ~F.col("deferred"))
+
+    def token(z: Column) -> Column:
+        t, n = z["t"], z["n"]
+        return F.struct(*[t[c].alias(c) for c in ("start_char", "end_char", "id")], F.lit(None).cast("string").alias("misc"), *[t[c].alias(c) for c in ("ner", "text", "whitespace", "words")], n["identifier"].alias("identifier"), n["urn"].alias("urn"))
+
+    named = let(F.col("raw"), lambda ts: F.transform(F.arrays_zip(ts.alias("t"), named_tokens(ts, F.col("urn")).alias("n")), token))
+    return good.select("version_path", "chunk_name", "sha", "urn", "lang", named.alias("tokens"))
 
 
 def tokenize_native(chunks: DataFrame, keep: list[str], lemma: Callable[[Column], Column] | None = None, upos: Callable[[Column], Column] | None = None, feats: Callable[[Column], Column] | None = None, text: str = "primary_text") -> DataFrame:

@@ -225,3 +225,66 @@ def test_command_line(spark, corpus, tmp_path, capsys):
     made = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (made["documents"], made["chunks"], made["words"], made["lemmas"], made["broken_sidecars"]) == (1, 2, 6, 1, 0)
     assert main(["tokenize", "--base", base, "--analyzer", "lexforge.plans.analyzers:PlainAnalyzer", "--force"], spark) == 0
+
+
+CHUNK = "version_path string, chunk_name string, sha string, urn string, primary_text string"
+
+
+def test_a_very_long_chunk_is_dealt_out_and_finalised_in_its_array(spark):
+    """200,000 words in one chunk: segments reach several tasks, and the result equals counts made in plain Python."""
+    words = [f"w{k % 997}" for k in range(200_000)]
+    df = spark.createDataFrame([("v", "1.xml", "s", "urn:x", " ".join(words))], CHUNK)
+    began = time.time()
+    tokens = finish(analyze_chunks(df, greek, parts=4)).select(F.explode("tokens").alias("t")).select("t.identifier", "t.urn", "t.start_char", F.col("t.id")[0].alias("id")).collect()
+    assert time.time() - began < 60
+    seen, at, want = {}, 0, []
+    for k, w in enumerate(words):
+        seen[w] = seen.get(w, 0) + 1
+        want.append((f"{w}[{seen[w]}]", f"urn:x@{w}[{seen[w]}]", at, k))
+        at += len(w) + 1
+    assert [tuple(t) for t in tokens] == want
+
+
+class Counting(PlainAnalyzer):
+    """Fails where it gets more than a batch may hold."""
+
+    def tokens(self, lang, segments):
+        if len(segments) > 256 or (len(segments) > 1 and sum(map(len, segments)) > 1 << 18):
+            raise RuntimeError("too much at once")
+        return super().tokens(lang, segments)
+
+    def language(self, texts):
+        if len(texts) > 256:
+            raise RuntimeError("too many at once")
+        return super().language(texts)
+
+
+def test_batches_are_bounded(spark):
+    from lexforge.plans.tokenize import batches
+
+    assert list(batches([])) == [] and list(batches([9], 2, 5)) == [(0, 1)]
+    assert list(batches([1, 1, 1, 9, 1, 3, 3], 2, 5)) == [(0, 2), (2, 3), (3, 4), (4, 6), (6, 7)]
+    df = spark.range(2000).select(F.lit("v").alias("version_path"), F.col("id").cast("string").alias("chunk_name"), F.lit("s").alias("sha"), F.lit("u").alias("urn"), F.repeat(F.lit("word and "), 300).alias("primary_text"))
+    got = analyze_chunks(df.coalesce(1), lambda: Counting("la"), parts=1)
+    assert got.filter("error is not null").isEmpty() and got.agg(F.sum(F.size("raw"))).head()[0] == 2000 * 600
+
+
+class Slow(PlainAnalyzer):
+    def tokens(self, lang, segments):
+        time.sleep(0.4)
+        return super().tokens(lang, segments)
+
+
+def test_a_deadline_inside_a_batch_defers_the_rest_and_a_later_run_goes_on(spark, tmp_path):
+    store = pipeline.Store(spark, str(tmp_path / "store"))
+    rows = spark.range(3000).select(F.concat(F.lit("v"), (F.col("id") % 7).cast("string")).alias("version_path"), F.col("id").cast("int").alias("ord"), F.concat(F.col("id").cast("string"), F.lit(".xml")).alias("chunk_name"), F.lit("urn:a:b").alias("urn"), F.concat_ws(" ", F.lit("word"), F.col("id").cast("string"), F.repeat(F.lit("x "), 400)).alias("primary_text")).withColumn("sha", F.sha2("primary_text", 256))
+    store.append("chunks", rows)
+    counts = pipeline.tokenize(spark, store, lambda: Slow("la"), VERSIONS, deadline=time.monotonic() - 1)
+    assert (counts["generated"], counts["deferred"]) == (0, 3000)
+    began = time.monotonic()
+    counts = pipeline.tokenize(spark, store, lambda: Slow("la"), VERSIONS, deadline=began + 8)
+    assert counts["failed"] == 0 and counts["generated"] + counts["deferred"] == 3000
+    rest = pipeline.tokenize(spark, store, greek, VERSIONS)
+    assert rest["generated"] == counts["deferred"] and rest["skipped"] == counts["generated"]
+    sidecars = store.read("sidecars", pipeline.SIDECARS)
+    assert sidecars.count() == sidecars.select("version_path", "chunk_name").distinct().count() == 3000
