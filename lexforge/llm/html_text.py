@@ -21,6 +21,8 @@ from lexforge.llm.texts import map_batches
 
 #: A subtree recurs if so many different pages of its host have it; a template of articles must be on SITE_PAGES and half of the host's.
 MANY_PAGES, SITE_PAGES = 3, 10
+#: Elements nested deeper are blocks, and no subtrees of their own.
+DEPTH = 512
 
 # fixed values of the HTML standard and of WAI-ARIA
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,6 +84,8 @@ class _Page:
         self.blocks: list[tuple[str, tuple[int, ...], int]] = []
         #: element: (hash, hash of its place, whether inside an article or main)
         self.trees: dict[int, tuple[int, int, bool]] = {}
+        #: Open elements beyond DEPTH, by name.
+        self.deep: dict[str, int] = {}
         self.soft: set[int] = set()
         self.around_articles: set[int] = set()
         self.menus: set[int] = set()
@@ -121,7 +125,7 @@ class _Page:
 
     def end_block(self) -> None:
         """What was read since the last boundary becomes a block of the open element."""
-        if self.run:
+        if self.run and not self.gone:
             said = " ".join("".join(self.run).split())
             self.run = []
             if said:
@@ -147,7 +151,11 @@ class _Page:
             return
         if name == "a":
             self.link = 1
+        too_deep = len(self.stack) > (2 * DEPTH if self.gone else DEPTH)
         if self.gone:
+            if too_deep:
+                self.deep[name] = self.deep.get(name, 0) + 1
+                return
             self.stack.append(_Element(name, 0, 0, gone=True))
             self.gone += 1
             return
@@ -156,10 +164,13 @@ class _Page:
             self.end_block()
         elif not never and not soft:
             return
-        if never or (soft and name not in BLOCK):
+        if never or (soft and (too_deep or name not in BLOCK)):
             self.stack.append(_Element(name, 0, 0, gone=True))
             self.gone += 1
             return
+        if too_deep:
+            self.deep[name] = self.deep.get(name, 0) + 1
+            return
         self.n += 1
         self.stack.append(_Element(name, self.n, _hash(f"{self.stack[-1].path}/{place}"), soft=soft))
         if soft:
@@ -174,6 +185,11 @@ class _Page:
     def end(self, name: str) -> None:
         if name == "a":
             self.link = 0
+        if self.deep.get(name):
+            self.deep[name] -= 1
+            if name in BLOCK:
+                self.end_block()
+            return
         at = next((k for k in range(len(self.stack) - 1, 0, -1) if self.stack[k].name == name), 0)
         # an inline end tag doesn't close the blocks within
         if at and (name in BLOCK or not any(e.name in BLOCK for e in self.stack[at + 1 :])):
