@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,24 +12,26 @@ from lexforge.functions.names import natural_key, occurrence, path_key, urn_base
 from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import context_windows, explode_tokens, indexed_lemma, key_text, words_only
 from lexforge.schema import CONTEXT_PART, DEFAULT_LANGS
-from lexforge.sources.storage import forget, kept
+from lexforge.sources.storage import forget, kept, names_in
 
 #: Codes that stand for the same language.
 ALIASES = {"lat": "la"}
 #: Tables, and the columns that they are clustered by.
 CLUSTERING = {
     "documents": ["doc_id"], "chunks": ["chunk_id"], "chunk_context": ["chunk_id", "part"], "forms": ["key", "lang", "form_id"], "lemmas": ["key", "lang", "lemma_id"], "feats": ["feat_id"],
-    "forms_by_loose": ["loose", "lang", "form_id"], "lemmas_by_loose": ["loose", "lang", "lemma_id"],
+    "forms_by_loose": ["loose", "lang", "form_id"], "lemmas_by_loose": ["loose", "lang", "lemma_id"], "forms_by_id": ["form_id"],
     "form_postings": ["form_id", "chunk_id", "seq"], "lemma_postings": ["lemma_id", "chunk_id", "seq"], "form_doc_counts": ["form_id", "doc_id"], "lemma_doc_counts": ["lemma_id", "doc_id"],
 }
 
 
 @dataclass
 class Index:
-    """The tables of an index, by name, and the counts of a build."""
+    """The tables of an index, by name, and the counts of a build; of a written one also its folder, and the range of keys in every file."""
 
     tables: dict[str, DataFrame]
-    stats: DataFrame
+    stats: DataFrame | None
+    path: str | None = None
+    fences: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -68,8 +69,10 @@ def number_chunks(accepted: DataFrame) -> DataFrame:
     Versions without an accepted chunk take no id.
     """
     key = [F.col("root"), path_key(F.col("version_path")), F.col("version")]
-    versions = dense_ids(accepted.select("version", "root", "version_path").distinct(), key, "doc_id").select("version", "doc_id")
-    return dense_ids(accepted.join(versions, "version"), [F.col("doc_id"), F.col("citation_key"), F.col("urn")], "chunk_id")
+    works = kept(accepted.select("version", "root", "version_path").distinct(), "versions")
+    versions = dense_ids(works, key, "doc_id").select("version", "doc_id")
+    chunks = kept(accepted.join(versions, "version"), "placed")
+    return dense_ids(chunks, [F.col("doc_id"), F.col("citation_key"), F.col("urn")], "chunk_id")
 
 
 def accept_and_number(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -160,12 +163,31 @@ def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, con
 
 
 def write_tables(index: Index, path: str) -> None:
-    """Writes every table in ranges of its key and sorted by it, with second copies of the dictionaries by loose key."""
+    """Writes every table in ranges of its key and sorted by it, with second copies of the dictionaries by loose key and by id.
+
+    ``fences`` says for each file which keys it begins and ends with, so that a look-up opens the files that it needs.
+    """
+    fences = None
     for name, keys in CLUSTERING.items():
-        df = index.tables.get(name.removesuffix("_by_loose"))
+        df = index.tables.get(name.removesuffix("_by_loose").removesuffix("_by_id"))
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("errorifexists").parquet(f"{path}/{name}")
+        rows = _fence(df.sparkSession.read.parquet(f"{path}/{name}"), name, keys)
+        fences = rows if fences is None else fences.unionByName(rows)
+    fences.coalesce(1).write.parquet(f"{path}/fences")
+
+
+def _fence(written: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """(name, file, rows, low, high, low_next, high_next): the first column of a file's first and last row, as id or text, and the second where it is a number."""
+    number = lambda c: dict(written.dtypes)[c] in ("int", "bigint")
+    second = F.col(keys[1]).cast("long") if len(keys) > 1 and number(keys[1]) else F.lit(None).cast("long")
+    rows = written.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.struct(F.col(keys[0]).alias("first"), second.alias("second")).alias("key"))
+    ends = rows.groupBy("file").agg(F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
+    as_id = lambda c: F.col(c).cast("long") if number(keys[0]) else F.lit(None).cast("long")
+    as_text = lambda c: F.lit(None).cast("string") if number(keys[0]) else F.col(c)
+    return ends.select(F.lit(name).alias("name"), "file", "rows", as_id("low.first").alias("low_id"), as_id("high.first").alias("high_id"), as_text("low.first").alias("low_text"), as_text("high.first").alias("high_text"), F.col("low.second").alias("low_next"), F.col("high.second").alias("high_next"))
 
 
 def read_tables(spark, path: str) -> Index:
     tables = {name: spark.read.parquet(f"{path}/{name}") for name in CLUSTERING}
-    return Index(tables, spark.createDataFrame([(uuid.uuid4().hex,)], "build string"))
+    fences = spark.read.parquet(f"{path}/fences") if names_in(spark, f"{path}/fences") is not None else None
+    return Index(tables, None, path, fences)

@@ -2,7 +2,9 @@
 
 State lives under a base folder as Parquet tables: ``chunks``, ``works``, ``manifest`` and ``sidecars``.  A run appends
 parts, whose rows replace older ones of the same key, and publishes each by a new pointer, so that readers see a table
-before or after a step, and a run that ends early loses only what it had not published.
+before or after a step, and a run that ends early loses only what it had not published.  Parts stand in levels: FANOUT
+parts of one level become one of the next as soon as they are there, so that a read meets a number of parts that grows
+with the logarithm of the steps, and a row is rewritten as often.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from lexforge.plans.publish import publish
 from lexforge.plans.tokenize import Analyzer, analyze_chunks, finish
 from lexforge.schema import DEFAULT_LANGS, MANIFEST, SEGMENT_CHARS, TOKEN
 from lexforge.sources.sidecars import export_tree, pack_sidecars, read_sidecars, version_files
-from lexforge.sources.storage import forget, get_text, kept, names_in, put_new_text, put_text, remove
+from lexforge.sources.storage import forget, get_text, kept, names_in, put_new_text, put_text, remove, shared_path
 from lexforge.sources.tei import has_element, scan_sources, split_tei
 
 CHUNKS = "version_path string, ord int, chunk_name string, urn string, primary_text string, sha string"
@@ -31,8 +32,10 @@ WORKS = "version_path string, base_urn string, title string, author string, sour
 SIDECARS = f"version_path string, chunk_name string, sha string, urn string, lang string, tokens array<{TOKEN}>"
 #: What a row of a later part replaces.
 KEYS = {"chunks": ["version_path"], "works": ["version_path"], "manifest": ["version_path", "chunk_name"], "sidecars": ["version_path", "chunk_name"]}
-#: Parts from which on a table is written anew as one.
-MOST_PARTS = 16
+#: So many parts of one level become one of the next.
+FANOUT = 8
+#: Batches of a run whose texts are set aside at once.
+BATCHES_ASIDE = 16
 
 
 @dataclass
@@ -49,31 +52,39 @@ class Store:
             raise FileNotFoundError(f"{self.base}/{name}.current has lost its pointers")
         return numbers
 
-    def parts(self, name: str) -> list[str]:
-        """Folders of the table's parts, from old to new."""
+    def parts(self, name: str) -> list[tuple[str, int]]:
+        """(folder, level) of the table's parts, from old to new; levels never rise."""
         numbers = self._pointers(name)
-        return get_text(self.spark, f"{self.base}/{name}.current/{numbers[-1]}").split() if numbers else []
+        lines = get_text(self.spark, f"{self.base}/{name}.current/{numbers[-1]}").splitlines() if numbers else []
+        return [(folder, int(level)) for folder, level in map(str.split, lines)]
+
+    def _rows(self, name: str, schema: str, parts: list[tuple[str, int]]) -> DataFrame:
+        """Rows of some neighbouring parts that no later one of these replaces, with ``_seq``, the step that wrote them.
+
+        However many parts there are, the plan is one scan of them all and one of the later ones' keys.
+        """
+        places = [f"{self.base}/{name}/{folder}" for folder, _ in parts]
+        rows = self.spark.read.schema(f"{schema}, _seq bigint").parquet(*places)
+        if len(places) == 1:
+            return rows
+        key = KEYS[name]
+        later = self.spark.read.schema(rows.select(*key, "_seq").schema).parquet(*places[1:])
+        last = later.groupBy(*key).agg(F.max("_seq").alias("_last")).withColumnsRenamed({c: f"_{c}" for c in key})
+        return rows.join(last, [F.col(c) == F.col(f"_{c}") for c in key] + [F.col("_last") > F.col("_seq")], "left_anti")
 
     def read(self, name: str, schema: str) -> DataFrame:
         parts = self.parts(name)
-        each = [self.spark.read.schema(schema).parquet(f"{self.base}/{name}/{p}") for p in parts]
-        if not each:
-            return self.spark.createDataFrame([], schema)
-        if len(each) == 1:
-            return each[0]
-        columns, key = each[0].columns, KEYS[name]
-        later = reduce(DataFrame.unionByName, [df.select(*key, F.lit(k).alias("_by")) for k, df in enumerate(each) if k]).distinct()
-        rows = reduce(DataFrame.unionByName, [df.withColumn("_part", F.lit(k)) for k, df in enumerate(each)])
-        later = later.withColumnsRenamed({c: f"_{c}" for c in key})
-        return rows.join(later, [F.col(c) == F.col(f"_{c}") for c in key] + [F.col("_by") > F.col("_part")], "left_anti").select(*columns)
-
-    def _publish(self, name: str, df: DataFrame, parts: list[str]) -> None:
+        return self._rows(name, schema, parts).drop("_seq") if parts else self.spark.createDataFrame([], schema)
+
+    def _publish(self, name: str, df: DataFrame, parts: list[tuple[str, int]], level: int = 0) -> None:
         """Writes a part, then a pointer to ``parts`` and it, and removes what only pointers before the last one name."""
         numbers = self._pointers(name)
-        new = f"v{time.time_ns()}"
-        df.write.option("compression", "zstd").parquet(f"{self.base}/{name}/{new}")
-        put_new_text(self.spark, f"{self.base}/{name}.current/{int(numbers[-1]) + 1 if numbers else 0:012d}", "\n".join([*parts, new]))
-        wanted = {*parts, new, *(get_text(self.spark, f"{self.base}/{name}.current/{numbers[-1]}").split() if numbers else ())}
+        number, new = int(numbers[-1]) + 1 if numbers else 0, f"v{time.time_ns()}"
+        rows = df if "_seq" in df.columns else df.withColumn("_seq", F.lit(number).cast("long"))
+        rows.write.option("compression", "zstd").parquet(f"{self.base}/{name}/{new}")
+        before = self.parts(name)
+        put_new_text(self.spark, f"{self.base}/{name}.current/{number:012d}", "\n".join(f"{folder} {at}" for folder, at in [*parts, (new, level)]))
+        wanted = {folder for folder, _ in [*parts, *before]} | {new}
         for old in numbers[:-1]:
             remove(self.spark, f"{self.base}/{name}.current/{old}")
         for folder in names_in(self.spark, f"{self.base}/{name}") or ():
@@ -85,13 +96,16 @@ class Store:
         self._publish(name, df, [])
 
     def append(self, name: str, df: DataFrame) -> None:
-        """More rows, which replace those of the same key."""
+        """More rows, which replace those of the same key; full levels are merged."""
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
         self._publish(name, df, self.parts(name))
-
-    def compact(self, name: str, schema: str) -> None:
-        """One part in place of very many."""
-        if len(self.parts(name)) > MOST_PARTS:
-            self.write(name, self.read(name, schema))
+        while True:
+            parts = self.parts(name)
+            level = parts[-1][1]
+            full = parts[-FANOUT:]
+            if len(full) < FANOUT or full[0][1] != level:
+                return
+            self._publish(name, self._rows(name, schema, full), parts[:-FANOUT], level + 1)
 
 
 def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: str = "div", force: bool = False, source_repo: str | None = None) -> DataFrame:
@@ -114,8 +128,6 @@ def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: st
     if not fresh.isEmpty():
         store.append("chunks", made)
         store.append("works", new_works)
-        store.compact("chunks", CHUNKS)
-        store.compact("works", WORKS)
     reason = F.when(F.col("status") != "failed", None).otherwise(F.coalesce("error", F.concat(F.lit("no CTS URN: "), "base_urn")))
     return status.select(F.col("rel_path").alias("path"), F.when(F.col("status") == "pending", "compiled").otherwise(F.col("status")).alias("status"), reason.alias("reason"), F.when(F.col("status").isin("pending", "skipped"), F.col("base_urn")).alias("urn_base"), F.when(F.col("status") == "pending", F.size("chunks")).alias("chunk_count"))
 
@@ -123,35 +135,52 @@ def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: st
 def tokenize(spark: SparkSession, store: Store, model: Callable[[], Analyzer], versions: dict[str, str], force: bool = False, prune: bool = False, deadline: float | None = None, batch: int = 1 << 16) -> dict[str, int]:
     """Makes the sidecars that are out of date; returns counts of generated, skipped, failed, deferred and pruned.
 
-    Work goes in batches of ``batch`` chunks, each appended before the next begins; past ``deadline`` (time.monotonic) the
-    rest is deferred.  Failed and deferred chunks keep their old entry and sidecar and are tried again.
+    What is up to date is found by keys and hashes alone.  Work goes in batches of ``batch`` chunks, each appended before
+    the next begins; past ``deadline`` (time.monotonic), which the tasks heed too, the rest is deferred.  Failed and
+    deferred chunks keep their old entry and sidecar and are tried again.
     """
+    key = ["version_path", "chunk_name", "sha"]
     chunks, manifest, sidecars = store.read("chunks", CHUNKS), store.read("manifest", MANIFEST), store.read("sidecars", SIDECARS)
     have = sidecars.select("version_path", sidecar_name(F.col("chunk_name")).alias("sidecar"))
-    planned = kept(plan_chunks(chunks, manifest, have, versions, force), "planned")
+    planned = kept(plan_chunks(chunks.select(*key, "ord"), manifest, have, versions, force), "planned")
     total = {r["up_to_date"]: r["n"] for r in planned.groupBy("up_to_date").agg(F.count("*").alias("n")).collect()}
     counts = {"generated": 0, "skipped": total.get(True, 0), "failed": 0, "deferred": 0, "pruned": 0}
     left, k = total.get(False, 0), 0
+    latest = None if deadline is None else time.time() + deadline - time.monotonic()
     order = [F.col("version_path"), F.col("ord"), F.col("chunk_name")]
-    ranked = kept(within_budget(planned, order, batch, None).filter("status = 'pending'"), "ranked")
+    ranked = kept(within_budget(planned, order, batch, None).filter("status = 'pending'").groupBy(*key).agg(F.min("batch").alias("batch")), "ranked") if left else None
+    aside = None
     while left > 0:
-        if deadline is not None and time.monotonic() >= deadline:
+        if latest is not None and time.time() >= latest:
             counts["deferred"] = left
             break
-        analyzed = kept(analyze_chunks(ranked.filter(F.col("batch") == k), model, segment_chars=SEGMENT_CHARS), "analyzed")
-        n = analyzed.agg(F.count("*").alias("n"), F.count("error").alias("bad")).head()
+        if k % BATCHES_ASIDE == 0:
+            if aside:
+                remove(spark, aside)
+            aside = shared_path(spark, "pending")
+            near = ranked.filter((F.col("batch") >= k) & (F.col("batch") < k + BATCHES_ASIDE))
+            chunks.join(near, key).write.partitionBy("batch").parquet(aside)
+        if names_in(spark, f"{aside}/batch={k}") is None:  # repeated rows of a chunk went with its first one
+            k += 1
+            continue
+        analyzed = kept(analyze_chunks(spark.read.schema(CHUNKS).parquet(f"{aside}/batch={k}"), model, segment_chars=SEGMENT_CHARS, deadline=latest), "analyzed")
+        n = analyzed.agg(F.count("*").alias("n"), F.count_if("deferred").alias("late"), F.count_if(~F.col("deferred") & F.col("error").isNotNull()).alias("bad")).head()
         done = kept(finish(analyzed), "finished")
         # sidecars first: a chunk without an entry is made again, an entry without its sidecar would not be
         store.append("sidecars", done)
         store.append("manifest", done.select("version_path", "chunk_name", "sha", "lang").withColumn("pipeline", pipeline_version(F.col("lang"), versions)))
         forget(analyzed, done)
-        counts["generated"] += n["n"] - n["bad"]
+        counts["generated"] += n["n"] - n["bad"] - n["late"]
         counts["failed"] += n["bad"]
         left, k = left - n["n"], k + 1
-    forget(ranked, planned)
-    store.compact("sidecars", SIDECARS)
-    if k:
-        store.write("manifest", live_manifest(store.read("manifest", MANIFEST), chunks))
+        if n["late"]:
+            counts["deferred"] = left + n["late"]
+            break
+    forget(planned, *([ranked] if ranked is not None else []))
+    if aside:
+        remove(spark, aside)
+    if counts["generated"]:
+        store.write("manifest", live_manifest(store.read("manifest", MANIFEST), chunks.select(*key)))
     if prune:
         counts["pruned"] = prune_stale(store)
     return counts
@@ -182,7 +211,6 @@ def analyze(spark: SparkSession, store: Store, model: Callable[[], Analyzer], fo
     n = analyzed.agg(F.count("*").alias("n"), F.count("error").alias("bad")).head()
     total = chunks.count()
     store.append("sidecars", finish(analyzed))
-    store.compact("sidecars", SIDECARS)
     forget(analyzed)
     return {"generated": n["n"] - n["bad"], "failed": n["bad"], "skipped": total - n["n"]}
 

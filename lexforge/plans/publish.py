@@ -18,7 +18,7 @@ def content_digest(index: Index) -> str:
     import hashlib
 
     out = hashlib.sha256()
-    for name in sorted(n for n in CLUSTERING if not n.endswith("_by_loose")):
+    for name in sorted(n for n in CLUSTERING if "_by_" not in n):
         df = index[name]
         r = df.agg(F.count("*").alias("n"), *[F.sum(F.xxhash64(F.lit(k), *sorted(df.columns)).cast("decimal(38,0)")).alias(f"h{k}") for k in (0, 1)]).head()
         out.update(f"{name}|{','.join(sorted(df.columns))}|{r['n']}|{r['h0']}|{r['h1']}\n".encode())
@@ -50,7 +50,8 @@ def publish(spark: SparkSession, index: Index, out: str, langs: tuple[str, ...]
     else:  # equal content is published under this name, and may be in use
         remove(spark, draft)
     stats = index.stats.head().asDict()
-    counts = {t: read_tables(spark, place)[t].count() for t in CLUSTERING}
+    counts = {r["name"]: r["n"] for r in read_tables(spark, place).fences.groupBy("name").agg(F.sum("rows").alias("n")).collect()}
+    counts = {t: counts.get(t, 0) for t in CLUSTERING}
     manifest = {"schema_version": SCHEMA_VERSION, "index": name, "sha256": digest, "langs": list(langs), "sources": sources or {}, **stats, **(more or {}), "tables": counts, "size": size_of(spark, place), "built_at": started.isoformat(timespec="seconds"), "seconds": round((datetime.datetime.now(datetime.UTC) - started).total_seconds())}
     put_text(spark, f"{out.rstrip('/')}/manifest.json", json.dumps(manifest, ensure_ascii=False, indent=1))
     return manifest

@@ -172,10 +172,16 @@ _ELISION = [(1, "δ", False, "’"), (2, "μυρί", False, "᾽"), (3, "δ", Tr
 _ELISION_ROWS = ", ".join("(" + ", ".join("NULL" if x is None else str(x) if isinstance(x, (int, bool)) else "'" + x.replace("'", "''") + "'" for x in r) + ")" for r in _ELISION)
 
 
-@query(f"SELECT id, CASE WHEN (NOT coalesce(whitespace, false)) AND coalesce(regexp_matches(next_text, '{_APOS}'), false) THEN text || '''' ELSE text END AS key_text FROM (VALUES {_ELISION_ROWS}) v(id, text, whitespace, next_text)")
+_KEY_TEXT = f"CASE WHEN (NOT coalesce(whitespace, false)) AND coalesce(regexp_matches(nxt, '{_APOS}'), false) THEN text || '''' ELSE text END"
+
+
+@query(_sql(f"SELECT cid, seq, {_KEY_TEXT} AS key_text FROM tok UNION ALL SELECT -id, NULL, {_KEY_TEXT} FROM (VALUES {_ELISION_ROWS}) v(id, text, whitespace, nxt)", langs=False))
 def elision_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_ELISION, "id int, text string, whitespace boolean, next_text string")
-    return rows.select("id", key_text().alias("key_text"))
+    """All tokens of ``documents``, and some that stand before apostrophes."""
+    rows = explode_tokens(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("cid"), token_list(F.col("text")).alias("tokens"))).select("cid", "seq", "text", "whitespace", "next_text")
+    signs = spark.createDataFrame(_ELISION, "id int, text string, whitespace boolean, next_text string")
+    rows = rows.unionByName(signs.select((-F.col("id")).cast("long").alias("cid"), F.lit(None).cast("int").alias("seq"), "text", "whitespace", "next_text"))
+    return _longs(rows.select("cid", "seq", key_text().alias("key_text")))
 
 
 @query(_sql("SELECT doc AS doc_id, chunk_id, seq, text FROM tok WHERE NOT punct"))
@@ -190,10 +196,16 @@ def first_word_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _longs(first_word(words_only(explode_tokens(rows.select("chunk_id", "tokens")))).select("chunk_id", "seq", "lemma", "upos", "feats"))
 
 
-@query("SELECT i AS id, CASE WHEN lemma <> '' AND NOT regexp_matches(lemma, '" + _APOS + "') THEN lemma END AS lemma FROM (VALUES (1, 'μῆνις'), (2, ''), (3, '’'), (4, 'δ’'), (5, NULL), (6, 'ʼʼ')) v(i, lemma)")
+_LEMMAS = [(-1, "μῆνις"), (-2, ""), (-3, "’"), (-4, "δ’"), (-5, None), (-6, "ʼʼ")]
+_LEMMA_ROWS = ", ".join(f"({i}, {'NULL' if x is None else repr(x)})" for i, x in _LEMMAS)
+
+
+@query(_sql(f"SELECT cid, seq, CASE WHEN lemma <> '' AND NOT regexp_matches(lemma, '{_APOS}') THEN lemma END AS lemma FROM (SELECT cid, seq, text AS lemma FROM tok UNION ALL SELECT i, NULL, lemma FROM (VALUES {_LEMMA_ROWS}) v(i, lemma))", langs=False))
 def lemma_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "μῆνις"), (2, ""), (3, "’"), (4, "δ’"), (5, None), (6, "ʼʼ")], "id int, lemma string")
-    return rows.select("id", indexed_lemma(F.col("lemma")).alias("lemma"))
+    """All tokens of ``documents`` taken as lemmas, and some that are none."""
+    rows = explode_tokens(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("cid"), token_list(F.col("text")).alias("tokens"))).select("cid", "seq", F.col("text").alias("lemma"))
+    some = spark.createDataFrame(_LEMMAS, "cid bigint, lemma string").select("cid", F.lit(None).cast("int").alias("seq"), "lemma")
+    return _longs(rows.unionByName(some).select("cid", "seq", indexed_lemma(F.col("lemma")).alias("lemma")))
 
 
 @query(
@@ -543,7 +555,7 @@ def lemma_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TABLE_ROWS = {
-    "documents": "documents_t", "chunks": "numbered", "chunk_context": "(SELECT DISTINCT chunk_id, seq // 32 FROM tok)", "forms": "forms", "forms_by_loose": "forms", "lemmas": "lemmas", "lemmas_by_loose": "lemmas", "feats": "feats_t",
+    "documents": "documents_t", "chunks": "numbered", "chunk_context": "(SELECT DISTINCT chunk_id, seq // 32 FROM tok)", "forms": "forms", "forms_by_loose": "forms", "forms_by_id": "forms", "lemmas": "lemmas", "lemmas_by_loose": "lemmas", "feats": "feats_t",
     "form_postings": "staging", "lemma_postings": "(SELECT 1 FROM staging WHERE lemma_id IS NOT NULL)", "form_doc_counts": "(SELECT DISTINCT form_id, doc_id FROM staging)", "lemma_doc_counts": "(SELECT DISTINCT lemma_id, doc_id FROM staging WHERE lemma_id IS NOT NULL)",
 }
 

@@ -13,6 +13,7 @@ from lexforge.operators.incremental import compile_status, missing_works, plan_c
 from lexforge.plans import pipeline
 from lexforge.plans.analyzers import PlainAnalyzer
 from lexforge.plans.tokenize import analyze_chunks, finish
+from lexforge.sources.storage import kept
 from lexforge.sources.tei import _has_element, read_chunk
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import test modules
@@ -104,14 +105,30 @@ def test_a_crash_between_two_steps_loses_nothing(spark, tmp_path, monkeypatch):
         left()
 
 
-def test_many_parts_become_one(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(pipeline, "MOST_PARTS", 2)
+def test_parts_are_merged_in_levels(spark, tmp_path, monkeypatch):
+    """The newest row of a key counts through all merges, and a read is two scans however many parts there are."""
+    monkeypatch.setattr(pipeline, "FANOUT", 3)
+    store, want = pipeline.Store(spark, str(tmp_path / "store")), {}
+    for k in range(14):
+        store.append("manifest", spark.createDataFrame([(f"v{k % 5}", "1", str(k), "la", "p"), (f"w{k}", "1", str(k), "la", "p")], pipeline.MANIFEST))
+        want |= {f"v{k % 5}": str(k), f"w{k}": str(k)}
+        levels = [level for _, level in store.parts("manifest")]
+        assert levels == sorted(levels, reverse=True) and max(map(levels.count, levels)) < 3
+    rows = store.read("manifest", pipeline.MANIFEST)
+    got = [(r["version_path"], r["sha"]) for r in rows.collect()]
+    assert dict(got) == want and len(got) == len(want)
+    assert levels == [2, 1, 0, 0] and len(rows._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("|").split("|")) == 2
+    assert len([p for p in (tmp_path / "store/manifest").iterdir() if not p.name.startswith(".")]) <= len(levels) + 3
+
+
+def test_a_run_without_changes_writes_no_text(spark, corpus, tmp_path, monkeypatch):
     store = pipeline.Store(spark, str(tmp_path / "store"))
-    for k in range(4):
-        store.append("works", spark.createDataFrame([(f"v{k % 3}", str(k))], "version_path string, base_urn string").selectExpr("*", "cast(null as string) title", "cast(null as string) author", "cast(null as string) source_repo", "current_timestamp() compiled_at"))
-    assert len(store.parts("works")) == 4
-    store.compact("works", pipeline.WORKS)
-    assert len(store.parts("works")) == 1 and {r["base_urn"] for r in store.read("works", pipeline.WORKS).collect()} == {"1", "2", "3"}
+    pipeline.compile_corpus(spark, str(corpus), store)
+    assert pipeline.tokenize(spark, store, greek, VERSIONS)["generated"] == 2
+    written = []
+    monkeypatch.setattr(pipeline, "kept", lambda df, name: written.append(df.columns) or kept(df, name))
+    assert pipeline.tokenize(spark, store, greek, VERSIONS)["skipped"] == 2
+    assert written and not any("primary_text" in c for c in written)
 
 
 def test_small_files_are_replaced(spark, tmp_path):
@@ -264,9 +281,9 @@ def test_batches_are_bounded(spark):
 
     assert list(batches([])) == [] and list(batches([9], 2, 5)) == [(0, 1)]
     assert list(batches([1, 1, 1, 9, 1, 3, 3], 2, 5)) == [(0, 2), (2, 3), (3, 4), (4, 6), (6, 7)]
-    df = spark.range(2000).select(F.lit("v").alias("version_path"), F.col("id").cast("string").alias("chunk_name"), F.lit("s").alias("sha"), F.lit("u").alias("urn"), F.repeat(F.lit("word and "), 300).alias("primary_text"))
+    df = spark.range(2000).select(F.lit("v").alias("version_path"), F.col("id").cast("string").alias("chunk_name"), F.lit("s").alias("sha"), F.lit("u").alias("urn"), F.repeat(F.lit("word and "), 60).alias("primary_text"))
     got = analyze_chunks(df.coalesce(1), lambda: Counting("la"), parts=1)
-    assert got.filter("error is not null").isEmpty() and got.agg(F.sum(F.size("raw"))).head()[0] == 2000 * 600
+    assert got.filter("error is not null").isEmpty() and got.agg(F.sum(F.size("raw"))).head()[0] == 2000 * 120
 
 
 class Slow(PlainAnalyzer):
