@@ -12,9 +12,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows are numbered within buckets of a hash, of about this many rows; a count for each bucket is all that meets in one
-#: place (10^11 rows have 400,000).
-BUCKET_ROWS = 1 << 18
+from lexforge.llm.staging import staged
+
+#: Rows are numbered within buckets of a hash, of about this many rows; buckets are added up in blocks of this many.
+BUCKET_ROWS, BLOCK = 1 << 18, 1 << 10
 #: Copies of one row that are numbered in one task.
 RUN = 1 << 16
 ROUNDS, MAX_WALK = 6, 200
@@ -45,6 +46,20 @@ def permuted(x: Column, n: int, seed: int) -> Column:
     return bound(feistel(x, n, seed), lambda y: F.when(y < n, y).otherwise(bound(walked(y), ended)))
 
 
+def bucket_bases(counts: DataFrame) -> DataFrame:
+    """(bucket, base): the rows in buckets before each, from (bucket, n).
+
+    Sums of BLOCK buckets are all that reaches the driver (400 at 10^11 rows); within a block a window adds up.
+    """
+    blocks = counts.withColumn("block", F.floor(F.col("bucket") / BLOCK).cast("int"))
+    sums = {r["block"]: r["n"] for r in blocks.groupBy("block").agg(F.sum("n").alias("n")).collect()}
+    before = [0]
+    for block in range(max(sums, default=0)):
+        before.append(before[-1] + sums.get(block, 0))
+    upto = F.sum("n").over(Window.partitionBy("block").orderBy("bucket"))
+    return blocks.select("bucket", (F.get(F.array(*[F.lit(x).cast("long") for x in before]), F.col("block")) + upto - F.col("n")).alias("base"))
+
+
 def shard_rows(df: DataFrame, shards: int, seed: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (doc_id, size, text_crc32, law, shard, slot, grown_shard, row_number) for each row of ``df``.
 
@@ -53,17 +68,14 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 20, id_col: str = "doc_id
     empty one.  Other columns are not read.  The numbering depends on the rows alone, not on their partitions.
     """
     spark = df.sparkSession
-    tasks, n = int(spark.conf.get("spark.sql.shuffle.partitions")), df.count()
-    buckets = max(1, 16 * tasks if n < 16 * tasks * BUCKET_ROWS else math.ceil(n / BUCKET_ROWS))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    same = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
+    same = staged(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies")), "rows")
+    n = same.agg(F.sum("copies")).head()[0] or 0
+    buckets = max(1, 16 * tasks if n < 16 * tasks * BUCKET_ROWS else math.ceil(n / BUCKET_ROWS))
     same = same.withColumn("at", F.xxhash64("doc_id", "size", "text_crc32")).withColumn("bucket", F.pmod("at", F.lit(buckets)).cast("int"))
-    counts = sorted(same.groupBy("bucket").agg(F.sum("copies")).collect())  # one row for each bucket
-    first, before = [0] * buckets, 0
-    for bucket, count in counts:
-        first[bucket], before = before, before + count
-    bases = F.broadcast(spark.createDataFrame(list(enumerate(first)), "bucket int, base long"))  # one row for each bucket
+    bases = bucket_bases(same.groupBy("bucket").agg(F.sum("copies").alias("n")))
     order = Window.partitionBy("bucket").orderBy("at", "doc_id", "size", "text_crc32")
     numbered = same.join(bases, "bucket").withColumn("upto", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     own = ["doc_id", "size", "text_crc32"]

@@ -25,8 +25,10 @@ from lexforge.llm.bpe import WordIds
 from lexforge.llm.texts import map_batches, strings
 
 BLOCK_BYTES = 4 << 20
-#: The dictionary is trained on this many documents at most, and as many ids of each.
+#: The dictionary is trained on this many different texts at most, and as many ids of each, from a drawn place.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 1000, 2048, 64 << 10
+#: The library trains none that is smaller, and says this where samples are too few.
+LEAST_DICTIONARY, TOO_FEW = 256, "Src size is incorrect"
 LEVEL = 3
 _NO_ID = -(1 << 63)
 BLOCKS = "part int, block int, first_doc bigint, last_doc bigint, n_docs bigint, n_tokens bigint, start_in_part bigint, dict_sha256 string, index binary, data binary"
@@ -38,15 +40,27 @@ def _words(path: str) -> WordIds:
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
-    """A zstandard dictionary from the ids of the SAMPLE_DOCS documents whose hashed ids come first; empty if they are too few."""
-    n = docs.count()
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // (2 * SAMPLE_DOCS)))) == 0
-    rows = docs.filter(share & (F.length("text") > 0)).orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCS).select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")).collect()
-    samples = [x[: 4 * SAMPLE_IDS] for x in WordIds(tokenizer_path).pack([r["text"] for r in rows])] if rows else []
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):
+    """A zstandard dictionary from the ids of SAMPLE_DOCS different texts, those with the smallest hashes, each from a drawn place.
+
+    Texts too few or too short to train one are the dictionary themselves, as raw content; it is empty only where no text
+    has ids.
+    """
+    texts = docs.filter(F.length("text") > 0).select(F.xxhash64("text").alias("hash"), "text")
+    least = [r["hash"] for r in texts.select("hash").distinct().orderBy("hash").limit(SAMPLE_DOCS).collect()]
+    if not least:
         return b""
+    width = 4 * SAMPLE_IDS
+    place = F.pmod(F.shiftrightunsigned("hash", 7), F.greatest(F.length("text") - width + 1, F.lit(1)).cast("long")).cast("int") + 1
+    drawn = texts.filter(F.col("hash") <= least[-1]).groupBy("hash").agg(F.min(F.substr("text", place, F.lit(width))).alias("text")).orderBy("hash").collect()
+    samples = [x[:width] for x in WordIds(tokenizer_path).pack([r["text"] for r in drawn]) if x]
+    size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
+    if size >= LEAST_DICTIONARY:
+        try:
+            return zstandard.train_dictionary(size, samples).as_bytes()
+        except zstandard.ZstdError as e:
+            if TOO_FEW not in str(e):
+                raise
+    return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
 def _dictionary(raw: bytes) -> dict:
@@ -54,7 +68,7 @@ def _dictionary(raw: bytes) -> dict:
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1) -> None:
-    """Writes the ids of every row's whole text, each followed by ``end_id``, in ascending id order (ties: text order).
+    """Writes the ids of every row's whole text, each followed by ``end_id``, in ascending id order (ties: by a hash of the text).
 
     Null and empty texts are written as the end id alone; repeated rows are all written; an empty table gives empty
     files; rows with a null id come first.  Other columns are not read.
@@ -96,7 +110,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "do
             yield close()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id are spread by their texts, and copies of one row by chance
+    order = ["doc_id", "hash", "at"]
+    dealt = docs.withColumn("hash", F.xxhash64("text")).withColumn("at", F.rand(7)).repartitionByRange(n, *order).sortWithinPartitions(*order).drop("hash", "at")
     map_batches(dealt, run, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 

@@ -121,3 +121,18 @@ def test_files_with_a_trained_dictionary(spark, library):
     assert len(spark.read.parquet(f"{path}/dictionary").head()["dictionary"]) > 0
     assert read_document(spark, path, 123) == library.encode(docs[123][1], add_special_tokens=False).ids + [1]
     assert read_digests(spark, path).count() == 300
+
+
+@pytest.mark.parametrize("n, ids, copies", [(1500, 10, 1), (400, 400, 5), (3, 1, 1)])
+def test_the_dictionary_is_drawn_from_different_texts(spark, library, tmp_path, n, ids, copies):
+    """However few ids there are and however many copies, it is there, and so are all rows in the files."""
+    docs = [(k % ids, " ".join(f"word{(k * j) % 50}" for j in range(1, 40))) for k in range(n) for _ in range(copies)]
+    path = str(tmp_path / "ids")
+    write_ids(spark.createDataFrame(docs, "doc_id bigint, text string"), path, PATH)
+    [r] = spark.read.parquet(f"{path}/dictionary").collect()
+    assert len(r["dictionary"]) > 50
+    assert (n < 10) or bytes(r["dictionary"][:4]) == b"\x37\xa4\x30\xec"  # a trained one, by the format's magic number
+    got = read_digests(spark, path).orderBy("start").collect()
+    assert [g["doc_id"] for g in got] == sorted(i for i, _ in docs)
+    want = sorted((i, len(library.encode(t, add_special_tokens=False).ids) + 1) for i, t in docs)
+    assert sorted((g["doc_id"], g["n_tokens"]) for g in got) == want
