@@ -28,7 +28,8 @@ SHINGLE, BINS, BAND = 5, 128, 4
 BANDS = BINS // BAND
 #: Sketches with fewer equal bins than this share are taken to be under the threshold: five deviations under 0.75.
 MAYBE = 0.55
-BLOCK, PER_PIVOT = 512, 256
+#: Documents and, about, shingles in one of the two blocks that a worker holds; pairs with one pivot in one part.
+BLOCK, BLOCK_SHINGLES, PER_PIVOT = 512, 1 << 19, 256
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,20 +224,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     full = sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = staged(full.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "reps")
 
-    bands = reps.select("rep", F.posexplode("sketch").alias("band", "bins")).select(F.xxhash64("band", "bins").alias("key"), "band", "rep")
+    bands = reps.select("rep", "n_shingles", F.posexplode("sketch").alias("band", "bins")).select(F.xxhash64("band", "bins").alias("key"), "band", "rep", "n_shingles")
     pivots = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).filter("size > 1").repartition(n, "key", "pivot")
     met = staged(bands.join(pivots, "key"), "buckets")
     links = _confirmed(met.filter("rep != pivot").select(F.col("rep").alias("x"), F.col("pivot").alias("p")).distinct(), docs, share)
     comps = components(links)
 
-    apart = met.filter("size > 2 and rep != pivot").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
+    apart = met.filter("size > 2 and rep != pivot").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("comp"))
     apart = staged(apart, "apart")
     # the largest component of a bucket needs no look at itself: its rows meet those of the rest, and the rest meet all
-    by_comp = apart.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("comps"))
-    mixed = by_comp.filter("comps > 1").select("key", F.col("most.comp").alias("main"), F.ceil(F.col("most.n") / BLOCK).cast("int").alias("a"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("b")).repartition(n, "key", "main")
+    by_comp = apart.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    by_key = by_comp.groupBy("key").agg(F.max(F.struct("n", "comp", "shingles")).alias("most"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("comps"))
+    blocks = lambda n, shingles: F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    rest = blocks(F.col("n") - F.col("most.n"), F.col("shingles") - F.col("most.shingles"))
+    mixed = by_key.filter("comps > 1").select("key", F.col("most.comp").alias("main"), blocks(F.col("most.n"), F.col("most.shingles")).alias("a"), rest.alias("b")).repartition(n, "key", "main")
     rows = apart.join(mixed, "key").withColumn("inner", F.col("comp") == F.col("main"))
     rows = rows.withColumn("block", F.when(F.col("inner"), F.pmod(F.xxhash64("rep"), "a")).otherwise(F.col("a") + F.pmod(F.xxhash64("rep"), "b")).cast("int"))
-    rows = rows.join(reps.select("rep", "sketch"), "rep")
+    rows = rows.drop("n_shingles").join(reps.select("rep", "sketch"), "rep")
     other = F.explode(F.sequence(F.when(F.col("inner"), F.col("a")).otherwise(0), F.col("a") + F.col("b") - 1)).alias("other")
     cells = rows.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "rep", "comp", "sketch")
     columns = "key bigint, i int, j int, block int, band int, rep bigint, comp bigint, sketch array<bigint>"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -25,11 +27,19 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
         conf.set(_LIMIT, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return fn(b.slice(a, rows) for b in batches for a in range(0, b.num_rows, rows))
+        yield from fn(b.slice(a, rows) for b in batches for a in range(0, b.num_rows, rows))
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers wait for their next task with what they hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_texts(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, id_col: str = "doc_id", text_col: str = "text", more: tuple = ()) -> DataFrame:
     """``fn`` gets batches of (doc_id, text) and the columns ``more``; other columns are not read, so their names don't matter."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)

@@ -66,10 +66,17 @@ class Words:
         self.end = np.flatnonzero(before & (~inside | edge))
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(self.n_docs), np.diff(self.first))
-        p, q = _powers(n + 1)
-        run = np.zeros(n + 1, dtype=U)
-        np.cumsum(_BYTE[low] * p[:n], out=run[1:])
-        self.h = splitmix((run[self.end] - run[self.start]) * q[self.start] + (self.end - self.start).astype(U))
+        self.h = np.empty(self.start.size, dtype=U)
+        a = 0
+        while a < self.start.size:  # in runs of whole words, so that a long text takes few times its own size
+            b = max(a + 1, int(np.searchsorted(self.end, self.start[a] + _CHUNK, side="right")))
+            base = self.start[a]
+            first, last = self.start[a:b] - base, self.end[a:b] - base
+            p, q = _powers(int(last[-1]) + 1)
+            run = np.zeros(int(last[-1]) + 1, dtype=U)
+            np.cumsum(_BYTE[low[base : base + last[-1]]] * p[: last[-1]], out=run[1:])
+            self.h[a:b] = splitmix((run[last] - run[first]) * q[first] + (last - first).astype(U))
+            a = b
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first word and hash of every run of ``k`` words inside one document."""

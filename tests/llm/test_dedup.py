@@ -5,6 +5,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +182,30 @@ def test_centres_are_unit_and_none_is_lost():
     x /= np.linalg.norm(x, axis=1)[:, None]
     c = spherical_kmeans(np.concatenate([x, x[:1].repeat(200, 0)]), 20)
     assert c.shape == (20, 8) and np.allclose(np.linalg.norm(c, axis=1), 1)
+
+
+def test_word_hashes_do_not_depend_on_the_runs_they_are_made_in(monkeypatch):
+    from lexforge.llm import wordhash
+
+    texts = pa.array(["one two  three four five six seven", "", "x" * 50 + " two three", None, "é ü two three four five six"])
+    whole = [wordhash.Words(*wordhash.spans_of(texts), wordhash.SPACED)]
+    monkeypatch.setattr(wordhash, "_CHUNK", 9)
+    short = wordhash.Words(*wordhash.spans_of(texts), wordhash.SPACED)
+    assert whole[0].h.tolist() == short.h.tolist() and whole[0].grams(5)[1].tolist() == short.grams(5)[1].tolist()
+
+
+def test_a_text_of_five_megabytes(spark):
+    """Near copies and a benchmark passage are found in very long texts too."""
+    from lexforge.llm.decontaminate import contamination
+
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(200_000)}" for _ in range(700_000)]
+    passage = [f"p{k}" for k in range(13)]
+    long, near = " ".join(words), " ".join([*words[:300_000], *passage, *words[300_040:]])
+    near_duplicates = nd.near_duplicates
+    docs = spark.createDataFrame([(1, long), (2, near), (3, "short text"), (4, long[: len(long) // 2])], "doc_id bigint, text string")
+    assert len(long) > 4_500_000
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    bench = spark.createDataFrame([(9, " ".join(["not", *passage, "there"])), (8, " ".join(words[-50:]))], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in contamination(docs, bench).collect()}
+    assert got == {1: (50, 1), 2: (63, 2), 3: (0, 0), 4: (0, 0)}
