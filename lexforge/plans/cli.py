@@ -8,11 +8,13 @@ import sys
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from lexforge.operators import search
 from lexforge.plans import pipeline
 from lexforge.plans.analyzers import PlainAnalyzer, named_analyzer
-from lexforge.plans.publish import open_published, parse_sources
+from lexforge.plans.publish import analyze_tables, open_published, parse_sources
+from lexforge.sources.sidecars import read_corpora
 
 
 def _versions() -> dict[str, str]:
@@ -35,6 +37,10 @@ def _parser() -> argparse.ArgumentParser:
         if name == "pipeline":
             c.add_argument("--corpus-root", required=True)
             c.add_argument("--manifest")
+            c.add_argument("--registry", help="a JSON list of corpora")
+            c.add_argument("--corpus", help="the name of this corpus in the registry, whose repository documents then name")
+        if name == "tokenize":
+            c.add_argument("--proto-dir", help="a tree of chunk files to take in first")
         c.add_argument("--base", default="tokenized-pages", help="folder of chunks, manifest and sidecars")
         how = c.add_mutually_exclusive_group(required=True)
         how.add_argument("--analyzer", metavar="MODULE:CLASS", help="the model to use")
@@ -51,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--out", required=True)
     c.add_argument("--langs", default="grc,la")
     c.add_argument("--source", action="append", default=[], metavar="NAME=VALUE")
+    c.add_argument("--analyze", metavar="PREFIX", help="register the tables under this prefix, with statistics for the optimizer")
     c = commands.add_parser("check")
     c.add_argument("out")
     c.add_argument("--key", default="μῆνις")
@@ -68,6 +75,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             parser.error("--base or --tokens-dir is needed")
         lemmas = spark.read.parquet(a.lemma_map) if a.lemma_map else None
         _, manifest = pipeline.index(spark, stores, a.out, tuple(x.strip() for x in a.langs.split(",") if x.strip()), parse_sources(a.source), a.tokens_dir, lemmas)
+        if a.analyze:
+            analyze_tables(spark, open_published(spark, a.out)[0], a.analyze)
         print(json.dumps(manifest, ensure_ascii=False))
         return 0
     if a.command == "check":
@@ -81,10 +90,18 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "analyze":
         counts = pipeline.analyze(spark, store, model, a.force)
     elif a.command == "tokenize":
+        if a.proto_dir:
+            print(json.dumps(pipeline.import_tree(spark, a.proto_dir, store, a.force)), file=sys.stderr)
         deadline = None if a.time_budget_minutes is None else time.monotonic() + 60 * a.time_budget_minutes
         counts = pipeline.tokenize(spark, store, model, _versions(), a.force, a.prune, deadline)
     else:
-        record = pipeline.run(spark, a.corpus_root, store, model, _versions(), a.force, a.prune, a.time_budget_minutes, a.manifest)
+        repo = None
+        if a.registry and a.corpus:
+            found = read_corpora(spark, a.registry).filter(F.col("name") == a.corpus).head()
+            if found is None:
+                parser.error(f"{a.registry} has no corpus {a.corpus}")
+            repo = f"{found['repo_owner']}/{found['repo_name']}"
+        record = pipeline.run(spark, a.corpus_root, store, model, _versions(), a.force, a.prune, a.time_budget_minutes, a.manifest, repo)
         counts, status = record["tokenize"], record["exit_status"]
     if a.tokens_dir:
         pipeline.export(store, a.tokens_dir)

@@ -23,15 +23,17 @@ from lexforge.operators.index import Index, build_index, citation_order
 from lexforge.plans.publish import publish
 from lexforge.plans.tokenize import Analyzer, analyze_chunks, finish
 from lexforge.schema import DEFAULT_LANGS, MANIFEST, SEGMENT_CHARS, TOKEN
-from lexforge.sources.sidecars import export_tree, pack_sidecars, read_sidecars, version_files
+from lexforge.sources.sidecars import chunk_listing, export_tree, listed_names, pack_sidecars, parse_index, parse_metadata, read_sidecars, version_files
 from lexforge.sources.storage import forget, get_text, kept, names_in, put_new_text, put_text, remove, shared_path
-from lexforge.sources.tei import has_element, scan_sources, split_tei
+from lexforge.sources.tei import has_element, list_files, list_sources, open_files, read_chunk, split_tei
 
 CHUNKS = "version_path string, ord int, chunk_name string, urn string, primary_text string, sha string"
 WORKS = "version_path string, base_urn string, title string, author string, source_repo string, compiled_at timestamp"
+FILES = "rel_path string, modified timestamp, length bigint, how string, status string, base_urn string, error string, n_chunks int"
+BESIDE = "version_path string, name string, content binary"
 SIDECARS = f"version_path string, chunk_name string, sha string, urn string, lang string, tokens array<{TOKEN}>"
 #: What a row of a later part replaces.
-KEYS = {"chunks": ["version_path"], "works": ["version_path"], "manifest": ["version_path", "chunk_name"], "sidecars": ["version_path", "chunk_name"]}
+KEYS = {"files": ["rel_path"], "tree_files": ["rel_path"], "beside": ["version_path", "name"], "chunks": ["version_path"], "works": ["version_path"], "manifest": ["version_path", "chunk_name"], "sidecars": ["version_path", "chunk_name"]}
 #: So many parts of one level become one of the next.
 FANOUT = 8
 #: Batches of a run whose texts are set aside at once.
@@ -108,28 +110,93 @@ class Store:
             self._publish(name, self._rows(name, schema, full), parts[:-FANOUT], level + 1)
 
 
-def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: str = "div", force: bool = False, source_repo: str | None = None) -> DataFrame:
+def _changed(listed: DataFrame, known: DataFrame, how: str, force: bool) -> DataFrame:
+    """``listed`` files with ``_same``: as long and as old as when they were last read, in the same way."""
+    seen = known.select("rel_path", *[F.col(c).alias(f"_{c}") for c in ("modified", "length", "how")])
+    same = (F.col("_modified") == F.col("modified")) & (F.col("_length") == F.col("length")) & (F.col("_how") == how)
+    rows = listed.join(seen, "rel_path", "left")
+    return rows.withColumn("_same", F.lit(False) if force else F.coalesce(same, F.lit(False))).drop("_modified", "_length", "_how")
+
+
+def compile_corpus(spark: SparkSession, corpus_root: str, store: Store, unit: str | None = None, force: bool = False, source_repo: str | None = None) -> DataFrame:
     """Cuts the sources of a corpus into chunks; returns (path, status, reason, urn_base, chunk_count) of every file.
 
-    A file without ``citeStructure`` is passed over before it is parsed; one whose base URN is none, or that does not
-    parse, fails alone; a work compiled no earlier than its file changed is skipped.
+    Files are listed, and only those are opened that are new, or older or longer than when they were last read; what the
+    others were found to be is known.  A file without ``citeStructure`` is passed over; one whose base URN is none, or
+    that does not parse, fails alone; a work compiled no earlier than its file changed is skipped.  Chunks follow the
+    citation declaration, or elements ``unit`` that have an ``n`` where a name is given.
     """
-    files = scan_sources(spark, corpus_root).withColumn("has_structure", has_element(F.col("content")))
+    how = f"2:{unit or ''}"
+    known, works = store.read("files", FILES), store.read("works", WORKS)
+    listed = kept(_changed(list_sources(spark, corpus_root), known, how, force), "listed")
+    files = open_files(spark, f"{corpus_root.rstrip('/')}/data", "*.xml", listed.filter("not _same").drop("_same")).withColumn("has_structure", has_element(F.col("content")))
     parsed = files.withColumn("s", F.when(F.col("has_structure"), split_tei(F.col("content"), unit)))
-    rows = parsed.select("rel_path", "modified", "has_structure", F.coalesce("s.base_urn", F.lit("")).alias("base_urn"), "s.title", "s.author", "s.chunks", "s.error").withColumn("urn_ok", urn_is_valid(F.col("base_urn")))
-    works = store.read("works", WORKS)
-    known = works.groupBy("base_urn").agg(F.max("compiled_at").alias("compiled_at"))
-    status = compile_status(rows, known, force).withColumn("version_path", work_path(F.col("base_urn")))
-    status = kept(status, "compiled")
+    rows = parsed.select("rel_path", "modified", "length", "has_structure", F.coalesce("s.base_urn", F.lit("")).alias("base_urn"), "s.title", "s.author", "s.chunks", "s.error").withColumn("urn_ok", urn_is_valid(F.col("base_urn")))
+    done = works.groupBy("base_urn").agg(F.max("compiled_at").alias("compiled_at"))
+    status = kept(compile_status(rows, done, force).withColumn("version_path", work_path(F.col("base_urn"))), "compiled")
     fresh = status.filter("status = 'pending'")
-    made = fresh.select("version_path", "base_urn", F.posexplode("chunks").alias("ord", "c")).select("version_path", "ord", F.concat("c.ref", F.lit(".xml")).alias("chunk_name"), F.concat("base_urn", F.lit(":"), "c.ref").alias("urn"), F.col("c.text").alias("primary_text"))
-    made = made.withColumn("sha", F.sha2("primary_text", 256))
-    new_works = fresh.select("version_path", "base_urn", "title", "author", F.lit(source_repo).cast("string").alias("source_repo"), F.current_timestamp().alias("compiled_at"))
+    reason = F.when(F.col("status") == "failed", F.coalesce("error", F.concat(F.lit("no CTS URN: "), "base_urn")))
+    now = status.select("rel_path", "modified", "length", F.lit(how).alias("how"), F.when(F.col("status") == "pending", "compiled").otherwise(F.col("status")).alias("status"), "base_urn", reason.alias("error"), F.when(F.col("status") == "pending", F.size("chunks")).alias("n_chunks"))
+    before = known.join(listed.filter("_same").select("rel_path"), "rel_path", "left_semi").withColumn("status", F.when(F.col("status") == "compiled", "skipped").otherwise(F.col("status"))).withColumn("n_chunks", F.lit(None).cast("int"))
+    found = kept(now.unionByName(before), "found")
     if not fresh.isEmpty():
-        store.append("chunks", made)
-        store.append("works", new_works)
-    reason = F.when(F.col("status") != "failed", None).otherwise(F.coalesce("error", F.concat(F.lit("no CTS URN: "), "base_urn")))
-    return status.select(F.col("rel_path").alias("path"), F.when(F.col("status") == "pending", "compiled").otherwise(F.col("status")).alias("status"), reason.alias("reason"), F.when(F.col("status").isin("pending", "skipped"), F.col("base_urn")).alias("urn_base"), F.when(F.col("status") == "pending", F.size("chunks")).alias("chunk_count"))
+        made = fresh.select("version_path", "base_urn", F.posexplode("chunks").alias("ord", "c")).select("version_path", "ord", F.concat("c.ref", F.lit(".xml")).alias("chunk_name"), F.concat("base_urn", F.lit(":"), "c.ref").alias("urn"), F.col("c.text").alias("primary_text"))
+        store.append("chunks", made.withColumn("sha", F.sha2("primary_text", 256)))
+        store.append("works", fresh.select("version_path", "base_urn", "title", "author", F.lit(source_repo).cast("string").alias("source_repo"), F.current_timestamp().alias("compiled_at")))
+    if not status.isEmpty():  # last, so that files of a run that ends early are read again
+        store.append("files", now.withColumn("status", F.when(F.col("status") == "skipped", "compiled").otherwise(F.col("status"))))
+    forget(listed)
+    return found.select(F.col("rel_path").alias("path"), "status", F.col("error").alias("reason"), F.when(F.col("status").isin("compiled", "skipped"), F.col("base_urn")).alias("urn_base"), F.col("n_chunks").alias("chunk_count"))
+
+
+def import_tree(spark: SparkSession, root: str, store: Store, force: bool = False) -> dict[str, int]:
+    """Takes a tree of chunk files into the store; returns counts of versions, chunks that were read, and chunks that are broken.
+
+    A version is a folder with an index.json; its chunks are those that this lists and that are there.  Files are listed,
+    and only those are opened that changed; a version of which a file came, changed or went is written anew, with the rows
+    of its other chunks as they were.  index.json and metadata.json are kept byte by byte.  Broken chunks stay out.
+    """
+    folder, name = F.regexp_extract("rel_path", "^(?:(.*)/)?[^/]+$", 1), F.substring_index("rel_path", "/", -1)
+    listed = list_files(spark, root, "*.{xml,json}").withColumn("version_path", folder).withColumn("name", name)
+    known = store.read("tree_files", FILES)
+    files = kept(_changed(listed, known, "1", force), "tree-listed")
+    index = files.filter("name = 'index.json'").select("version_path")
+    gone = known.join(files.select("rel_path"), "rel_path", "left_anti").select(folder.alias("version_path"))
+    touched = kept(files.filter("not _same").select("version_path").unionByName(gone).distinct().join(index, "version_path", "left_semi"), "touched")
+    of_touched = files.join(touched, "version_path", "left_semi")
+    # index and metadata are small, and read for every version that is written anew
+    beside = kept(open_files(spark, root, "*.json", of_touched.filter("name in ('index.json', 'metadata.json')")).select("version_path", "name", "content"), "beside")
+    names = listed_names(beside.filter("name = 'index.json'").select("version_path", parse_index().alias("chunks")))
+    order = chunk_listing(names, of_touched.filter("name like '%.xml'").withColumnRenamed("name", "chunk_name")).groupBy("version_path", "chunk_name").agg(F.min("ord").alias("ord"))
+    order = kept(order, "tree-order")
+    chunk_files = of_touched.withColumnRenamed("name", "chunk_name").join(order, ["version_path", "chunk_name"])
+    old = store.read("chunks", CHUNKS)
+    key = ["version_path", "chunk_name"]
+    same = chunk_files.filter("_same").select(*key, F.col("ord").alias("_ord")).join(old.drop("ord"), key).withColumnRenamed("_ord", "ord")
+    # what could not be read before is tried again with its version
+    todo = chunk_files.join(same.select(*key), key, "left_anti")
+    opened = open_files(spark, root, "*.xml", todo.select("path", "version_path", "chunk_name", "ord"))
+    parsed = kept(opened.select(*key, "ord", F.sha2("content", 256).alias("sha"), read_chunk(F.col("content")).alias("c")), "tree-read")
+    good = parsed.filter("c.error is null").select("version_path", "ord", "chunk_name", "c.urn", "c.primary_text", "sha", "c.base_urn")
+    counts = {"versions": touched.count(), "read": good.count(), "broken": parsed.filter("c.error is not null").count()}
+    if counts["versions"]:
+        meta = beside.filter("name = 'metadata.json'").select("version_path", parse_metadata().alias("m"))
+        bases = good.groupBy("version_path").agg(F.min_by("base_urn", "ord").alias("chunk_base"))
+        was = store.read("works", WORKS).select("version_path", F.col("base_urn").alias("old_base"))
+        works = touched.join(meta, "version_path", "left").join(bases, "version_path", "left").join(was, "version_path", "left")
+        whole = kept(good.drop("base_urn").unionByName(same.select(*good.drop("base_urn").columns)), "tree-chunks")
+        store.append("beside", beside)
+        store.append("chunks", whole)
+        store.append("works", works.select("version_path", F.coalesce("m.base_urn", "chunk_base", "old_base").alias("base_urn"), "m.title", "m.author", "m.source_repo", F.current_timestamp().alias("compiled_at")))
+        now = of_touched.select("rel_path", "modified", "length", F.lit("1").alias("how"), F.lit("read").alias("status"), *[F.lit(None).cast("string").alias(c) for c in ("base_urn", "error")], F.lit(None).cast("int").alias("n_chunks"))
+        store.write("tree_files", known.join(files.select("rel_path"), "rel_path", "left_semi").join(now.select("rel_path"), "rel_path", "left_anti").unionByName(now))
+        forget(whole)
+    lost = store.read("works", WORKS).join(index, "version_path", "left_anti")
+    if not lost.isEmpty():  # versions whose index is gone
+        for table, schema in (("chunks", CHUNKS), ("works", WORKS), ("beside", BESIDE)):
+            store.write(table, store.read(table, schema).join(index, "version_path", "left_semi"))
+    forget(files, touched, beside, order, parsed)
+    return counts
 
 
 def tokenize(spark: SparkSession, store: Store, model: Callable[[], Analyzer], versions: dict[str, str], force: bool = False, prune: bool = False, deadline: float | None = None, batch: int = 1 << 16) -> dict[str, int]:
@@ -249,19 +316,24 @@ def index(spark: SparkSession, stores: list[Store], out: str, langs: tuple[str,
 
 
 def export(store: Store, root: str) -> int:
-    """The store's sidecars, indexes and metadata as a tree of files, written by the tasks; returns their number."""
-    sidecars, chunks = store.read("sidecars", SIDECARS), store.read("chunks", CHUNKS)
-    return export_tree(pack_sidecars(sidecars).unionByName(version_files(store.read("works", WORKS), chunks)), root)
+    """The store's sidecars, indexes and metadata as a tree of files, written by the tasks; returns their number.
+
+    Indexes and metadata that came with a tree are copied byte by byte, others are made.
+    """
+    sidecars, chunks, beside = store.read("sidecars", SIDECARS), store.read("chunks", CHUNKS), store.read("beside", BESIDE)
+    copied = beside.select("version_path", F.col("name").alias("sidecar"), F.col("content").alias("payload"))
+    made = version_files(store.read("works", WORKS), chunks).join(copied.select("version_path", "sidecar"), ["version_path", "sidecar"], "left_anti")
+    return export_tree(pack_sidecars(sidecars).unionByName(made).unionByName(copied), root)
 
 
-def run(spark: SparkSession, corpus_root: str, store: Store, model: Callable[[], Analyzer], versions: dict[str, str], force: bool = False, prune: bool = False, time_budget_minutes: float | None = None, manifest: str | None = None) -> dict:
+def run(spark: SparkSession, corpus_root: str, store: Store, model: Callable[[], Analyzer], versions: dict[str, str], force: bool = False, prune: bool = False, time_budget_minutes: float | None = None, manifest: str | None = None, source_repo: str | None = None) -> dict:
     """Compile and tokenize under one time budget; writes a record of the run, and returns it with an exit status.
 
     What became of every source file stands in a JSON table beside the record, which names it.
     """
     started = time.time()
     deadline = None if time_budget_minutes is None else time.monotonic() + 60 * time_budget_minutes
-    works = compile_corpus(spark, corpus_root, store, force=force)
+    works = compile_corpus(spark, corpus_root, store, force=force, source_repo=source_repo)
     place = f"{store.base}/_works/{time.time_ns()}"
     works.write.json(place)
     statuses = {r["status"]: r["n"] for r in works.groupBy("status").agg(F.count("*").alias("n")).collect()}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.names import sidecar_name
 from lexforge.schema import CHUNK_INDEX, METADATA, SIDECAR, SIDECAR_SUFFIX
+from lexforge.sources.storage import forget, kept, remove
 
 _VERSION = r"/([^/]+/[^/]+/[^/]+/[^/]+)/[^/]+$"
 
@@ -112,25 +113,48 @@ def pack_sidecars(rows: DataFrame, level: int = 19) -> DataFrame:
     return ready.mapInArrow(run, "version_path string, sidecar string, payload binary")
 
 
+def _file_system(place: str) -> tuple[pa_fs.FileSystem, str]:
+    return pa_fs.FileSystem.from_uri(place) if "://" in place or place.startswith("file:") else (pa_fs.LocalFileSystem(), place)
+
+
 def export_tree(rows: DataFrame, root: str) -> int:
     """Writes (version_path, sidecar, payload) as files under a folder that all executors share; returns their number.
 
-    Tasks write, each file beside its place and then renamed, so that a task that runs again replaces what it left.
+    Tasks write all files into a folder beside the tree first, and move them to their places only when every one is
+    there: where a task fails, the old tree stays whole and what was written goes.  A task that runs again replaces what
+    it left, and passes over what it has moved.
     """
     top = root.rstrip("/")
+    beside = f".draft-{uuid.uuid4().hex}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pa_fs.FileSystem.from_uri(top) if "://" in top or top.startswith("file:") else (pa_fs.LocalFileSystem(), top)
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = _file_system(top)
         for b in batches:
             for version, name, payload in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                fs.create_dir(f"{base}/{version}", recursive=True)
-                beside = f"{base}/{version}/.{name}.{uuid.uuid4().hex}"
-                with fs.open_output_stream(beside) as out:
+                fs.create_dir(f"{base}/{beside}/{version}", recursive=True)
+                with fs.open_output_stream(f"{base}/{beside}/{version}/{name}", compression=None) as out:
                     out.write(payload)
-                fs.move(beside, f"{base}/{version}/{name}")
+            yield b.select([0, 1])
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = _file_system(top)
+        for b in batches:
+            for version, name in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True):
+                draft, place = f"{base}/{beside}/{version}/{name}", f"{base}/{version}/{name}"
+                fs.create_dir(f"{base}/{version}", recursive=True)
+                if fs.get_file_info(draft).type != pa_fs.FileType.NotFound:
+                    fs.move(draft, place)
+                elif fs.get_file_info(place).type == pa_fs.FileType.NotFound:
+                    raise FileNotFoundError(place)
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
-    return rows.select("version_path", "sidecar", "payload").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    try:
+        written = kept(rows.select("version_path", "sidecar", "payload").mapInArrow(put, "version_path string, sidecar string"), "written")
+        n = written.mapInArrow(move, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+        forget(written)
+        return n
+    finally:
+        remove(rows.sparkSession, f"{top}/{beside}")
 
 
 def read_corpora(spark: SparkSession, path: str) -> DataFrame:

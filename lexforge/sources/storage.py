@@ -24,6 +24,12 @@ def _fs(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A folder's whole name, as Spark's file columns begin with it."""
+    place, fs = _fs(spark, path)
+    return fs.makeQualified(place).toString().rstrip("/")
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Writes a small file beside its place and then renames it over the old one, in one step where the store can."""
     place, fs = _fs(spark, path)

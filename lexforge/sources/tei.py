@@ -1,7 +1,7 @@
-"""TEI sources: which files are there, which can be cited, their primary text, and a plain chunker.
+"""TEI sources: which files are there, which can be cited, their primary text, and their chunks.
 
-The chunker and the notion of primary text are this package's own: one element name, or ``div`` with ``n``, cuts a text
-into chunks, and the primary text is all text in document order.  Interpreting a citation scheme is left to callers.
+A text is cut as its citation declaration says (see ``citation``), or at one element name, and where the declaration names
+no path at ``div`` with ``n``.  The primary text is all text in document order.
 """
 
 from __future__ import annotations
@@ -14,6 +14,39 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexforge.sources.citation import Cited, Unit
+from lexforge.sources.storage import qualified
+
+
+#: So many changed files are opened by their paths; beyond that, all are scanned for them.
+BY_PATH = 10_000
+
+
+def list_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """Rows (path, rel_path, modified, length) of the files at any depth below a folder, without opening one."""
+    top = qualified(spark, root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(top)
+    return files.select("path", F.substr("path", F.lit(len(top) + 2)).alias("rel_path"), F.col("modificationTime").alias("modified"), "length")
+
+
+def open_files(spark: SparkSession, root: str, pattern: str, wanted: DataFrame) -> DataFrame:
+    """``wanted`` files (path, ...) with their content: few are opened by their paths alone."""
+    few = [r["path"] for r in wanted.select("path").limit(BY_PATH + 1).collect()]
+    if not few:
+        return wanted.withColumn("content", F.lit(None).cast("binary"))
+    read = spark.read.format("binaryFile")
+    if len(few) <= BY_PATH:
+        files = read.load([re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in few])
+    else:
+        files = read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return wanted.join(files.select("path", "content"), "path")
+
+
+def list_sources(spark: SparkSession, root: str) -> DataFrame:
+    """Rows (path, rel_path, modified, length) of data/**/*.xml under a corpus root, without the catalogue files; none is opened."""
+    files = list_files(spark, f"{root.rstrip('/')}/data", "*.xml").filter(F.substring_index("path", "/", -1) != "__cts__.xml")
+    return files.withColumn("rel_path", F.concat(F.lit("data/"), "rel_path"))
+
 
 def scan_sources(spark: SparkSession, root: str) -> DataFrame:
     """Rows (path, rel_path, modified, content) of data/**/*.xml under a corpus root, without the catalogue files."""
@@ -102,56 +135,81 @@ def read_chunk(content: Column) -> Column:
     return run(content)
 
 
-def _chunks(data: bytes, unit: str) -> dict:
+#: What cuts a text whose declaration says nothing: ``div`` elements within each other, by their ``n``.
+def _plain_unit(name: str) -> Unit:
+    unit = Unit.declared({"match": f"//{name}", "use": "@n", "delim": "."}, top=True)
+    unit.parts.append(unit)
+    return unit
+
+
+def _chunks(data: bytes, unit: str | None) -> dict:
     """Base URN, title, author and chunks (ref, text) of a TEI file."""
-    refs: list[str] = []
-    stack: list[tuple[str, str | None]] = []
-    chunks: dict[str, list[str]] = {}
+    stack: list[str] = []
+    declared: list[list[Unit]] = []  # for each declaration, its topmost units
+    inner: list[Unit | None] = []
+    named: list[bool] = []
     found = {"base_urn": None, "title": None, "author": None}
     note: str | None = None
+    cited: Cited | None = None
     parser = expat.ParserCreate()
     parser.buffer_text = True
 
     def start(name: str, attributes: dict) -> None:
-        nonlocal note
+        nonlocal note, cited
         local = name.rpartition(":")[2]
+        if local == "refsDecl":
+            declared.append([])
+            named.append("CTS" in (attributes.get("xml:id"), attributes.get("n")))
+        elif local == "citeStructure" and declared and not unit:
+            one = Unit.declared(attributes, not any(inner)) if attributes.get("match") else None
+            if one:
+                (next((u for u in reversed(inner) if u), None) or Unit([], None, "", declared[-1])).parts.append(one)
+            inner.append(one)
         n = attributes.get("n")
-        if local in ("body", "div") and found["base_urn"] is None:
+        if local in ("text", "body", "div") and found["base_urn"] is None:
             base = attributes.get("xml:base") or (n if (n or "").startswith("urn:") else None)
             found["base_urn"] = base.rstrip(":") if base else None
-        cite = n if local == unit and n and not n.startswith("urn:") else None
-        stack.append((local, cite))
-        if cite:
-            refs.append(cite)
-            chunks.setdefault(".".join(refs), [])
-        if local in ("title", "author") and found[local] is None:
+        if local == "text" and "text" not in stack:
+            usable = [units for _, units in sorted(zip([not x for x in named], declared, strict=True), key=lambda x: x[0]) if units]
+            cited = Cited(usable[0] if usable else [_plain_unit(unit or "div")])
+            for outer in stack:
+                cited.start(outer, {})
+        if cited is None and local in ("title", "author") and found[local] is None:
             note, found[local] = local, ""
+        stack.append(local)
+        if cited is not None:
+            # an edition's own URN is no citation
+            cited.start(local, {k: v for k, v in attributes.items() if k != "n" or not v.startswith("urn:")})
 
     def end(_: str) -> None:
         nonlocal note
-        local, cite = stack.pop()
-        if cite:
-            refs.pop()
+        local = stack.pop()
+        if cited is not None:
+            cited.end()
+        elif local == "citeStructure" and inner:
+            inner.pop()
         if local == note:
             note = None
 
     def text(data: str) -> None:
         if note:
             found[note] += data
-        elif refs:
-            chunks[".".join(refs)].append(data)
+        elif cited is not None:
+            cited.text(data)
 
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
     try:
         parser.Parse(data, True)
+        whole = [{"ref": r, "text": t} for r, t in (cited.chunks() if cited else [])]
+        if not whole and any(declared):
+            raise ValueError("nothing is cited as the declaration says")
     except (expat.ExpatError, ValueError) as e:
         return {**found, "chunks": [], "error": str(e)}
-    whole = [{"ref": r, "text": "".join(t)} for r, t in chunks.items() if "".join(t).strip()]
     return {**found, "base_urn": found["base_urn"] or "", "chunks": whole, "error": None}
 
 
-def split_tei(content: Column, unit: str = "div") -> Column:
-    """struct<base_urn, title, author, chunks, error> of a TEI file, cut at elements ``unit`` that have an ``n``."""
+def split_tei(content: Column, unit: str | None = None) -> Column:
+    """struct<base_urn, title, author, chunks, error> of a TEI file, cut as it declares, or at elements ``unit`` that have an ``n``."""
 
     @F.pandas_udf("struct<base_urn:string,title:string,author:string,chunks:array<struct<ref:string,text:string>>,error:string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -305,3 +305,90 @@ def test_a_deadline_inside_a_batch_defers_the_rest_and_a_later_run_goes_on(spark
     assert rest["generated"] == counts["deferred"] and rest["skipped"] == counts["generated"]
     sidecars = store.read("sidecars", pipeline.SIDECARS)
     assert sidecars.count() == sidecars.select("version_path", "chunk_name").distinct().count() == 3000
+
+
+def test_an_unchanged_corpus_opens_no_file(spark, corpus, tmp_path, monkeypatch):
+    """A second run lists; after an edit one file is opened, and statuses stay those of the first run."""
+    from pyspark.sql import DataFrameReader
+
+    store = pipeline.Store(spark, str(tmp_path / "store"))
+    first = {r["path"]: r["status"] for r in pipeline.compile_corpus(spark, str(corpus), store).collect()}
+    assert set(first.values()) == {"compiled", "failed", "no-citestructure"}
+    opened = []
+    load = DataFrameReader.load
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, path=None, **k: (opened.extend(path) if isinstance(path, list) else None) or load(self, path, **k))
+    again = {r["path"]: (r["status"], r["reason"]) for r in pipeline.compile_corpus(spark, str(corpus), store).collect()}
+    assert {p: s for p, (s, _) in again.items()} == {p: "skipped" if s == "compiled" else s for p, s in first.items()} and not opened
+    assert "CTS" in again["data/a/badbase.xml"][1]
+    time.sleep(1.1)
+    source(corpus, "a/good.xml", "urn:cts:greekLit:tlg1.tlg2.grc1", one="longer than it was before")
+    rows = {r["path"]: r for r in pipeline.compile_corpus(spark, str(corpus), store).collect()}
+    assert [p.rsplit("/", 1)[1] for p in opened] == ["good.xml"] and rows["data/a/good.xml"]["status"] == "compiled" and rows["data/a/good.xml"]["chunk_count"] == 2
+    assert {r["primary_text"].strip() for r in store.read("chunks", pipeline.CHUNKS).collect()} == {"longer than it was before", "arma virumque cano"}
+
+
+def chunk_tree(root, version, texts, index=None, meta='{"document": {"base_urn": "urn:cts:x:a.b.c", "title": "T"}, "more": [1, 2]}'):
+    place = root / version
+    place.mkdir(parents=True, exist_ok=True)
+    for name, text in texts.items():
+        (place / name).write_text(text if text.startswith("<") else f'<chunk cts_urn="urn:cts:x:a.b.c:{name[:-4]}"><head/><elements>{text}</elements></chunk>', encoding="utf-8")
+    (place / "index.json").write_text(json.dumps({"chunks": [{"file": f, "n": 1} for f in index or texts], "kept": "as it is"}))
+    if meta:
+        (place / "metadata.json").write_text(meta)
+
+
+def test_a_tree_of_chunks_is_taken_in_and_given_out(spark, tmp_path):
+    from lexforge.plans.cli import main
+
+    root, out, base = tmp_path / "proto", tmp_path / "tokens", str(tmp_path / "base")
+    chunk_tree(root, "x/a/b/c", {"2.xml": "two words", "1.xml": "one", "bad.xml": "<chunk", "extra.xml": "unlisted"}, ["2.xml", "1.xml", "bad.xml", "lost.xml"])
+    chunk_tree(root, "x/d [e]", {"1.xml": "other"}, meta=None)
+    store = pipeline.Store(spark, base)
+    assert main(["tokenize", "--base", base, "--plain-lang", "la", "--proto-dir", str(root), "--tokens-dir", str(out)], spark) == 0
+    rows = {(r["version_path"], r["chunk_name"]): (r["ord"], r["urn"], r["primary_text"]) for r in store.read("chunks", pipeline.CHUNKS).collect()}
+    assert rows == {("x/a/b/c", "2.xml"): (0, "urn:cts:x:a.b.c:2", "two words"), ("x/a/b/c", "1.xml"): (1, "urn:cts:x:a.b.c:1", "one"), ("x/d [e]", "1.xml"): (0, "urn:cts:x:a.b.c:1", "other")}
+    for name in ("index.json", "metadata.json"):
+        assert (out / "x/a/b/c" / name).read_bytes() == (root / "x/a/b/c" / name).read_bytes()
+    assert sorted(p.name for p in (out / "x/a/b/c").glob("*.zst")) == ["1.tokens.json.zst", "2.tokens.json.zst"] and not list(out.glob(".draft*"))
+    assert pipeline.import_tree(spark, str(root), store) == {"versions": 0, "read": 0, "broken": 0}
+    assert pipeline.tokenize(spark, store, greek, VERSIONS)["generated"] == 3  # other versions than the command's
+    # an edit reads one file; the chunk that was broken is tried again with its version
+    time.sleep(1.1)
+    chunk_tree(root, "x/a/b/c", {"1.xml": "one more"}, ["1.xml", "2.xml", "bad.xml"])
+    assert pipeline.import_tree(spark, str(root), store) == {"versions": 1, "read": 1, "broken": 1}
+    rows = {r["chunk_name"]: (r["ord"], r["primary_text"]) for r in store.read("chunks", pipeline.CHUNKS).filter("version_path = 'x/a/b/c'").collect()}
+    assert rows == {"1.xml": (0, "one more"), "2.xml": (1, "two words")}
+    counts = pipeline.tokenize(spark, store, greek, VERSIONS)
+    assert (counts["generated"], counts["skipped"]) == (1, 2)
+    # a version whose index is gone goes, and pruning drops its sidecars
+    (root / "x/d [e]/index.json").unlink()
+    pipeline.import_tree(spark, str(root), store)
+    assert {r["version_path"] for r in store.read("chunks", pipeline.CHUNKS).collect()} == {"x/a/b/c"}
+    assert pipeline.prune_stale(store) == 1
+
+
+def test_a_failed_export_leaves_the_old_tree_whole(spark, tmp_path):
+    from lexforge.sources.sidecars import export_tree
+
+    rows = lambda text, bad: spark.range(40).select(F.concat(F.lit("v/"), (F.col("id") % 4).cast("string")).alias("version_path"), F.concat(F.col("id").cast("string"), F.lit(".zst")).alias("sidecar"), F.when(F.col("id") == bad, F.raise_error(F.lit("gone")).cast("binary")).otherwise(F.lit(text).cast("binary")).alias("payload"))
+    assert export_tree(rows("old", -1), str(tmp_path / "t")) == 40
+    with pytest.raises(Exception, match="gone"):
+        export_tree(rows("new", 33), str(tmp_path / "t"))
+    files = [p for p in (tmp_path / "t").rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert len(files) == 40 and {p.read_text() for p in files} == {"old"} and not list((tmp_path / "t").glob(".draft*"))
+
+
+def test_registry_and_statistics(spark, corpus, tmp_path):
+    from lexforge.plans.cli import main
+
+    (tmp_path / "corpora.json").write_text(json.dumps([{"name": "greek", "tag_name": "1", "repo_owner": "o", "repo_name": "r", "branch": "b"}]))
+    base = str(tmp_path / "base")
+    main(["pipeline", "--corpus-root", str(corpus), "--base", base, "--plain-lang", "grc", "--registry", str(tmp_path / "corpora.json"), "--corpus", "greek"], spark)
+    assert pipeline.Store(spark, base).read("works", pipeline.WORKS).head()["source_repo"] == "o/r"
+    assert main(["index", "--base", base, "--out", str(tmp_path / "out"), "--analyze", "stat_"], spark) == 0
+    try:
+        assert spark.table("stat_documents").count() == 1 and "rows" in spark.sql("DESCRIBE EXTENDED stat_forms").filter("col_name = 'Statistics'").head()["data_type"]
+    finally:
+        for t in spark.catalog.listTables():
+            if t.name.startswith("stat_"):
+                spark.sql(f"DROP TABLE {t.name}")
