@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.keys import with_keys
 from lexforge.functions.names import natural_key, occurrence, path_key, urn_base, urn_ref
+from lexforge.operators.lemmas import completed
 from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import context_windows, explode_tokens, indexed_lemma, key_text, words_only
 from lexforge.schema import CONTEXT_PART, DEFAULT_LANGS
@@ -119,19 +120,22 @@ def with_lemma_map(words: DataFrame, lemma_map: DataFrame) -> DataFrame:
     return joined.withColumn("lemma", F.coalesce("lemma", indexed_lemma(F.col("_map.lemma")))).withColumn("feat", F.coalesce("feat", F.when(F.coalesce("_map.upos", "_map.feats").isNotNull(), found))).drop("_map")
 
 
-def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, context_part: int = CONTEXT_PART, lemma_map: DataFrame | None = None) -> Index:
+def build_index(sidecars: DataFrame, langs: tuple[str, ...] = DEFAULT_LANGS, context_part: int = CONTEXT_PART, lemma_map: DataFrame | None = None, guess: bool = False) -> Index:
     """All tables from sidecar rows.
 
     Rows: root, version_path, citation_key, urn, lang, tokens (with words, identifier, urn), meta_base_urn, title, author,
     source_repo.  ``version`` (root and path) is derived.  Ids depend on the rows' order alone.  ``lemma_map`` gives words
-    without a lemma one, see ``with_lemma_map``.
+    without a lemma one, see ``with_lemma_map``; with ``guess`` words that it doesn't have follow its endings, see ``lemmas``.
     """
     chunks, numbered, judged = accept_and_number(sidecars, langs)
     tokens = explode_tokens(chunks.select("doc_id", "chunk_id", "lang", "tokens"))
     words = words_only(tokens)
     word = F.get("words", F.lit(0))
     words = words.select("doc_id", "chunk_id", "seq", "lang", "text", key_text().alias("key_text"), occurrence(F.col("identifier")).alias("occ"), indexed_lemma(word["lemma"]).alias("lemma"), F.when((F.coalesce(word["upos"], F.lit("")) != "") | (F.coalesce(word["feats"], F.lit("")) != ""), F.struct(word["upos"].alias("upos"), word["feats"].alias("feats"))).alias("feat"))
-    words = kept(words if lemma_map is None else with_lemma_map(words, lemma_map), "words")
+    if lemma_map is not None:
+        known = kept(completed(lemma_map, words), "lemmas") if guess else lemma_map
+        words = with_lemma_map(words, known)
+    words = kept(words, "words")
     forms, form_ids, form_keys = _dictionary(words, "text", "key_text", "form", "form_id")
     lemmas, lemma_ids, lemma_keys = _dictionary(words.drop("key_text").withColumn("key_text", F.col("lemma")), "lemma", "key_text", "lemma", "lemma_id")
     met = words.filter(F.col("feat").isNotNull()).groupBy(F.col("feat.upos").alias("upos"), F.col("feat.feats").alias("feats")).agg(F.min(F.struct("chunk_id", "seq")).alias("first"))

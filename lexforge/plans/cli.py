@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.operators import search
+from lexforge.operators.languages import profiled
 from lexforge.plans import pipeline
 from lexforge.plans.analyzers import PlainAnalyzer, named_analyzer
 from lexforge.plans.publish import analyze_tables, open_published, parse_sources
@@ -45,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
         how = c.add_mutually_exclusive_group(required=True)
         how.add_argument("--analyzer", metavar="MODULE:CLASS", help="the model to use")
         how.add_argument("--plain-lang", help="use the offline tokenizer, for texts in this language")
+        c.add_argument("--profiles", help="a Parquet table of language profiles, which tell languages in place of the analyzer")
         c.add_argument("--tokens-dir", help="write the sidecars as a tree of files too")
         c.add_argument("--force", action="store_true")
         if name != "analyze":
@@ -54,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--base", action="append", default=[])
     c.add_argument("--tokens-dir", action="append", default=[], help="a tree of sidecar files")
     c.add_argument("--lemma-map", help="a Parquet table (text, lang, lemma, upos, feats)")
+    c.add_argument("--guess-lemmas", action="store_true", help="words that the dictionary of lemmas doesn't have follow the endings of those that it has")
     c.add_argument("--out", required=True)
     c.add_argument("--langs", default="grc,la")
     c.add_argument("--source", action="append", default=[], metavar="NAME=VALUE")
@@ -74,7 +77,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         if not stores and not a.tokens_dir:
             parser.error("--base or --tokens-dir is needed")
         lemmas = spark.read.parquet(a.lemma_map) if a.lemma_map else None
-        _, manifest = pipeline.index(spark, stores, a.out, tuple(x.strip() for x in a.langs.split(",") if x.strip()), parse_sources(a.source), a.tokens_dir, lemmas)
+        _, manifest = pipeline.index(spark, stores, a.out, tuple(x.strip() for x in a.langs.split(",") if x.strip()), parse_sources(a.source), a.tokens_dir, lemmas, a.guess_lemmas)
         if a.analyze:
             analyze_tables(spark, open_published(spark, a.out)[0], a.analyze)
         print(json.dumps(manifest, ensure_ascii=False))
@@ -87,6 +90,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     store = pipeline.Store(spark, a.base)
     lang = a.plain_lang
     model = (lambda: PlainAnalyzer(lang)) if lang else named_analyzer(a.analyzer, a.command == "analyze")
+    if a.profiles:
+        model = profiled(spark.read.parquet(a.profiles), model)
     if a.command == "analyze":
         counts = pipeline.analyze(spark, store, model, a.force)
     elif a.command == "tokenize":

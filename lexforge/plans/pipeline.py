@@ -302,7 +302,7 @@ def tree_rows(spark: SparkSession, roots: list[str]) -> tuple[DataFrame, int]:
     return citation_order(good, listed, version), found.filter("error is not null").count()
 
 
-def index(spark: SparkSession, stores: list[Store], out: str, langs: tuple[str, ...] = DEFAULT_LANGS, sources: dict[str, str] | None = None, trees: list[str] | None = None, lemma_map: DataFrame | None = None) -> tuple[Index, dict]:
+def index(spark: SparkSession, stores: list[Store], out: str, langs: tuple[str, ...] = DEFAULT_LANGS, sources: dict[str, str] | None = None, trees: list[str] | None = None, lemma_map: DataFrame | None = None, guess: bool = False) -> tuple[Index, dict]:
     """Builds and publishes the index of the stores' sidecars, and of sidecar trees, which come after the stores."""
     rows, broken = (sidecar_rows(stores), 0) if stores else (None, 0)
     if trees:
@@ -311,7 +311,7 @@ def index(spark: SparkSession, stores: list[Store], out: str, langs: tuple[str,
         columns = ["root", "version_path", "citation_key", "urn", "lang", "tokens", "meta_base_urn", "title", "author", "source_repo"]
         key = lambda df: df.withColumn("citation_key", F.col("citation_key").cast(more.schema["citation_key"].dataType))
         rows = more.select(*columns) if rows is None else key(rows).select(*columns).unionByName(more.select(*columns))
-    built = build_index(rows, langs, lemma_map=lemma_map)
+    built = build_index(rows, langs, lemma_map=lemma_map, guess=guess)
     return built, publish(spark, built, out, langs, sources, {"broken_sidecars": broken} if trees else None)
 
 

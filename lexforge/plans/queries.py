@@ -18,6 +18,8 @@ from lexforge.functions.names import language_sample, natural_key, occurrence, p
 from lexforge.functions.segments import segments
 from lexforge.operators import incremental, search
 from lexforge.operators.index import Index, accept_and_number, accepted_chunks, build_index, citation_order, read_tables, write_tables
+from lexforge.operators.languages import learn_profiles, told_languages
+from lexforge.operators.lemmas import guess_lemmas, learn_endings
 from lexforge.operators.numbering import dense_ids
 from lexforge.operators.tokens import explode_tokens, first_word, indexed_lemma, key_text, named_tokens, own_texts, shift_segments, token_list, words_only
 from lexforge.plans.tokenize import tokenize_native
@@ -333,6 +335,72 @@ def langid_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", language_sample(F.col("text")).alias("sample"))
 
 
+# ---- languages and lemmas without a model
+
+_GRAMS = """docs AS (SELECT doc_id, lang, lower(CASE WHEN length(text) <= 3000 THEN text ELSE substring(text, 1, 1000) || ' ' || substring(text, (length(text) - 1000) // 2 + 1, 1000) || ' ' || substring(text, length(text) - 999, 1000) END) AS s FROM documents),
+gram AS (SELECT doc_id, lang, substring(s, CAST(k AS BIGINT), 3) AS gram FROM (SELECT doc_id, lang, s, unnest(range(1, length(s) - 1)) AS k FROM docs WHERE length(s) >= 3)),
+counts AS (SELECT lang, gram, count(*) AS n FROM gram WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY ALL),
+sums AS (SELECT lang, sum(n) AS total, count(*) AS kinds FROM counts GROUP BY lang),
+profile AS (SELECT lang, gram, CAST(round(1000 * ln((n + 1) / (total + kinds))) AS BIGINT) AS weight FROM (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 2000) JOIN sums USING (lang)
+  UNION ALL SELECT lang, NULL, CAST(round(1000 * ln(1 / (total + kinds))) AS BIGINT) FROM sums)"""
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents, and profiles learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return docs, kept(learn_profiles(docs.filter("doc_id % 5 <> 0")), "profiles")
+
+
+@query(f"WITH {_GRAMS} SELECT lang, gram, weight FROM profile")
+def language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profiles(spark, sf_dir)[1]
+
+
+@query(
+    f"""WITH {_GRAMS},
+scores AS (SELECT g.doc_id, f.lang, sum(coalesce(p.weight, f.weight)) AS score FROM gram g JOIN profile f ON f.gram IS NULL LEFT JOIN profile p ON p.lang = f.lang AND p.gram = g.gram GROUP BY ALL)
+SELECT doc_id, lang, CAST(score AS BIGINT) AS score FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1"""
+)
+def told_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, profiles = _profiles(spark, sf_dir)
+    return told_languages(docs, profiles, "doc_id").withColumnRenamed("id", "doc_id")
+
+
+#: The vocabulary with rules on endings that stand for a dictionary; words whose hash ends in 0 to 3 are held out.
+_DICTIONARY = f"""vocab AS (SELECT text, lang, substring(md5(text), 32, 1) IN ('0', '1', '2', '3') AS held_out FROM ({_WORDS}) WHERE regexp_matches(text, '^[a-zA-Z]+$')),
+dict AS (SELECT text, lang, held_out, CASE WHEN text LIKE '%tion' THEN left(text, length(text) - 3) WHEN text LIKE '%ing' AND length(text) > 5 THEN left(text, length(text) - 3) || 'e' WHEN text LIKE '%ly' THEN left(text, length(text) - 2) WHEN text LIKE '%s' AND length(text) > 3 THEN left(text, length(text) - 1) ELSE text END AS lemma FROM vocab)"""
+_ENDINGS = f"""WITH {_DICTIONARY},
+same AS (SELECT text, lang, lemma, len(list_filter(range(1, greatest(least(length(text), length(lemma)), 1) + 1), lambda k: left(text, k) = left(lemma, k))) AS p FROM dict WHERE NOT held_out),
+votes AS (SELECT lang, right(text, k) AS ending, length(text) - p AS cut, substring(lemma, p + 1) AS put, count(*) AS n FROM (SELECT *, unnest(range(1, least(5, length(text)) + 1)) AS k FROM same) GROUP BY ALL),
+rules AS (SELECT lang, ending, cut, put, n AS support FROM (SELECT *, sum(n) OVER (PARTITION BY lang, ending) AS total FROM votes) WHERE cut <= length(ending) AND n >= 3 AND 2 * n > total)"""
+
+
+def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    lemma = F.when(text.endswith("tion"), F.left(text, F.length(text) - 3)).when(text.endswith("ing") & (F.length(text) > 5), F.concat(F.left(text, F.length(text) - 3), F.lit("e"))).when(text.endswith("ly"), F.left(text, F.length(text) - 2)).when(text.endswith("s") & (F.length(text) > 3), F.left(text, F.length(text) - 1)).otherwise(text)
+    held_out = F.right(F.md5("text"), F.lit(1)).isin("0", "1", "2", "3")
+    return _vocabulary(spark, sf_dir).filter(text.rlike("^[a-zA-Z]+$")).select("text", "lang", lemma.alias("lemma"), held_out.alias("held_out"))
+
+
+@query(f"{_ENDINGS} SELECT lang, ending, cut, put, support FROM rules")
+def lemma_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _longs(learn_endings(_dictionary(spark, sf_dir).filter("not held_out")))
+
+
+@query(
+    f"""{_ENDINGS},
+met AS (SELECT text, lang, d.lemma AS want, cut, put, k FROM (SELECT *, unnest(range(1, least(5, length(text)) + 1)) AS k FROM dict WHERE held_out) d JOIN rules r USING (lang) WHERE r.ending = right(text, k) QUALIFY row_number() OVER (PARTITION BY text, lang ORDER BY k DESC) = 1),
+told AS (SELECT text, lang, want, left(text, length(text) - cut) || put AS lemma FROM met)
+SELECT text, lang, lemma, lemma = want AS correct FROM told WHERE lemma <> ''"""
+)
+def guessed_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmas of held-out words, by endings of the others."""
+    words = kept(_dictionary(spark, sf_dir), "dictionary")
+    rules = kept(learn_endings(words.filter("not held_out")), "endings")
+    asked = words.filter("held_out")
+    return guess_lemmas(asked, rules).join(asked.select("text", "lang", F.col("lemma").alias("want")), ["text", "lang"]).select("text", "lang", "lemma", (F.col("lemma") == F.col("want")).alias("correct"))
+
+
 @query("SELECT lang, CASE WHEN lang = '' THEN '2:empty' WHEN lang = 'la' THEN '2:spacy-3.8:la_core_web_lg-3.8:analyze' WHEN lang = 'grc' THEN '2:spacy-3.8:grc_dep_web_lg-3.8:analyze' ELSE '2:stanza-1.9:tokenize' END AS version FROM (SELECT DISTINCT lang FROM documents UNION SELECT * FROM (VALUES (''), ('la'), ('grc'), ('he')) v(lang))", name="pipeline_version")
 def pipeline_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("lang").unionByName(spark.createDataFrame([("",), ("la",), ("grc",), ("he",)], "lang string")).distinct()
