@@ -62,7 +62,9 @@ _WORD = r"[^\W\d_a-zß-öø-ÿά-ώа-я](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=
 # begins with a set of characters, which the search jumps to; other capitals don't begin names that are looked for
 _CAPITAL = re.compile("[A-ZÀ-ÖØ-ÞΆ-ΫА-Я][^\\W\\d_]+")
 _FAMILY = re.compile(rf" (?:(?:{'|'.join(PARTICLES)}) ){{0,2}}({_WORD})")
-_TITLED = re.compile(rf"\.? ({_WORD})")
+_TITLED = re.compile(rf"\.?(?: [^\W\d_]\.)* ({_WORD})")
+# further given names and initials, before a family name
+_NEXT = re.compile(rf"((?: [^\W\d_]\.)*) ({_WORD})")
 
 
 class Gazetteer:
@@ -234,11 +236,27 @@ Part = tuple[int, int, str, str]
 def _people(text: str, names: Gazetteer) -> Iterator[tuple[int, int, list[Part]]]:
     """Mentions of people, as (start, end, kind, value) of the parts to be replaced; values have small letters.
 
-    A given name of the gazetteer with a family name if one follows; one or two words after a form of address; and, where
-    these give a family name, its other mentions in the text.
+    One or more given names of the gazetteer, with initials between them, and a family name if one follows; a name after a
+    form of address, where a given name may have one that the gazetteer doesn't know behind it; and, where these give a
+    family name, its other mentions in the text.
     """
     part = lambda kind, a, b: (a, b, kind, text[a:b].lower())
     found: list[list[Part]] = []
+
+    def named(parts: list[Part], unknown: bool) -> list[Part]:
+        """``parts``, which end in a given name, and what belongs to the same person after them."""
+        while m := _NEXT.match(text, parts[-1][1]):
+            more = _FAMILY.match(text, m.end()) if unknown else None
+            if m.group(2).lower() in names.who or (more and not m.group(1)):
+                parts.append(part("given", *m.span(2)))
+                unknown = False
+            elif m.group(1):
+                return [*parts, part("family", *m.span(2))]
+            else:
+                break
+        family = _FAMILY.match(text, parts[-1][1])
+        return [*parts, part("family", *family.span(1))] if family else parts
+
     upto = 0
     capitals = [m.span() for m in _CAPITAL.finditer(text) if _bounded(text, *m.span())]
     for a, b in capitals:
@@ -246,13 +264,14 @@ def _people(text: str, names: Gazetteer) -> Iterator[tuple[int, int, list[Part]]
             continue
         word = text[a:b].lower()
         if word in names.who:
-            parts = [part("given", a, b)]
-            if family := _FAMILY.match(text, b):
-                parts.append(part("family", *family.span(1)))
+            parts = named([part("given", a, b)], False)
         elif word in TITLES and (first := _TITLED.match(text, b)) and first.group(1).lower() not in TITLES:
-            second = _FAMILY.match(text, first.end())
             one = first.span(1)
-            parts = [part("given", *one), part("family", *second.span(1))] if second else [part("given" if text[slice(*one)].lower() in names.who else "family", *one)]
+            if text[slice(*one)].lower() in names.who:
+                parts = named([part("given", *one)], True)
+            else:
+                second = _FAMILY.match(text, one[1])
+                parts = [part("given", *one), part("family", *second.span(1))] if second else [part("family", *one)]
         else:
             continue
         found.append(parts)

@@ -415,3 +415,19 @@ def test_languages_that_were_not_learned_are_rejected(spark):
     got = {r["doc_id"]: r["accepted"] for r in identify(spark.createDataFrame(rows + other, schema), train(spark.createDataFrame(rows, schema))).collect()}
     assert sum(got[r[0]] for r in rows) >= 0.99 * len(rows)
     assert sum(got[r[0]] for r in other) <= 0.05 * len(other)
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Anna Maria Weber came. Weber and Maria left.", [("given", "anna"), ("given", "maria"), ("family", "weber"), ("family", "weber"), ("given", "maria")]),
+    ("Mr. John F. Kennedy spoke; Kennedy left", [("given", "john"), ("family", "kennedy"), ("family", "kennedy")]),
+    ("Dr. Martin Luther King marched, and King won", [("given", "martin"), ("given", "luther"), ("family", "king"), ("family", "king")]),
+    ("Frau J. Weber und Otto von der Heide", [("family", "weber"), ("given", "otto"), ("family", "heide")]),
+    ("Herr Klein ging", [("family", "klein")]),
+    ("Maria said", [("given", "maria")]),
+    ("Peter Smith saw Smith", [("given", "peter"), ("family", "smith"), ("family", "smith")]),
+])
+def test_names_of_several_words_are_one_person(text, want):
+    from lexforge.llm import surrogates
+
+    got = [p[2:] for m in surrogates._mentions(text) for p in m[3]]
+    assert got == want
