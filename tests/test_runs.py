@@ -392,3 +392,27 @@ def test_registry_and_statistics(spark, corpus, tmp_path):
         for t in spark.catalog.listTables():
             if t.name.startswith("stat_"):
                 spark.sql(f"DROP TABLE {t.name}")
+
+
+def test_a_stream_of_changes_makes_only_what_changed(spark, tmp_path):
+    """New chunks, an edit that comes twice, a removal, a new version of the pipeline, and a batch that comes again."""
+    from lexforge.streaming.ingest import CHANGES, ingest_changes, take_changes
+
+    store, counts = pipeline.Store(spark, str(tmp_path / "store")), []
+
+    def send(rows, versions=VERSIONS):
+        if rows:
+            spark.createDataFrame(rows, CHANGES).write.mode("append").parquet(str(tmp_path / "in"))
+        ingest_changes(spark, str(tmp_path / "in"), store, greek, versions, str(tmp_path / "ck"), counts).awaitTermination()
+        return {(r["chunk_name"], r["primary_text"]) for r in store.read("chunks", pipeline.CHUNKS).collect()}
+
+    row = lambda v, n, text, at, gone=None: (v, f"{n}.xml", n, f"urn:cts:a:{v}:{n}", text, gone, at)
+    first = [row("v", 1, "a b", 1), row("v", 2, "c", 2), row("w", 1, None, 3)]
+    assert send(first) == {("1.xml", "a b"), ("2.xml", "c"), ("1.xml", None)} and counts[-1]["generated"] == 3
+    assert send([row("v", 2, "later", 9), row("v", 2, "sooner", 8)]) == {("1.xml", "a b"), ("2.xml", "later"), ("1.xml", None)}
+    assert (counts[-1]["generated"], counts[-1]["skipped"]) == (1, 2)
+    assert send([row("w", 1, None, 10, True)]) == {("1.xml", "a b"), ("2.xml", "later")} and counts[-1]["pruned"] == 1
+    take_changes(spark, store, spark.createDataFrame([row("v", 2, "later", 9)], CHANGES))
+    assert pipeline.tokenize(spark, store, greek, VERSIONS)["skipped"] == 2
+    assert send([row("v", 3, "new", 11)], VERSIONS | {"spacy": "5"}) and counts[-1]["generated"] == 3
+    assert {r["chunk_name"]: [t["text"] for t in r["tokens"]] for r in store.read("sidecars", pipeline.SIDECARS).collect()} == {"1.xml": ["a", "b"], "2.xml": ["later"], "3.xml": ["new"]}
