@@ -38,9 +38,12 @@ def learn_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str =
     sums = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     kept = counts.withColumn("_rank", first).filter(F.col("_rank") <= most).drop("_rank")
-    weight = lambda n: F.round(SCALE * F.log((n + 1) / (F.col("total") + F.col("kinds")))).cast("long")
-    held = kept.join(sums, "lang").select("lang", "gram", weight(F.col("n")).alias("weight"))
-    return held.unionByName(sums.select("lang", F.lit(None).cast("string").alias("gram"), weight(F.lit(0)).alias("weight")))
+    weight = lambda n, size: F.round(SCALE * F.log((n + 1) / size)).cast("long")
+    size = F.col("total") + F.col("kinds")
+    held = kept.join(sums, "lang").select("lang", "gram", weight(F.col("n"), size).alias("weight"))
+    # unknown trigrams weigh the same in all languages, as in the one with the most text
+    most = F.broadcast(sums.agg(F.max(size).alias("most")))  # a single row
+    return held.unionByName(sums.select("lang").join(most, F.lit(True)).select("lang", F.lit(None).cast("string").alias("gram"), weight(F.lit(0), F.col("most")).alias("weight")))
 
 
 def told_languages(texts: DataFrame, profiles: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

@@ -342,7 +342,7 @@ gram AS (SELECT doc_id, lang, substring(s, CAST(k AS BIGINT), 3) AS gram FROM (S
 counts AS (SELECT lang, gram, count(*) AS n FROM gram WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY ALL),
 sums AS (SELECT lang, sum(n) AS total, count(*) AS kinds FROM counts GROUP BY lang),
 profile AS (SELECT lang, gram, CAST(round(1000 * ln((n + 1) / (total + kinds))) AS BIGINT) AS weight FROM (SELECT * FROM counts QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 2000) JOIN sums USING (lang)
-  UNION ALL SELECT lang, NULL, CAST(round(1000 * ln(1 / (total + kinds))) AS BIGINT) FROM sums)"""
+  UNION ALL SELECT lang, NULL, CAST(round(1000 * ln(1 / (SELECT max(total + kinds) FROM sums))) AS BIGINT) FROM sums)"""
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

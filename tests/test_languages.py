@@ -25,12 +25,11 @@ def test_grams(spark):
 def test_profiles_equal_brute_force_and_plug_in(spark):
     df = spark.createDataFrame(TEXTS, "lang string, text string")
     found = learn_profiles(df, most=40)
-    want = {}
-    for lang in ("la", "en", "grc"):
-        n = Counter(t.lower()[k : k + 3] for x, t in TEXTS if x == lang and t for k in range(len(t) - 2))
-        size = sum(n.values()) + len(n)
-        weight = lambda c, size=size: round(1000 * math.log((c + 1) / size))
-        want |= {(lang, g): weight(c) for g, c in sorted(n.items(), key=lambda x: (-x[1], x[0]))[:40]} | {(lang, None): weight(0)}
+    n = {lang: Counter(t.lower()[k : k + 3] for x, t in TEXTS if x == lang and t for k in range(len(t) - 2)) for lang in ("la", "en", "grc")}
+    size = {lang: sum(c.values()) + len(c) for lang, c in n.items()}
+    weight = lambda c, s: round(1000 * math.log((c + 1) / s))
+    want = {(lang, None): weight(0, max(size.values())) for lang in n}
+    want |= {(lang, g): weight(c, size[lang]) for lang in n for g, c in sorted(n[lang].items(), key=lambda x: (-x[1], x[0]))[:40]}
     assert {(r["lang"], r["gram"]): r["weight"] for r in found.collect()} == want
     asked = spark.createDataFrame([(1, "est in partes"), (2, "the times of the fox"), (3, "ἄειδε"), (4, ""), (5, None), (6, "qqqqq")], "id int, text string")
     told = {r["id"]: (r["lang"], r["score"]) for r in told_languages(asked, found, "id").collect()}
