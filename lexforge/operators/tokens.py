@@ -57,6 +57,11 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(*keep, F.posexplode(pairs).alias("seq", "pair")).select(*keep, "seq", F.col("pair.t").alias("token"), F.col("pair.n").alias("next_text")).select(*keep, "seq", "token.*", "next_text")
 
 
+def with_urn(tokens: DataFrame, chunk_urn: str = "chunk_urn") -> DataFrame:
+    """Rows of tokens with URNs: words get one of chunk and identifier, punctuation has none."""
+    return tokens.withColumn("urn", F.when(~is_punctuation(F.col("text")), F.concat(F.col(chunk_urn), F.lit("@"), "identifier")))
+
+
 def own_texts(text: Column, tokens: Column) -> Column:
     """Model ``tokens`` (start_char, end_char, text, ...) of one text, with the text's own words in place of the model's.
 
