@@ -74,3 +74,15 @@ def test_endings_equal_brute_force(spark):
     assert got == told and got["laudavit", "la"] == "laudo" and got["puellam", "la"] == "puella"
     whole = {(r["text"], r["lang"]): r["lemma"] for r in completed(known.filter("text <> 'solo' and text <> ''"), words).collect()}
     assert whole["vidit", "la"] == "video" and whole["laudavit", "la"] == "laudo" and ("et", "la") not in whole
+
+
+def test_an_index_guesses_lemmas_that_the_dictionary_lacks(spark):
+    from lexforge.operators.index import build_index
+    from lexforge.plans.tokenize import tokenize_native
+
+    none = [F.lit(None).cast("string").alias(c) for c in ("meta_base_urn", "title", "author", "source_repo")]
+    rows = spark.createDataFrame([("amavit rosam laudavit", "urn:cts:a:b.c:1")], "primary_text string, urn string").select("*", F.lit(0).alias("root"), F.lit("a/b/c").alias("version_path"), F.struct(F.lit(1).alias("k")).alias("citation_key"), F.lit("la").alias("lang"), *none)
+    sidecars = tokenize_native(rows, [c for c in rows.columns if c not in ("urn", "primary_text")])
+    known = spark.createDataFrame([(t, "la", x, None, None) for t, x in LEMMAS if t and x], "text string, lang string, lemma string, upos string, feats string")
+    lemmas = lambda guess: {r["lemma"] for r in build_index(sidecars, ("la",), lemma_map=known, guess=guess)["lemmas"].collect()}
+    assert lemmas(False) == {"amo", "rosa"} and lemmas(True) == {"amo", "rosa", "laudo"}
