@@ -431,3 +431,34 @@ def test_names_of_several_words_are_one_person(text, want):
 
     got = [p[2:] for m in surrogates._mentions(text) for p in m[3]]
     assert got == want
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_items_of_one_template(spark, monkeypatch, broadcast):
+    """Documents and items that share a template: the work grows with their sum, the lists of items are made once."""
+    from lexforge.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    template = [f"t{k}" for k in range(25)]
+    whole = lambda kind, k: " ".join([*(f"{kind}a{k}x{j}" for j in range(9)), *template, *(f"{kind}z{k}x{j}" for j in range(9))])
+    n = 5000
+    items = [(k, whole("i", k)) for k in range(n)] + [(n, " ".join(template[:13])), (n + 1, " ".join(template[20:] + ["more"] * 9))]
+    docs = [(k, whole("d", k)) for k in range(n)] + [(n + k, items[k][1]) for k in range(20)] + [(2 * n, " ".join(template[13:])), (2 * n + 1, " ".join(template[:13]))]
+    began = time.monotonic()
+    got = contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in got.collect()}
+    assert time.monotonic() - began < 60 and len(got) == len(docs)
+    listed = lambda ids: hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
+    assert all(got[k] == (43, 25, n + 1, listed(range(n + 1))) for k in range(n))
+    assert all(got[n + k] == (43, 43, n + 1, listed(range(n + 1))) for k in range(20))
+    assert got[2 * n][1:3] == (0, 0) and got[2 * n + 1][1:] == (13, n + 1, listed(range(n + 1)))
+
+
+def test_hits_name_items_and_spans(spark):
+    from lexforge.llm.decontaminate import contamination_hits
+
+    words = [f"w{k}" for k in range(20)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[3:18])), (3, "x y")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(7, "a b " + " ".join(words[2:17]) + " x Y."), (8, "clean")], "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["start"], r["end"]) for r in contamination_hits(docs, items).collect())
+    assert got == [(7, 1, 2, 15), (7, 1, 3, 16), (7, 1, 4, 17), (7, 2, 3, 16), (7, 2, 4, 17), (7, 3, 17, 19)]
