@@ -106,7 +106,7 @@ def _scan(batches: Iterator[pa.RecordBatch], lengths: list[int], bits: np.ndarra
             yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in (0, 2, 3)], pa.array(n, pa.int64()), found], names=["doc_id", "key", "row", "n_words", "found"])
 
 
-def _bit_map(fps: DataFrame) -> np.ndarray:
+def bit_map(fps: DataFrame) -> np.ndarray:
     """A map of fixed size over the leading bits of the fingerprints; at most 2^(MAP_BITS-6) words reach the driver."""
     word = F.shiftrightunsigned("fp", 70 - MAP_BITS)
     bit = F.shiftrightunsigned("fp", 64 - MAP_BITS).bitwiseAND(63)
@@ -143,7 +143,7 @@ def _shared(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, i
     scan = lambda lens, bits: lambda batches: _scan(batches, lens, bits)
     windows, classes = _windows_of_items(map_texts(benchmark, scan(list(range(1, WINDOW)), None), columns, item_col, item_text, (none.alias("key"), none.alias("row"))))
     kinds = {r["kind"]: r["n"] for r in windows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(_bit_map(windows)))
+    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(bit_map(windows)))
     short = sorted(set(kinds) - {0})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from lexforge.llm.secrets import scan_secrets
 from lexforge.llm.shards import shard_rows
 from lexforge.llm.source_audit import divergences
 from lexforge.llm.staging import new_path
-from lexforge.llm.surrogates import replace_entities
+from lexforge.llm.surrogates import family_names, replace_entities
 from lexforge.llm.token_counts import count_tokens
 from lexforge.llm.token_files import read_digests, write_ids
 from lexforge.sources.storage import spread
@@ -49,7 +49,8 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_entities(_spread(spark, sf_dir, "documents"), key=b"a key of the caller's own")
+    docs = _spread(spark, sf_dir, "documents")
+    return replace_entities(docs, key=b"a key of the caller's own", families=family_names(docs))
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Every character stays in its class (digit, vowel, consonant, accented or not, case, script), and a keyed permutation of
 all strings of one pattern picks the replacement: the same entity always gets the same surrogate, different ones get
 different ones.  A person's given and family names are entities of their own, so that `Maria Weber`, `Weber` and `MARIA`
-stay one person.  Given names of the gazetteer are permuted without fixed points within the list of their script and
+stay one person; family names that the corpus itself teaches are found without a given name too.  Given names of the gazetteer are permuted without fixed points within the list of their script and
 gender; lists are short, so these surrogates may be names that occur.  Over the whole corpus, all other surrogates that
 coincide with an entity that really occurs, or with each other, are drawn again until all are distinct.
 
@@ -18,15 +18,19 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Collection, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexforge.llm.decontaminate import MAP_BITS, bit_map
 from lexforge.llm.staging import staged, unstage
-from lexforge.llm.texts import map_batches, map_texts, strings
+from lexforge.llm.texts import map_batches, strings
 
 #: Given names by script and gender, for detection and replacement, where a caller has no larger lists.
 NAMES = {
@@ -59,6 +63,9 @@ _START = re.compile(r"[+(]|(?<![0-9])[0-9]")
 _LOCAL = re.compile(r"\w[\w.+-]*\Z")
 _DOMAIN = re.compile(r"\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_]{2,}(?!\w)")
 _WORD = r"[^\W\d_a-zß-öø-ÿά-ώа-я](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=[^\W\d_]))+"
+_CAPITALISED = re.compile(_WORD)
+# the same words in a text in small letters
+_SMALL = re.compile(r"[^\W\d_](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=[^\W\d_]))*")
 # begins with a set of characters, which the search jumps to; other capitals don't begin names that are looked for
 _CAPITAL = re.compile("[A-ZÀ-ÖØ-ÞΆ-ΫА-Я][^\\W\\d_]+")
 _FAMILY = re.compile(rf" (?:(?:{'|'.join(PARTICLES)}) ){{0,2}}({_WORD})")
@@ -233,12 +240,12 @@ def _bounded(text: str, a: int, b: int) -> bool:
 Part = tuple[int, int, str, str]
 
 
-def _people(text: str, names: Gazetteer) -> Iterator[tuple[int, int, list[Part]]]:
+def _people(text: str, names: Gazetteer, families: Collection[str] = ()) -> Iterator[tuple[int, int, list[Part]]]:
     """Mentions of people, as (start, end, kind, value) of the parts to be replaced; values have small letters.
 
     One or more given names of the gazetteer, with initials between them, and a family name if one follows; a name after a
-    form of address, where a given name may have one that the gazetteer doesn't know behind it; and, where these give a
-    family name, its other mentions in the text.
+    form of address, where a given name may have one that the gazetteer doesn't know behind it; and other mentions of
+    family names that the text gives so, or that stand in ``families``.
     """
     part = lambda kind, a, b: (a, b, kind, text[a:b].lower())
     found: list[list[Part]] = []
@@ -276,7 +283,7 @@ def _people(text: str, names: Gazetteer) -> Iterator[tuple[int, int, list[Part]]
             continue
         found.append(parts)
         upto = parts[-1][1]
-    known = {p[3] for parts in found for p in parts if p[2] == "family"} - names.who.keys()
+    known = ({p[3] for parts in found for p in parts if p[2] == "family"} | set(families)) - names.who.keys()
     taken = {p[0] for parts in found for p in parts}
     if known:
         found += [[part("family", a, b)] for m in re.finditer(_WORD, text) for a, b in [m.span()] if a not in taken and text[a:b].lower() in known and _bounded(text, a, b)]
@@ -284,11 +291,11 @@ def _people(text: str, names: Gazetteer) -> Iterator[tuple[int, int, list[Part]]
         yield parts[0][0], parts[-1][1], parts
 
 
-def _mentions(text: str, names: Gazetteer = DEFAULT) -> list[tuple[int, int, str, list[Part]]]:
+def _mentions(text: str, names: Gazetteer = DEFAULT, families: Collection[str] = ()) -> list[tuple[int, int, str, list[Part]]]:
     """Start, end, kind and parts of the entities of a text, from left to right; of two that overlap, the one that begins first, then the longer."""
     plain = [(a, b, kind, [(a, b, kind, text[a:b])]) for a, b, kind in (*_mails(text), *_numbers(text))]
     out: list[tuple[int, int, str, list[Part]]] = []
-    for m in sorted([*plain, *((a, b, "name", parts) for a, b, parts in _people(text, names))], key=lambda x: (x[0], -x[1])):
+    for m in sorted([*plain, *((a, b, "name", parts) for a, b, parts in _people(text, names, families))], key=lambda x: (x[0], -x[1])):
         if not out or m[0] >= out[-1][1]:
             out.append(m)
     return out
@@ -299,9 +306,74 @@ def entities(text: str, names: Gazetteer = DEFAULT) -> list[tuple[int, int, str]
     return [m[:3] for m in _mentions(text, names)]
 
 
-def parts_of(text: str, names: Gazetteer = DEFAULT) -> set[tuple[str, str]]:
+def parts_of(text: str, names: Gazetteer = DEFAULT, families: Collection[str] = ()) -> set[tuple[str, str]]:
     """Kind and value of all that is replaced in a text."""
-    return {p[2:] for m in _mentions(text, names) for p in m[3]}
+    return {p[2:] for m in _mentions(text, names, families) for p in m[3]}
+
+
+def _led(text: str, names: Gazetteer) -> set[tuple[str, str]]:
+    """Family names that follow a given name or a form of address, each with the word before it."""
+    out = set()
+    for a, _, parts in _people(text, names):
+        if parts[-1][2] == "family" and (before := text[: parts[-1][0]].split()[-1:] if len(parts) == 1 else [parts[-2][3]]):
+            cue = before[0].lower().rstrip(".")
+            if len(parts) > 1 or cue in TITLES:
+                out.add((parts[-1][3], cue))
+    return out
+
+
+def family_names(df: DataFrame, text_col: str = "text", names: dict[tuple[str, str], list[str]] | None = None, least: int = 3, share: float = 0.5) -> DataFrame:
+    """Rows (value, n_docs, n_led, n_cues) of the family names that the texts of ``df`` teach, in small letters.
+
+    A word is one if in ``least`` documents, and in ``share`` of all documents that have it in any case, it follows a given
+    name of the gazetteer or a form of address, and it follows two different ones somewhere: common words that come behind
+    a name by chance, and those of one often copied text, are none.  Each row counts as a document; null and empty texts
+    have no words, an empty table teaches nothing.  Counts are added up in the tasks before they are shuffled.
+    """
+    book = Gazetteer(names) if names else DEFAULT
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[tuple[str, str | None]] = Counter()
+            for t in filter(None, strings(batch.column(0))):
+                led = _led(t, book)
+                counts.update((w, None) for w in {w for w, _ in led}.union(_SMALL.findall(t.lower())))
+                counts.update((w, "") for w in {w for w, _ in led})
+                counts.update(led)
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in counts], pa.string()) for c in (0, 1)] + [pa.array(counts.values(), pa.int64())], names=["value", "cue", "n"])
+
+    rows = map_batches(df.select(F.col(text_col).cast("string").alias("text")), scan, "value string, cue string, n bigint")
+    counted = rows.groupBy("value", "cue").agg(F.sum("n").alias("n")).groupBy("value").agg(
+        F.sum(F.when(F.col("cue").isNull(), F.col("n"))).alias("n_docs"),
+        F.sum(F.when(F.col("cue") == "", F.col("n"))).alias("n_led"),
+        F.count(F.when(F.col("cue") != "", 1)).alias("n_cues"),
+    )
+    return counted.filter((F.col("n_cues") > 1) & (F.col("n_led") >= least) & (F.col("n_led") >= share * F.col("n_docs")) & ~F.col("value").isin(*TITLES))
+
+
+def _with_families(docs: DataFrame, families: DataFrame | None) -> DataFrame:
+    """``docs`` (doc_id, text) with ``known``, the words of each text that stand in the table ``families``.
+
+    The table is joined, whatever its size; a bit map of fixed size keeps other words out of the shuffle.
+    """
+    if families is None:
+        return docs.withColumn("known", F.lit(None).cast("array<string>"))
+    families = staged(families.select("value").filter("value is not null").distinct(), "families")
+    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(bit_map(families.select(F.xxhash64("value").alias("fp")))))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = np.unpackbits(bits.value).astype(bool)
+        for batch in batches:
+            rows = []
+            for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True):
+                words = {w.lower() for w in _CAPITALISED.findall(t)}
+                rows += [(i, h, w) for w in words if some[xxhash.xxh64_intdigest(w.encode(), 42) >> (64 - MAP_BITS)]]
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.string()))], names=["id", "same", "value"])
+
+    hashed = docs.withColumn("hash", F.xxhash64("text"))
+    holds = map_batches(hashed.select("doc_id", "hash", "text"), held, "id bigint, same bigint, value string").distinct().join(families, "value")
+    known = staged(holds.groupBy("id", "same").agg(F.array_sort(F.collect_list("value")).alias("known")), "known")
+    return hashed.join(known, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("same")), "left").select("doc_id", "text", "known")
 
 
 def _cased(new: str, old: str) -> str:
@@ -313,10 +385,10 @@ def _cased(new: str, old: str) -> str:
     return new.capitalize()
 
 
-def rewritten(text: str, names: Gazetteer, drawn: Callable[[str, str], str]) -> tuple[str, list[str]]:
+def rewritten(text: str, names: Gazetteer, drawn: Callable[[str, str], str], families: Collection[str] = ()) -> tuple[str, list[str]]:
     """A text with ``drawn(kind, value)`` in place of every entity, and the kinds of its entities."""
     out, at, kinds = [], 0, []
-    for _, _, kind, parts in _mentions(text, names):
+    for _, _, kind, parts in _mentions(text, names, families):
         for a, b, what, value in parts:
             new = drawn(what, value)
             out += [text[at:a], _cased(new, text[a:b]) if kind == "name" else new]
@@ -343,12 +415,13 @@ def _clashes(drawn: DataFrame, known: DataFrame) -> DataFrame:
 _DRAWN = "kind string, value string, surrogate string, attempt int"
 
 
-def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", names: dict[tuple[str, str], list[str]] | None = None) -> DataFrame:
+def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", names: dict[tuple[str, str], list[str]] | None = None, families: DataFrame | None = None) -> DataFrame:
     """One row (doc_id, n_entities, n_email, n_phone, n_card, n_ip, n_ssn, n_name, text) for each row of ``df``.
 
     ``text`` has a surrogate in place of every entity.  ``names``: given names by (script, gender), in lists of two at
     least; they travel with the code of the tasks, so they should stay under some 100,000.  A name in two lists belongs to
-    the first.  A null text stays null, an empty one empty, with no entities; repeated rows give repeated results, an
+    the first.  ``families``: a table (value) of family names in small letters, of any size, such as ``family_names``
+    gives; capitalised words that stand in it are people wherever they occur.  A null text stays null, an empty one empty, with no entities; repeated rows give repeated results, an
     empty table an empty one; other columns are not read.
     """
     book = Gazetteer(names) if names else DEFAULT
@@ -359,7 +432,7 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Surrogates(key, book)
         for batch in batches:
-            rows = sorted(set().union(*(parts_of(t, book) for t in strings(batch.column(1)))))
+            rows = sorted(set().union(*(parts_of(t, book, w or ()) for t, w in zip(strings(batch.column(1)), batch.column(2).to_pylist(), strict=True))))
             shapes = [pattern(k, v) for k, v in rows]
             columns = [[k for k, _ in rows], [v for _, v in rows], [s.of(k, v) for k, v in rows], [first_draw(k, v) for k, v in rows], [x[0] for x in shapes], [x[1] for x in shapes]]
             kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64()]
@@ -375,7 +448,8 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
 
         return run
 
-    shaped = staged(map_texts(df, scan, f"{_DRAWN}, pattern string, most bigint", id_col, text_col).distinct(), "entities")
+    docs = _with_families(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), families)
+    shaped = staged(map_batches(docs, scan, f"{_DRAWN}, pattern string, most bigint").distinct(), "entities")
     drawn = shaped.select("kind", "value", "surrogate", "attempt")
     full = staged(shaped.filter("pattern is not null").groupBy("kind", "pattern").agg(F.count("*").alias("n"), F.max("most").alias("most")).filter("n > most").select("kind", "pattern"), "full")
     if not full.isEmpty():
@@ -397,7 +471,6 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
         raise RuntimeError("no free surrogates were found")
     redrawn = drawn.join(shaped.select("kind", "value", F.col("attempt").alias("first")), ["kind", "value"]).filter("attempt != first").select("kind", "value", "surrogate")
     columns = "doc_id bigint, n_entities bigint, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", text string"
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # entities drawn again are few, but without a bound: they travel with the documents that hold them
     if redrawn.isEmpty():
         docs = docs.withColumn("other", F.lit(None).cast("array<struct<kind:string,value:string,surrogate:string>>"))
@@ -406,10 +479,11 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
 
         def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(i, h, k, v) for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True) for k, v in parts_of(t, book)]
+                whole = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), batch.column(3).to_pylist(), strict=True)
+                rows = [(i, h, k, v) for i, h, t, w in whole for k, v in parts_of(t, book, w or ())]
                 yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["id", "same", "kind", "value"])
 
-        holds = map_batches(docs.select("doc_id", "hash", "text"), held, "id bigint, same bigint, kind string, value string").distinct().join(redrawn, ["kind", "value"])
+        holds = map_batches(docs.select("doc_id", "hash", "text", "known"), held, "id bigint, same bigint, kind string, value string").distinct().join(redrawn, ["kind", "value"])
         others = holds.groupBy("id", "same").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("other"))
         docs = docs.join(others, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("same")), "left")
 
@@ -418,9 +492,9 @@ def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col
         usual = lru_cache(maxsize=1 << 16)(s.of)
         for batch in batches:
             got = []
-            for t, others in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for t, others, w in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
                 other = {(o["kind"], o["value"]): o["surrogate"] for o in others or ()}
-                got.append((None, []) if t is None else rewritten(t, book, lambda k, v, other=other: other.get((k, v)) or usual(k, v)))
+                got.append((None, []) if t is None else rewritten(t, book, lambda k, v, other=other: other.get((k, v)) or usual(k, v), w or ()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(g[1]) for g in got], pa.int64()), *[pa.array([g[1].count(k) for g in got], pa.int64()) for k in KINDS], pa.array([g[0] for g in got], pa.string())], names=[c.split()[0] for c in columns.split(", ")])
 
-    return map_batches(docs.select("doc_id", "text", "other"), rewrite, columns)
+    return map_batches(docs.select("doc_id", "text", "other", "known"), rewrite, columns)

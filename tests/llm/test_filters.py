@@ -462,3 +462,56 @@ def test_hits_name_items_and_spans(spark):
     docs = spark.createDataFrame([(7, "a b " + " ".join(words[2:17]) + " x Y."), (8, "clean")], "doc_id bigint, text string")
     got = sorted((r["doc_id"], r["item_id"], r["start"], r["end"]) for r in contamination_hits(docs, items).collect())
     assert got == [(7, 1, 2, 15), (7, 1, 3, 16), (7, 1, 4, 17), (7, 2, 3, 16), (7, 2, 4, 17), (7, 3, 17, 19)]
+
+
+def test_family_names_are_learned(spark, edges, nothing):
+    """Against counts from what the documents were made of, not from the operator's patterns."""
+    from lexforge.llm.surrogates import family_names
+
+    rng = random.Random(21)
+    families, common = ["Weber", "O'Neill", "Klein-Müller", "Иванов", "Rare", "Copied"], ["Period", "Discussion", "Haus"]
+    docs, docs_with, led_in, cues = [], Counter(), Counter(), {}
+    for k in range(400):
+        bits, words, led = [], set(), set()
+        for _ in range(rng.randint(0, 4)):
+            w = rng.choice(families[:4] + common)
+            how = rng.random() * (1 if w in families else 4)
+            if how < 0.7:
+                cue = rng.choice(["Maria", "Peter", "Frau", "Mr.", "Anna Maria", "Иван"])
+                bits.append(f"{cue} {w}")
+                cues.setdefault(w.lower(), set()).add(cue.split()[-1].lower().rstrip("."))
+                led.add(w.lower())
+            else:
+                bits.append(rng.choice([f"the {w}", w.upper() if w in families else w.lower(), w]))
+            words.add(w.lower())
+        docs.append((k, ", ".join(bits)))
+        docs_with.update(words)
+        led_in.update(led)
+    docs += [(500, "Frau Rare"), (501, "Herr Rare"), *((510 + k, "Frau Copied, copy") for k in range(50)), (600, None), (601, "")]
+    docs_with.update({"rare": 2, "copied": 50})
+    led_in.update({"rare": 2, "copied": 50})
+    cues.update({"rare": {"frau", "herr"}, "copied": {"frau"}})
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("value", F.lit(1))
+    got = {tuple(r) for r in family_names(df).select("value", "n_docs", "n_led", "n_cues").collect()}
+    want = {(w, docs_with[w], n, len(cues[w])) for w, n in led_in.items() if n >= 3 and 2 * n >= docs_with[w] and len(cues[w]) > 1}
+    assert got == want and {w for w, *_ in got} == {w.lower() for w in families[:4]}
+    assert family_names(nothing).collect() == [] and family_names(edges).collect() == []
+
+
+def test_learned_family_names_are_people_everywhere(spark, edges):
+    from lexforge.llm.surrogates import family_names
+
+    texts = ["Maria Weber came", "Herr Weber ging", "Peter Weber saw it", "then WEBER and Weber's dog; webern, Weberin, deWeber", "The Grace Period", "a long period", "period", "Period of Weber", None, ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(3, "Weber again"), (None, "Weber"), (None, "Weber")], "doc_id bigint, text string").withColumn("known", F.lit(1))
+    learned = family_names(df, share=0.3)
+    assert [r["value"] for r in learned.collect()] == ["weber"]
+    got = Counter((r["doc_id"], r["text"], r["n_name"]) for r in replace_entities(df, b"k", families=learned).collect())
+    new = Surrogates(b"k").of("family", "weber").capitalize()
+    given = lambda w: Surrogates(b"k").of("given", w).capitalize()
+    # what follows a given name is a family name of its document still, though the corpus teaches that it is none
+    period = Surrogates(b"k").of("family", "period").capitalize()
+    want = [(0, f"{given('maria')} {new} came", 1), (1, f"Herr {new} ging", 1), (2, f"{given('peter')} {new} saw it", 1), (3, f"then {new.upper()} and {new}'s dog; webern, Weberin, deWeber", 2), (4, f"The {given('grace')} {period}", 1), (5, texts[5], 0), (6, texts[6], 0), (7, f"Period of {new}", 1), (8, None, 0), (9, "", 0), (3, f"{new} again", 1), (None, new, 1), (None, new, 1)]
+    assert got == Counter(want)
+    many = spark.range(3000).selectExpr("concat('name', id) AS value").unionByName(learned.select("value")).unionByName(spark.createDataFrame([(None,), ("weber",)], "value string"))
+    assert Counter((r["doc_id"], r["text"], r["n_name"]) for r in replace_entities(df, b"k", families=many).collect()) == got
+    assert sorted(str(r["text"]) for r in replace_entities(edges, b"k", families=learned.limit(0)).collect()) == sorted(str(r["text"]) for r in edges.collect())
