@@ -64,8 +64,8 @@ _LOCAL = re.compile(r"\w[\w.+-]*\Z")
 _DOMAIN = re.compile(r"\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_]{2,}(?!\w)")
 _WORD = r"[^\W\d_a-zß-öø-ÿά-ώа-я](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=[^\W\d_]))+"
 _CAPITALISED = re.compile(_WORD)
-# the same words in a text in small letters
-_SMALL = re.compile(r"[^\W\d_](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=[^\W\d_]))*")
+# the same words in any case
+_ANY = re.compile(r"[^\W\d_](?:['’](?=[^\W\d_]))?(?:[^\W\d_]|-(?=[^\W\d_]))*")
 # begins with a set of characters, which the search jumps to; other capitals don't begin names that are looked for
 _CAPITAL = re.compile("[A-ZÀ-ÖØ-ÞΆ-ΫА-Я][^\\W\\d_]+")
 _FAMILY = re.compile(rf" (?:(?:{'|'.join(PARTICLES)}) ){{0,2}}({_WORD})")
@@ -328,27 +328,38 @@ def family_names(df: DataFrame, text_col: str = "text", names: dict[tuple[str, s
     A word is one if in ``least`` documents, and in ``share`` of all documents that have it in any case, it follows a given
     name of the gazetteer or a form of address, and it follows two different ones somewhere: common words that come behind
     a name by chance, and those of one often copied text, are none.  Each row counts as a document; null and empty texts
-    have no words, an empty table teaches nothing.  Counts are added up in the tasks before they are shuffled.
+    have no words, an empty table teaches nothing.  Documents are counted for words that pass the other tests, which a bit
+    map of fixed size tells; counts are added up in the tasks before they are shuffled.
     """
-    book = Gazetteer(names) if names else DEFAULT
+    book, texts = Gazetteer(names) if names else DEFAULT, df.select(F.col(text_col).cast("string").alias("text"))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter[tuple[str, str | None]] = Counter()
+            counts: Counter[tuple[str, str]] = Counter()
             for t in filter(None, strings(batch.column(0))):
-                led = _led(t, book)
-                counts.update((w, None) for w in {w for w, _ in led}.union(_SMALL.findall(t.lower())))
-                counts.update((w, "") for w in {w for w, _ in led})
-                counts.update(led)
+                found = _led(t, book)
+                counts.update(found)
+                counts.update((w, "") for w in {w for w, _ in found})
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in counts], pa.string()) for c in (0, 1)] + [pa.array(counts.values(), pa.int64())], names=["value", "cue", "n"])
 
-    rows = map_batches(df.select(F.col(text_col).cast("string").alias("text")), scan, "value string, cue string, n bigint")
-    counted = rows.groupBy("value", "cue").agg(F.sum("n").alias("n")).groupBy("value").agg(
-        F.sum(F.when(F.col("cue").isNull(), F.col("n"))).alias("n_docs"),
-        F.sum(F.when(F.col("cue") == "", F.col("n"))).alias("n_led"),
-        F.count(F.when(F.col("cue") != "", 1)).alias("n_cues"),
-    )
-    return counted.filter((F.col("n_cues") > 1) & (F.col("n_led") >= least) & (F.col("n_led") >= share * F.col("n_docs")) & ~F.col("value").isin(*TITLES))
+    cued = map_batches(texts, led, "value string, cue string, n bigint").groupBy("value", "cue").agg(F.sum("n").alias("n"))
+    sums = cued.groupBy("value").agg(F.sum(F.when(F.col("cue") == "", F.col("n"))).alias("n_led"), F.count(F.when(F.col("cue") != "", 1)).alias("n_cues"))
+    candidates = staged(sums.filter((F.col("n_cues") > 1) & (F.col("n_led") >= least) & ~F.col("value").isin(*TITLES)), "candidates")
+    bits = df.sparkSession.sparkContext.broadcast(np.packbits(bit_map(candidates.select(F.xxhash64("value").alias("fp")))))
+
+    def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = np.unpackbits(bits.value).astype(bool)
+        for batch in batches:
+            counts = Counter(w for t in (strings(batch.column(0)) if some.any() else ()) for w in _mapped(_ANY.findall(t), some))
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["value", "n"])
+
+    docs = map_batches(texts, having, "value string, n bigint").groupBy("value").agg(F.sum("n").alias("n_docs"))
+    return candidates.join(docs, "value").filter(F.col("n_led") >= share * F.col("n_docs")).select("value", "n_docs", "n_led", "n_cues")
+
+
+def _mapped(words: list[str], some: np.ndarray) -> set[str]:
+    """Different words in small letters whose hashes stand in a bit map."""
+    return {w for w in {x.lower() for x in set(words)} if some[xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) >> (64 - MAP_BITS)]}
 
 
 def _with_families(docs: DataFrame, families: DataFrame | None) -> DataFrame:
@@ -365,9 +376,9 @@ def _with_families(docs: DataFrame, families: DataFrame | None) -> DataFrame:
         some = np.unpackbits(bits.value).astype(bool)
         for batch in batches:
             rows = []
-            for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True):
-                words = {w.lower() for w in _CAPITALISED.findall(t)}
-                rows += [(i, h, w) for w in words if some[xxhash.xxh64_intdigest(w.encode(), 42) >> (64 - MAP_BITS)]]
+            whole = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True)
+            for i, h, t in whole if some.any() else ():
+                rows += [(i, h, w) for w in _mapped(_CAPITALISED.findall(t), some)]
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.string()))], names=["id", "same", "value"])
 
     hashed = docs.withColumn("hash", F.xxhash64("text"))

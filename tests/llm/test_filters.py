@@ -469,7 +469,7 @@ def test_family_names_are_learned(spark, edges, nothing):
     from lexforge.llm.surrogates import family_names
 
     rng = random.Random(21)
-    families, common = ["Weber", "O'Neill", "Klein-Müller", "Иванов", "Rare", "Copied"], ["Period", "Discussion", "Haus"]
+    families, common = ["Weber", "O'Neill", "Klein-Müller", "İnönü", "Rare", "Copied"], ["Period", "Discussion", "Haus"]
     docs, docs_with, led_in, cues = [], Counter(), Counter(), {}
     for k in range(400):
         bits, words, led = [], set(), set()
