@@ -23,6 +23,7 @@ def few(rows: DataFrame, *columns: str) -> list[tuple] | None:
 
 def fenced(index: Index, table: str, values: list) -> list:
     """Fences of the files that may hold rows under some values of the table's first key, in the order of their keys."""
+    index[table]  # a table that is written when it is asked for has its fences then
     low, high = ("low_text", "high_text") if values and isinstance(values[0], str) else ("low_id", "high_id")
     inside = F.exists(F.lit(values), lambda v: (v >= F.col(low)) & (v <= F.col(high)))
     return index.fences.filter((F.col("name") == table) & inside).orderBy(low, "low_next").collect()
@@ -36,7 +37,7 @@ def opened(index: Index, table: str, files: list[str]) -> DataFrame:
 
 def narrowed(index: Index, table: str, values: list) -> DataFrame:
     """Rows under some values of the table's first key: of a written index only files that may hold them are opened, and the values are pushed into their scan."""
-    rows = index[table] if index.fences is None or not values else opened(index, table, [f["file"] for f in fenced(index, table, values)])
+    rows = index[table] if not index.fenced or not values else opened(index, table, [f["file"] for f in fenced(index, table, values)])
     return rows.filter(F.col(CLUSTERING[table][0]).isin(values))
 
 
@@ -67,7 +68,7 @@ def postings_page(index: Index, kind: str, ids: DataFrame, after: tuple[int, int
     """
     name, table = f"{kind}_id", f"{kind}_postings"
     beyond = F.lit(True) if after is None else (F.col("chunk_id") > after[0]) | ((F.col("chunk_id") == after[0]) & (F.col("seq") > after[1]))
-    wanted = few(ids, name) if index.fences is not None else None
+    wanted = few(ids, name) if index.fenced else None
     if wanted is None:
         return postings(index, kind, ids).filter(beyond).orderBy("chunk_id", "seq").limit(limit)
     values = sorted({w for (w,) in wanted if w is not None})
@@ -89,7 +90,7 @@ def postings_page(index: Index, kind: str, ids: DataFrame, after: tuple[int, int
 
 def hits(index: Index, found: DataFrame) -> DataFrame:
     """Postings with doc_id, form and the citable URN; sort by chunk_id and seq for reading order."""
-    ids = few(found, "chunk_id", "form_id") if index.fences is not None else None
+    ids = few(found, "chunk_id", "form_id") if index.fenced else None
     if ids is None:
         chunks, docs, forms = index["chunks"], index["documents"], index["forms"]
     else:
@@ -127,7 +128,7 @@ def in_context(index: Index, found: DataFrame, around: int = 5, width: int = CON
     """Hits with ``before``, ``word`` and ``after``: up to ``around`` tokens on each side, from one to three windows."""
     need = found.withColumn("_part", F.explode(F.sequence(F.floor(F.greatest(F.col("seq") - around, F.lit(0)) / width).cast("int"), F.floor((F.col("seq") + around) / width).cast("int"))))
     keys = [c for c in found.columns]
-    ids = few(found, "chunk_id") if index.fences is not None else None
+    ids = few(found, "chunk_id") if index.fenced else None
     contexts = index["chunk_context"] if ids is None else narrowed(index, "chunk_context", sorted({c for (c,) in ids}))
     rows = need.join(contexts.withColumnRenamed("part", "_part"), ["chunk_id", "_part"])
     whole = rows.groupBy(*keys).agg(F.min("_part").alias("_low"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "tokens"))), lambda x: x["tokens"]), TOKEN_SEP).alias("_text"))
@@ -138,9 +139,9 @@ def in_context(index: Index, found: DataFrame, around: int = 5, width: int = CON
 
 
 def lemma_coverage(index: Index) -> DataFrame:
-    """Share of words that have a lemma, and whether it is over a half."""
-    words = index["documents"].agg(F.sum("n_words").alias("words"))
-    lemmas = index["lemma_postings"].agg(F.count("*").alias("with_lemma"))
+    """Words, those that have a lemma, and whether that is over a half of them, by the dictionaries' counts."""
+    words = index["forms"].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"))
+    lemmas = index["lemmas"].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("with_lemma"))
     return words.crossJoin(lemmas).withColumn("covered", F.col("with_lemma") > 0.5 * F.col("words"))  # single rows
 
 
