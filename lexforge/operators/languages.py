@@ -6,8 +6,10 @@ numbers.  A text's score in a language is the sum over its sample's trigrams, an
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from lexforge.schema import LANGID_SAMPLE_CHARS
 #: Trigrams that are kept of each language; with so many languages at most, a table of profiles is of bounded size.
 GRAMS, LANGUAGES = 2000, 1000
 SCALE = 1000
+#: Texts that Python works on at once.
+SLICE = 512
 
 
 def grams(text: Column) -> Column:
@@ -28,13 +32,40 @@ def grams(text: Column) -> Column:
     return F.coalesce(let(F.split(low, ""), lambda c: F.slice(threes(c), 1, F.greatest(F.size(c) - 2, F.lit(0)))), F.array().cast("array<string>"))
 
 
+def _sample(text: Column) -> Column:
+    return F.lower(language_sample(text, LANGID_SAMPLE_CHARS))
+
+
+def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams of texts as numbers, and which text each is of; none of a null text and of one under three characters."""
+    whole = [t or "" for t in texts]
+    chars = np.frombuffer("".join(whole).encode("utf-32-le"), np.uint32).astype(np.int64)
+    owner = np.repeat(np.arange(len(whole)), [len(t) for t in whole])
+    inside = owner[:-2] == owner[2:]
+    return ((chars[:-2] << 42) | (chars[1:-1] << 21) | chars[2:])[inside], owner[:-2][inside]
+
+
+def _gram(code: int) -> str:
+    return chr(code >> 42) + chr(code >> 21 & 0x1FFFFF) + chr(code & 0x1FFFFF)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, gram, n) of the texts of a slice, from (lang, sample)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            langs, texts = (c.to_pylist() for c in batch.slice(at, SLICE).columns)
+            for lang in set(langs):
+                found, n = np.unique(_codes([t for t, x in zip(texts, langs, strict=True) if x == lang])[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array([_gram(c) for c in found.tolist()], pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
+
+
 def learn_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = GRAMS) -> DataFrame:
     """Rows (lang, gram, weight), and one with a null gram for each language, the weight of what its profile doesn't hold.
 
     Rows without a language are left out.  Equal counts are kept in the order of their trigrams.
     """
-    rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(grams(F.col(text_col))).alias("gram"))
-    counts = rows.groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), _sample(F.col(text_col)).alias("sample"))
+    counts = rows.mapInArrow(_counted, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     sums = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     kept = counts.withColumn("_rank", first).filter(F.col("_rank") <= most).drop("_rank")
@@ -50,16 +81,37 @@ def told_languages(texts: DataFrame, profiles: DataFrame, id_col: str, text_col:
     """Rows (id, lang, score) of the texts that have trigrams; of equal scores the first language by name counts.
 
     What a text gains over the weight of unknown trigrams is added up where the text is read; only sums by language move.
+    Rows that share an id are one text.  Profiles are of bounded size, and travel with the function.
     """
-    rows = texts.select(F.col(id_col).alias("id"), F.explode(grams(F.col(text_col))).alias("gram"))
-    known = profiles.filter("gram is not null").join(profiles.filter("gram is null").select("lang", F.col("weight").alias("floor")), "lang")
-    by_gram = known.groupBy("gram").agg(F.collect_list(F.struct("lang", (F.col("weight") - F.col("floor")).alias("gain"))).alias("gains"))
-    gained = rows.join(F.broadcast(by_gram), "gram").select("id", F.inline("gains")).groupBy("id", "lang").agg(F.sum("gain").alias("gain"))  # GRAMS x LANGUAGES rows at most
-    lengths = texts.select(F.col(id_col).alias("id"), F.size(grams(F.col(text_col))).alias("n")).filter("n > 0")
-    each = lengths.join(F.broadcast(profiles.filter("gram is null").agg(F.collect_list(F.struct("lang", F.col("weight").alias("floor"))).alias("langs"))), F.lit(True)).select("id", "n", F.inline("langs"))
-    scores = each.join(gained, ["id", "lang"], "left").select("id", "lang", (F.col("n") * F.col("floor") + F.coalesce("gain", F.lit(0))).alias("score"))
-    best = scores.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("loss"), "lang")).alias("best"))
-    return best.select("id", F.col("best.lang").alias("lang"), (-F.col("best.loss")).alias("score"))
+    known = profiles.collect()
+    floors = {r["lang"]: r["weight"] for r in known if r["gram"] is None}
+    langs = sorted(floors, key=str.encode)
+    place = {x: k for k, x in enumerate(langs)}
+    held = sorted((ord(r["gram"][0]) << 42 | ord(r["gram"][1]) << 21 | ord(r["gram"][2]), place[r["lang"]], r["weight"] - floors[r["lang"]]) for r in known if r["gram"] is not None)
+    code, lang_of, gain = (np.array([h[k] for h in held], np.int64) for k in range(3))
+    base = np.array([floors[x] for x in langs], np.int64)
+
+    @F.arrow_udf("array<bigint>")
+    def scores(samples: pa.Array) -> pa.Array:
+        out = []
+        for at in range(0, len(samples), SLICE):
+            texts = samples.slice(at, SLICE).to_pylist()
+            codes, owner = _codes(texts)
+            low = np.searchsorted(code, codes, "left")
+            n = np.searchsorted(code, codes, "right") - low  # the languages that hold a trigram stand together
+            at_held = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.empty(0, np.int64)
+            gains = np.bincount(np.repeat(owner, n) * len(langs) + lang_of[at_held], gain[at_held], len(texts) * len(langs)).astype(np.int64)  # whole numbers under 2^53
+            each = np.bincount(owner, minlength=len(texts))
+            total = gains.reshape(len(texts), len(langs)) + each[:, None] * base
+            out += [row if k else None for row, k in zip(total.tolist(), each.tolist(), strict=True)]
+        return pa.array(out, pa.list_(pa.int64()))
+
+    if not langs:
+        return texts.select(F.col(id_col).alias("id"), F.lit("").alias("lang"), F.lit(0).cast("long").alias("score")).filter(F.lit(False))
+    rows = texts.select(F.col(id_col).alias("id"), scores(_sample(F.col(text_col))).alias("scores")).select("id", F.posexplode("scores").alias("place", "score"))
+    summed = rows.groupBy("id", "place").agg(F.sum("score").alias("score"))
+    best = summed.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("loss"), "place")).alias("best"))
+    return best.select("id", F.get(F.lit(langs), F.col("best.place")).alias("lang"), (-F.col("best.loss")).alias("score"))
 
 
 class Profiled:

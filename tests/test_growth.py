@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexforge.operators import index as indexes
 from lexforge.operators import search
+from lexforge.operators.languages import learn_profiles, told_languages
 from lexforge.operators.tokens import named_rows, own_texts, token_list
 from lexforge.plans.tokenize import index_tokens
 
@@ -74,3 +75,18 @@ def test_own_texts_strip_and_fall_back(spark):
     got = rows.select(own_texts(F.col("text"), F.col("tokens")).alias("t")).collect()
     assert [t["text"] for t in got[0]["t"]] == ["μῆνιν", "\x1f", "𐍈e", "\x1f"]
     assert got[1]["t"] is None
+
+
+def test_rows_that_share_an_id_are_one_text(spark):
+    """The sums of trigrams of both rows, as one group by id has them."""
+    known = spark.createDataFrame([("a", "aab", -100), ("a", "aba", -200), ("a", None, -900), ("b", "bbb", -100), ("b", None, -900)], "lang string, gram string, weight bigint")
+    asked = spark.createDataFrame([(1, "aaba"), (1, "aabx"), (2, "BBB"), (3, "ab"), (4, None), (5, "xyz")], "id int, text string")
+    assert sorted(map(tuple, told_languages(asked, known, "id").collect())) == [(1, "a", -100 - 200 - 100 - 900), (2, "b", -100), (5, "a", -900)]
+
+
+def test_trigrams_are_counted_before_they_move(spark):
+    """A million equal trigrams are one row of each batch."""
+    rows = spark.createDataFrame([("a", "ab" * 1500)] * 300, "lang string, text string").coalesce(1)
+    assert {(r["lang"], r["gram"]) for r in learn_profiles(rows).collect()} == {("a", "aba"), ("a", "bab"), ("a", None)}
+    plan = learn_profiles(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
