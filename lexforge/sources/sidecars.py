@@ -84,6 +84,17 @@ def read_sidecars(spark: SparkSession, roots: list[str]) -> DataFrame:
     return out
 
 
+#: Rows whose texts Python holds at once.
+SLICE = 512
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, each of which is let go before the next one is made."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = zstandard.ZstdDecompressor()
 
@@ -96,7 +107,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return None, f"{type(e).__name__}: {e}"
         return text, None
 
-    for b in batches:
+    for b in sliced(batches):
         got = [opened(x) for x in b.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *(pa.array([g[k] for g in got], pa.string()) for k in (0, 1))], names=["path", "version_path", "name", "json", "error"])
 
@@ -107,7 +118,7 @@ def pack_sidecars(rows: DataFrame, level: int = 19) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=level)
-        for b in batches:
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.compress(x.encode()) for x in b.column(2).to_pylist()], pa.binary())], names=["version_path", "sidecar", "payload"])
 
     return ready.mapInArrow(run, "version_path string, sidecar string, payload binary")
@@ -129,19 +140,21 @@ def export_tree(rows: DataFrame, root: str) -> int:
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _file_system(top)
-        for b in batches:
-            for version, name, payload in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+        for b in sliced(batches):
+            for version in set(b.column(0).to_pylist()):
                 fs.create_dir(f"{base}/{beside}/{version}", recursive=True)
+            for version, name, payload in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 with fs.open_output_stream(f"{base}/{beside}/{version}/{name}", compression=None) as out:
                     out.write(payload)
             yield b.select([0, 1])
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _file_system(top)
-        for b in batches:
+        for b in sliced(batches):
+            for version in set(b.column(0).to_pylist()):
+                fs.create_dir(f"{base}/{version}", recursive=True)
             for version, name in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True):
                 draft, place = f"{base}/{beside}/{version}/{name}", f"{base}/{version}/{name}"
-                fs.create_dir(f"{base}/{version}", recursive=True)
                 if fs.get_file_info(draft).type != pa_fs.FileType.NotFound:
                     fs.move(draft, place)
                 elif fs.get_file_info(place).type == pa_fs.FileType.NotFound:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,9 @@ from lexforge.operators import index as indexes
 from lexforge.operators import search
 from lexforge.operators.languages import learn_profiles, told_languages
 from lexforge.operators.tokens import named_rows, own_texts, token_list
+from lexforge.plans import queries
 from lexforge.plans.tokenize import index_tokens
+from lexforge.sources.sidecars import sliced
 
 
 def _chunks(spark, texts):
@@ -90,3 +93,16 @@ def test_trigrams_are_counted_before_they_move(spark):
     assert {(r["lang"], r["gram"]) for r in learn_profiles(rows).collect()} == {("a", "aba"), ("a", "bab"), ("a", None)}
     plan = learn_profiles(rows)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_python_holds_slices_of_a_batch():
+    batch = pa.record_batch({"x": pa.array(range(1300))})
+    assert [b.num_rows for b in sliced(iter([batch]))] == [512, 512, 276]
+    assert [x for b in sliced(iter([batch])) for x in b.column(0).to_pylist()] == list(range(1300))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_sources_are_scanned_without_a_tree_of_sidecars(spark):
+    root = queries.tree(spark, "/root/testdata/sf0.001", "sources").removeprefix("file:")
+    assert os.listdir(root) == ["data"]
+    assert all(f.endswith(".xml") or f.startswith(".") for _, _, files in os.walk(root) for f in files)
