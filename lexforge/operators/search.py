@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.keys import fold_text
 from lexforge.functions.names import hit_urn
-from lexforge.operators.index import CLUSTERING, Index
+from lexforge.operators.index import CLUSTERING, PUSHED, Index
 from lexforge.schema import CONTEXT_PART, TOKEN_SEP
 
 
-#: So many ids go into a scan as values; more are joined.
-PUSHED = 1000
-
-
 def few(rows: DataFrame, *columns: str) -> list[tuple] | None:
     """The rows' columns if there are at most PUSHED rows; reading ends where there are more."""
     found = rows.select(*columns).limit(PUSHED + 1).collect()
@@ -42,7 +38,9 @@ def narrowed(index: Index, table: str, values: list) -> DataFrame:
 
 
 def _under(index: Index, table: str, ids: DataFrame, name: str) -> DataFrame:
-    """Rows of a table for some ids, pushed where they are few, else joined."""
+    """Rows of a table for some ids, pushed where they are few, else joined; an index that is not written makes these rows alone."""
+    if table in index.under:
+        return index.under[table](ids)
     wanted = few(ids, name)
     return index[table].join(ids.select(name).distinct(), name, "left_semi") if wanted is None else narrowed(index, table, sorted({w for (w,) in wanted if w is not None}))
 
@@ -55,8 +53,13 @@ def lookup(index: Index, kind: str, text: str, lang: str, loose: bool = False) -
     return narrowed(index, f"{kind}_by_loose" if loose else kind, [key]).filter(F.col("lang") == lang)
 
 
-def postings(index: Index, kind: str, ids: DataFrame) -> DataFrame:
-    """Postings of some form_id or lemma_id rows."""
+def postings(index: Index, kind: str, ids: DataFrame, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Postings of some form_id or lemma_id rows.
+
+    An index that is not written makes only the ``columns`` asked for, among which may be the ``form``; a written one has its own.
+    """
+    if columns and f"{kind}_postings" in index.under:
+        return index.under[f"{kind}_postings"](ids, columns)
     return _under(index, f"{kind}_postings", ids, f"{kind}_id")
 
 
@@ -89,7 +92,10 @@ def postings_page(index: Index, kind: str, ids: DataFrame, after: tuple[int, int
 
 
 def hits(index: Index, found: DataFrame) -> DataFrame:
-    """Postings with doc_id, form and the citable URN; sort by chunk_id and seq for reading order."""
+    """Postings with doc_id, form (which they may have) and the citable URN; sort by chunk_id and seq for reading order."""
+    if "form" in found.columns:
+        rows = found.join(index["chunks"], "chunk_id").join(index["documents"].select("doc_id", "base_urn"), "doc_id")
+        return rows.withColumn("urn", hit_urn(F.col("base_urn"), F.col("ref"), F.col("form"), F.col("occ")))
     ids = few(found, "chunk_id", "form_id") if index.fenced else None
     if ids is None:
         chunks, docs, forms = index["chunks"], index["documents"], index["forms"]
@@ -113,10 +119,14 @@ def hits_in_document(index: Index, found: DataFrame, documents: DataFrame) -> Da
     return found.filter(within).withColumn("doc_id", place.cast("long"))
 
 
+def counts_by_document(index: Index, kind: str, ids: DataFrame) -> DataFrame:
+    """(id, doc_id, n) for some form_id or lemma_id rows, without touching postings."""
+    return _under(index, f"{kind}_doc_counts", ids, f"{kind}_id")
+
+
 def per_work_counts(index: Index, kind: str, ids: DataFrame) -> DataFrame:
     """Occurrences by document, without touching postings."""
-    counts = _under(index, f"{kind}_doc_counts", ids, f"{kind}_id")
-    return counts.groupBy("doc_id").agg(F.sum("n").alias("n")).join(index["documents"].select("doc_id", "base_urn", "n_words"), "doc_id")
+    return counts_by_document(index, kind, ids).groupBy("doc_id").agg(F.sum("n").alias("n")).join(index["documents"].select("doc_id", "base_urn", "n_words"), "doc_id")
 
 
 def with_feats(index: Index, found: DataFrame) -> DataFrame:
@@ -128,8 +138,7 @@ def in_context(index: Index, found: DataFrame, around: int = 5, width: int = CON
     """Hits with ``before``, ``word`` and ``after``: up to ``around`` tokens on each side, from one to three windows."""
     need = found.withColumn("_part", F.explode(F.sequence(F.floor(F.greatest(F.col("seq") - around, F.lit(0)) / width).cast("int"), F.floor((F.col("seq") + around) / width).cast("int"))))
     keys = [c for c in found.columns]
-    ids = few(found, "chunk_id") if index.fenced else None
-    contexts = index["chunk_context"] if ids is None else narrowed(index, "chunk_context", sorted({c for (c,) in ids}))
+    contexts = _under(index, "chunk_context", found, "chunk_id") if index.fenced or "chunk_context" in index.under else index["chunk_context"]
     rows = need.join(contexts.withColumnRenamed("part", "_part"), ["chunk_id", "_part"])
     whole = rows.groupBy(*keys).agg(F.min("_part").alias("_low"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "tokens"))), lambda x: x["tokens"]), TOKEN_SEP).alias("_text"))
     at = (F.col("seq") - F.col("_low") * width).cast("int")
