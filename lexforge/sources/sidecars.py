@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -15,18 +16,40 @@ from pyspark.sql import functions as F
 from lexforge.functions.names import sidecar_name
 from lexforge.schema import CHUNK_INDEX, METADATA, SIDECAR, SIDECAR_SUFFIX
 from lexforge.sources.storage import forget, kept, remove
+from lexforge.sources.trees import dealt, file_system, files_at, opened, reached, sliced
 
 _VERSION = r"/([^/]+/[^/]+/[^/]+/[^/]+)/[^/]+$"
+#: What stands beside the sidecars of a version.
+BESIDE = ("index.json", "metadata.json")
 
 
-def _files(spark: SparkSession, pattern: str, name: str) -> DataFrame:
-    """Rows (path, version_path, content) of the files under a glob; none if nothing matches."""
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    """Rows (version_path, name, content) of a tree's files as Spark's reader lists them; none if nothing is there."""
+    pattern = f"{root.rstrip('/')}/*/*/*/*/{{*{SIDECAR_SUFFIX},{','.join(BESIDE)}}}"
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(pattern)
     if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place):
-        return spark.createDataFrame([], "path string, version_path string, content binary")
+        return spark.createDataFrame([], "version_path string, name string, content binary")
     files = spark.read.format("binaryFile").load(pattern)
-    return files.select("path", F.regexp_extract("path", _VERSION, 1).alias("version_path"), "content")
+    return files.select(F.regexp_extract("path", _VERSION, 1).alias("version_path"), F.substring_index("path", "/", -1).alias("name"), "content")
+
+
+def list_tree(spark: SparkSession, root: str, beside: bool = False) -> DataFrame:
+    """Rows (version_path, name) of the sidecars four levels under a root, and no deeper; with ``beside`` of their indexes and metadata too."""
+    others = BESIDE if beside else ()
+    if top := reached(spark, root):
+        found = files_at(spark, top, 4, lambda name: name in others or name.endswith(SIDECAR_SUFFIX) and not name.startswith("."))
+        return found.withColumnRenamed("folder", "version_path")
+    name = F.col("name")
+    return _files(spark, root).select("version_path", "name").filter(name.isin(*others) | name.endswith(SIDECAR_SUFFIX) & ~name.startswith("."))
+
+
+def open_tree(spark: SparkSession, root: str, files: DataFrame, made: Callable[[bytes], tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """``files`` of a tree (version_path, name, ...) with what ``made`` makes of their bytes."""
+    top = reached(spark, root)
+    if not top:
+        files = files.join(_files(spark, root), ["version_path", "name"])
+    return opened(dealt(files).withColumnRenamed("version_path", "folder"), top, made, columns).withColumnRenamed("folder", "version_path")
 
 
 def parse_index(content: str = "content"):
@@ -57,8 +80,7 @@ def read_sidecar_names(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Rows (root, version_path, sidecar) of all roots; a root's number is its place in the list."""
     out = None
     for k, root in enumerate(roots):
-        files = _files(spark, f"{root.rstrip('/')}/*/*/*/*/*{SIDECAR_SUFFIX}", SIDECAR_SUFFIX)
-        rows = files.select(F.lit(k).alias("root"), "version_path", F.substring_index("path", "/", -1).alias("sidecar")).filter(~F.startswith("sidecar", F.lit(".")))
+        rows = list_tree(spark, root).select(F.lit(k).alias("root"), "version_path", F.col("name").alias("sidecar"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -67,49 +89,33 @@ def read_sidecars(spark: SparkSession, roots: list[str]) -> DataFrame:
     """Rows for ``build_index``: root, version_path, chunk_name, urn, lang, tokens, error, meta_base_urn, title, author, source_repo, ord.
 
     A sidecar that can't be unpacked or is no JSON object has an ``error`` and no tokens.  ``ord`` is the place in the version's index.json, null if that does not list the chunk.
+    A tree is listed once, and what its indexes and metadata say joins the names, before sidecars are opened: these don't move.
     """
     out = None
+    schema = f"struct<{SIDECAR.replace('urn string, lang string, tokens ', 'urn:string,lang:string,tokens:')}>"
     for k, root in enumerate(roots):
-        top = root.rstrip("/")
-        found = _files(spark, f"{top}/*/*/*/*/*{SIDECAR_SUFFIX}", SIDECAR_SUFFIX)
-        schema = f"struct<{SIDECAR.replace('urn string, lang string, tokens ', 'urn:string,lang:string,tokens:')}>"
-        opened = found.withColumn("name", F.substring_index("path", "/", -1)).filter(~F.startswith("name", F.lit("."))).mapInArrow(_unpack, "path string, version_path string, name string, json string, error string")
-        rows = opened.withColumn("s", F.from_json("json", schema)).select(F.lit(k).alias("root"), "version_path", "name", "s.urn", "s.lang", F.coalesce("s.tokens", F.array()).alias("tokens"), "error")
-        listed = _files(spark, f"{top}/*/*/*/*/index.json", "index.json").select("version_path", parse_index().alias("chunks"))
-        listed = listed_names(listed).select("version_path", "ord", sidecar_name(F.col("chunk_name")).alias("name")).groupBy("version_path", "name").agg(F.min("ord").alias("ord"))
-        meta = _files(spark, f"{top}/*/*/*/*/metadata.json", "metadata.json").select("version_path", parse_metadata().alias("m"))
-        meta = meta.select("version_path", F.col("m.base_urn").alias("meta_base_urn"), "m.title", "m.author", "m.source_repo")
-        rows = rows.join(listed, ["version_path", "name"], "left").join(meta, "version_path", "left").withColumnRenamed("name", "chunk_name")
+        names = kept(list_tree(spark, root, beside=True), "names")
+        index, meta = (open_tree(spark, root, names.filter(F.col("name") == name), lambda data: (data,), {"content": pa.binary()}) for name in BESIDE)
+        listed = listed_names(index.select("version_path", parse_index().alias("chunks")))
+        listed = listed.select("version_path", "ord", sidecar_name(F.col("chunk_name")).alias("name")).groupBy("version_path", "name").agg(F.min("ord").alias("ord"))
+        meta = meta.select("version_path", parse_metadata().alias("m")).select("version_path", F.col("m.base_urn").alias("meta_base_urn"), "m.title", "m.author", "m.source_repo")
+        # packed names are small for their number, so that Spark would send them all through the driver
+        found = names.filter(~F.col("name").isin(*BESIDE)).join(listed.hint("merge"), ["version_path", "name"], "left").join(meta.hint("merge"), "version_path", "left")
+        rows = open_tree(spark, root, found, _unpack, {"json": pa.string(), "error": pa.string()}).withColumn("s", F.from_json("json", schema))
+        rows = rows.select("version_path", F.col("name").alias("chunk_name"), F.lit(k).alias("root"), "s.urn", "s.lang", F.coalesce("s.tokens", F.array()).alias("tokens"), "error", "ord", "meta_base_urn", "title", "author", "source_repo")
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-#: Rows whose texts Python holds at once.
-SLICE = 512
-
-
-def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches in slices, each of which is let go before the next one is made."""
-    for b in batches:
-        for at in range(0, b.num_rows, SLICE):
-            yield b.slice(at, SLICE)
-
-
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    d = zstandard.ZstdDecompressor()
-
-    def opened(data: bytes) -> tuple[str | None, str | None]:
-        try:
-            text = d.decompressobj().decompress(data).decode()
-            if not isinstance(json.loads(text), dict):
-                raise ValueError("no object")
-        except (zstandard.ZstdError, ValueError) as e:
-            return None, f"{type(e).__name__}: {e}"
-        return text, None
-
-    for b in sliced(batches):
-        got = [opened(x) for x in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *(pa.array([g[k] for g in got], pa.string()) for k in (0, 1))], names=["path", "version_path", "name", "json", "error"])
+def _unpack(data: bytes) -> tuple[str | None, str | None]:
+    """A sidecar's JSON, or what is wrong with it."""
+    try:
+        text = zstandard.ZstdDecompressor().decompressobj().decompress(data).decode()
+        if not isinstance(json.loads(text), dict):
+            raise ValueError("no object")
+    except (zstandard.ZstdError, ValueError) as e:
+        return None, f"{type(e).__name__}: {e}"
+    return text, None
 
 
 def pack_sidecars(rows: DataFrame, level: int = 19) -> DataFrame:
@@ -124,8 +130,10 @@ def pack_sidecars(rows: DataFrame, level: int = 19) -> DataFrame:
     return ready.mapInArrow(run, "version_path string, sidecar string, payload binary")
 
 
-def _file_system(place: str) -> tuple[pa_fs.FileSystem, str]:
-    return pa_fs.FileSystem.from_uri(place) if "://" in place or place.startswith("file:") else (pa_fs.LocalFileSystem(), place)
+def _draft(version: str, name: str) -> str:
+    """Where a file is written first: in one of 256 folders, so that few are left to delete when all are moved."""
+    digest = hashlib.sha256(f"{version}/{name}".encode()).hexdigest()
+    return f"{digest[:2]}/{digest}"
 
 
 def export_tree(rows: DataFrame, root: str) -> int:
@@ -139,22 +147,23 @@ def export_tree(rows: DataFrame, root: str) -> int:
     beside = f".draft-{uuid.uuid4().hex}"
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _file_system(top)
+        fs, base = file_system(top)
         for b in sliced(batches):
-            for version in set(b.column(0).to_pylist()):
-                fs.create_dir(f"{base}/{beside}/{version}", recursive=True)
-            for version, name, payload in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                with fs.open_output_stream(f"{base}/{beside}/{version}/{name}", compression=None) as out:
+            drafts = [_draft(*x) for x in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True)]
+            for folder in {d[:2] for d in drafts}:
+                fs.create_dir(f"{base}/{beside}/{folder}", recursive=True)
+            for draft, payload in zip(drafts, b.column(2).to_pylist(), strict=True):
+                with fs.open_output_stream(f"{base}/{beside}/{draft}", compression=None) as out:
                     out.write(payload)
             yield b.select([0, 1])
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _file_system(top)
+        fs, base = file_system(top)
         for b in sliced(batches):
             for version in set(b.column(0).to_pylist()):
                 fs.create_dir(f"{base}/{version}", recursive=True)
             for version, name in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True):
-                draft, place = f"{base}/{beside}/{version}/{name}", f"{base}/{version}/{name}"
+                draft, place = f"{base}/{beside}/{_draft(version, name)}", f"{base}/{version}/{name}"
                 if fs.get_file_info(draft).type != pa_fs.FileType.NotFound:
                     fs.move(draft, place)
                 elif fs.get_file_info(place).type == pa_fs.FileType.NotFound:
