@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lexforge.functions.names import sidecar_name
 from lexforge.schema import CHUNK_INDEX, METADATA, SIDECAR, SIDECAR_SUFFIX
 from lexforge.sources.storage import forget, kept, remove
-from lexforge.sources.trees import dealt, file_system, files_at, opened, reached, sliced
+from lexforge.sources.trees import bound_batches, dealt, file_system, files_at, opened, reached, sliced
 
 _VERSION = r"/([^/]+/[^/]+/[^/]+/[^/]+)/[^/]+$"
 #: What stands beside the sidecars of a version.
@@ -143,6 +143,7 @@ def export_tree(rows: DataFrame, root: str) -> int:
     there: where a task fails, the old tree stays whole and what was written goes.  A task that runs again replaces what
     it left, and passes over what it has moved.
     """
+    bound_batches(rows.sparkSession)
     top = root.rstrip("/")
     beside = f".draft-{uuid.uuid4().hex}"
 

@@ -59,6 +59,15 @@ def test_drafts_are_few_folders(spark, tmp_path, monkeypatch):
     assert 0 < len(left) <= 256 and all(p.is_dir() and len(p.relative_to(tmp_path).parts) == 2 for p in left)
 
 
+def test_files_to_write_come_in_small_batches(spark, tmp_path):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for before, after in (("64m", str(trees.BATCH)), ("1000", "1000")):
+        spark.conf.set(limit, before)
+        export_tree(spark.createDataFrame([("a/b/c/d", "x", bytearray(b"1"))], "version_path string, sidecar string, payload binary"), str(tmp_path))
+        assert spark.conf.get(limit) == after
+    spark.conf.set(limit, str(trees.BATCH))
+
+
 def test_stores_that_only_spark_reads(spark, root):
     spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.trees.link./in", "file:" + root.rsplit("/", 1)[0])
     other = f"viewfs://trees/in/{root.rsplit('/', 1)[1]}"
